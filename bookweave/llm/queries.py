@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from bookweave.llm import decontaminate, line_dedup, secrets, sharding
+from bookweave.llm import decontaminate, language, line_dedup, packing, secrets, sharding, transport, warc
 
 
 def queries():
     return {
+        "op1_warc": warc.op1_warc,
         "op2_sharding": sharding.op2_sharding,
         "op5_line_dedup": line_dedup.op5_line_dedup,
+        "op6_media_columns": transport.op6_media_columns,
         "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
+        "op8_language_id": language.op8_language_id,
+        "op9_best_fit_packing": packing.op9_best_fit_packing,
         "op10_secret_scans": secrets.op10_secret_scans,
     }
 
 
 def oracle_sql():
-    return {**line_dedup.ORACLE, **decontaminate.ORACLE}
+    return {**warc.ORACLE, **line_dedup.ORACLE, **decontaminate.ORACLE}
