@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from bookweave.llm import decontaminate, language, line_dedup, packing, secrets, sharding, transport, warc
+from bookweave.llm import decontaminate, jaccard, language, line_dedup, packing, secrets, sharding, transport, warc
 
 
 def queries():
     return {
         "op1_warc": warc.op1_warc,
         "op2_sharding": sharding.op2_sharding,
+        "op3_ngram_jaccard_join": jaccard.op3_ngram_jaccard_join,
         "op5_line_dedup": line_dedup.op5_line_dedup,
         "op6_media_columns": transport.op6_media_columns,
         "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
@@ -19,4 +20,4 @@ def queries():
 
 
 def oracle_sql():
-    return {**warc.ORACLE, **line_dedup.ORACLE, **decontaminate.ORACLE}
+    return {**warc.ORACLE, **jaccard.ORACLE, **line_dedup.ORACLE, **decontaminate.ORACLE}
