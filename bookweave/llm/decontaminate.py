@@ -26,9 +26,21 @@ def _tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
 
 
-def _seeds(tokens: str, at: str) -> Column:
-    hashed = [F.xxhash64(F.lit(m), *(F.col(tokens)[F.col(at) + i] for i, c in enumerate(mask) if c == "1")) for m, mask in enumerate(MASKS)]
-    return F.explode(F.array(*hashed))
+def _seeds(hashes: str) -> Column:
+    """All seeds of an array of token hashes: those of the first mask at every place, then those of the second."""
+    places = F.sequence(F.lit(0), F.size(hashes) - SPAN)
+
+    def of(m: int, mask: str) -> Column:
+        return F.transform(places, lambda i: F.xxhash64(F.lit(m), *(F.get(hashes, i + k) for k, c in enumerate(mask) if c == "1")))
+
+    return F.concat(*(of(m, mask) for m, mask in enumerate(MASKS)))
+
+
+def _each_seed(words: DataFrame, key: str) -> DataFrame:
+    """key, at (token where the seed begins), seed. Outer: a plain explode would have Spark filter by the array's size first, computed over again within itself."""
+    hashed = words.select(key, F.transform("words", lambda w: F.xxhash64(w)).alias("h")).filter(F.size("h") >= SPAN)
+    seeds = hashed.select(key, (F.size("h") - (SPAN - 1)).alias("m"), _seeds("h").alias("seeds"))
+    return seeds.select(key, "m", F.posexplode_outer("seeds").alias("p", "seed")).select(key, (F.col("p") % F.col("m")).alias("at"), "seed")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.75) -> DataFrame:
@@ -39,24 +51,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.75) ->
     too short to be evidence and are not looked for. Null or empty texts match nothing; repeated rows
     count once.
     """
-    items = benchmark.select("item_id", _tokens(text_of()).alias("words")).filter(F.size("words") >= SPAN)
-    seeds = items.select("item_id", "words", F.explode(F.sequence(F.lit(0), F.size("words") - SPAN)).alias("j"))
-    seeds = seeds.select("item_id", "words", "j", _seeds("words", "j").alias("seed"))
+    items = benchmark.select("item_id", _tokens(text_of()).alias("words"))
+    words = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _tokens(text_of()).alias("words"))
+    seeds = _each_seed(items, "item_id").select("item_id", F.col("at").alias("j"), "seed")
     if seeds.count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
-    tokens = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _tokens(text_of()).alias("tokens")).filter(F.size("tokens") >= SPAN)
-    each = tokens.select("doc_id", "tokens", F.explode(F.sequence(F.lit(0), F.size("tokens") - SPAN)).alias("i"))
-    hits = each.select("doc_id", "tokens", "i", _seeds("tokens", "i").alias("seed")).join(seeds, "seed")
-
-    before = F.least("i", "j", F.lit(AROUND))
-    length = F.least(F.size("tokens") - F.col("i"), F.size("words") - F.col("j"), F.lit(SPAN + AROUND)) + before
-    aligned = hits.select(
-        "doc_id", "item_id", F.size("words").alias("n"), (F.col("i") - before).alias("first_token"), length.alias("compared"),
-        F.slice("tokens", F.col("i") - before + 1, length).alias("a"), F.slice("words", F.col("j") - before + 1, length).alias("b"),
+    hits = _each_seed(words, "doc_id").join(seeds, "seed")
+    lines = hits.groupBy("doc_id", "item_id", (F.col("at") - F.col("j")).alias("shift")).agg(F.collect_set("j").alias("js"))
+
+    both = (
+        lines.join(items.select("item_id", F.col("words").alias("w")), "item_id")
+        .join(words.select(F.col("doc_id").alias("d"), F.col("words").alias("t")), F.col("doc_id").eqNullSafe(F.col("d")))
+        .select("doc_id", "item_id", "shift", F.size("w").alias("n"), F.size("t").alias("size"), "w", "t", F.explode("js").alias("j"))
     )
+    first = F.greatest(F.lit(0), F.col("j") - AROUND, -F.col("shift"))
+    last = F.least(F.col("n"), F.col("j") + SPAN + AROUND, F.col("size") - F.col("shift"))
+    spans = both.filter(first < last).select("doc_id", "item_id", "n", (first + F.col("shift")).alias("first_token"), (last - first).alias("compared"), F.slice("w", first + 1, last - first).alias("a"), F.slice("t", first + F.col("shift") + 1, last - first).alias("b"))
     matched = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda same: same))
     return (
-        aligned.withColumn("matched", matched)
+        spans.withColumn("matched", matched)
         .filter((F.col("compared") >= F.least("n", F.lit(14))) & (F.col("matched") >= share * F.col("compared")))
         .groupBy("doc_id", "item_id")
         .agg(F.max("matched").alias("matched"), F.max("compared").alias("compared"), F.min("first_token").alias("first_token"))
