@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bookweave.llm import decontaminate, jaccard, language, line_dedup, packing, secrets, sharding, transport, warc
+from bookweave.llm import decontaminate, jaccard, language, line_dedup, packing, secrets, sharding, surrogates, transport, warc
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op1_warc": warc.op1_warc,
         "op2_sharding": sharding.op2_sharding,
         "op3_ngram_jaccard_join": jaccard.op3_ngram_jaccard_join,
+        "op4_pii_surrogates": surrogates.op4_pii_surrogates,
         "op5_line_dedup": line_dedup.op5_line_dedup,
         "op6_media_columns": transport.op6_media_columns,
         "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
