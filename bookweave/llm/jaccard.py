@@ -302,6 +302,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return named.unionByName(alone).withColumnsRenamed({"doc": "doc_id", "n": "n_shingles"})
 
 
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns kept, of the smallest doc_id of each component, one row per doc_id; rows without doc_id stay."""
+    found = near_duplicates(docs, width, percent).filter("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter("doc_id IS NULL"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85).select("doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), "component_id")
 

@@ -8,8 +8,6 @@ characters, pieces * log2(n) / characters estimates the cross entropy, by which
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -153,34 +151,52 @@ def sample(labelled: DataFrame, documents: int = SAMPLE_DOCUMENTS, characters: i
     return {k: "\n".join(t for _, t in sorted(v)) for k, v in got.items()}
 
 
-def predict(docs: DataFrame, learnt: dict[str, str]) -> DataFrame:
-    """doc_id, lang_pred, score, bits (a character, of the best language), letters, for every row.
+def identified(learnt: dict[str, str]):
+    """A function of a text column to a struct of lang_pred, score, bits (a character, of the best language) and letters.
 
     score is the share by which the best language's rate is below the next one's, from 0 to 1. Null or
     empty texts, and those without a letter, are `und` with score 0; so is every text when nothing could
     be learnt. Ties go to the label that sorts first. Whole texts are parsed, however long.
     """
+
+    @F.pandas_udf("lang_pred string, score double, bits double, letters bigint")
+    def run(text: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame({"lang_pred": ["und"] * len(text), "score": 0.0, "bits": 0.0, "letters": 0})
+        if not learnt or not len(text):
+            return out
+        model = Model.of(learnt)
+        rates, letters = model.rates([t if isinstance(t, str) else None for t in text])
+        two, good = np.sort(rates, axis=1), letters > 0
+        score = 1 - two[:, 0] / np.maximum(two[:, 1], 1e-9) if rates.shape[1] > 1 else np.ones(len(text))
+        out["lang_pred"] = np.where(good, np.array(model.names, object)[rates.argmin(axis=1)], "und")
+        out["score"] = np.where(good, np.clip(score, 0, 1), 0.0)
+        out["bits"], out["letters"] = np.where(good, two[:, 0], 0.0), letters
+        return out
+
+    return run
+
+
+def learn(docs: DataFrame) -> dict[str, str]:
+    """The sample of all documents that are not held out."""
+    return sample(docs.filter(~held_out()))
+
+
+def predict(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, bits, letters, for every row; extra columns are left behind."""
     small_batches(docs.sparkSession)
+    named = docs.select("doc_id", held_out().alias("held_out"), identified(learn(docs))("text").alias("x"))
+    return named.select("doc_id", "held_out", "x.lang_pred", "x.score", "x.bits", "x.letters")
+
+
+#: Bits a letter with which letters drawn at random would be told; no language needs so many.
+RANDOM_BITS = 4.7
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Model.of(learnt) if learnt else None
-        for b in batches:
-            if not len(b):
-                continue
-            out = pd.DataFrame({"doc_id": b["doc_id"], "lang_pred": "und", "score": 0.0, "bits": 0.0, "letters": 0})
-            if model:
-                rates, letters = model.rates([t if isinstance(t, str) else None for t in b["text"]])
-                two = np.sort(rates, axis=1)
-                best, good = rates.argmin(axis=1), letters > 0
-                score = 1 - two[:, 0] / np.maximum(two[:, 1], 1e-9) if rates.shape[1] > 1 else np.ones(len(b))
-                out["lang_pred"] = np.where(good, np.array(model.names, object)[best], "und")
-                out["score"] = np.where(good, np.clip(score, 0, 1), 0.0)
-                out["bits"], out["letters"] = np.where(good, two[:, 0], 0.0), letters
-            yield out
-
-    rows = docs.select(F.col("doc_id").cast("bigint").cast("string").alias("doc_id"), "text")
-    out = rows.mapInPandas(run, "doc_id string, lang_pred string, score double, bits double, letters bigint")
-    return out.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+def in_a_language(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns kept, but those without a letter and those that parse no better than random letters."""
+    small_batches(docs.sparkSession)
+    x = identified(learn(docs))("text")
+    return docs.filter((x["lang_pred"] != "und") & (x["bits"] < RANDOM_BITS))
 
 
 def held_out():
@@ -189,6 +205,4 @@ def held_out():
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    learnt = sample(docs.filter(~held_out()))
-    return predict(docs, learnt).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "bits", "letters")
+    return predict(table(spark, sf_dir, "documents"))

@@ -59,28 +59,30 @@ def _merged(starts: pd.Series) -> pd.Series:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text without repeats, lines_removed, for every row.
+    """docs with repeats cut out of `text`, and lines_removed; every row and column is kept.
 
     A later occurrence loses all three lines; only a window's first occurrence by (doc_id, line) keeps
     them, unless another repeat covers them. Lines compare exactly; a text of under three lines, empty or
     null stays as it is. Rows that share a doc_id are one document to this operator: identical ones are
     treated alike. A null doc_id comes first and its rows are one document. A text all of whose lines
-    go becomes empty. Extra columns are left behind.
+    go becomes empty. A column lines_removed of docs is replaced.
     """
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    gone = repeated_windows(docs).groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("at").alias("starts"))
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    columns = [c for c in docs.columns if c != "lines_removed"]
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    gone = repeated_windows(keyed).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("at").alias("__starts"))
+    joined = docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")), "left")
     n = F.size(F.split("text", "\n", -1))
-    starts = F.filter("starts", lambda i: i <= n - LINES)
-    hit = F.col("starts").isNotNull() & F.col("text").isNotNull()
-    kept = joined.filter(~hit).select("doc_id", "text", F.lit(0).alias("lines_removed"))
-    cut = joined.filter(hit).select("doc_id", "text", starts.alias("starts"))
-    return kept.unionByName(cut.select("doc_id", _without("text", "starts").alias("text"), _merged("starts").alias("lines_removed")))
+    starts = F.filter("__starts", lambda i: i <= n - LINES)
+    hit = F.col("__starts").isNotNull() & F.col("text").isNotNull()
+    kept = joined.filter(~hit).select(*columns, F.lit(0).alias("lines_removed"))
+    cut = joined.filter(hit).withColumn("__starts", starts)
+    cut = cut.select(*(_without("text", "__starts").alias("text") if c == "text" else c for c in columns), _merged("__starts").alias("lines_removed"))
+    return kept.unionByName(cut)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents"))
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 ORACLE = {

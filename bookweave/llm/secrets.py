@@ -47,7 +47,7 @@ def _spans(docs: DataFrame) -> DataFrame:
     some = docs.filter("text <> ''").withColumn("ident", has_ident).filter(when["assign"] | when["access"] | when["hex"] | F.col("ident"))
     none = F.array().cast("array<struct<kind:string,i:int,gap:int,len:int,ok:boolean>>")
     found = F.concat(*(F.when(when[k], _found(k, p, g, n)).otherwise(none) for k, p, g, n in KINDS))
-    each = some.select("doc_id", "th", F.explode(found).alias("m")).select("doc_id", "th", "m.*").distinct()
+    each = some.select("doc_id", "th", F.explode_outer(found).alias("m")).select("doc_id", "th", "m.*").filter("i IS NOT NULL").distinct()
     order = W.partitionBy("doc_id", "th", "kind").orderBy("i")
     end = F.sum(F.col("gap") + F.col("len")).over(order.rowsBetween(W.unboundedPreceding, 0))
     return each.withColumn("end", end).filter("ok").select("doc_id", "th", "kind", (F.col("end") - F.col("len")).alias("start"), "end")
