@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from bookweave.plans import core
+
+PLANS = [core]
+
 
 def queries():
-    return {}
+    return {name: f for plan in PLANS for name, f in plan.queries().items()}
 
 
 def oracle_sql():
-    return {}
+    return {name: sql for plan in PLANS for name, sql in plan.oracle_sql().items()}
