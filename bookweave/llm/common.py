@@ -41,11 +41,11 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows of whole documents go to Python in batches of at most this many, which bounds a worker's memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, mb: int = 8) -> None:
+    """Whole documents go to Python in batches of at most so many megabytes, which bounds a worker's memory."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).removesuffix("b")) > mb << 20:
+        spark.conf.set(key, str(mb << 20))
 
 
 def text_of(column: str = "text"):

@@ -144,7 +144,7 @@ def padded(text: str | None) -> tuple[int, bytes]:
 
 def with_media(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, media: each row's text, padded with spaces to a positive multiple of 192 bytes, as a transport stream. A null text is an empty one."""
-    small_batches(docs.sparkSession, 500)
+    small_batches(docs.sparkSession, 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
