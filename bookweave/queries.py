@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from bookweave.plans import core
+from bookweave.plans import checks, core
 
-PLANS = [core]
+PLANS = [core, checks]
 
 
 def queries():
