@@ -113,7 +113,8 @@ def close_snapshots(events: DataFrame, led: DataFrame, n: int = 10) -> DataFrame
     before = lambda df: df.join(cut.select(*BOOK, "cut_seq"), BOOK).filter("seq <= cut_seq")
     points = cut.select(*BOOK, F.lit(1).cast("bigint").alias("k"))
     one = F.lit(1).cast("bigint")
-    return scheduled(before(events), before(led), points, one, one, n).join(cut.select(*BOOK, "boundary_ms"), BOOK).drop("k")
+    k = F.when(F.col("seq").isNotNull(), one)  # not a plain literal: Spark 4.1 loses columns of windows ordered by one
+    return scheduled(before(events), before(led), points, k, one, n).join(cut.select(*BOOK, "boundary_ms"), BOOK).drop("k")
 
 
 def grid_snapshots(events: DataFrame, led: DataFrame, step_ms: int, n: int = 10, sessions=SESSIONS, origin: Column | None = None) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from bookweave.plans import checks, core
+from bookweave.plans import checks, core, special
 
-PLANS = [core, checks]
+PLANS = [core, checks, special]
 
 
 def queries():
