@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bookweave.llm.common import small_batches, table, text_of
 
@@ -34,7 +35,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     return windows.join(first, ["h1", "h2"]).filter(~F.struct("doc_id", "at").eqNullSafe(F.col("first"))).select("doc_id", "at")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without(text: pd.Series, starts: pd.Series) -> pd.Series:
     def cut(t: str, at) -> str:
         lines = t.split("\n")
@@ -46,7 +47,7 @@ def _without(text: pd.Series, starts: pd.Series) -> pd.Series:
     return pd.Series([cut(t, a) for t, a in zip(text, starts, strict=True)], dtype=object)
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _merged(starts: pd.Series) -> pd.Series:
     def size(at) -> int:
         n = end = 0
