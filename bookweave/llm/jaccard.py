@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ from bookweave.llm.components import components
 COORDINATES, FANOUT = 32, 16
 #: Shingles that one task joins at once; a larger cluster is cut into tiles and its tiles are paired.
 TILE = 1_500_000
+#: Documents in clusters up to which their places (32 bytes each) are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_MEMBERS = 1_000_000
 #: Sizes whose ratio is below this share a class (and its number of groups).
 STEP = 1.5
 
@@ -91,21 +94,28 @@ def differ(cls: int, percent: int) -> int:
 
 
 def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of the blocks of a set: for its class, and each higher one with a set that can link to it, the hash of each group.
+    """Keys of the blocks of a set: for its class, and each higher one with a set that can link to it, hashes of groups.
 
-    Differing shingles touch at most D groups, so a set that fills more than D shares a filled group with
-    any set it links to. The rare sets that fill no more meet in a block of their own.
+    Shingles in which two linked sets differ touch at most d groups, so if more than d of a set's groups
+    hold m shingles or more, one of those is the same in the other set. Each set takes the largest such m
+    and gives its groups of m or more: of two sets the one with the larger m has the common group, and the
+    other gives it too. That leaves out groups of one or two shingles, which common passages make alike.
+    The rare sets that have no such m give all groups and meet in a block of their own.
     """
     n, keys = len(s), []
     c = size_class(n)
     while not keys or 100 * n >= percent * (largest_of(c - 1) + 1):
-        d = differ(c, percent)
-        g = d + 3 + d // 50
+        most = differ(c, percent)
+        d = min(most, (n + min(largest_of(c), n * 100 // percent)) * (100 - percent) // (100 + percent))
+        g = most * 11 // 10 + 3
         at = ((s >> _U(32)) * _U(g) >> _U(32)).astype(np.int64)  # groups are ranges of hashes, so s is in their order
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        keys.append(_mix(np.add.reduceat(_mix(s + _U(c)), first) + (at[first] + c * 1_000_003).astype(_U)))
-        if len(first) <= d:
-            keys.append(_mix(np.array([c], _U)))
+        size = np.diff(np.append(first, n))
+        h = _mix(np.add.reduceat(_mix(s + _U(c)), first) + (at[first] + c * 1_000_003).astype(_U))
+        with_more = np.bincount(size)[::-1].cumsum()[::-1]  # [m]: groups of m shingles or more
+        good = np.flatnonzero(with_more > d)
+        m = int(good[-1]) if len(good) else 0
+        keys.append(h[size >= m] if m else np.append(h, _mix(np.array([c], _U))))
         c += 1
     return np.concatenate(keys)
 
@@ -167,12 +177,33 @@ def join_cluster(ids: list[int], sets: list[np.ndarray], percent: int) -> list[t
     return links
 
 
-def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Three kinds of rows: a document (h2 set: key its first hash, b its size), a block's member (b null), an edge (a, b).
+def _planes(x: np.ndarray) -> bytes:
+    """Bytes of 64-bit numbers, all highest bytes first: ordered or small numbers then compress well."""
+    return np.ascontiguousarray(x.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unplaned(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(_U)
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    kinds = {"bucket": pa.int32(), "keys": pa.binary(), "docs": pa.binary()}
+    n = max(len(c) for c in columns.values())
+    names = [*kinds, "a", "b", "h1", "h2"]
+    col = lambda c: pa.array(columns[c], kinds.get(c, pa.int64())) if c in columns else pa.nulls(n, kinds.get(c, pa.int64()))
+    return pa.RecordBatch.from_arrays([col(c) for c in names], names)
+
+
+_SIGNED = "bucket int, keys binary, docs binary, a bigint, b bigint, h1 bigint, h2 bigint"
+
+
+def _signed(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+    """Three kinds of rows: packed members of the blocks in a bucket (keys, docs), a document (h1, h2 its set's hash; a, b its id and size), an edge (a, b).
 
     Within a batch, copies and members of one block are joined by edges there and then, so a block gets a
-    row per batch at most, however many documents are in it.
+    member per batch at most, however many documents are in it.
     """
+    spread = lambda x: (_mix(np.asarray(x, np.int64).view(_U)) % _U(buckets)).astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,7 +212,7 @@ def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 s = shingles(text, width)
                 h1, h2 = set_hash(s)
-                info.append((h1, doc, len(s), h2))
+                info.append((doc, len(s), h1, h2))
                 if not len(s) or doc is None:
                     continue
                 if (same := first.setdefault((h1, h2, len(s)), doc)) != doc:
@@ -198,42 +229,59 @@ def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 hub = owner[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
                 twice = hub != owner
                 edges.update(zip(hub[twice].tolist(), owner[twice].tolist(), strict=True))
-                yield _rows(key[new].view(np.int64), owner[new], None, None)
+                key, owner = key[new], owner[new]
+                bucket = ((key >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)  # in the order of the keys
+                cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                parts = list(zip(cut.tolist(), [*cut[1:].tolist(), len(key)], strict=True))
+                yield _batch(bucket=bucket[cut], keys=[_planes(key[i:j]) for i, j in parts], docs=[_planes(owner[i:j].view(_U)) for i, j in parts])
             if edges:
                 a, b = map(np.array, zip(*edges, strict=True))
-                yield _rows(_mix(a.astype(np.int64).view(_U)).view(np.int64), a, b, None)
+                yield _batch(bucket=spread(a), a=a, b=b)
             if info:
-                h1, doc, n, h2 = zip(*info, strict=True)
-                yield _rows(h1, doc, n, h2)
-
-    return docs.mapInArrow(run, "key bigint, a bigint, b bigint, h2 bigint")
+                doc, n, h1, h2 = zip(*info, strict=True)
+                yield _batch(bucket=spread(h1), a=doc, b=n, h1=h1, h2=h2)
 
-
-def _rows(key, a, b, h2) -> pa.RecordBatch:
-    col = lambda x: pa.nulls(len(key), pa.int64()) if x is None else pa.array(x, pa.int64())
-    return pa.RecordBatch.from_arrays([col(key), col(a), col(b), col(h2)], ["key", "a", "b", "h2"])
+    return docs.mapInArrow(run, _SIGNED)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: members of a block become edges to its first; the others pass."""
-    last, hub = None, None
+    """Rows sorted by bucket: members of one block become edges to its first; the others pass."""
+    now, held = None, []
+    edges = np.zeros((0, 2), np.int64)
+
+    def told(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *[pa.nulls(len(pairs), pa.int64())] * 2], ["a", "b", "h1", "h2"])
+
+    def joined() -> np.ndarray:
+        if len(held) < 2:
+            return np.zeros((0, 2), np.int64)
+        key, doc = (np.concatenate([_unplaned(x[i]) for x in held]) for i in (0, 1))
+        doc = doc.view(np.int64)
+        order = np.lexsort((doc, key))
+        key, doc = key[order], doc[order]
+        new = np.append(True, key[1:] != key[:-1])
+        hub = doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+        return np.stack([hub, doc], axis=1)[hub != doc]
+
     for batch in batches:
-        key = batch.column("key").to_numpy()
-        member = batch.column("b").is_null().to_numpy(zero_copy_only=False)
-        rest = batch.filter(pa.array(~member))
+        packed = batch.column("keys").is_valid()
+        rest = batch.filter(pa.compute.invert(packed)).select(["a", "b", "h1", "h2"])
         if rest.num_rows:
             yield rest
-        key, doc = key[member], batch.column("a").to_numpy(zero_copy_only=False)[member].astype(np.int64)
-        if not len(key):
-            continue
-        at = np.arange(len(key))
-        new = np.append(key[0] != last, key[1:] != key[:-1])
-        start = np.maximum.accumulate(np.where(new, at, -1))
-        hubs = np.where(start < 0, hub if hub is not None else 0, doc[np.maximum(start, 0)])
-        edge = hubs != doc
-        if edge.any():
-            yield _rows(key[edge], hubs[edge], doc[edge], None)
-        last, hub = key[-1], hubs[-1]
+        members = batch.filter(packed)
+        for bucket, keys, docs in zip(*(members.column(c).to_pylist() for c in ("bucket", "keys", "docs")), strict=True):
+            if bucket != now:
+                edges = np.concatenate([edges, joined()])
+                now, held = bucket, []
+                if len(edges) > 1_000_000:  # each pair meets in many blocks
+                    edges = np.unique(edges, axis=0)
+                    if len(edges) > 500_000:
+                        yield told(edges)
+                        edges = edges[:0]
+            held.append((keys, docs))
+    edges = np.unique(np.concatenate([edges, joined()]), axis=0)
+    if len(edges):
+        yield told(edges)
 
 
 def links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
@@ -245,6 +293,8 @@ def links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Data
         members.join(tiles, "cluster").withColumn("u", other)
         .select("doc", "cluster", F.least(mine, "u").alias("i"), F.greatest(mine, "u").alias("j"))
     )
+    if members.limit(BROADCAST_MEMBERS + 1).count() <= BROADCAST_MEMBERS:  # then texts that are in no cluster needn't be shuffled
+        place = F.broadcast(place)
     tasks = docs.join(place, F.col("doc_id") == F.col("doc")).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,9 +330,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    dealt = _signed(docs, width, percent).repartition("key").sortWithinPartitions("key", "a")
-    found = stored(dealt.mapInArrow(_blocks, "key bigint, a bigint, b bigint, h2 bigint"), "blocks")
-    info = found.filter("h2 IS NOT NULL").select(F.col("key").alias("h1"), "h2", F.col("b").alias("n"), F.col("a").alias("doc"))
+    buckets = 16 * max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = _signed(docs, width, percent, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    found = stored(dealt.mapInArrow(_blocks, "a bigint, b bigint, h1 bigint, h2 bigint"), "blocks")
+    info = found.filter("h2 IS NOT NULL").select("h1", "h2", F.col("b").alias("n"), F.col("a").alias("doc"))
     full = info.filter("n > 0 AND doc IS NOT NULL")
     reps = full.groupBy("h1", "h2", "n").agg(F.min("doc").alias("rep"))
     classes = stored(full.join(reps, ["h1", "h2", "n"]).select("doc", "n", "rep"), "classes")
