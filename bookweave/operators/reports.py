@@ -16,12 +16,21 @@ OUTCOMES = ["matched", "mismatched", "data_error", "missing_source"]
 ANCHORS = ["pre_open", "continuous", "market_close"]
 
 
+def _counts(grouped) -> DataFrame:
+    out = grouped.agg(F.count("*").alias("total"), *(F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES))
+    return out.withColumn("comparable", F.col("matched") + F.col("mismatched"))
+
+
+def totals(records: DataFrame) -> DataFrame:
+    """One row, of zeros if there are no records."""
+    return _counts(records.groupBy())
+
+
 def outcome_breakdown(records: DataFrame) -> DataFrame:
-    """Totals overall (class and anchor null) and by class and anchor; comparable is matched or mismatched."""
-    count = lambda o: F.count_if(F.col("outcome") == o).alias(o)
+    """Totals overall (class and anchor null) and by class and anchor; comparable is matched or mismatched. No rows without records."""
     # two levels of one rollup, without the one in between
-    r = records.rollup(F.struct("class", "anchor").alias("g")).agg(F.count("*").alias("total"), *(count(o) for o in OUTCOMES))
-    return r.select("g.class", "g.anchor", "total", (F.col("matched") + F.col("mismatched")).alias("comparable"), *OUTCOMES)
+    r = _counts(records.rollup(F.struct("class", "anchor").alias("g")))
+    return r.select("g.class", "g.anchor", "total", "comparable", *OUTCOMES)
 
 
 def match_rate(matched: Column, comparable: Column) -> Column:
@@ -30,11 +39,11 @@ def match_rate(matched: Column, comparable: Column) -> Column:
 
 def run_summary(records: DataFrame, diagnostic: bool = False, strict_policy: bool = True) -> DataFrame:
     """One row: totals, match rate, outcome (failed, no_eligible, passed) and whether standard acceptance holds."""
-    total = outcome_breakdown(records).filter("class IS NULL AND anchor IS NULL")
+    total = totals(records).select("total", "comparable", *OUTCOMES)
     bad = F.col("mismatched") + F.col("data_error") + F.col("missing_source") > 0
     result = F.when(bad, "failed").when(F.col("comparable") == 0, "no_eligible").otherwise("passed")
     accepted = (F.col("outcome") == "passed") & (F.col("comparable") > 0) & F.lit(strict_policy and not diagnostic)
-    rows = total.drop("class", "anchor").withColumn("match_rate", match_rate(F.col("matched"), F.col("comparable"))).withColumn("outcome", result)
+    rows = total.withColumn("match_rate", match_rate(F.col("matched"), F.col("comparable"))).withColumn("outcome", result)
     return rows.withColumn("accepted", accepted)
 
 
@@ -91,7 +100,7 @@ def retained(records: DataFrame, cap: int) -> DataFrame:
 def conservation(records: DataFrame, audit: DataFrame, details: DataFrame, omitted: Column | int) -> DataFrame:
     """Failing checks (check, left, right): outcomes add up to what was selected, breakdowns to totals, details and omitted to what is to tell."""
     b = outcome_breakdown(records)
-    top, parts = b.filter("class IS NULL AND anchor IS NULL"), b.filter("class IS NOT NULL OR anchor IS NOT NULL")
+    top, parts = totals(records), b.filter("class IS NOT NULL OR anchor IS NOT NULL")
     pair = lambda df, name, left, right: df.select(F.lit(name).alias("check"), left.cast("bigint").alias("left"), right.cast("bigint").alias("right"))
     sums = parts.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("t"), F.coalesce(F.sum("matched"), F.lit(0)).alias("m"))
     told = details.agg(F.count("*").alias("d"))
