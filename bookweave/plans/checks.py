@@ -12,6 +12,7 @@ from bookweave.plans import core
 from bookweave.plans.core import DAY, ORIGIN_MS
 from bookweave.plans.feed import CANONICAL_CTE, ms, order_feed
 from bookweave.schema import BOOK
+from bookweave.shared import written
 
 HALF_HOUR = 1_800_000
 
@@ -30,13 +31,13 @@ def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         "bids": F.when(k % 11 == 0, F.slice("bids", 1, 3)).otherwise(F.col("bids")),
     }
     named = snaps.withColumns(wrong).withColumn("frame_id", F.col("symbol").cast("bigint") * 1000 + k).withColumn("quote_ms", F.col("boundary_ms"))
-    return validation.with_window(named, HALF_HOUR, HALF_HOUR)
+    return written(validation.with_window(named, HALF_HOUR, HALF_HOUR), "frames")
 
 
 def _stated(spark, sf_dir):
     feed = order_feed(spark, sf_dir)
-    led = ledger.ledger(feed)
-    return validation.states(feed, led), led
+    led = written(ledger.ledger(feed), "ledger")
+    return written(validation.states(feed, led), "states"), led
 
 
 def candidate_join(spark, sf_dir):

@@ -15,3 +15,10 @@ def new_path(spark: SparkSession, name: str) -> str:
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df, name: str):
+    """df, written to the shared folder and read back: computed once, whatever reads it, and cheap to recover."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
