@@ -12,8 +12,8 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """node, component (the smallest node reachable) of every node of edges (a, b).
 
     Labels only ever pass through joins and minima that combine before the shuffle, so a node with very
-    many neighbours is no single task's work; each round is written to the shared folder. Raises if labels
-    still move after `rounds` rounds, each of which at least doubles how far a label has come.
+    many neighbours is no single task's work; each round is written to the shared folder. Jumping to the
+    label's own label makes the rounds few; raises if labels still move after `rounds` of them.
     """
     both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), "edges")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")

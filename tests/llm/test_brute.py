@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from bookweave.llm import jaccard, language, packing, secrets, surrogates, transport, warc
 from bookweave.llm.common import table
+from bookweave.llm.components import components
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -48,6 +49,19 @@ def test_links_of_near_copies(spark, monkeypatch, tile):
     assert got == {i: (len(sets[i]), label[i]) for i in range(len(texts))}
 
 
+def test_components(spark):
+    rng = random.Random(8)
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 1001 + i) for i in range(200)] + [(2000 + rng.randrange(80), 2000 + rng.randrange(80)) for _ in range(60)] + [(5000, 5000)]
+    label = {n: n for e in edges for n in e}
+    for _ in range(400):
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    order = list(edges)
+    rng.shuffle(order)
+    got = {r.node: r.component for r in components(spark.createDataFrame(order, "a long, b long")).collect()}
+    assert got == {n: c for n, c in label.items() if any(n in e for e in edges if e[0] != e[1])}
+
+
 def test_linked_sets_share_a_block():
     rng = np.random.default_rng(5)
     for percent in (60, 80, 85, 95):
@@ -61,15 +75,14 @@ def test_linked_sets_share_a_block():
 
 def test_rtree_loses_no_candidate():
     rng = np.random.default_rng(1)
-    points = rng.integers(0, 6, (300, jaccard.COORDINATES)).astype(np.int32)
-    points[150:] = points[:150] + (rng.random((150, jaccard.COORDINATES)) < 0.05)
-    sizes, group = points.sum(axis=1), np.arange(300)
-    tree = jaccard.RTree(points, sizes)
-    for q in range(0, 300, 7):
-        found = {int(r) for rows in tree.candidates(q, 85, group) for r in rows}
+    points = rng.integers(0, 6, (600, 32)).astype(np.int32)
+    points[300:] = points[:300] + (rng.random((300, 32)) < 0.05)
+    sizes, group = points.sum(axis=1), np.arange(600)
+    found = {tuple(sorted(p)) for pairs in jaccard.tree_pairs(points, sizes, 85, group) for p in pairs.tolist()}
+    for q in range(600):
         bound = np.minimum(points, points[q]).sum(axis=1)
-        size = np.minimum(sizes, sizes[q]) * 100 >= 85 * np.maximum(sizes, sizes[q])
-        assert {int(r) for r in np.flatnonzero((185 * bound >= 85 * (sizes + sizes[q])) & size) if r != q} <= found
+        want = (185 * bound >= 85 * (sizes + sizes[q])) & (100 * np.minimum(sizes, sizes[q]) >= 85 * np.maximum(sizes, sizes[q]))
+        assert {(min(q, r), max(q, r)) for r in np.flatnonzero(want).tolist() if r != q} <= found
 
 
 def test_packing_is_tight():
@@ -196,13 +209,58 @@ def test_warc(spark, tmp_path):
     assert warc.read_archive(spark, empty).count() == 0
 
 
+def brute_lines(rows):
+    seen, out = set(), {}
+    for d, t in sorted(rows):
+        lines = t.split("\n")
+        gone = set()
+        for i in range(len(lines) - 2):
+            w = tuple(lines[i : i + 3])
+            gone |= {i, i + 1, i + 2} if w in seen else set()
+            seen.add(w)
+        out[d] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone))
+    return out
+
+
 def test_pipeline(spark):
+    """Each stage on what its predecessor kept, against plain Python."""
     import corpus_pipeline
 
-    docs = table(spark, SMALL, "documents")
-    n = docs.count()
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        before = {r.doc_id for r in docs.select("doc_id").collect()}
-        docs = stage(spark, docs, SMALL).cache()
-        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"] and {r.doc_id for r in docs.select("doc_id").collect()} <= before
-    assert 0 < docs.count() < n
+    first = table(spark, SMALL, "documents")
+    stages, docs = dict(corpus_pipeline.STAGES), first
+    read = lambda df: {r.doc_id: r for r in df.collect()}
+    kept = {"documents": read(first)}
+    for name in list(stages)[:-1]:
+        docs = stages[name](spark, docs, SMALL).cache()
+        assert docs.columns == first.columns
+        kept[name] = read(docs)
+    assert set(kept["language"]) == {d for d, r in kept["documents"].items() if any(c.isalpha() for c in r.text)}
+
+    cut = brute_lines([(d, r.text) for d, r in kept["language"].items()])
+    want = {d: t for d, (t, n) in cut.items() if not n or t.strip(" ")}
+    assert {d: r.text for d, r in kept["line_dedup"].items()} == want
+    assert all(r.n_chars == (len(r.text) if cut[d][1] else kept["documents"][d].n_chars) for d, r in kept["line_dedup"].items())
+
+    ids = sorted(want)
+    sets = {d: shingle_set(want[d], 5) for d in ids}
+    label = {d: d for d in ids}
+    for i, x in enumerate(ids):
+        for y in ids[:i]:
+            both = len(sets[x] & sets[y])
+            if both and 100 * both >= 80 * len(sets[x] | sets[y]) and label[x] != label[y]:
+                a, b = sorted((label[x], label[y]))
+                label = {k: a if v == b else v for k, v in label.items()}
+    assert set(kept["near_duplicates"]) == {d for d in ids if label[d] == d}
+
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    items = [" " + " ".join(words(r.text)) + " " for r in table(spark, SMALL, "benchmark").collect()]
+    leaks = {d for d, r in kept["near_duplicates"].items() if any(i in " " + " ".join(words(r.text)) + " " for i in items)}
+    assert leaks and set(kept["decontaminate"]) == set(kept["near_duplicates"]) - leaks
+
+    pieces = stages["pack"](spark, docs, SMALL).collect()
+    encode = packing._coder(None)
+    size = {}
+    for r in pieces:
+        size[r.doc_id] = size.get(r.doc_id, 0) + r.length
+    assert size == {d: len(encode(r.text)) + 1 for d, r in kept["decontaminate"].items()}
+    assert len({r.sequence_id for r in pieces}) <= -(-sum(size.values()) // 2048) + 1
