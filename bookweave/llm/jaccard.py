@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from bookweave.llm.common import small_batches, stored, table
 from bookweave.llm.components import components
 
-#: Coordinates of a point, and children of a node of the R-tree.
-COORDINATES, FANOUT = 32, 16
-#: Shingles that one task joins at once; a larger cluster is cut into tiles and its tiles are paired.
-TILE = 1_500_000
+#: Coordinates of a point (a power of two), rows of a leaf of the R-tree at most, and central sets that are tried first.
+COORDINATES, FANOUT, HUBS = 128, 64, 4
+#: Shingles that one task joins at once; a larger cluster is cut by size, and what is still larger into tiles that are paired.
+TILE = 400_000
 #: Documents in clusters up to which their places (32 bytes each) are broadcast to the texts; more are joined by a shuffle.
 BROADCAST_MEMBERS = 1_000_000
 #: Sizes whose ratio is below this share a class (and its number of groups).
@@ -125,55 +125,66 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-class RTree:
-    """Packed R-tree over count vectors: each node has the coordinate maxima and the least and largest size of what is below it."""
+class Node:
+    """A node of the R-tree: its rows, their coordinate maxima, least and largest size, and the nodes below it (none for a leaf)."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
-        self.root = self._node(np.arange(len(sizes)))
-
-    def _node(self, rows: np.ndarray) -> tuple:
-        below = None
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, rows: np.ndarray):
+        self.below = []
         if len(rows) > FANOUT:
-            axis = int(np.ptp(self.points[rows], axis=0).argmax())
-            rows = rows[np.argsort(self.points[rows, axis], kind="stable")]
-            below = [self._node(x) for x in np.array_split(rows, FANOUT)]
-        return rows, self.points[rows].max(axis=0), int(self.sizes[rows].min()), int(self.sizes[rows].max()), below
-
-    def candidates(self, q: int, percent: int, group: np.ndarray) -> Iterator[np.ndarray]:
-        """Rows of other groups than q's whose overlap with q can still be large enough, leaf by leaf."""
-        point, size = self.points[q], int(self.sizes[q])
-        todo = [self.root]
-        while todo:
-            rows, top, low, high, below = todo.pop()
-            if 100 * high < percent * size or percent * low > 100 * size:
-                continue
-            if (100 + percent) * int(np.minimum(point, top).sum()) < percent * (size + low):
-                continue
-            rows = rows[group[rows] != group[q]]
-            if not len(rows):
-                continue
-            if below:
-                todo.extend(below)
-                continue
-            bound = np.minimum(self.points[rows], point).sum(axis=1)
-            yield rows[(100 + percent) * bound >= percent * (size + self.sizes[rows])]
+            axis = int(np.ptp(points[rows], axis=0).argmax())
+            # the largest spread is mostly the size's, by which sets that can't link are parted first
+            by = sizes[rows] if np.ptp(sizes[rows]) >= np.ptp(points[rows, axis]) else points[rows, axis]
+            rows = rows[np.argsort(by, kind="stable")]
+            self.below = [Node(points, sizes, x) for x in np.array_split(rows, min(8, -(-len(rows) // FANOUT)))]
+        self.rows, self.top, self.low, self.high = rows, points[rows].max(axis=0), int(sizes[rows].min()), int(sizes[rows].max())
+
+
+def tree_pairs(points: np.ndarray, sizes: np.ndarray, percent: int, group: np.ndarray) -> Iterator[np.ndarray]:
+    """Pairs of rows of different groups whose overlap can be large enough, leaf against leaf; groups may change meanwhile."""
+    root = Node(points, sizes, np.arange(len(sizes)))
+    todo = [(root, root)]
+    while todo:
+        x, y = todo.pop()
+        if 100 * x.high < percent * y.low or 100 * y.high < percent * x.low or (100 + percent) * int(np.minimum(x.top, y.top).sum()) < percent * (x.low + y.low):
+            continue
+        if (group[x.rows] == (g := group[y.rows[0]])).all() and (group[y.rows] == g).all():
+            continue
+        if x.below or y.below:
+            if x is y:
+                todo += [(u, v) for i, u in enumerate(x.below) for v in x.below[i:]]
+            elif x.below and (not y.below or len(x.rows) >= len(y.rows)):
+                todo += [(u, y) for u in x.below]
+            else:
+                todo += [(x, v) for v in y.below]
+            continue
+        bound = np.minimum(points[x.rows][:, None, :], points[y.rows][None, :, :]).sum(axis=2, dtype=np.int64)
+        near = ((100 + percent) * bound >= percent * (sizes[x.rows][:, None] + sizes[y.rows][None, :])) & (group[x.rows][:, None] != group[y.rows][None, :])
+        if x is y:
+            near = np.triu(near, 1)
+        i, j = np.nonzero(near)
+        if len(i):
+            yield np.stack([x.rows[i], y.rows[j]], axis=1)
 
 
 def join_cluster(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect what is connected; a pair already connected by others is not verified again."""
     sizes = np.array([len(s) for s in sets])
     points = np.stack([np.bincount((s & _U(COORDINATES - 1)).astype(np.int64), minlength=COORDINATES) for s in sets]).astype(np.int32)
-    tree, group, links = RTree(points, sizes), np.arange(len(ids)), []
-    order = np.argsort(np.abs(points - points.mean(axis=0)).sum(axis=1), kind="stable")
-    rank = np.empty(len(ids), np.int64)
-    rank[order] = np.arange(len(ids))
-    for q in order.tolist():
-        for rows in tree.candidates(q, percent, group):
-            for r in rows[rank[rows] > rank[q]].tolist():
-                if group[r] != group[q] and linked(sets[q], sets[r], percent):
-                    links.append((ids[q], ids[r]))
-                    group[group == group[r]] = group[q]
+    group, links = np.arange(len(ids)), []
+
+    def verify(a: int, b: int) -> None:
+        if group[a] != group[b] and linked(sets[a], sets[b], percent):
+            links.append((ids[a], ids[b]))
+            group[group == group[b]] = group[a]
+
+    # what many are copies of lies in the middle: the most central sets first, against all
+    for q in np.argsort(np.abs(points - points.mean(axis=0)).sum(axis=1), kind="stable")[:HUBS].tolist():
+        bound = np.minimum(points, points[q]).sum(axis=1)
+        for r in np.flatnonzero((100 + percent) * bound >= percent * (sizes[q] + sizes)).tolist():
+            verify(q, r)
+    for pairs in tree_pairs(points, sizes, percent, group):
+        for a, b in pairs.tolist():
+            verify(a, b)
     return links
 
 
@@ -286,16 +297,20 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
     """Edges (a, b) between linked documents of each cluster. members: doc, cluster, n."""
-    tiles = members.groupBy("cluster").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / TILE)).cast("int").alias("tiles"))
+    # of a large cluster, sets of like size: linked sets are at most one step of 100 / percent apart, so each set is in its own step and the next
+    large = members.groupBy("cluster").agg(F.sum("n").alias("all"))
+    step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent))).cast("int")
+    parts = members.join(large, "cluster").withColumn("size", F.explode(F.when(F.col("all") > TILE, F.array(step, step + 1)).otherwise(F.array(F.lit(0)))))
+    tiles = parts.groupBy("cluster", "size").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / TILE)).cast("int").alias("tiles"))
     mine = F.pmod(F.xxhash64("doc"), F.col("tiles")).cast("int")
     other = F.explode(F.when(F.col("tiles") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: t != mine)))
     place = (
-        members.join(tiles, "cluster").withColumn("u", other)
-        .select("doc", "cluster", F.least(mine, "u").alias("i"), F.greatest(mine, "u").alias("j"))
+        parts.join(tiles, ["cluster", "size"]).withColumn("u", other)
+        .select("doc", "cluster", "size", F.least(mine, "u").alias("i"), F.greatest(mine, "u").alias("j"))
     )
     if members.limit(BROADCAST_MEMBERS + 1).count() <= BROADCAST_MEMBERS:  # then texts that are in no cluster needn't be shuffled
         place = F.broadcast(place)
-    tasks = docs.join(place, F.col("doc_id") == F.col("doc")).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "doc_id")
+    tasks = docs.join(place, F.col("doc_id") == F.col("doc")).repartition("cluster", "size", "i", "j").sortWithinPartitions("cluster", "size", "i", "j", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, {}
@@ -308,15 +323,15 @@ def links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Data
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("cluster", "i", "j", "doc_id", "text")]
-            for c, i, j, doc, text in zip(*cols, strict=True):
-                if (c, i, j) != now:
+            cols = [batch.column(c).to_pylist() for c in ("cluster", "size", "i", "j", "doc_id", "text")]
+            for *part, doc, text in zip(*cols, strict=True):
+                if part != now:
                     yield from joined()
-                    now, held = (c, i, j), {}
+                    now, held = part, {}
                 held[doc] = shingles(text, width)
         yield from joined()
 
-    return tasks.select("cluster", "i", "j", "doc_id", "text").mapInArrow(run, "a bigint, b bigint")
+    return tasks.select("cluster", "size", "i", "j", "doc_id", "text").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -335,8 +350,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     found = stored(dealt.mapInArrow(_blocks, "a bigint, b bigint, h1 bigint, h2 bigint"), "blocks")
     info = found.filter("h2 IS NOT NULL").select("h1", "h2", F.col("b").alias("n"), F.col("a").alias("doc"))
     full = info.filter("n > 0 AND doc IS NOT NULL")
-    reps = full.groupBy("h1", "h2", "n").agg(F.min("doc").alias("rep"))
-    classes = stored(full.join(reps, ["h1", "h2", "n"]).select("doc", "n", "rep"), "classes")
+    copies = full.groupBy("h1", "h2", "n").agg(F.min("doc").alias("rep"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
+    # written, so that the join stands on two plain exchanges and Spark can split the partition of a very large class
+    named = full.join(stored(copies, "copies"), ["h1", "h2", "n"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep"))
+    classes = stored(named, "classes")
     others = classes.filter("doc <> rep").groupBy("doc").agg(F.min("rep").alias("rep"))
 
     edges = found.filter("h2 IS NULL").select("a", "b").distinct()
