@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bookweave.llm.common import small_batches, table, text_of
+from bookweave.llm.common import small_batches, stored, table, text_of
 
 LINES = 3
 
@@ -32,7 +32,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
         .filter("n > 1").select("h1", "h2", "first")
     )
-    return windows.join(first, ["h1", "h2"]).filter(~F.struct("doc_id", "at").eqNullSafe(F.col("first"))).select("doc_id", "at")
+    # written, so that the join stands on two plain exchanges and Spark can split the partition of a very common window
+    return windows.join(stored(first, "windows"), ["h1", "h2"]).filter(~F.struct("doc_id", "at").eqNullSafe(F.col("first"))).select("doc_id", "at")
 
 
 @F.pandas_udf(T.StringType())
