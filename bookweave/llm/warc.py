@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, StringStartsWith, WriterCommitMessage
 
-from bookweave.llm.common import new_path, small_batches, table, text_of
+from bookweave.llm.common import new_path, small_batches, stored, table, text_of
 
 SCHEMA = "record_id string, type string, target_uri string, date string, payload_digest string, refers_to string, http_length bigint, payload binary"
 #: Columns that are record headers.
@@ -255,7 +255,8 @@ def page_records(pages: DataFrame, least: int = 1000) -> DataFrame:
     rows = rows.withColumn("http_length", F.octet_length("payload").cast("bigint")).withColumn("digest", F.sha1("payload"))
     groups = rows.filter(F.col("http_length") >= least).groupBy(F.col("digest").alias("d"))
     kept = groups.agg(F.max("page_id").alias("kept"), F.count("*").alias("n")).filter("n > 1").select("d", "kept")
-    joined = rows.join(kept, (F.col("digest") == F.col("d")) & (F.col("http_length") >= least), "left")
+    # written, so that the join stands on two plain exchanges and Spark can split the partition of a very common payload
+    joined = rows.join(stored(kept, "payloads"), (F.col("digest") == F.col("d")) & (F.col("http_length") >= least), "left")
     again = F.coalesce(F.col("page_id") < F.col("kept"), F.lit(False))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     return joined.select(
