@@ -1,19 +1,21 @@
 """Best-fit packing of tokenised documents into fixed-length sequences by bin completion.
 
 Only how many pieces there are of each length matters for packing, and lengths are at most the capacity,
-so the search works on that bounded histogram: around the largest piece left, branch and bound enumerates
-undominated fillings of the rest of the sequence, pruned by the waste they must leave, with the best-fit
-filling as incumbent; the chosen filling is repeated while its pieces last. Best-fit decreasing over the
-whole histogram is the incumbent for the plan. Spark then ranks the pieces of each length and deals them
-out to the plan's sequences.
+so the search works on that bounded histogram. Best-fit decreasing over it is the first incumbent. Around
+the largest piece left, branch and bound takes the undominated fillings of the rest of the sequence, fullest
+first, and repeats the one it takes while its pieces last; it goes back where the sequences so far and the
+fewest that the pieces left must have don't come below the incumbent, and ends at the bound of all pieces.
+Spark then ranks the pieces of each length and deals them out to the plan's sequences.
 """
 
 from __future__ import annotations
 
 import base64
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
+from collections import deque
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -25,8 +27,8 @@ from bookweave.llm.common import small_batches, stored, table
 
 CAPACITY = 2048
 END = 0
-#: Nodes of the search around one largest piece after which its best filling so far is taken.
-NODES = 2000
+#: Steps of the search, after its first way down, after which the best plan so far is taken; and how many steps it can go back.
+NODES, DEEP = 2000, 64
 #: Parts into which pieces of one length are dealt for ranking.
 PARTS = 256
 
@@ -71,61 +73,152 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, folder: str | None = None)
     return out.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
-def complete(space: int, left: list[int], sizes: list[int], nodes: int = NODES) -> list[int]:
-    """The fullest set of pieces for `space`; sizes are those left, ascending, left[size] how many. Best fit first, then deeper."""
-    best: list[int] = []
-    waste = space
-    chosen: list[int] = []
-    used: dict[int, int] = {}
-    budget = nodes
-
-    def grow(room: int, most: int) -> None:
-        nonlocal best, waste, budget
-        if room < waste:
-            best, waste = list(chosen), room
-        top = bisect_right(sizes, min(room, most)) - 1
-        while top >= 0 and waste and budget > 0:
-            s = sizes[top]
-            top -= 1
-            # what can still be added is pieces no larger than s; a filling whose room a larger unused piece would fit is dominated
-            if used.get(s, 0) >= left[s]:
+def least(histogram: dict[int, int], capacity: int = CAPACITY) -> int:
+    """Sequences that no packing can do without: for each k, pieces above half stand apart, those above capacity - k
+    also from pieces of k or more, and what the rest of these pieces can't fill up of the others' room needs new ones."""
+    n = np.zeros(capacity + 1, np.int64)
+    n[list(histogram)] = list(histogram.values())
+    many, much = np.append(0, np.cumsum(n)), np.append(0, np.cumsum(n * np.arange(capacity + 1)))  # of pieces below a length
+    half, k = capacity // 2, np.arange(1, capacity // 2 + 1)
+    wide = many[capacity + 1 - k] - many[half + 1]
+    over = much[half + 1] - much[k] - (wide * capacity - (much[capacity + 1 - k] - much[half + 1]))
+    whole = -(-much[-1] // capacity)
+    return int(max(whole, (many[-1] - many[half + 1] + np.maximum(0, -(-over // capacity))).max(initial=0)))
+
+
+def best_fit_decreasing(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
+    """Every piece, largest first, to the sequence with the least room that takes it; sequences filled alike are moved together."""
+    groups: dict[int, list[tuple[tuple, int]]] = {}  # room -> (filling, how many sequences)
+    rooms: list[int] = []
+    for s in sorted(histogram, reverse=True):
+        n = histogram[s]
+        while n:
+            i = bisect_left(rooms, s)
+            if i == len(rooms):
+                room, filling, k = capacity, (), n
+            else:
+                room = rooms[i]
+                filling, k = groups[room].pop()
+                if not groups[room]:
+                    del groups[room], rooms[i]
+            # one that has taken a piece has the least room of all until it takes no more
+            each = room // s
+            full = min(k, n // each)
+            after = [(each, full), (n - full * each, 1)] if full < k and n - full * each < each else [(each, full)]
+            for c, m in after:
+                if c and m:
+                    n -= c * m
+                    k -= m
+                    if room - c * s not in groups:
+                        insort(rooms, room - c * s)
+                    groups.setdefault(room - c * s, []).append(((*filling, (s, c)), m))
+            if k and filling:
+                if room not in groups:
+                    insort(rooms, room)
+                groups.setdefault(room, []).append((filling, k))
+    return [([s for s, c in filling for _ in range(c)], m) for g in groups.values() for filling, m in g]
+
+
+def _dominated(filling: tuple, room: int, sizes: list[int], most: list[int]) -> bool:
+    """Whether a piece left over would fit as well, or could stand for smaller ones of the filling in their place and its room."""
+    used, sums = dict(filling), 1
+    for s, n in zip(sizes, most, strict=True):
+        c = used.get(s, 0)
+        low = max(0, s - room)
+        if n > c and (sums >> low) & ((1 << (s - low + 1)) - 1):
+            return True
+        for _ in range(c):
+            sums |= sums << s
+    return False
+
+
+def fillings(space: int, left: list[int], sizes: list[int]) -> Iterator[tuple | None]:
+    """Sets of pieces for `space` as (length, count), largest first; the fullest sets come first, and of these those of larger pieces.
+
+    sizes are those left, ascending, left[size] how many. None stands for each that is dominated; the first never
+    is, as what could stand for some of its pieces would make it fuller or its pieces larger.
+    """
+    sizes = sizes[: bisect_right(sizes, space)]
+    most = [min(left[s], space // s) for s in sizes]
+    spare = [left[s] for s in sizes]
+    mask, reach = (1 << (space + 1)) - 1, [1]  # reach[i]: bit t is set if the first i sizes can fill t
+    for s, n in zip(sizes, most, strict=True):
+        r, k = reach[-1], 1
+        while n and r != mask:
+            k = min(k, n)
+            r |= r << s * k & mask
+            n, k = n - k, 2 * k
+        reach.append(r)
+    first, sums = True, reach[-1]
+    while sums:
+        target = sums.bit_length() - 1
+        sums ^= 1 << target
+        stack: list[tuple[int, int, tuple]] = [(len(sizes), target, ())]
+        while stack:
+            i, rest, chosen = stack.pop()
+            if not rest:
+                yield chosen if first or not _dominated(chosen, space - target, sizes, spare) else None
+                first = False
                 continue
-            budget -= 1
-            chosen.append(s)
-            used[s] = used.get(s, 0) + 1
-            grow(room - s, s)
-            used[s] -= 1
-            chosen.pop()
-
-    grow(space, space)
-    return best
+            i = bisect_right(sizes, rest, 0, i) - 1
+            s = sizes[i]
+            for c in range(min(most[i], rest // s) + 1):
+                if reach[i] >> (rest - c * s) & 1:
+                    stack.append((i, rest - c * s, (*chosen, (s, c)) if c else chosen))
+
 
+def complete(space: int, left: list[int], sizes: list[int]) -> list[int]:
+    """The fullest set of pieces for `space`, of several that one with the largest pieces."""
+    return [s for s, c in next(fillings(space, left, sizes)) for _ in range(c)]
 
-def _fill(histogram: dict[int, int], capacity: int, nodes: int) -> list[tuple[list[int], int]]:
-    """(lengths in one sequence, how many such sequences), largest piece first."""
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[list[int], int]]:
+    """(lengths in one sequence, how many such sequences), by bin completion, or best-fit decreasing where that needs no more."""
+    best = best_fit_decreasing(histogram, capacity)
+    fewest, bound = sum(n for _, n in best), least(histogram, capacity)
     left = [0] * (capacity + 1)
     for s, n in histogram.items():
         left[s] = n
-    sizes = sorted(histogram)
-    plan = []
-    while sizes:
-        largest = sizes[-1]
-        left[largest] -= 1
-        filling = [largest, *complete(capacity - largest, left, sizes, nodes)]
-        left[largest] += 1
-        need = {s: filling.count(s) for s in filling}
-        times = min(left[s] // n for s, n in need.items())
-        for s, n in need.items():
-            left[s] -= n * times
-        sizes = [s for s in sizes if left[s]]
-        plan.append((filling, times))
-    return plan
-
-
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Bin completion, or plain best fit (one descent each) where that needs fewer sequences."""
-    plans = [_fill(histogram, capacity, n) for n in (NODES, 64)]
-    return min(plans, key=lambda p: sum(n for _, n in p))
+    steps: list[tuple[dict[int, int], int]] = []
+    used, down, first = 0, True, True
+    frames: deque[tuple[int, int, Iterator]] = deque(maxlen=DEEP)  # a step, the largest piece left to it, and its fillings
+    while fewest > bound:
+        if down:
+            sizes = [s for s in range(1, capacity + 1) if left[s]]
+            if not sizes:  # all placed, and in fewer sequences than before
+                best, fewest, down = [([s for s, c in f.items() for _ in range(c)], n) for f, n in steps], used, False
+                continue
+            rest = left.copy()
+            rest[sizes[-1]] -= 1
+            frames.append((len(steps), sizes[-1], fillings(capacity - sizes[-1], rest, [s for s in sizes if rest[s]])))
+        elif not frames:
+            break
+        first &= down
+        nodes -= not first
+        if nodes < 0:
+            break
+        step, largest, options = frames[-1]
+        while len(steps) > step:
+            filling, times = steps.pop()
+            used -= times
+            for s, c in filling.items():
+                left[s] += c * times
+        chosen = next(options, False)
+        if not chosen and chosen != ():
+            down = False
+            if chosen is False:
+                frames.pop()
+            continue
+        filling = {largest: 1}
+        for s, c in chosen:
+            filling[s] = filling.get(s, 0) + c
+        times = min(left[s] // c for s, c in filling.items())
+        for s, c in filling.items():
+            left[s] -= c * times
+        steps.append((filling, times))
+        used += times
+        down = used + least({s: n for s, n in enumerate(left) if n}, capacity) < fewest
+    return best
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -135,15 +228,16 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     length, the sequences its pieces go to as ranges of ranks.
     """
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    starts: dict[int, list[tuple[int, int, int, int]]] = {}  # length -> (first rank, sequences, first sequence, offset)
+    starts: dict[int, list[tuple[int, int, int, int]]] = {}  # length -> (first rank, pieces in a sequence, first sequence, offset)
     given: dict[int, int] = {}
     base = 0
     for filling, times in plan(histogram, capacity):
         at = 0
-        for s in filling:
-            starts.setdefault(s, []).append((given.get(s, 0), times, base, at))
-            given[s] = given.get(s, 0) + times
-            at += s
+        for s, same in groupby(filling):
+            each = len(list(same))
+            starts.setdefault(s, []).append((given.get(s, 0), each, base, at))
+            given[s] = given.get(s, 0) + each * times
+            at += each * s
         base += times
     ranges = {s: np.array(x, np.int64) for s, x in starts.items()}
 
@@ -163,8 +257,9 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             here = lengths == s
             r = ranges[int(s)]
             row = r[np.searchsorted(r[:, 0], ranks[here], side="right") - 1]
-            out[here, 0] = row[:, 2] + ranks[here] - row[:, 0]
-            out[here, 1] = row[:, 3]
+            nth, seat_of = np.divmod(ranks[here] - row[:, 0], row[:, 1])
+            out[here, 0] = row[:, 2] + nth
+            out[here, 1] = row[:, 3] + seat_of * s
         return pd.DataFrame(out, columns=["sequence_id", "offset"])
 
     placed = ranked.withColumn("at", seat("length", "rank"))

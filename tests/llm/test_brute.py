@@ -103,6 +103,73 @@ def test_packing_is_tight():
     assert packing.complete(100, [0] * 101, []) == []
 
 
+def placed(plan, capacity):
+    used = {}
+    for filling, times in plan:
+        assert times > 0 and sum(filling) <= capacity
+        for s in filling:
+            used[s] = used.get(s, 0) + times
+    return used
+
+
+def test_packing_of_very_many_ones():
+    """A sequence of a thousand pieces and more, as empty texts make."""
+    for h in ({1: 5000}, {1: 1500, 1031: 3000}, {1: 2047, 2: 3000, 2048: 7}, {}):
+        plan = packing.plan(h)
+        assert placed(plan, 2048) == h and sum(n for _, n in plan) == packing.least(h)
+    left = [0, 5000] + [0] * 2047
+    assert packing.complete(2047, left, [1]) == [1] * 2047
+
+
+def test_packing_against_brute_force():
+    """Best-fit decreasing piece by piece; bounds and plans of small cases against all packings; fillings against all undominated sets."""
+    rng = random.Random(5)
+    better = 0
+    for k in range(300):
+        capacity = rng.randrange(5, 30)
+        capacity, pieces = (10, [5, 4, 4, 3, 2, 2]) if k == 0 else (capacity, sorted((rng.randrange(1, capacity // rng.choice([1, 2]) + 1) for _ in range(rng.randrange(1, 10))), reverse=True))
+        h = {s: pieces.count(s) for s in pieces}
+        rooms = []
+        for s in pieces:
+            i = min((i for i, r in enumerate(rooms) if r >= s), key=lambda i: rooms[i], default=None)
+            if i is None:
+                rooms.append(capacity - s)
+            else:
+                rooms[i] -= s
+        fit = packing.best_fit_decreasing(h, capacity)
+        assert placed(fit, capacity) == h
+        assert sorted(capacity - sum(f) for f, n in fit for _ in range(n)) == sorted(rooms)
+        fewest = len(pieces)
+
+        def seat(i, rooms):
+            nonlocal fewest
+            if len(rooms) >= fewest:
+                return
+            if i == len(pieces):
+                fewest = len(rooms)
+                return
+            for r in set(rooms):
+                if r >= pieces[i]:
+                    seat(i + 1, [*(x for j, x in enumerate(rooms) if j != rooms.index(r)), r - pieces[i]])
+            seat(i + 1, [*rooms, capacity - pieces[i]])
+
+        seat(0, [])
+        plan = packing.plan(h, capacity)
+        assert placed(plan, capacity) == h
+        assert packing.least(h, capacity) <= fewest <= sum(n for _, n in plan) <= len(rooms)
+        assert sum(n for _, n in plan) == fewest
+        better += fewest < len(rooms)
+        left = [0] * (capacity + 1)
+        for s, n in h.items():
+            left[s] = n
+        got = [f for f in packing.fillings(capacity, left, sorted(h)) if f is not None]
+        sums = {0}
+        for s in pieces:
+            sums |= {x + s for x in sums if x + s <= capacity}
+        assert sum(s * c for s, c in got[0]) == max(sums) and len(set(got)) == len(got)
+    assert better
+
+
 def test_ids_are_the_tokenizers(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
