@@ -190,13 +190,15 @@ def predict(docs: DataFrame) -> DataFrame:
 
 #: Bits a letter with which letters drawn at random would be told; no language needs so many.
 RANDOM_BITS = 4.7
+#: Letters from which a text's bits are told from those of random letters; below, a piece or two too many decide.
+TELLING_LETTERS = 64
 
 
 def in_a_language(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns kept, but those without a letter and those that parse no better than random letters."""
+    """The rows of docs, all columns kept, but those without a letter and longer ones that parse no better than random letters."""
     small_batches(docs.sparkSession)
     x = identified(learn(docs))("text")
-    return docs.filter((x["lang_pred"] != "und") & (x["bits"] < RANDOM_BITS))
+    return docs.filter((x["lang_pred"] != "und") & ((x["bits"] < RANDOM_BITS) | (x["letters"] < TELLING_LETTERS)))
 
 
 def held_out():

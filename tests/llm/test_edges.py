@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
 import hashlib
+import random
 import zlib
 
 import pytest
@@ -92,6 +93,17 @@ def test_language(docs, nothing):
     assert {r.doc_id for r in language.in_a_language(docs).collect()} >= {4, 5, 6}
 
 
+def test_short_texts_are_in_a_language(spark):
+    """Too short to be told from random letters; long random ones go."""
+    learnt = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    short = ["Re.", "A.", "De.", "Erö.", "Edrere.", "A.\nAll rights reserved."]
+    rng = random.Random(4)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300)), "123"]
+    more = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(short + noise)], learnt.schema)
+    kept = {r.doc_id - 10**9 for r in language.in_a_language(learnt.union(more)).filter(f"doc_id >= {10**9}").collect()}
+    assert kept == set(range(len(short)))
+
+
 def test_packing(docs, nothing):
     rows = packing.pack_documents(docs).collect()
     seats = {}
