@@ -20,7 +20,7 @@ from bookweave.llm.common import small_batches, table
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 24, 2000
 #: Texts are parsed in blocks of so many characters; a piece ends with its block.
 BLOCK = 512
-#: Different letters that the model tells apart; rarer ones count as one.
+#: The most frequent letters, whose transitions stand in a table; those of all others are looked up by key.
 LETTERS = 62
 
 _LETTER: list[np.ndarray] = []
@@ -43,8 +43,8 @@ def _folded(text: str) -> np.ndarray:
     return codes[(codes != 0) | np.append(codes[1:] != 0, False)]
 
 
-def suffix_automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
-    """Transitions [state, symbol] -> state, 0 (the root) where no substring goes on."""
+def _transitions(symbols: np.ndarray) -> list[dict[int, int]]:
+    """The suffix automaton: for each state, symbol -> state where a substring goes on."""
     to: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols.tolist():
@@ -70,6 +70,12 @@ def suffix_automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
+    return to
+
+
+def suffix_automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
+    """Transitions [state, symbol] -> state, 0 (the root) where no substring goes on."""
+    to = _transitions(symbols)
     out = np.zeros((len(to), alphabet), np.int32)
     for s, edges in enumerate(to):
         for c, t in edges.items():
@@ -86,15 +92,28 @@ class Model:
         self.names = sorted(sample)
         texts = [_folded(sample[k]) for k in self.names]
         seen, counts = np.unique(np.concatenate(texts), return_counts=True)
-        known = [int(x) for x in seen[np.lexsort((seen, -counts))] if x][:LETTERS]
+        known = [int(x) for x in seen[np.lexsort((seen, -counts))] if x]
+        # 0 is no letter, LETTERS + 1 one that no sample has, above it are those that the tables leave out
         self.alphabet = LETTERS + 2
-        self.code = np.full(0x110000, LETTERS + 1, np.uint8)
+        self.code = np.full(0x110000, LETTERS + 1, np.int32)
         self.code[0] = 0
-        self.code[known] = np.arange(1, len(known) + 1)
-        self.tables, self.bits = [], []
+        codes = np.arange(1, len(known) + 1)
+        self.code[known] = codes + (codes > LETTERS)
+        self.width = len(known) + 2
+        self.tables, self.rare, self.bits = [], [], []
         for t in texts:
-            a = suffix_automaton(self.code[t], self.alphabet)
-            self.tables.append((a * self.alphabet).astype(np.int32).ravel())
+            to = _transitions(self.code[t])
+            table, rare = np.zeros((len(to), self.alphabet), np.int32), {}
+            for s, edges in enumerate(to):
+                for c, x in edges.items():
+                    if c < self.alphabet:
+                        table[s, c] = x * self.alphabet
+                    else:
+                        rare[s * self.width + c] = x * self.alphabet
+            keys = np.array(sorted(rare), np.int64)
+            self.tables.append(table.ravel())
+            # a last key that nothing equals, so that what is searched for always has a place
+            self.rare.append((np.append(keys, -1), np.array([*(rare[k] for k in keys.tolist()), 0], np.int32)))
             self.bits.append(np.log2(max(2, len(t))))
 
     @classmethod
@@ -111,7 +130,7 @@ class Model:
         letters = np.array([np.count_nonzero(x) for x in folded])
         blocks = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(texts)), blocks)
-        grid = np.zeros((len(owner), BLOCK), np.uint8)
+        grid = np.zeros((len(owner), BLOCK), np.int32)
         ends = np.full(len(owner), BLOCK)
         flat, row = grid.ravel(), 0
         for x, n, b in zip(folded, sizes, blocks, strict=True):
@@ -121,15 +140,22 @@ class Model:
                 ends[row - 1] = n - (b - 1) * BLOCK
         order = np.argsort(-ends, kind="stable")
         columns, ends, owner = np.ascontiguousarray(grid[order].T), ends[order], owner[order]
+        wide = [(at := np.flatnonzero(c >= self.alphabet), c[at]) if most >= self.alphabet else None for c, most in zip(columns, columns.max(axis=1, initial=0), strict=True)]
+        columns = np.minimum(columns, LETTERS + 1).astype(np.uint8)
         live = np.searchsorted(-ends, -np.arange(BLOCK), side="left")  # blocks of more characters than so many
         pieces = np.zeros((len(texts), len(self.tables)))
-        for k, to in enumerate(self.tables):
+        for k, (to, (keys, targets)) in enumerate(zip(self.tables, self.rare, strict=True)):
             state, count = np.zeros(len(owner), np.int32), np.zeros(len(owner), np.int32)
             for i in range(BLOCK):
                 n = live[i]
                 if not n:
                     break
                 s = to[state[:n] + columns[i, :n]]
+                if wide[i] is not None:
+                    at, c = wide[i]
+                    key = state[at] // self.alphabet * np.int64(self.width) + c
+                    place = np.searchsorted(keys[:-1], key)
+                    s[at] = np.where(keys[place] == key, targets[place], 0)
                 state[:n] = s
                 count[:n] += s == 0
             count += state != 0
@@ -138,15 +164,15 @@ class Model:
 
 
 def sample(labelled: DataFrame, documents: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS) -> dict[str, str]:
-    """For each label, the beginnings of `documents` of its texts, chosen by the texts' hashes. Bounded by its two parameters."""
-    h = F.xxhash64("text")
-    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    few = rows.select("lang", h.alias("h"), F.substring("text", 1, characters).alias("text"))
+    """For each label, the beginnings of `documents` of its different texts, chosen by the texts' hashes. Bounded by its two parameters."""
+    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", F.xxhash64("text").alias("h"), "text")
+    few = rows.select("lang", "h").distinct()
     # best of each of 64 parts first, so that no task holds a whole language
     for keys in (["lang", F.pmod("h", F.lit(64))], ["lang"]):
-        few = few.withColumn("nth", F.row_number().over(W.partitionBy(*keys).orderBy("h", "text"))).filter(F.col("nth") <= documents).drop("nth")
+        few = few.withColumn("nth", F.row_number().over(W.partitionBy(*keys).orderBy("h"))).filter(F.col("nth") <= documents).drop("nth")
+    begun = rows.select("lang", "h", F.substring("text", 1, characters).alias("text"))
     got: dict[str, list] = {}
-    for r in few.collect():
+    for r in begun.join(F.broadcast(few), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).collect():
         got.setdefault(r["lang"], []).append((r["h"], r["text"]))
     return {k: "\n".join(t for _, t in sorted(v)) for k, v in got.items()}
 

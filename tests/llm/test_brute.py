@@ -187,6 +187,37 @@ def test_held_out_accuracy(spark):
     assert len(rows) > 150 and sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.95
 
 
+def test_scripts_of_many_letters_are_told_apart():
+    """Every letter of the samples counts: parses equal plain search, and scripts beyond the frequent letters are told."""
+    rng = random.Random(6)
+    scripts = {"en": (0x61, 26), "ru": (0x430, 32), "el": (0x3B1, 17), "ar": (0x628, 19), "zh": (0x4E00, 900), "ja": (0x3041, 80), "ko": (0xAC00, 900)}
+    words = {k: ["".join(chr(first + rng.randrange(n)) for _ in range(rng.randrange(1, 5))) for _ in range(150)] for k, (first, n) in scripts.items()}
+    say = lambda k, n: " ".join(rng.choice(words[k]) for _ in range(n))
+    learnt = {k: say(k, 2000 if k == "en" else 300) for k in scripts}
+    model = language.Model(learnt)
+    texts = [say(k, 12) for k in scripts] + ["abc \u4e00\u05d0\uac00 x", say("zh", 400), ""]
+    rates, _ = model.rates(texts)
+    assert [model.names[i] for i in rates[: len(scripts)].argmin(axis=1)] == list(scripts)
+    for text, row in zip(texts, rates, strict=True):
+        folded = "".join(map(chr, language._folded(text)))
+        for name, bits, rate in zip(model.names, model.bits, row, strict=True):
+            known = "".join(map(chr, language._folded(learnt[name])))
+            pieces = 0
+            for b in range(0, len(folded), language.BLOCK):
+                piece = ""
+                for c in folded[b : b + language.BLOCK]:
+                    piece += c
+                    if piece not in known:
+                        pieces, piece = pieces + 1, ""
+                pieces += piece != ""
+            assert rate == pytest.approx(pieces * bits / max(1, len(folded)))
+
+
+def test_copies_fill_no_sample(spark):
+    rows = [(i, f"text number {'abcdefgh'[i % 8]}", "en") for i in range(8)] * 40
+    assert sorted(language.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))["en"].split("\n")) == sorted({t for _, t, _ in rows})
+
+
 def test_automaton_knows_every_substring():
     x = np.array([ord(c) - 96 for c in "abracadabra"], np.uint8)
     to = language.suffix_automaton(x, 30)
