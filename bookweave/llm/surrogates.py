@@ -29,6 +29,8 @@ GIVEN = {
 }
 #: Syllables of made-up surnames.
 SYLLABLES = {"latin": ["ba", "den", "cor", "fal", "gre", "hol", "lin", "mar", "nor", "pel", "rus", "sten", "tov", "vic", "wal", "zan"], "cyrillic": ["ба", "вел", "гор", "дан", "зай", "ков", "лин", "мар", "нов", "пол", "рус", "сте", "тов", "фед", "чер", "шин"]}
+#: Draws after which made-up names have one syllable more.
+GROWS = 3
 
 _title = {g: "|".join(TITLES[g]) for g in "mf"}
 _first = "|".join(n for s in GIVEN.values() for g in "mf" for n in s[g])
@@ -94,8 +96,9 @@ def _surrogate(key: str, kind: Column, value: Column, turn: int) -> Column:
     d = _digest(key, kind, value, turn)
     script = lambda table: F.when(value.rlike(r"^\p{IsCyrillic}"), F.array(*map(F.lit, table["cyrillic"]))).otherwise(F.array(*map(F.lit, table["latin"])))
     pick = lambda list_, i: F.get(list_, (_byte(d, i) * 256 + _byte(d, i + 1)) % F.size(list_))
-    made = F.initcap(F.concat(*(pick(script(SYLLABLES), i) for i in (0, 2, 4, 6))))
-    given = lambda g: F.when(F.lit(turn == 0), pick(script({s: t[g] for s, t in GIVEN.items()}), 0)).otherwise(F.concat(pick(script({s: t[g] for s, t in GIVEN.items()}), 0), F.lit("-"), F.initcap(F.concat(pick(script(SYLLABLES), 2), pick(script(SYLLABLES), 4), pick(script(SYLLABLES), 6)))))
+    more = 2 * (turn // GROWS)  # so that names never run out
+    made = F.initcap(F.concat(*(pick(script(SYLLABLES), i) for i in range(0, 8 + more, 2))))
+    given = lambda g: F.when(F.lit(turn == 0), pick(script({s: t[g] for s, t in GIVEN.items()}), 0)).otherwise(F.concat(pick(script({s: t[g] for s, t in GIVEN.items()}), 0), F.lit("-"), F.initcap(F.concat(*(pick(script(SYLLABLES), i) for i in range(2, 8 + more, 2))))))
     ip = F.concat_ws(".", *((_byte(d, i) % 254 + 1).cast("string") for i in range(4)))
     label = F.regexp_extract(value, r"\.[a-z]+$", 0)
     email = F.concat(_shaped(F.substr(value, F.lit(1), F.length(value) - F.length(label)), d), label)

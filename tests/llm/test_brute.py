@@ -279,6 +279,15 @@ def test_surrogates_are_distinct_and_coherent(spark):
     assert out == {r.doc_id: r.text for r in surrogates.replace_pii(docs, "k").collect()} and out[1] != surrogates.replace_pii(docs, "other").filter("doc_id = 1").first().text
 
 
+def test_names_do_not_run_out(spark):
+    """More surnames and given names than the shortest made-up ones can stand for."""
+    n = len(surrogates.SYLLABLES["latin"]) ** 4 + 4000
+    names = spark.range(n).selectExpr("explode(array('surname', 'given_f')) AS kind", "concat('N', translate(cast(id AS string), '0123456789', 'abcdefghij')) AS value")
+    got = surrogates.surrogate_map(names, "k")
+    assert got.count() == got.select("kind", "value").distinct().count() == got.select("kind", "surrogate").distinct().count() == 2 * n
+    assert got.join(names.select("kind", F.col("value").alias("surrogate")), ["kind", "surrogate"]).count() == 0
+
+
 def test_warc(spark, tmp_path):
     big = "<p>" + "x" * 2000
     pages = spark.createDataFrame([(1, "http://a/\r\n", big, 1), (2, "http://b", big, 1), (3, None, None, 1), (4, "http://c", "short", 1), (5, "http://d", "short", 1), (None, "http://e", big, 1)], "page_id long, url string, html string, digest int")
