@@ -1,34 +1,33 @@
 """N-gram Jaccard join over count vectors.
 
-A document is its set of word shingles. Shingles are hashed into groups; two sets that overlap enough
-differ in at most D shingles, so of more than D groups one at least is the same in both, and documents
-that share a whole group form a block. Blocks that touch make a cluster. Within a cluster every document
-is a point, the counts of its shingles in each of a fixed number of groups; an R-tree over the points
-bounds the overlap of a document with all below a node by the sum of coordinate minima, and the pairs that
-survive are verified on the sets themselves. Links give components.
+A document is its set of word shingles. Shingles are hashed into groups and the groups' counts over the
+whole corpus put all shingles into one order, the rarest first. Two sets that overlap enough share one of
+the first few shingles of each, so documents meet in a block for each of these. In a block every set is
+first compared with the one that stands most in its middle. Where that leaves a block in several parts,
+its sets are points, the counts of their shingles in each of a fixed number of groups: an R-tree over the
+points bounds the overlap of sets below its nodes by the sum of coordinate minima, and pairs of different
+parts that survive are verified on the sets themselves. Only verified links make components.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookweave.llm.common import small_batches, stored, table
 from bookweave.llm.components import components
 
-#: Coordinates of a point (a power of two), rows of a leaf of the R-tree at most, and central sets that are tried first.
-COORDINATES, FANOUT, HUBS = 128, 64, 4
-#: Shingles that one task joins at once; a larger cluster is cut by size, and what is still larger into tiles that are paired.
-TILE = 400_000
-#: Documents in clusters up to which their places (32 bytes each) are broadcast to the texts; more are joined by a shuffle.
-BROADCAST_MEMBERS = 1_000_000
-#: Sizes whose ratio is below this share a class (and its number of groups).
-STEP = 1.5
+#: Coordinates of a point (a power of two), and rows of a leaf of the R-tree at most.
+COORDINATES, FANOUT = 64, 64
+#: Bytes of text for each group of the corpus-wide counts, and the least and most groups (as powers of two): a table of 64 MB at most.
+GROUP_BYTES, LEAST_GROUPS, MOST_GROUPS = 128, 16, 24
+#: Members of a block (by the counts) beyond which it is dealt out in parts; points that one task joins at once; sets that one task compares with a hub.
+HOT, TILE, CHUNK = 50_000, 20_000, 512
 
 _U = np.uint64
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
@@ -71,53 +70,24 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(_mix(h))
 
 
-def set_hash(s: np.ndarray) -> tuple[int, int]:
-    """128 bits of a set, as two signed numbers."""
-    a, b = np.sum(_mix(s ^ _U(0x5851F42D4C957F2D)), dtype=_U), np.sum(_mix(s + _U(0x14057B7EF767814F)), dtype=_U)
-    return int(a.view(np.int64)), int(b.view(np.int64))
+def set_hash(s: np.ndarray) -> bytes:
+    """128 bits of a set."""
+    return np.array([np.sum(_mix(s ^ _U(0x5851F42D4C957F2D)), dtype=_U), np.sum(_mix(s + _U(0x14057B7EF767814F)), dtype=_U)]).tobytes()
 
 
-def size_class(n: int) -> int:
-    return int(np.floor(np.log(n) / np.log(STEP) + 1e-9))
+def prefix_length(n: int, percent: int) -> int:
+    """Shingles of a set of n, in one order for all sets, of which a linked other set has one at least; 0 if only an equal set can link."""
+    return 0 if 100 * n < percent * (n + 1) else n - -(-percent * n // 100) + 1
 
 
-def largest_of(cls: int) -> int:
-    n = int(STEP ** (cls + 1)) + 2
-    while size_class(n) > cls:
-        n -= 1
-    return n
+def step_of(n: np.ndarray, percent: int) -> np.ndarray:
+    """Steps of size: linked sets are in one step or in neighbouring ones."""
+    return np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64)
 
 
-def differ(cls: int, percent: int) -> int:
-    """Shingles in which two linked sets can differ at most, the larger one being of this class."""
-    return 2 * largest_of(cls) * (100 - percent) // (100 + percent)
-
-
-def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of the blocks of a set: for its class, and each higher one with a set that can link to it, hashes of groups.
-
-    Shingles in which two linked sets differ touch at most d groups, so if more than d of a set's groups
-    hold m shingles or more, one of those is the same in the other set. Each set takes the largest such m
-    and gives its groups of m or more: of two sets the one with the larger m has the common group, and the
-    other gives it too. That leaves out groups of one or two shingles, which common passages make alike.
-    The rare sets that have no such m give all groups and meet in a block of their own.
-    """
-    n, keys = len(s), []
-    c = size_class(n)
-    while not keys or 100 * n >= percent * (largest_of(c - 1) + 1):
-        most = differ(c, percent)
-        d = min(most, (n + min(largest_of(c), n * 100 // percent)) * (100 - percent) // (100 + percent))
-        g = most * 11 // 10 + 3
-        at = ((s >> _U(32)) * _U(g) >> _U(32)).astype(np.int64)  # groups are ranges of hashes, so s is in their order
-        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        size = np.diff(np.append(first, n))
-        h = _mix(np.add.reduceat(_mix(s + _U(c)), first) + (at[first] + c * 1_000_003).astype(_U))
-        with_more = np.bincount(size)[::-1].cumsum()[::-1]  # [m]: groups of m shingles or more
-        good = np.flatnonzero(with_more > d)
-        m = int(good[-1]) if len(good) else 0
-        keys.append(h[size >= m] if m else np.append(h, _mix(np.array([c], _U))))
-        c += 1
-    return np.concatenate(keys)
+def can_link(n1, q1, n2, q2, percent: int):
+    """Whether sizes allow a link, and the shingles from the first common one on (q of n) do."""
+    return (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)) & ((100 + percent) * np.minimum(q1, q2) >= percent * (n1 + n2))
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -166,26 +136,14 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, percent: int, group: np.nd
             yield np.stack([x.rows[i], y.rows[j]], axis=1)
 
 
-def join_cluster(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is connected; a pair already connected by others is not verified again."""
-    sizes = np.array([len(s) for s in sets])
-    points = np.stack([np.bincount((s & _U(COORDINATES - 1)).astype(np.int64), minlength=COORDINATES) for s in sets]).astype(np.int32)
-    group, links = np.arange(len(ids)), []
+def point(s: np.ndarray) -> bytes:
+    """The counts of a set's shingles in each group, of one byte each if they are small."""
+    counts = np.bincount((s & _U(COORDINATES - 1)).astype(np.int64), minlength=COORDINATES)
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint32).tobytes()
 
-    def verify(a: int, b: int) -> None:
-        if group[a] != group[b] and linked(sets[a], sets[b], percent):
-            links.append((ids[a], ids[b]))
-            group[group == group[b]] = group[a]
 
-    # what many are copies of lies in the middle: the most central sets first, against all
-    for q in np.argsort(np.abs(points - points.mean(axis=0)).sum(axis=1), kind="stable")[:HUBS].tolist():
-        bound = np.minimum(points, points[q]).sum(axis=1)
-        for r in np.flatnonzero((100 + percent) * bound >= percent * (sizes[q] + sizes)).tolist():
-            verify(q, r)
-    for pairs in tree_pairs(points, sizes, percent, group):
-        for a, b in pairs.tolist():
-            verify(a, b)
-    return links
+def _points(raw: list[bytes]) -> np.ndarray:
+    return np.stack([np.frombuffer(x, np.uint8 if len(x) == COORDINATES else np.uint32) for x in raw]).astype(np.int32)
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -197,141 +155,265 @@ def _unplaned(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(_U)
 
 
-def _batch(**columns) -> pa.RecordBatch:
-    kinds = {"bucket": pa.int32(), "keys": pa.binary(), "docs": pa.binary()}
-    n = max(len(c) for c in columns.values())
-    names = [*kinds, "a", "b", "h1", "h2"]
-    col = lambda c: pa.array(columns[c], kinds.get(c, pa.int64())) if c in columns else pa.nulls(n, kinds.get(c, pa.int64()))
-    return pa.RecordBatch.from_arrays([col(c) for c in names], names)
+def _group(s: np.ndarray, groups: int) -> np.ndarray:
+    return (s >> _U(64 - groups)).astype(np.int64)
 
 
-_SIGNED = "bucket int, keys binary, docs binary, a bigint, b bigint, h1 bigint, h2 bigint"
+def _described(docs: DataFrame, width: int, groups: int) -> DataFrame:
+    """A row per document (doc, t, n, c: its set's hash, h: half of that, point), and rows of counts (chunk of groups, packed counts).
 
+    Copies within a batch count once.
+    """
+    kinds = pa.schema([("doc", pa.int64()), ("t", pa.int64()), ("n", pa.int64()), ("c", pa.binary()), ("h", pa.int64()), ("point", pa.binary()), ("chunk", pa.int32()), ("counts", pa.binary())])
 
-def _signed(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """Three kinds of rows: packed members of the blocks in a bucket (keys, docs), a document (h1, h2 its set's hash; a, b its id and size), an edge (a, b).
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << groups, np.uint32)
+        for batch in batches:
+            seen, rows, at = set(), [], []
+            for text in batch.column("text").to_pylist():
+                s = shingles(text, width)
+                c = set_hash(s)
+                if c not in seen:
+                    seen.add(c)
+                    at.append(_group(s, groups))
+                rows.append((len(s), c, int.from_bytes(c[:8], "little", signed=True), point(s)))
+            if rows:
+                np.add.at(table, np.concatenate(at), 1)
+                n, c, h, points = zip(*rows, strict=True)
+                nothing = pa.nulls(len(rows))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("t"), pa.array(n), pa.array(c, pa.binary()), pa.array(h), pa.array(points, pa.binary()), nothing.cast(pa.int32()), nothing.cast(pa.binary())], schema=kinds)
+        chunks = table.reshape(-1, 1 << LEAST_GROUPS)
+        packed = {i: zlib.compress(x.astype(np.min_scalar_type(x.max())).tobytes(), 1) for i, x in enumerate(chunks) if x.any()}
+        if packed:
+            empty = {f.name: pa.nulls(len(packed), f.type) for f in kinds}
+            yield pa.RecordBatch.from_pydict({**empty, "chunk": pa.array(packed, pa.int32()), "counts": pa.array(packed.values(), pa.binary())}, schema=kinds)
+
+    return docs.mapInArrow(run, "doc bigint, t bigint, n bigint, c binary, h bigint, point binary, chunk int, counts binary")
+
+
+def _counts(described: DataFrame, groups: int) -> np.ndarray:
+    """The corpus-wide counts of all groups, summed by Spark chunk by chunk; 64 MB at most reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, raw in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                raw = zlib.decompress(raw)
+                x = np.frombuffer(raw, f"u{len(raw) >> LEAST_GROUPS}")
+                sums[chunk] = sums[chunk] + x if chunk in sums else x.astype(np.uint32)
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["chunk", "counts"])
+
+    chunks = described.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(run, "chunk int, counts binary").collect()
+    table = np.zeros(1 << groups, np.uint32)
+    for r in chunks:
+        at = r["chunk"] << LEAST_GROUPS
+        table[at : at + (1 << LEAST_GROUPS)] = np.frombuffer(r["counts"], np.uint32)
+    return table
 
-    Within a batch, copies and members of one block are joined by edges there and then, so a block gets a
-    member per batch at most, however many documents are in it.
-    """
-    spread = lambda x: (_mix(np.asarray(x, np.int64).view(_U)) % _U(buckets)).astype(np.int32)
+
+def _keyed(docs: DataFrame, width: int, percent: int, groups: int, counts, buckets: int) -> DataFrame:
+    """Members of the blocks, packed by bucket: keys, h of the set, and n and place of the shingle in the set's order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = counts.value
         for batch in batches:
-            first: dict[tuple, int] = {}
-            info, keys, owners, edges = [], [], [], set()
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            seen, parts = set(), []
+            for text in batch.column("text").to_pylist():
                 s = shingles(text, width)
-                h1, h2 = set_hash(s)
-                info.append((doc, len(s), h1, h2))
-                if not len(s) or doc is None:
-                    continue
-                if (same := first.setdefault((h1, h2, len(s)), doc)) != doc:
-                    edges.add((same, doc))
+                k = prefix_length(len(s), percent)
+                if not k or (c := set_hash(s)) in seen:
                     continue
-                k = block_keys(s, percent)
-                keys.append(k)
-                owners.append(np.full(len(k), doc, np.int64))
-            if keys:
-                key, owner = np.concatenate(keys), np.concatenate(owners)
-                order = np.lexsort((owner, key))
-                key, owner = key[order], owner[order]
-                new = np.append(True, key[1:] != key[:-1])
-                hub = owner[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-                twice = hub != owner
-                edges.update(zip(hub[twice].tolist(), owner[twice].tolist(), strict=True))
-                key, owner = key[new], owner[new]
-                bucket = ((key >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)  # in the order of the keys
-                cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-                parts = list(zip(cut.tolist(), [*cut[1:].tolist(), len(key)], strict=True))
-                yield _batch(bucket=bucket[cut], keys=[_planes(key[i:j]) for i, j in parts], docs=[_planes(owner[i:j].view(_U)) for i, j in parts])
-            if edges:
-                a, b = map(np.array, zip(*edges, strict=True))
-                yield _batch(bucket=spread(a), a=a, b=b)
-            if info:
-                doc, n, h1, h2 = zip(*info, strict=True)
-                yield _batch(bucket=spread(h1), a=doc, b=n, h1=h1, h2=h2)
-
-    return docs.mapInArrow(run, _SIGNED)
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket: members of one block become edges to its first; the others pass."""
-    now, held = None, []
-    edges = np.zeros((0, 2), np.int64)
-
-    def told(pairs: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *[pa.nulls(len(pairs), pa.int64())] * 2], ["a", "b", "h1", "h2"])
-
-    def joined() -> np.ndarray:
-        if len(held) < 2:
-            return np.zeros((0, 2), np.int64)
-        key, doc = (np.concatenate([_unplaned(x[i]) for x in held]) for i in (0, 1))
-        doc = doc.view(np.int64)
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
+                seen.add(c)
+                of = table[_group(s, groups)]
+                first = np.lexsort((s, of))[:k]
+                h, many = np.repeat(np.frombuffer(c[:8], _U), k), of[first]
+                salt = np.where(many > HOT, _mix(h) % (many // HOT + 1).astype(_U), _U(0))
+                parts.append((s[first], h, _U(len(s) << 32) + np.arange(k, dtype=_U), _mix(s[first] + salt), many > HOT))
+            if not parts:
+                continue
+            key, h, place, spread, hot = (np.concatenate(x) for x in zip(*parts, strict=True))
+            bucket = ((spread >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)
+            order = np.lexsort((key, bucket))
+            key, h, place, hot, bucket = key[order], h[order], place[order], hot[order], bucket[order]
+            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            ends = list(zip(cut.tolist(), [*cut[1:].tolist(), len(key)], strict=True))
+            packed = [pa.array([_planes(x[i:j]) for i, j in ends], pa.binary()) for x in (key, h, place)]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[cut]), *packed, pa.array([np.packbits(hot[i:j]).tobytes() for i, j in ends], pa.binary())], ["bucket", "keys", "hs", "places", "hot"])
+
+    return docs.select("text").mapInArrow(run, "bucket int, keys binary, hs binary, places binary, hot binary")
+
+
+def _blocks(percent: int):
+    """Rows sorted by bucket to edges (kind 0: a, b), members of blocks of three sets and more (1: block, a, n, q) and first sets of the parts of hot blocks (2: block, a, n, q)."""
+    names = ["kind", "block", "a", "b", "n", "q"]
+
+    def told(kind: int, block=None, a=None, b=None, n=None, q=None) -> pa.RecordBatch:
+        column = lambda x: pa.nulls(len(a), pa.int64()) if x is None else pa.array(x.view(np.int64) if x.dtype == _U else x.astype(np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), *map(column, (block, a, b, n, q))], names)
+
+    def joined(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        key, h, place = (np.concatenate([_unplaned(x[i]) for x in held]) for i in range(3))
+        hot = np.concatenate([np.unpackbits(np.frombuffer(x[3], np.uint8), count=len(x[0]) // 8) for x in held]).astype(bool)
+        order = np.lexsort((h, key))  # copies from several batches first
+        key, h, place, hot = key[order], h[order], place[order], hot[order]
+        one = np.append(True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]))
+        key, h, place, hot = key[one], h[one], place[one], hot[one]
+        some = np.append(False, key[1:] == key[:-1])
+        some = some | np.append(some[1:], False) | hot
+        key, h, place, hot = key[some], h[some], place[some], hot[some]
+        if not len(key):
+            return
+        n, p = (place >> _U(32)).astype(np.int64), (place & _U(0xFFFFFFFF)).astype(np.int64)
+        q, step = n - p, step_of(n, percent)
+        order = np.lexsort((h, n, p, step, key))
+        key, h, n, q, step, hot = key[order], h[order], n[order], q[order], step[order], hot[order]
         new = np.append(True, key[1:] != key[:-1])
-        hub = doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-        return np.stack([hub, doc], axis=1)[hub != doc]
-
-    for batch in batches:
-        packed = batch.column("keys").is_valid()
-        rest = batch.filter(pa.compute.invert(packed)).select(["a", "b", "h1", "h2"])
-        if rest.num_rows:
-            yield rest
-        members = batch.filter(packed)
-        for bucket, keys, docs in zip(*(members.column(c).to_pylist() for c in ("bucket", "keys", "docs")), strict=True):
-            if bucket != now:
-                edges = np.concatenate([edges, joined()])
-                now, held = bucket, []
-                if len(edges) > 1_000_000:  # each pair meets in many blocks
-                    edges = np.unique(edges, axis=0)
-                    if len(edges) > 500_000:
-                        yield told(edges)
-                        edges = edges[:0]
-            held.append((keys, docs))
-    edges = np.unique(np.concatenate([edges, joined()]), axis=0)
-    if len(edges):
-        yield told(edges)
-
-
-def links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
-    """Edges (a, b) between linked documents of each cluster. members: doc, cluster, n."""
-    # of a large cluster, sets of like size: linked sets are at most one step of 100 / percent apart, so each set is in its own step and the next
-    large = members.groupBy("cluster").agg(F.sum("n").alias("all"))
-    step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent))).cast("int")
-    parts = members.join(large, "cluster").withColumn("size", F.explode(F.when(F.col("all") > TILE, F.array(step, step + 1)).otherwise(F.array(F.lit(0)))))
-    tiles = parts.groupBy("cluster", "size").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / TILE)).cast("int").alias("tiles"))
-    mine = F.pmod(F.xxhash64("doc"), F.col("tiles")).cast("int")
-    other = F.explode(F.when(F.col("tiles") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: t != mine)))
-    place = (
-        parts.join(tiles, ["cluster", "size"]).withColumn("u", other)
-        .select("doc", "cluster", "size", F.least(mine, "u").alias("i"), F.greatest(mine, "u").alias("j"))
+        part = new | np.append(True, step[1:] != step[:-1])
+        index = np.arange(len(key))
+        hub = np.maximum.accumulate(np.where(part, index, 0))
+        before = np.maximum(hub - 1, 0)
+        below = hub[before]  # the first of the step below, where the block has it
+        for other, there in ((hub, hub != index), (below, ~new[hub] & (step[below] == step - 1))):
+            good = there & can_link(n, q, n[other], q[other], percent)
+            if good.any():
+                yield told(0, a=h[other][good], b=h[good])
+        if (first := part & hot).any():
+            yield told(2, block=key[first], a=h[first], n=n[first], q=q[first])
+        starts = np.flatnonzero(new)
+        size = np.diff(np.append(starts, len(key)))
+        # a block needs a set whose shingle stands early enough for the smaller of two linked sets; equal blocks are told once
+        early = np.logical_or.reduceat((100 + percent) * q >= 2 * percent * n, starts)
+        same = np.add.reduceat(_mix(h), starts)
+        wide = np.flatnonzero((size > 2) & early & ~hot[starts])
+        once = np.zeros(len(starts), bool)
+        once[wide[np.unique(same[wide], return_index=True)[1]]] = True
+        tell = np.repeat(once, size)
+        if tell.any():
+            # over equal blocks, the most shingles from the common one on
+            most = np.lexsort((h, np.repeat(same, size)))
+            sb, sh = np.repeat(same, size)[most], h[most]
+            cut = np.flatnonzero(np.append(True, (sb[1:] != sb[:-1]) | (sh[1:] != sh[:-1])))
+            width = np.diff(np.append(cut, len(sb)))
+            best = np.empty(len(q), np.int64)
+            best[most] = np.repeat(np.maximum.reduceat(q[most], cut), width)
+            yield told(1, block=np.repeat(same, size)[tell], a=h[tell], n=n[tell], q=best[tell])
+        if hot.any():
+            yield told(1, block=key[hot], a=h[hot], n=n[hot], q=q[hot])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for bucket, *packed in zip(*(batch.column(c).to_pylist() for c in ("bucket", "keys", "hs", "places", "hot")), strict=True):
+                if bucket != now:
+                    if held:
+                        yield from joined(held)
+                    now, held = bucket, []
+                held.append(packed)
+        if held:
+            yield from joined(held)
+
+    return run
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b: hashes of the sets) among pairs (a, b: halves of such hashes).
+
+    The sets that are to be compared with one hub are dealt out in parts, each with the hub's text; reps
+    names a document (h, c, doc) of every set, whose whole text is read again.
+    """
+    side = lambda x: reps.select(F.col("h").alias(x), F.col("c").alias("c" + x), F.col("doc").alias("d" + x))
+    both = stored(pairs.join(side("a"), "a").join(side("b"), "b").select("ca", "da", "cb", "db"), "pairs")
+    parts = stored(both.groupBy("ca").agg(F.ceil(F.count("*") / CHUNK).alias("parts")), "parts")
+    dealt = both.join(parts, "ca").withColumn("part", F.pmod(F.xxhash64("cb"), F.col("parts")).cast("int"))
+    wanted = dealt.select("ca", "part", F.lit(1).alias("turn"), F.col("cb").alias("c"), F.col("db").alias("doc")).unionByName(
+        dealt.select("ca", "part", F.lit(0).alias("turn"), F.col("ca").alias("c"), F.col("da").alias("doc")).distinct()
     )
-    if members.limit(BROADCAST_MEMBERS + 1).count() <= BROADCAST_MEMBERS:  # then texts that are in no cluster needn't be shuffled
-        place = F.broadcast(place)
-    tasks = docs.join(place, F.col("doc_id") == F.col("doc")).repartition("cluster", "size", "i", "j").sortWithinPartitions("cluster", "size", "i", "j", "doc_id")
+    tasks = docs.join(stored(wanted, "wanted"), F.col("doc_id") == F.col("doc")).repartition("ca", "part").sortWithinPartitions("ca", "part", "turn")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, {}
+        now, hub = None, None
+        for batch in batches:
+            found = []
+            for ca, part, turn, c, text in zip(*(batch.column(x).to_pylist() for x in ("ca", "part", "turn", "c", "text")), strict=True):
+                s = shingles(text, width)
+                if set_hash(s) != c:  # another text of a repeated doc_id
+                    continue
+                if turn == 0:
+                    now, hub = (ca, part), s
+                elif now == (ca, part) and linked(hub, s, percent):
+                    found.append((ca, c))
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return stored(tasks.select("ca", "part", "turn", "c", "text").mapInArrow(run, "a binary, b binary").distinct(), "links")
+
+
+def _left_over(found: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets of one block that are not yet connected and whose points allow a link."""
+    named = nodes.select(F.col("h").alias("a"), "c", "point").join(labels.select(F.col("node").alias("c"), F.col("component").alias("label")), "c", "left").withColumn("label", F.coalesce("label", "c"))
+    members = found.filter("kind = 1").groupBy("block", "a").agg(F.max("n").alias("n"), F.max("q").alias("q"))
+    labelled = stored(members.join(named.select("a", "label"), "a"), "members")
+    split = stored(labelled.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("k")).filter("low <> high").select("block", F.ceil(F.col("k") / TILE).cast("int").alias("tiles")), "split")
+    mine = F.pmod(F.xxhash64("a"), F.col("tiles")).cast("int")
+    other = F.explode(F.when(F.col("tiles") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: t != mine)))
+    rest = labelled.join(split, "block").withColumn("u", other).select("block", F.least(mine, "u").alias("i"), F.greatest(mine, "u").alias("j"), "a", "n", "q", "label")
+    tasks = rest.join(named.select("a", "point").distinct(), "a").repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
 
         def joined() -> Iterator[pa.RecordBatch]:
-            if len(held) > 1:
-                found = join_cluster(list(held), list(held.values()), percent)
-                if found:
-                    a, b = zip(*found, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            a, n, q, label, raw = zip(*held, strict=True)
+            a, n, q = np.array(a, np.int64), np.array(n, np.int64), np.array(q, np.int64)
+            for pairs in tree_pairs(_points(raw), n, percent, np.unique(np.array(label, object), return_inverse=True)[1]):
+                x, y = pairs[:, 0], pairs[:, 1]
+                good = can_link(n[x], q[x], n[y], q[y], percent)
+                if good.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[x], a[y])[good]), pa.array(np.maximum(a[x], a[y])[good])], ["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("cluster", "size", "i", "j", "doc_id", "text")]
-            for *part, doc, text in zip(*cols, strict=True):
-                if part != now:
-                    yield from joined()
-                    now, held = part, {}
-                held[doc] = shingles(text, width)
-        yield from joined()
-
-    return tasks.select("cluster", "size", "i", "j", "doc_id", "text").mapInArrow(run, "a bigint, b bigint")
+            for block, i, j, *row in zip(*(batch.column(c).to_pylist() for c in ("block", "i", "j", "a", "n", "q", "label", "point")), strict=True):
+                if (block, i, j) != now:
+                    if held:
+                        yield from joined()
+                    now, held = (block, i, j), []
+                held.append(row)
+        if held:
+            yield from joined()
+
+    pairs = tasks.select("block", "i", "j", "a", "n", "q", "label", "point").mapInArrow(run, "a bigint, b bigint").distinct()
+    tried = found.filter("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def linked_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """A row per document (doc, t: hash of its text, n, c: hash of its set), and verified links (a, b) between sets (c)."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("t"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    groups = min(MOST_GROUPS, max(LEAST_GROUPS, (size // GROUP_BYTES).bit_length()))
+    described = stored(_described(docs, width, groups), "described")
+    counts = spark.sparkContext.broadcast(_counts(described, groups))
+    buckets = 16 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keyed = _keyed(docs.filter("doc_id IS NOT NULL"), width, percent, groups, counts, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    found = stored(keyed.mapInArrow(_blocks(percent), "kind int, block bigint, a bigint, b bigint, n bigint, q bigint"), "blocks")
+
+    info = described.filter("chunk IS NULL").select("doc", "t", "n", "c", "h", "point")
+    nodes = stored(info.filter("n > 0 AND doc IS NOT NULL").groupBy("c", "h", "point").agg(F.min("doc").alias("doc")), "nodes")
+    reps = nodes.select("h", "c", "doc")
+    # first sets of the parts of a hot block are compared with the first of all of these
+    parts = found.filter("kind = 2")
+    step = F.floor(F.log("n") / float(np.log(100 / percent)) + 1e-9).alias("step")
+    first = parts.groupBy("block", step).agg(F.min(F.struct(F.col("n") - F.col("q"), "n", "a")).alias("x")).select("block", "step", F.col("x.a").alias("b"))
+    between = parts.select("block", step, "a").join(first, ["block", "step"]).filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))
+    links = _verified(docs, found.filter("kind = 0").select("a", "b").unionByName(between).distinct(), reps, width, percent)
+    more = stored(_left_over(found, nodes, components(links), percent), "left_over")
+    if not more.isEmpty():
+        links = links.unionByName(_verified(docs, more, reps, width, percent))
+    return info.select("doc", "t", "n", "c"), links
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -340,41 +422,42 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Words are runs of other characters than ASCII white space, A-Z in lower case; a text of fewer than
     `width` words is one shingle. Two documents link when 100 * common >= percent * all shingles. class_id
     is the smallest doc_id with the same set, component_id the smallest reachable by links. Null, empty and
-    blank texts have no shingles and stand alone. Rows that share a doc_id are one node; a null doc_id
-    links with nothing. Every link between different sets is found, and copies are never paired with each other.
+    blank texts have no shingles and stand alone. Rows that share a doc_id are one document, linked by
+    whichever of its texts links; a null doc_id links with nothing. Links join all that links connect;
+    copies, and sets already connected by others, are not compared again. Columns but doc_id and text are
+    left behind; an empty table gives an empty result.
     """
-    small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    buckets = 16 * max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = _signed(docs, width, percent, buckets).repartition("bucket").sortWithinPartitions("bucket")
-    found = stored(dealt.mapInArrow(_blocks, "a bigint, b bigint, h1 bigint, h2 bigint"), "blocks")
-    info = found.filter("h2 IS NOT NULL").select("h1", "h2", F.col("b").alias("n"), F.col("a").alias("doc"))
+    info, links = linked_sets(docs, width, percent)
     full = info.filter("n > 0 AND doc IS NOT NULL")
-    copies = full.groupBy("h1", "h2", "n").agg(F.min("doc").alias("rep"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
+    texts = full.select("doc", "c").distinct().groupBy("doc").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b")
+    same = full.join(stored(texts.select("doc", "a"), "repeated"), "doc").filter("a <> c").select("a", F.col("c").alias("b")).distinct()
+    joined = components(links.unionByName(same))
+    classes = full.groupBy("c").agg(F.min("doc").alias("class_id")).join(joined.select(F.col("node").alias("c"), "component"), "c", "left").withColumn("component", F.coalesce("component", "c"))
+    classes = stored(classes, "classes")
+    ids = classes.groupBy("component").agg(F.min("class_id").alias("component_id"))
     # written, so that the join stands on two plain exchanges and Spark can split the partition of a very large class
-    named = full.join(stored(copies, "copies"), ["h1", "h2", "n"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep"))
-    classes = stored(named, "classes")
-    others = classes.filter("doc <> rep").groupBy("doc").agg(F.min("rep").alias("rep"))
-
-    edges = found.filter("h2 IS NULL").select("a", "b").distinct()
-    for c in ("a", "b"):
-        to = others.select(F.col("doc").alias(c), "rep")
-        edges = edges.join(to, c, "left").withColumn(c, F.coalesce("rep", c)).drop("rep")
-    clusters = components(edges)
-    members = clusters.join(classes.filter("doc = rep").select(F.col("doc").alias("node"), "n").distinct(), "node").select(F.col("node").alias("doc"), F.col("component").alias("cluster"), "n")
-    joined = components(links(docs, stored(members, "members"), width, percent))
-
-    named = classes.join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    named = named.select("doc", "n", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
+    named = full.join(stored(classes.join(ids, "component").select("c", "class_id", "component_id"), "named"), "c").select("doc", "n", "class_id", "component_id")
     alone = info.filter("n = 0 OR doc IS NULL").select("doc", "n", F.col("doc").alias("class_id"), F.col("doc").alias("component_id"))
     return named.unionByName(alone).withColumnsRenamed({"doc": "doc_id", "n": "n_shingles"})
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs, all columns kept, of the smallest doc_id of each component, one row per doc_id; rows without doc_id stay."""
-    found = near_duplicates(docs, width, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    """Rows of docs, all columns kept: of each component of texts, a row with the smallest (doc_id, hash of the text).
+
+    Here each row's text counts for itself, so of different texts under one doc_id both stay unless they
+    link. Of equal rows one stays. Rows without doc_id, and those whose text has no word, stay.
+    """
+    info, links = linked_sets(docs, width, percent)
+    full = info.filter("n > 0 AND doc IS NOT NULL")
+    joined = components(links)
+    classes = full.groupBy("c").agg(F.min(F.struct("doc", "t")).alias("first")).join(joined.select(F.col("node").alias("c"), "component"), "c", "left")
+    best = classes.groupBy(F.coalesce("component", "c").alias("component")).agg(F.min("first").alias("first")).select("first.doc", "first.t")
+    gone = stored(full.select("doc", "t").distinct().join(best, ["doc", "t"], "left_anti"), "gone")
+    again = stored(full.groupBy("doc", "t").agg(F.count("*").alias("rows")).filter("rows > 1").join(gone, ["doc", "t"], "left_anti").select("doc", "t"), "again")
+    of = lambda x: x.select(F.col("doc").alias("__doc"), F.col("t").alias("__t"))
+    this = (F.col("doc_id").cast("bigint") == F.col("__doc")) & (F.xxhash64("text") == F.col("__t"))
+    once = docs.join(of(gone.unionByName(again)), this, "left_anti")
+    return once.unionByName(docs.join(of(again), this, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

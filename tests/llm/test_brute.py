@@ -22,31 +22,49 @@ def shingle_set(text, width):
     return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if words else set()
 
 
-@pytest.mark.parametrize("tile", [jaccard.TILE, 300])
-def test_links_of_near_copies(spark, monkeypatch, tile):
-    """Groups of edited copies, every pair compared; with a small tile clusters are joined in pairs of tiles."""
-    monkeypatch.setattr(jaccard, "TILE", tile)
+def components_of(sets, percent):
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]) and label[i] != label[j]:
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    return label
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_links_of_near_copies(spark, monkeypatch, small):
+    """Groups of edited copies and texts round common passages, every pair compared; with small limits blocks are dealt in parts and joined in tiles."""
+    if small:
+        for name, value in (("HOT", 6), ("TILE", 4), ("CHUNK", 3)):
+            monkeypatch.setattr(jaccard, name, value)
     rng = random.Random(3)
     texts = []
-    for g in range(12):
+    for g in range(16):
         base = [f"g{g}w{rng.randrange(400)}" for _ in range(rng.choice([3, 6, 20, 60, 150]))]
         for _ in range(rng.choice([1, 4, 25])):
             words = list(base)
-            for _ in range(rng.randrange(4)):
+            for _ in range(rng.randrange(5)):
                 words[rng.randrange(len(words))] = f"n{rng.randrange(9999)}"
             texts.append(" ".join(words))
     texts += ["common passage of ten words that many texts share " + f"only{i} " * 6 for i in range(30)]
+    texts += ["a longer passage of words that many of the texts hold and of which they are made for the most part so that all meet " + " ".join(f"o{i}x{k}" for k in range(i % 7)) for i in range(40)]
+    texts += [" ".join(rng.choice(["one line that stands in many texts here", "another of these lines also quite common", "and a third one to be put beside them", "the fourth is much like the ones before"]) for _ in range(3)) for _ in range(40)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs, 4, 85).collect()}
-    sets = [shingle_set(t, 4) for t in texts]
-    label = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            both = len(sets[i] & sets[j])
-            if both and 100 * both >= 85 * len(sets[i] | sets[j]) and label[i] != label[j]:
-                a, b = sorted((label[i], label[j]))
-                label = [a if x == b else x for x in label]
-    assert got == {i: (len(sets[i]), label[i]) for i in range(len(texts))}
+    for width, percent in ((4, 85), (5, 80)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs, width, percent).collect()}
+        sets = [shingle_set(t, width) for t in texts]
+        assert got == {i: (len(x), c) for i, (x, c) in enumerate(zip(sets, components_of(sets, percent), strict=True))}
+
+
+def test_repeated_ids(spark):
+    """Different texts under one doc_id: no link and no text is lost."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, a, "x"), (1, b, "y"), (2, a + " more", "z"), (3, b + " more", "u"), (1, a, "x"), (4, "else", "v")], "doc_id long, text string, doc string")
+    got = sorted((r.doc_id, r.component_id) for r in jaccard.near_duplicates(docs, 4, 85).collect())
+    assert got == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+    assert sorted((r.doc_id, r.text) for r in jaccard.one_of_each(docs, 4, 85).collect()) == [(1, a), (1, b), (4, "else")]
 
 
 def test_components(spark):
@@ -62,15 +80,19 @@ def test_components(spark):
     assert got == {n: c for n, c in label.items() if any(n in e for e in edges if e[0] != e[1])}
 
 
-def test_linked_sets_share_a_block():
+def test_linked_sets_share_an_early_shingle():
+    """In any order, one of the first few shingles is common; from the first such on, enough are left in both sets."""
     rng = np.random.default_rng(5)
     for percent in (60, 80, 85, 95):
         for n in [*range(1, 40), 100, 333, 1200]:
             a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
             for cut in {0, n // 20, n // 10, n // 6, n // 3}:
                 b = np.unique(np.concatenate([a[cut:], rng.integers(0, 2**63, int(rng.integers(0, n // 8 + 1))).astype(np.uint64)]))
-                if len(b) and jaccard.linked(a, b, percent):
-                    assert set(jaccard.block_keys(a, percent).tolist()) & set(jaccard.block_keys(b, percent).tolist()), (percent, n, cut)
+                if len(b) and jaccard.linked(a, b, percent) and not np.array_equal(a, b):
+                    x, y = (list(s[: jaccard.prefix_length(len(s), percent)]) for s in (a, b))
+                    first = min(set(x) & set(y))
+                    assert jaccard.can_link(len(a), len(a) - x.index(first), len(b), len(b) - y.index(first), percent)
+                    assert abs(jaccard.step_of(np.array([len(a)]), percent) - jaccard.step_of(np.array([len(b)]), percent)) <= 1
 
 
 def test_rtree_loses_no_candidate():
