@@ -1,64 +1,72 @@
 """Two-pass external shuffle of records into shards.
 
 Pass one scatters records into memory-sized buckets by a seeded hash; pass two shuffles each bucket
-with Fisher-Yates (Spark's ``shuffle`` of an array) and deals the concatenation of the buckets out to
-the shards in turn, so that shard sizes differ by one row at most (law ``rows``).
+with Fisher-Yates (Spark's ``shuffle`` of an array) and writes it. The buckets one behind the other are one
+random order of all records, which is cut into shards whose sizes differ by one row at most (law ``rows``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bookweave.llm.common import table, text_of
+from bookweave.llm.common import new_path, stored, table, text_of
+
+#: Buckets whose first places are summed up together.
+TOGETHER = 1024
+
+
+def size_of(text: str = "text") -> Column:
+    return (F.octet_length(text_of(text)) + F.lit(16)).cast("bigint")
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """bucket, start: how many rows are in the buckets before. Summed in two steps, so that no task sees a row for every bucket."""
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("n")).withColumn("part", F.floor(F.col("bucket") / TOGETHER))
+    before = lambda *by: W.partitionBy(*by).orderBy("bucket" if by else "part").rowsBetween(W.unboundedPreceding, -1)
+    of = lambda w: F.coalesce(F.sum("n").over(w), F.lit(0))
+    parts = counts.groupBy("part").agg(F.sum("n").alias("n")).select("part", of(before()).alias("first"))
+    inside = counts.select("part", "bucket", of(before("part")).alias("inside"))
+    return inside.join(parts, "part").select("bucket", (F.col("first") + F.col("inside")).alias("start"))
 
 
 def shard_records(docs: DataFrame, shards: int = 40, seed: int = 17, bucket_bytes: int = 8 << 20) -> DataFrame:
-    """doc_id, text, size, text_crc32, law, shard, slot and grown_shard of every row.
+    """doc_id, text, shard and slot of every row.
 
-    Size is the UTF-8 bytes of the text plus 16; a null text has no bytes and stays null. A row's bucket
-    follows from seed and doc_id (from the text where doc_id is null), so equal texts scatter; rows that
-    share one doc_id share a bucket. Repeated rows are all kept and get slots of their own. An empty
-    table gives an empty result. Extra columns are left behind.
+    A row's bucket follows from seed, doc_id and text; rows that are there more than once get a drawn number
+    besides, so that copies scatter too. Null texts stay null. Repeated rows are all kept and get slots of their own.
+    A text longer than a bucket has one nearly to itself. An empty table gives an empty result; columns but
+    doc_id and text are left behind. The order within a bucket is drawn anew each time this is computed:
+    write it (write_shards) before it is used twice.
     """
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        "text",
-        (F.octet_length(text_of()) + F.lit(16)).cast("bigint").alias("size"),
-        F.crc32(text_of()).alias("text_crc32"),
-    )
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    buckets = max(1, -(-total // bucket_bytes))
-    place = F.xxhash64(F.lit(seed), F.coalesce("doc_id", F.col("text_crc32")))
-    rows = rows.withColumn("bucket", F.pmod(place, F.lit(buckets)).cast("int"))
-
-    # one row per bucket: bytes in all / bucket_bytes of them, which bounds both this window and the broadcast
-    counts = rows.groupBy("bucket").agg(F.count("*").alias("n"))
-    before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-
-    record = F.struct(F.xxhash64(F.lit(seed + 1), "doc_id", "text_crc32").alias("h"), "doc_id", "size", "text_crc32", "text")
-    scattered = rows.groupBy("bucket").agg(F.array_sort(F.collect_list(record)).alias("records"))
-    dealt = (
-        scattered.withColumn("records", F.shuffle("records", F.lit(seed)))
-        .join(F.broadcast(starts), "bucket")
-        .select("start", F.posexplode("records").alias("at", "r"))
-        .withColumn("place", F.col("start") + F.col("at"))
-    )
-    return dealt.select(
-        "r.doc_id", "r.text", "r.size", "r.text_crc32",
-        F.lit("rows").alias("law"),
-        (F.col("place") % shards).cast("int").alias("shard"),
-        F.floor(F.col("place") / shards).cast("bigint").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"),
-    )
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
+    total = rows.agg(F.coalesce(F.sum(size_of()), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
+    buckets = max(1, -(-total["bytes"] // bucket_bytes))
+    again = stored(rows.groupBy("doc_id", "th").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("d"), F.col("th").alias("h"), F.lit(True).alias("again")), "repeated")
+    drawn = rows.withColumn("draw", F.floor(F.rand(seed) * (1 << 30)))
+    marked = drawn.join(again, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")), "left")
+    place = F.xxhash64(F.lit(seed), "doc_id", "th", F.when(F.col("again"), F.col("draw")))
+    rows = marked.select("doc_id", "text", "th", F.pmod(place, F.lit(buckets)).alias("bucket"))
+
+    # first in an order of their own, whatever the order in which they arrive
+    record = F.struct(F.xxhash64(F.lit(seed + 1), "doc_id", "th").alias("h"), "doc_id", "text")
+    shuffled = rows.groupBy("bucket").agg(F.shuffle(F.array_sort(F.collect_list(record)), F.lit(seed)).alias("records"))
+    dealt = shuffled.join(stored(_starts(rows), "starts"), "bucket").select("start", F.posexplode("records").alias("at", "r")).withColumn("place", F.col("start") + F.col("at"))
+    n, s = F.lit(total["n"]).cast("bigint"), F.lit(shards).cast("bigint")
+    div = lambda a, b: F.call_function("div", a, b)
+    shard = div(F.col("place") * s, n)
+    return dealt.select("r.doc_id", "r.text", shard.cast("int").alias("shard"), (F.col("place") - div(shard * n + s - 1, s)).alias("slot"))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, rows in slot order."""
-    sharded.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """A folder per shard, its rows in order of slot within each file. Every task writes the buckets that it has shuffled."""
+    sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard_records(table(spark, sf_dir, "documents")).drop("text")
+    """What stands in the shards once they are written."""
+    path = new_path(spark, "shards")
+    write_shards(shard_records(table(spark, sf_dir, "documents"), shards=40), path)
+    back = spark.read.schema("doc_id bigint, text string, slot bigint, shard int").parquet(path)
+    return back.select("doc_id", size_of().alias("size"), F.crc32(text_of()).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
