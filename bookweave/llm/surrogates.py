@@ -101,7 +101,9 @@ def _surrogate(key: str, kind: Column, value: Column, turn: int) -> Column:
     given = lambda g: F.when(F.lit(turn == 0), pick(script({s: t[g] for s, t in GIVEN.items()}), 0)).otherwise(F.concat(pick(script({s: t[g] for s, t in GIVEN.items()}), 0), F.lit("-"), F.initcap(F.concat(*(pick(script(SYLLABLES), i) for i in range(2, 8 + more, 2))))))
     ip = F.concat_ws(".", *((_byte(d, i) % 254 + 1).cast("string") for i in range(4)))
     label = F.regexp_extract(value, r"\.[a-z]+$", 0)
-    email = F.concat(_shaped(F.substr(value, F.lit(1), F.length(value) - F.length(label)), d), label)
+    # local parts grow too, after a while: there are few short ones
+    longer = F.concat(*(F.lower(pick(script({"latin": SYLLABLES["latin"], "cyrillic": SYLLABLES["latin"]}), i)) for i in range(0, more, 2))) if more else F.lit("")
+    email = F.concat(longer, _shaped(F.substr(value, F.lit(1), F.length(value) - F.length(label)), d), label)
     drawn = _shaped(value, d)
     body = F.substr(drawn, F.lit(1), F.length(drawn) - 1)
     check = F.pmod(10 - _luhn(F.concat(body, F.lit("0")), 1) % 10, F.lit(10))
@@ -142,7 +144,8 @@ def replace_pii(docs: DataFrame, key: str = "surrogate-key") -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     has = F.coalesce(F.col("text").rlike(HINT) & F.col("text").rlike(ALL), F.lit(False))
-    hit = rows.filter(has).groupBy("doc_id", "text").agg(F.count("*").alias("rows")).withColumn("th", F.xxhash64("text"))
+    # stored, so that texts are searched once, and the others are told by what is not in it
+    hit = stored(rows.filter(has).groupBy("doc_id", "text").agg(F.count("*").alias("rows")).withColumn("th", F.xxhash64("text")), "hits")
 
     gaps, found = F.split("text", ALL, -1), F.regexp_extract_all("text", F.lit(ALL), F.lit(0))
     part = lambda k, p, kind, piece: F.struct(k.alias("k"), p.alias("p"), kind.alias("kind"), piece.alias("piece"))
@@ -151,14 +154,16 @@ def replace_pii(docs: DataFrame, key: str = "surrogate-key") -> DataFrame:
         F.when(x["m"].isNull(), F.array().cast("array<struct<k:int,p:int,kind:string,piece:string>>")).otherwise(F.transform(_parts(x["m"]), lambda y, p: part(k, p, y["kind"], y["piece"]))),
     )))
     pieces = stored(hit.select("doc_id", "th", "rows", F.explode_outer(flat).alias("x")).select("doc_id", "th", "rows", "x.*").withColumn("value", F.when(F.col("kind") != "plain", _canonical(F.col("kind"), F.col("piece")))), "pieces")
-    names = surrogate_map(pieces.filter("value IS NOT NULL"), key)
-
-    drawn = pieces.join(names, ["kind", "value"], "left")
+    # plain text is no key of the join
+    entities, plain = pieces.filter("value IS NOT NULL"), pieces.filter("value IS NULL")
+    drawn = entities.join(surrogate_map(entities, key), ["kind", "value"]).unionByName(plain.withColumn("surrogate", F.lit(None).cast("string")))
     new = F.when(F.col("surrogate").isNull(), F.col("piece")).when(F.col("kind").isin("iban", "card", "ssn", "phone"), _poured(F.col("piece"), F.col("surrogate"))).otherwise(F.col("surrogate"))
     whole = drawn.withColumn("piece", new).groupBy("doc_id", "th", "rows").agg(F.array_sort(F.collect_list(F.struct("k", "p", "piece"))).alias("all"), *(F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in KINDS))
     counts = [f"n_{k}" for k in KINDS]
     replaced = whole.select("doc_id", F.array_join(F.transform("all", lambda x: x["piece"]), "").alias("text"), *counts, F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy")).drop("copy")
-    kept = rows.filter(~has).select("doc_id", "text", *(F.lit(0).cast("bigint").alias(c) for c in counts))
+    gone = hit.select(F.col("doc_id").alias("d"), F.col("th").alias("h"))
+    rest = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("h")), "left_anti")
+    kept = rest.select("doc_id", "text", *(F.lit(0).cast("bigint").alias(c) for c in counts))
     return kept.unionByName(replaced)
 
 
