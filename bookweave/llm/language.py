@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from bookweave.llm.common import small_batches, table
 
-#: Labelled documents per language that the model learns from at most, and characters taken from each.
-SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 24, 2000
-#: Texts are parsed in blocks of so many characters; a piece ends with its block.
+#: Labelled documents per language that the model learns from at most; whole texts, if there are any of so many characters at most then those.
+SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 24, 4000
+#: Texts are parsed in blocks of so many characters side by side.
 BLOCK = 512
 #: The most frequent letters, whose transitions stand in a table; those of all others are looked up by key.
 LETTERS = 62
@@ -123,56 +123,106 @@ class Model:
             cls._built = {key: cls(sample)}
         return cls._built[key]
 
+    def _walk(self, k: int, blocks: Blocks, state: np.ndarray, which: np.ndarray, before: tuple | None = None) -> tuple:
+        """Parse blocks `which` from the states given with language k: pieces ended in each, the state at its end, and where pieces ended.
+
+        before: the result of an earlier walk over all blocks; where a piece ends in both walks they are one from there on.
+        """
+        to, (keys, targets) = self.tables[k], self.rare[k]
+        n, state = len(which), state.copy()
+        count, ends = np.zeros(n, np.int32), blocks.ends[which]
+        cuts = np.zeros((BLOCK, n), bool)
+        last = np.zeros(n, np.int32)
+        passed = np.zeros(n, np.int32)  # pieces that the earlier walk has ended so far
+        go = np.arange(n)
+        for i in range(BLOCK):
+            go = go[ends[go] > i]
+            if not len(go):
+                break
+            c = blocks.symbols[i, which[go]]
+            s = to[state[go] + np.minimum(c, LETTERS + 1)]
+            wide = np.flatnonzero(c >= self.alphabet)
+            if len(wide):
+                key = state[go[wide]] // self.alphabet * np.int64(self.width) + c[wide]
+                place = np.searchsorted(keys[:-1], key)
+                s[wide] = np.where(keys[place] == key, targets[place], 0)
+            state[go] = s
+            cuts[i, go] = s == 0
+            count[go] += s == 0
+            last[go] = s
+            if before is not None:
+                was = before[2][i, which[go]]
+                passed[go] += was
+                both = was & (s == 0)
+                if both.any():
+                    met = go[both]
+                    count[met] += before[0][which[met]] - passed[met]
+                    last[met] = before[1][which[met]]
+                    cuts[i + 1 :, met] = before[2][i + 1 :, which[met]]
+                    go = go[~both]
+        return count, last, cuts
+
+    def pieces(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Pieces that each text of symbols needs [text, language], by longest matches from its start to its end.
+
+        All blocks of all texts are parsed at once as if a piece began with each. Then each is parsed again
+        from the state in which the one before it ended, until a piece ends in both parses; blocks whose
+        predecessor thereby ends otherwise are parsed once more, until nothing changes.
+        """
+        blocks = Blocks(texts)
+        out = np.zeros((len(texts), len(self.names)), np.int64)
+        if not len(blocks.owner):
+            return out
+        all_ = np.arange(len(blocks.owner))
+        follows = all_[1:][blocks.owner[1:] == blocks.owner[:-1]]
+        for k in range(len(self.names)):
+            count, last, cuts = self._walk(k, blocks, np.zeros(len(all_), np.int32), all_)
+            due = follows[last[follows - 1] != 0]  # where nothing is left open before a block, its parse from the root stands
+            while len(due):
+                was = last[due].copy()
+                got = self._walk(k, blocks, last[due - 1], due, (count, last, cuts))
+                count[due], last[due], cuts[:, due] = got
+                changed = due[last[due] != was]
+                due = changed[np.isin(changed + 1, follows)] + 1
+            end = np.append(blocks.owner[1:] != blocks.owner[:-1], True)
+            out[:, k] = np.bincount(blocks.owner, count + (end & (last != 0)), len(texts))
+        return out
+
     def rates(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Bits a character [text, language], and the number of letters of each text."""
         folded = [_folded(t or "") for t in texts]
         sizes = np.array([len(x) for x in folded])
         letters = np.array([np.count_nonzero(x) for x in folded])
+        pieces = self.pieces([self.code[x] for x in folded])
+        return pieces * np.array(self.bits) / np.maximum(sizes, 1)[:, None], letters
+
+
+class Blocks:
+    """Texts of symbols cut into blocks [place, block], the text of each block, and how long it is."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        sizes = np.array([len(x) for x in texts], np.int64)
         blocks = -(-sizes // BLOCK)
-        owner = np.repeat(np.arange(len(texts)), blocks)
-        grid = np.zeros((len(owner), BLOCK), np.int32)
-        ends = np.full(len(owner), BLOCK)
-        flat, row = grid.ravel(), 0
-        for x, n, b in zip(folded, sizes, blocks, strict=True):
-            flat[row * BLOCK : row * BLOCK + n] = self.code[x]
+        self.owner = np.repeat(np.arange(len(texts)), blocks)
+        grid, self.ends, row = np.zeros((len(self.owner), BLOCK), np.int32), np.full(len(self.owner), BLOCK), 0
+        flat = grid.ravel()
+        for x, n, b in zip(texts, sizes.tolist(), blocks.tolist(), strict=True):
+            flat[row * BLOCK : row * BLOCK + n] = x
             row += b
             if b:
-                ends[row - 1] = n - (b - 1) * BLOCK
-        order = np.argsort(-ends, kind="stable")
-        columns, ends, owner = np.ascontiguousarray(grid[order].T), ends[order], owner[order]
-        wide = [(at := np.flatnonzero(c >= self.alphabet), c[at]) if most >= self.alphabet else None for c, most in zip(columns, columns.max(axis=1, initial=0), strict=True)]
-        columns = np.minimum(columns, LETTERS + 1).astype(np.uint8)
-        live = np.searchsorted(-ends, -np.arange(BLOCK), side="left")  # blocks of more characters than so many
-        pieces = np.zeros((len(texts), len(self.tables)))
-        for k, (to, (keys, targets)) in enumerate(zip(self.tables, self.rare, strict=True)):
-            state, count = np.zeros(len(owner), np.int32), np.zeros(len(owner), np.int32)
-            for i in range(BLOCK):
-                n = live[i]
-                if not n:
-                    break
-                s = to[state[:n] + columns[i, :n]]
-                if wide[i] is not None:
-                    at, c = wide[i]
-                    key = state[at] // self.alphabet * np.int64(self.width) + c
-                    place = np.searchsorted(keys[:-1], key)
-                    s[at] = np.where(keys[place] == key, targets[place], 0)
-                state[:n] = s
-                count[:n] += s == 0
-            count += state != 0
-            pieces[:, k] = np.bincount(owner, count, len(texts))
-        return pieces * np.array(self.bits) / np.maximum(sizes, 1)[:, None], letters
+                self.ends[row - 1] = n - (b - 1) * BLOCK
+        self.symbols = np.ascontiguousarray(grid.T)
 
 
 def sample(labelled: DataFrame, documents: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS) -> dict[str, str]:
-    """For each label, the beginnings of `documents` of its different texts, chosen by the texts' hashes. Bounded by its two parameters."""
-    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", F.xxhash64("text").alias("h"), "text")
-    few = rows.select("lang", "h").distinct()
+    """For each label, `documents` of its different texts, whole, chosen by the texts' hashes; those of at most `characters` characters first, of longer ones the shortest."""
+    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", F.xxhash64("text").alias("h"), F.greatest(F.length("text"), F.lit(characters)).alias("size"), "text")
+    few = rows.select("lang", "size", "h").distinct()
     # best of each of 64 parts first, so that no task holds a whole language
     for keys in (["lang", F.pmod("h", F.lit(64))], ["lang"]):
-        few = few.withColumn("nth", F.row_number().over(W.partitionBy(*keys).orderBy("h"))).filter(F.col("nth") <= documents).drop("nth")
-    begun = rows.select("lang", "h", F.substring("text", 1, characters).alias("text"))
+        few = few.withColumn("nth", F.row_number().over(W.partitionBy(*keys).orderBy("size", "h"))).filter(F.col("nth") <= documents).drop("nth")
     got: dict[str, list] = {}
-    for r in begun.join(F.broadcast(few), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).collect():
+    for r in rows.join(F.broadcast(few.select("lang", "h")), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).collect():
         got.setdefault(r["lang"], []).append((r["h"], r["text"]))
     return {k: "\n".join(t for _, t in sorted(v)) for k, v in got.items()}
 
