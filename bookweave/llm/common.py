@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,9 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none (tests)."""
+    """The folder that driver and executors share; one of our own only where the session names none and all runs in one process (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -44,7 +47,8 @@ def discard(df: DataFrame) -> None:
 def small_batches(spark: SparkSession, mb: int = 8) -> None:
     """Whole documents go to Python in batches of at most so many megabytes, which bounds a worker's memory."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key).removesuffix("b")) > mb << 20:
+    number, unit = re.fullmatch(r"(-?[0-9]+)\s*([kmgt]?)b?", spark.conf.get(key).strip().lower()).groups()
+    if int(number) << 10 * " kmgt".index(unit or " ") > mb << 20 or int(number) <= 0:
         spark.conf.set(key, str(mb << 20))
 
 

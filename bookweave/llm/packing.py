@@ -29,8 +29,8 @@ CAPACITY = 2048
 END = 0
 #: Steps of the search, after its first way down, after which the best plan so far is taken; and how many steps it can go back.
 NODES, DEEP = 2000, 64
-#: Parts into which pieces of one length are dealt for ranking.
-PARTS = 256
+#: Pieces that a part has, into which pieces of one length are dealt for ranking.
+PART = 50_000
 
 _CODER: dict = {}
 
@@ -51,7 +51,7 @@ def _coder(folder: str | None):
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, folder: str | None = None) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: each document's ids and a closing 0, cut if longer than capacity, the first piece taking the remainder."""
+    """doc_id, piece, start, length, ids_crc32, lot: each document's ids and a closing 0, cut if longer than capacity, the first piece taking the remainder."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,7 +70,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, folder: str | None = None)
 
     rows = docs.select(F.col("doc_id").cast("bigint").cast("string").alias("doc_id"), "text")
     out = rows.mapInPandas(run, "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint")
-    return out.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    # a drawn lot, kept with the piece, deals out even pieces that are all alike
+    return out.withColumn("doc_id", F.col("doc_id").cast("bigint")).withColumn("lot", F.floor(F.rand(7) * (1 << 30)).cast("int"))
 
 
 def least(histogram: dict[int, int], capacity: int = CAPACITY) -> int:
@@ -222,7 +223,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """cut with sequence_id and offset. cut must be a stored table: it is read twice.
+    """cut with sequence_id and offset, without lot. cut must be a stored table: it is read twice.
 
     What passes through the driver is the histogram of lengths (at most `capacity` rows) and, for each
     length, the sequences its pieces go to as ranges of ranks.
@@ -242,7 +243,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranges = {s: np.array(x, np.int64) for s, x in starts.items()}
 
     # ranks of equal lengths without a window over all of them: ranks in parts, and where each part starts
-    parts = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int"))
+    parts = cut.withColumn("part", F.col("lot") % (sum(histogram.values()) // PART + 1))
     sizes = parts.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     sizes = sizes.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -263,14 +264,15 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return pd.DataFrame(out, columns=["sequence_id", "offset"])
 
     placed = ranked.withColumn("at", seat("length", "rank"))
-    return placed.select(*cut.columns, "at.sequence_id", "at.offset")
+    return placed.select(*(c for c in cut.columns if c != "lot"), "at.sequence_id", "at.offset")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, folder: str | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null and empty texts are one token, the closing 0. Repeated rows are packed each. A text longer than
-    capacity is cut. An empty table gives no rows.
+    capacity is cut. Pieces of one length are all alike to the packing: which of them goes where is drawn.
+    Columns but doc_id and text are left behind. An empty table gives no rows.
     """
     return pack(stored(pieces(docs, capacity, folder), "pieces"), capacity)
 
