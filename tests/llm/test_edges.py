@@ -30,13 +30,20 @@ def test_sharding(docs, nothing):
     by = {}
     for r in rows:
         by.setdefault(r.shard, []).append(r.slot)
-        t = (r.text or "").encode()
-        assert r["size"] == len(t) + 16 and r.text_crc32 == zlib.crc32(t) and r.law == "rows" and r.grown_shard is None
     assert all(sorted(v) == list(range(len(v))) for v in by.values()) and max(map(len, by.values())) - min(map(len, by.values())) <= 1
     assert sorted((r.doc_id or -1, r.text or "") for r in rows) == sorted((d or -1, t or "") for d, t in ROWS)
     assert sharding.shard_records(nothing).count() == 0
 
 
+def test_shard_query(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = sharding.op2_sharding(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        t = docs[r.doc_id].encode()
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(t) + 16, zlib.crc32(t), "rows", None)
+
+
 def test_shards_are_mixed_and_written(spark, tmp_path):
     docs = spark.range(2000).selectExpr("id AS doc_id", "concat('t', id) AS text")
     out = sharding.shard_records(docs, shards=7, bucket_bytes=4096)
@@ -81,6 +88,8 @@ def test_contaminated(spark, docs, nothing):
     more = spark.createDataFrame([(20, "pre " + " ".join(words) + " post"), (21, " ".join(changed)), (22, " ".join(reversed(words))), (23, " ".join(words[:8])), (20, "pre " + " ".join(words) + " post")], "doc_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs.select("doc_id", "text").union(more), bench).collect()}
     assert got == {(20, 1), (21, 1)}
+    kept = decontaminate.decontaminate(docs.select("doc_id", "text").union(more).union(spark.createDataFrame([(None, " ".join(words)), (1, " ".join(words))], "doc_id long, text string")), bench)
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted([d or -1 for d, _ in ROWS] + [22, 23])
     assert decontaminate.contaminated(nothing, bench).count() == 0 and decontaminate.contaminated(docs, bench.limit(0)).count() == 0
     assert decontaminate.decontaminate(docs, bench).count() == len(ROWS)
 
