@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bookweave.functions.scalars import in_class, time_of_day
+from bookweave.functions.scalars import PREFIXES, in_class, time_of_day
 from bookweave.schema import BOOK
 
 FIFTEEN = 54_000_000
@@ -18,6 +18,15 @@ def in_universe(universe: str) -> Column:
     return {"stocks": stock, "etfs": etf, "both": stock | etf}[universe]
 
 
+def checked_symbols(symbols: list[str]) -> list[str]:
+    """An explicit list of symbols; an empty one, or a symbol of no supported class, is refused."""
+    known = {p for ps in PREFIXES.values() for p in ps}
+    wrong = [s for s in symbols if not (len(s) == 6 and s.isascii() and s.isdigit() and s[:3] in known)]
+    if not symbols or wrong:
+        raise ValueError(f"symbols {wrong or symbols}")
+    return sorted(set(symbols))
+
+
 def select_symbols(events: DataFrame, symbols: DataFrame) -> DataFrame:
     """Rows of the listed (market, symbol) pairs."""
     return events.join(symbols.select("market", "symbol").distinct(), ["market", "symbol"], "left_semi")
@@ -46,15 +55,10 @@ def sequence_regressions(rows: DataFrame, key: list[str], order: str = "source_r
 
 
 def natural_runs(rows: DataFrame, key: list[str], order: str = "source_row", seq: str = "seq") -> DataFrame:
-    """For each key: rows, ascending runs in source order, duplicates, and merge passes of a 32-way merge."""
+    """For each key: rows, ascending runs in source order, and duplicates."""
     w = W.partitionBy(*key).orderBy(order)
     marked = rows.withColumn("__down", (F.col(seq) < F.lag(seq).over(w)).cast("int"))
-    out = marked.groupBy(*key).agg(F.count("*").alias("rows"), (F.coalesce(F.sum("__down"), F.lit(0)) + 1).alias("runs"), (F.count(seq) - F.count_distinct(seq)).alias("duplicates"))
-    passes, reach = F.lit(0), 1
-    for k in range(1, 9):  # ceil(log32(runs)) without floating point
-        passes = passes + (F.col("runs") > F.lit(reach)).cast("int")
-        reach *= 32
-    return out.withColumn("merge_passes", passes)
+    return marked.groupBy(*key).agg(F.count("*").alias("rows"), (F.coalesce(F.sum("__down"), F.lit(0)) + 1).alias("runs"), (F.count(seq) - F.count_distinct(seq)).alias("duplicates"))
 
 
 def duplicate_sequences(*streams: DataFrame, key: list[str] = ("market", "trading_day", "channel")) -> DataFrame:
@@ -98,12 +102,17 @@ def observed_symbols(*frames: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def run_counters(events: DataFrame, universe: str = "both") -> DataFrame:
+def run_counters(events: DataFrame, universe: str = "both", cutoff_ms: Column | None = None) -> DataFrame:
     """One row: input rows, rows by class, channels, symbols, applied and status rows of what is selected."""
-    c = row_class(universe)
+    return class_counters(events.withColumn("row_class", row_class(universe, cutoff_ms)))
+
+
+def class_counters(events: DataFrame) -> DataFrame:
+    """run_counters of rows whose row_class is known."""
+    c = F.col("row_class")
     chosen = c == "selected"
     return events.agg(
-        F.count("*").alias("input_rows"), *(F.count_if(c == k).alias(k) for k in ("selected", "unsupported", "unselected")),
+        F.count("*").alias("input_rows"), *(F.count_if(c == k).alias(k) for k in ("selected", "unsupported", "unselected", "after_cutoff")),
         F.count_distinct(F.when(chosen, F.col("channel"))).alias("channels"), F.count_distinct(F.when(chosen, F.struct(*BOOK))).alias("symbols"),
         F.count_if(chosen & (F.col("kind") != "S")).alias("applied"), F.count_if(chosen & (F.col("kind") == "S")).alias("status_rows"),
     )

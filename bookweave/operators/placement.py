@@ -8,6 +8,8 @@ a placement is a change of +remaining, and only what follows it shows.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,14 +41,17 @@ class _Side:
         return self.sign * self.heap[0] if self.heap else None
 
 
-def fold(events: list[dict], policy: str) -> list[tuple]:
+def fold(events: Iterable[dict], policy: str) -> Iterator[tuple]:
     """(what, side, order_no, rest_seq, sub_seq, price, remaining, code) for one book's events in native order.
 
     what: placement, group (a closed response group; code `completed`, `cancelled`, or `inferred`) or violation.
+    Only live orders, live levels and one event ahead are held.
     """
     sides = {"B": _Side(-1), "S": _Side(1)}
     orders: dict[tuple[str, int], dict] = {}
     out: list[tuple] = []
+    rows = iter(events)
+    ahead = next(rows, None)
 
     def rest(side, no, o, seq, sub):
         o["visible"] = True
@@ -62,6 +67,8 @@ def fold(events: list[dict], policy: str) -> list[tuple]:
         o["left"] -= q
         if o["visible"]:
             sides[side].change(o["price"], -q)
+        if not o["left"]:
+            del orders[side, no]
         return o
 
     def inside(side, price):
@@ -82,10 +89,8 @@ def fold(events: list[dict], policy: str) -> list[tuple]:
                 if inside(side, o["price"]):
                     rest(side, no, o, e["seq"], sub)
 
-    i, n = 0, len(events)
-    while i < n:
-        e = events[i]
-        i += 1
+    while ahead is not None:
+        e, ahead = ahead, next(rows, None)
         if e["kind"] == "T":
             trade(e)
         elif e["kind"] == "C":
@@ -117,8 +122,8 @@ def fold(events: list[dict], policy: str) -> list[tuple]:
                 # the executions that follow at once, and nothing else, tell what became of it
                 o["never"], prices, code = True, set(), None
                 seq, size = e["seq"], 0
-                while i < n and o["left"] > 0 and size < GROUP_LIMIT:
-                    r = events[i]
+                while ahead is not None and o["left"] > 0 and size < GROUP_LIMIT:
+                    r = ahead
                     named = r["kind"] in "TC" and (r["bid_no"] if side == "B" else r["ask_no"]) == no
                     if not named:
                         break
@@ -140,35 +145,43 @@ def fold(events: list[dict], policy: str) -> list[tuple]:
                             break
                         take(side, no, 1 << 62, r["seq"])
                         code = "cancelled"
-                    seq, size, i = r["seq"], size + 1, i + 1
+                    seq, size, ahead = r["seq"], size + 1, next(rows, None)
                 if o["left"] == 0:
                     out.append(("group", side, no, seq, size, None, 0, code or "completed"))
-                elif kind == "market" and policy == "assume_contiguous" and code is None and size and prices == {theirs} and i < n and events[i]["seq"] == seq + 1:
+                elif kind == "market" and policy == "assume_contiguous" and code is None and size and prices == {theirs} and ahead is not None and ahead["seq"] == seq + 1:
                     o["price"] = theirs
                     out.append(("group", side, no, seq, size, theirs, o["left"], "inferred"))
                     rest(side, no, o, seq, 0 if side == "B" else 1)
                 else:
                     out.append(("violation", side, no, seq, size, None, o["left"], code or "no_completion_evidence"))
-    return out
+        yield from out
+        out.clear()
 
 
 def placements(events: DataFrame, policy: str = "rest_at_last_trade") -> DataFrame:
-    """Placements, response groups and violations of every book; see fold. A task holds one book of eight narrow columns."""
+    """Placements, response groups and violations of every book; see fold. A task reads its books in order, a batch of narrow rows at a time."""
     if policy not in POLICIES:
         raise ValueError(f"policy {policy}")
-    names = ["what", "order_side", "order_no", "rest_seq", "sub_seq", "price", "remaining", "code"]
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
-
-    def run(key: tuple, t: pa.Table) -> pa.Table:
-        rows = fold(t.sort_by("seq").to_pylist(), policy)
-        cols = list(zip(*rows, strict=True)) or [[]] * len(names)
-        book = [pa.array([k.as_py()] * len(rows), kind) for k, kind in zip(key, (pa.string(), pa.int32(), pa.string()), strict=True)]
-        return pa.Table.from_arrays([*book, *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=[*BOOK, *names])
+    narrow = ["seq", "kind", "ord_type", "side", "bid_no", "ask_no", "price", "qty", "quote_ms"]
+    names = [c.split()[0] for c in _OUT.split(", ")]
+    kinds = [{"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}[c.split()[1]] for c in _OUT.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in [*BOOK, *narrow]), strict=True))
+        out: list[tuple] = []
+        for book, events in groupby(rows, key=lambda r: r[:3]):
+            for x in fold((dict(zip(narrow, r[3:], strict=True)) for r in events), policy):
+                out.append((*book, *x))
+                if len(out) == 10_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+                    out.clear()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     # books of limit orders alone need no fold
     other = events.filter("kind = 'A' AND coalesce(ord_type, 'limit') <> 'limit'").select(*BOOK).distinct()
-    narrow = events.filter("kind <> 'S'").select(*BOOK, "seq", "kind", "ord_type", "side", "bid_no", "ask_no", "price", "qty", "quote_ms").join(other, BOOK, "left_semi")
-    return narrow.groupBy(*BOOK).applyInArrow(run, _OUT)
+    rows = events.filter("kind <> 'S'").select(*BOOK, *narrow).join(other, BOOK, "left_semi")
+    return rows.repartition(*BOOK).sortWithinPartitions(*BOOK, "seq").mapInArrow(run, _OUT)
 
 
 def placed_deltas(events: DataFrame, led: DataFrame, placed: DataFrame) -> DataFrame:

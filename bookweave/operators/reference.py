@@ -20,8 +20,11 @@ OPEN_FROM, OPEN_TO = 33_900_000, 34_200_000  # 09:25 and 09:30
 NOT_APPLICABLE, REPEATED, UNEXPECTED, MISSING, OUTSIDE = "status_not_applicable", "additional_static_frame", "unexpected_phase_transition", "missing_normal_predecessor", "outside_selection_window"
 
 
-def select_phases(frames: DataFrame, order: str = "source_row") -> DataFrame:
-    """frames (book, status, quote_ms, order) with anchor (pre_open, continuous or market_close; null if skipped) and skip_reason."""
+def select_phases(frames: DataFrame, order: str = "source_row", pre_open_only: bool = False) -> DataFrame:
+    """frames (book, status, quote_ms, order) with anchor (pre_open, continuous or market_close; null if skipped) and skip_reason.
+
+    With pre_open_only, frames of other anchors do not apply.
+    """
     w = W.partitionBy(*BOOK).orderBy(order)
     before = w.rowsBetween(W.unboundedPreceding, -1)
     ever = lambda c: F.coalesce(F.max(c.cast("int")).over(before), F.lit(0)) == 1
@@ -61,13 +64,21 @@ def select_phases(frames: DataFrame, order: str = "source_row") -> DataFrame:
         .when(t("__call"), F.when(t("__closed"), UNEXPECTED).otherwise(NOT_APPLICABLE))
         .otherwise(NOT_APPLICABLE)
     )
-    return f.withColumn("anchor", anchor).withColumn("skip_reason", F.when(F.col("anchor").isNull(), reason)).select(*frames.columns, "anchor", "skip_reason")
+    f = f.withColumn("anchor", anchor).withColumn("skip_reason", F.when(F.col("anchor").isNull(), reason)).withColumn("previous_status", F.col("__prev"))
+    if pre_open_only:
+        other = F.col("anchor") != "pre_open"
+        f = f.withColumns({"skip_reason": F.when(other, NOT_APPLICABLE).otherwise(F.col("skip_reason")), "anchor": F.when(~other, F.col("anchor"))})
+    return f.select(*frames.columns, "previous_status", "anchor", "skip_reason")
 
 
 def position_faults(frames: DataFrame, order: str = "source_row") -> DataFrame:
-    """Frames whose time is before the one above them in their book, selected or not."""
-    w = W.partitionBy(*BOOK).orderBy(order)
-    return frames.withColumn("previous_ms", F.lag("quote_ms").over(w)).filter("quote_ms < previous_ms").select(*BOOK, order, "quote_ms", "previous_ms")
+    """Frames that break their book's order, selected or not: a time before an earlier row's, or a row number that occurs twice.
+
+    Files keep no order of their own in Spark, so the order is that of the row numbers.
+    """
+    w = W.partitionBy(*BOOK).orderBy(order, "quote_ms")
+    f = frames.withColumns({"previous_ms": F.lag("quote_ms").over(w), "previous_row": F.lag(order).over(w)})
+    return f.filter(f"quote_ms < previous_ms OR {order} = previous_row").select(*BOOK, order, "quote_ms", "previous_ms")
 
 
 def duplicate_times(selected: DataFrame) -> DataFrame:
@@ -82,16 +93,29 @@ def preopen_cutoff(selected: DataFrame) -> DataFrame:
     return selected.groupBy("market", "trading_day").agg((last + 1000).alias("cutoff_ms"))
 
 
-def selection_audit(selected: DataFrame, order: str = "source_row") -> DataFrame:
-    """Per book: frames, frames by status, selected by anchor, skipped by reason with the first sample of each, and coverage."""
+#: Skip reasons of which the first frame is kept as a sample.
+SAMPLED = [MISSING, OUTSIDE, UNEXPECTED]
+
+
+def selection_audit(selected: DataFrame, symbols: DataFrame | None = None, order: str = "source_row") -> DataFrame:
+    """Per book: frames, frames by status, selected by anchor, skipped by reason, the first sample of three reasons, and coverage.
+
+    coverage: `selected`, `no_eligible_references`, or, for books of symbols (market, symbol, trading_day)
+    without any frame, `no_reference_records`.
+    """
     per = lambda c: F.map_from_entries(F.array_sort(F.collect_list(F.struct(c, "n"))))
     total = selected.groupBy(*BOOK).agg(
         F.count("*").alias("frames"), F.count("anchor").alias("selected"), *(F.count_if(F.col("anchor") == a).alias(a) for a in ("pre_open", "continuous", "market_close")),
     )
     status = selected.filter("status IS NOT NULL").groupBy(*BOOK, "status").agg(F.count("*").alias("n")).groupBy(*BOOK).agg(per("status").alias("by_status"))
-    skipped = selected.filter("skip_reason IS NOT NULL").groupBy(*BOOK, "skip_reason").agg(F.count("*").alias("n"), F.min_by("quote_ms", order).alias("first_ms"))
-    reason = skipped.groupBy(*BOOK).agg(per("skip_reason").alias("by_reason"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("skip_reason", "first_ms")))).alias("first_sample"))
-    coverage = F.when(F.col("selected") == 0, "no_eligible").when((F.col("pre_open") > 0) & (F.col("continuous") > 0) & (F.col("market_close") > 0), "complete").otherwise("partial")
+    previous = "previous_status" if "previous_status" in selected.columns else F.lit(None).cast("string").alias("previous_status")
+    sample = F.min_by(F.struct("quote_ms", F.col(order).alias("source_row"), previous, "status"), order)
+    skipped = selected.filter("skip_reason IS NOT NULL").groupBy(*BOOK, "skip_reason").agg(F.count("*").alias("n"), sample.alias("first"))
+    sampled = F.filter(F.collect_list(F.struct("skip_reason", "first")), lambda x: x["skip_reason"].isin(SAMPLED))
+    reason = skipped.groupBy(*BOOK).agg(per("skip_reason").alias("by_reason"), F.map_from_entries(F.array_sort(sampled)).alias("first_sample"))
+    if symbols is not None:
+        total = symbols.select(*BOOK).distinct().join(total, BOOK, "left").fillna(0, ["frames", "selected", "pre_open", "continuous", "market_close"])
+    coverage = F.when(F.col("selected") > 0, "selected").when(F.col("frames") > 0, "no_eligible_references").otherwise("no_reference_records")
     return total.join(status, BOOK, "left").join(reason, BOOK, "left").withColumn("coverage", coverage)
 
 

@@ -80,6 +80,12 @@ def coverage(records: DataFrame, symbols: DataFrame) -> DataFrame:
     return out.groupBy("market", "class", "anchor").agg(F.sum("frames").alias("frames"), F.count_if(F.col("frames") > 0).alias("covered"), F.count_if(F.col("frames") == 0).alias("uncovered"))
 
 
+def symbol_totals(audit: DataFrame) -> DataFrame:
+    """One row of a selection audit: symbols, and how many have selected frames, no frames, and none that is eligible."""
+    of = lambda c: F.count_if(F.col("coverage") == c)
+    return audit.agg(F.count("*").alias("symbols"), of("selected").alias("with_selected"), of("no_reference_records").alias("without_records"), of("no_eligible_references").alias("without_eligible"))
+
+
 def anchor_rank() -> Column:
     return F.array_position(F.array(*map(F.lit, ANCHORS)), F.col("anchor"))
 

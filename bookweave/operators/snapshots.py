@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bookweave.functions.scalars import day_epoch_ms, weighted_price
-from bookweave.operators.book import deltas, depth
+from bookweave.operators.book import best_order, depth
 from bookweave.schema import BOOK, LEVEL
 
 #: Milliseconds since midnight of the exchange's two sessions; a grid starts after each one's start.
@@ -47,8 +47,8 @@ def first_boundary(ms: Column, origin: Column, step_ms: int, sessions=SESSIONS)
     return c.cast("bigint")
 
 
-def level_states(changes: DataFrame, last_k: Column) -> DataFrame:
-    """(book, order_side, price, k, quantity, order_count) of every live level at every point k.
+def held_levels(changes: DataFrame, last_k: Column) -> DataFrame:
+    """(book, order_side, price, k, to_k, quantity, order_count): a live level's totals from point k to point to_k.
 
     changes: deltas with k, the number of the point at which each first shows; last_k: the last point.
     """
@@ -56,7 +56,25 @@ def level_states(changes: DataFrame, last_k: Column) -> DataFrame:
     w = W.partitionBy(*LEVEL).orderBy("k")
     upto = w.rowsBetween(W.unboundedPreceding, 0)
     held = at.select(*LEVEL, "k", F.sum("dqty").over(upto).alias("quantity"), F.sum("dcount").over(upto).alias("order_count"), (F.coalesce(F.lead("k").over(w), last_k + 1) - 1).alias("to_k"))
-    return held.filter("order_count > 0 AND to_k >= k").select(*LEVEL, F.explode(F.sequence("k", "to_k")).alias("k"), "quantity", "order_count")
+    return held.filter("order_count > 0 AND to_k >= k")
+
+
+def best_states(changes: DataFrame, last_k: Column, n: int, run: int = 64) -> DataFrame:
+    """(book, order_side, k, price, quantity, order_count, level) of the n best levels of a side at every point.
+
+    Points are taken in runs. A level that n others beat all through a run is never among the best in it,
+    so only the few others are laid out point by point.
+    """
+    part = F.floor(F.col("k") / run)
+    held = held_levels(changes, last_k).withColumn("run", F.explode(F.sequence(part, F.floor(F.col("to_k") / run))))
+    first, last = F.greatest(F.col("k"), F.col("run") * run), F.least(F.col("to_k"), F.col("run") * run + run - 1)
+    of = held.select(*LEVEL, "run", F.struct(first.alias("k"), last.alias("to_k"), "quantity", "order_count").alias("x"))
+    rows = of.groupBy(*LEVEL, "run").agg(F.sum(F.col("x.to_k") - F.col("x.k") + 1).alias("points"), F.collect_list("x").alias("held"))
+    # a level's first and last run may be cut short by the grid's ends; it then only counts as not there all through
+    better = W.partitionBy(*BOOK, "order_side", "run").orderBy(best_order(F.col("order_side"), F.col("price"))).rowsBetween(W.unboundedPreceding, -1)
+    near = rows.withColumn("beaten", F.coalesce(F.count_if(F.col("points") == run).over(better), F.lit(0))).filter(F.col("beaten") < n)
+    each = near.select(*LEVEL, F.explode("held").alias("x")).select(*LEVEL, F.explode(F.sequence("x.k", "x.to_k")).alias("k"), "x.quantity", "x.order_count")
+    return depth(each, n, [*BOOK, "k"])
 
 
 def grid_points(symbols: DataFrame, n: int) -> DataFrame:
@@ -64,62 +82,100 @@ def grid_points(symbols: DataFrame, n: int) -> DataFrame:
     return symbols.select(*BOOK).distinct().withColumn("k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(n).cast("bigint"))))
 
 
-def scheduled(events: DataFrame, led: DataFrame, points: DataFrame, k: Column, last_k: Column, n: int = 10) -> DataFrame:
-    """Snapshots: for each point the trade statistics, both sides' totals and averages and the n best levels as arrays.
+def _zero(c) -> Column:
+    return F.coalesce(c, F.lit(0))
+
+
+def point_stats(events: DataFrame, changes: DataFrame, points: DataFrame, k: Column) -> DataFrame:
+    """For each point: trade statistics, both sides' totals and averages, and times of the last event before it.
 
     k: number of the point at which an event first shows (over quote_ms, or seq for close snapshots).
+    Everything is a running sum of what each point adds; no level is looked at.
     """
-    shown = events.filter("kind <> 'S'").withColumn("k", k)
-    t = shown.filter("kind = 'T' AND k IS NOT NULL").groupBy(*BOOK, "k").agg(
-        F.max_by("price", "seq").alias("p"), F.max("price").alias("h"), F.min("price").alias("l"), F.sum("qty").alias("q"),
-        F.sum(F.col("price").cast("decimal(19,0)") * F.col("qty").cast("decimal(19,0)")).alias("m"), F.count("*").alias("c"),
+    shown = events.filter("kind <> 'S'").withColumn("k", k).filter("k IS NOT NULL")
+    trade = F.col("kind") == "T"
+    price, qty = F.when(trade, F.col("price")), F.when(trade, F.col("qty"))
+    local = F.col("local_ms") if "local_ms" in events.columns else F.lit(None).cast("bigint")
+    t = shown.groupBy(*BOOK, "k").agg(
+        F.max_by(price, F.when(trade, F.col("seq"))).alias("p"), F.max(price).alias("h"), F.min(price).alias("l"), F.sum(qty).alias("q"),
+        F.sum(price.cast("decimal(19,0)") * qty.cast("decimal(19,0)")).alias("m"), F.count(qty).alias("c"),
+        F.max_by("quote_ms", "seq").alias("qt"), F.max_by(local, "seq").alias("lt"),
     )
+    of = lambda s, c: F.sum(F.when(F.col("order_side") == s, c))
+    money = F.col("price").cast("decimal(19,0)") * F.col("dqty").cast("decimal(19,0)")
+    d = changes.withColumn("k", k).filter("k IS NOT NULL").groupBy(*BOOK, "k").agg(of("B", F.col("dqty")).alias("bq"), of("S", F.col("dqty")).alias("sq"), of("B", money).alias("bm"), of("S", money).alias("sm"))
     upto = W.partitionBy(*BOOK).orderBy("k").rowsBetween(W.unboundedPreceding, 0)
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    stats = points.join(t, [*BOOK, "k"], "left").select(
-        *BOOK, "k", F.last("p", True).over(upto).alias("last_price"), F.max("h").over(upto).alias("high_price"), F.min("l").over(upto).alias("low_price"),
-        zero(F.sum("q").over(upto)).alias("volume"), zero(F.sum("m").over(upto)).cast("decimal(38,0)").alias("turnover"), zero(F.sum("c").over(upto)).alias("trades"),
+    run = lambda c: _zero(F.sum(c).over(upto))
+    big = lambda c: run(c).cast("decimal(38,0)")
+    out = points.join(t, [*BOOK, "k"], "left").join(d, [*BOOK, "k"], "left").select(
+        *points.columns, F.last("p", True).over(upto).alias("last_price"), F.max("h").over(upto).alias("high_price"), F.min("l").over(upto).alias("low_price"),
+        run("q").alias("volume"), big("m").alias("turnover"), run("c").alias("trades"), run("bq").alias("bid_total"), run("sq").alias("ask_total"), big("bm").alias("bid_amount"), big("sm").alias("ask_amount"),
+        F.last("qt", True).over(upto).alias("last_quote_ms"), F.last("lt", True).over(upto).alias("last_local_ms"),
     )
-    levels = level_states(deltas(led).withColumn("k", k), last_k)
-    amount = F.sum(F.col("price").cast("decimal(19,0)") * F.col("quantity").cast("decimal(19,0)"))
-    side = levels.groupBy(*BOOK, "k").pivot("order_side", ["B", "S"]).agg(F.sum("quantity").alias("q"), amount.alias("m"))
-    best = depth(levels, n, [*BOOK, "k"])
+    return out.withColumns({"bid_vwap": weighted_price(F.col("bid_amount"), F.col("bid_total")), "ask_vwap": weighted_price(F.col("ask_amount"), F.col("ask_total"))})
+
+
+LEVELS_TYPE = "array<struct<price:bigint,quantity:bigint,order_count:bigint>>"
+
+
+def level_arrays(best: DataFrame, keys: list[str]) -> DataFrame:
+    """keys with bids and asks, the levels of each side in order, from rows with order_side, level, price, quantity, order_count."""
     row = F.struct("level", "price", "quantity", "order_count")
-    of = lambda s: F.transform(F.array_sort(F.filter(F.collect_list(F.when(F.col("order_side") == s, row)), lambda x: x.isNotNull())), lambda x: F.struct(x["price"].alias("price"), x["quantity"].alias("quantity"), x["order_count"].alias("order_count")))
-    books = best.groupBy(*BOOK, "k").agg(of("B").alias("bids"), of("S").alias("asks"))
-    none = F.array().cast("array<struct<price:bigint,quantity:bigint,order_count:bigint>>")
-    return stats.join(side, [*BOOK, "k"], "left").join(books, [*BOOK, "k"], "left").select(
-        *stats.columns, zero("B_q").alias("bid_total"), zero("S_q").alias("ask_total"),
-        weighted_price(F.col("B_m"), F.col("B_q")).alias("bid_vwap"), weighted_price(F.col("S_m"), F.col("S_q")).alias("ask_vwap"),
-        F.coalesce("bids", none).alias("bids"), F.coalesce("asks", none).alias("asks"),
-    )
+    of = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("order_side") == s, row))), lambda x: F.struct(x["price"].alias("price"), x["quantity"].alias("quantity"), x["order_count"].alias("order_count")))
+    return best.groupBy(*keys).agg(of("B").alias("bids"), of("S").alias("asks"))
+
+
+def scheduled(events: DataFrame, changes: DataFrame, points: DataFrame, k: Column, last_k: Column, n: int = 10) -> DataFrame:
+    """Snapshots: point_stats, and the n best levels of both sides as arrays. changes: visible ones, as deltas or placed_deltas give them."""
+    books = level_arrays(best_states(changes.withColumn("k", k), last_k, n), [*BOOK, "k"])
+    none = F.array().cast(LEVELS_TYPE)
+    return point_stats(events, changes, points, k).join(books, [*BOOK, "k"], "left").withColumns({c: F.coalesce(c, none) for c in ("bids", "asks")})
 
 
 def close_cut(events: DataFrame) -> DataFrame:
-    """(book, cut_seq, boundary_ms): SH closes at its first CLOSE row, by native order; SZ after all input, at 15:00 or its last quote if later."""
+    """(book, cut_seq, boundary_ms), cut_seq being the last event that counts: SH closes at its first CLOSE row, by native order; SZ after all input, at 15:00 or its last quote if later."""
     is_close = (F.col("kind") == "S") & (F.col("status") == "CLOSE")
     sz_end = F.greatest(day_epoch_ms(F.col("trading_day")) - 28_800_000 + 54_000_000, F.max(F.when(F.col("kind") != "S", F.col("quote_ms"))))
-    cut = events.groupBy(*BOOK).agg(
-        F.min(F.when(is_close, F.col("seq"))).alias("close_seq"), F.min_by("quote_ms", F.when(is_close, F.col("seq"))).alias("close_ms"),
-        F.max("seq").alias("last_seq"), sz_end.alias("end_ms"),
+    close = F.min(F.when(is_close, F.col("seq"))).over(W.partitionBy(*BOOK))
+    cut = events.withColumn("__close", close).groupBy(*BOOK).agg(
+        F.min("__close").alias("close_seq"), F.min_by("quote_ms", F.when(is_close, F.col("seq"))).alias("close_ms"),
+        F.max(F.when((F.col("kind") != "S") & (F.col("seq") < F.col("__close")), F.col("seq"))).alias("before_seq"), F.max("seq").alias("last_seq"), sz_end.alias("end_ms"),
     )
     sh = F.col("market") == "SH"
-    return cut.select(*BOOK, F.when(sh, F.col("close_seq") - 1).otherwise(F.col("last_seq")).alias("cut_seq"), F.when(sh, F.col("close_ms")).otherwise(F.col("end_ms")).alias("boundary_ms")).filter("cut_seq IS NOT NULL")
+    return cut.select(*BOOK, F.when(sh, F.coalesce("before_seq", F.col("close_seq") - 1)).otherwise(F.col("last_seq")).alias("cut_seq"), F.when(sh, F.col("close_ms")).otherwise(F.col("end_ms")).alias("boundary_ms")).filter("cut_seq IS NOT NULL")
 
 
-def close_snapshots(events: DataFrame, led: DataFrame, n: int = 10) -> DataFrame:
+def close_snapshots(events: DataFrame, changes: DataFrame, n: int = 10, cut: DataFrame | None = None) -> DataFrame:
     """One closing snapshot per book that closes."""
-    cut = close_cut(events)
+    cut = close_cut(events) if cut is None else cut
     before = lambda df: df.join(cut.select(*BOOK, "cut_seq"), BOOK).filter("seq <= cut_seq")
-    points = cut.select(*BOOK, F.lit(1).cast("bigint").alias("k"))
+    points = cut.select(*BOOK, F.lit(1).cast("bigint").alias("k"), "boundary_ms")
     one = F.lit(1).cast("bigint")
     k = F.when(F.col("seq").isNotNull(), one)  # not a plain literal: Spark 4.1 loses columns of windows ordered by one
-    return scheduled(before(events), before(led), points, k, one, n).join(cut.select(*BOOK, "boundary_ms"), BOOK).drop("k")
+    return scheduled(before(events), before(changes), points, k, one, n).drop("k")
 
 
-def grid_snapshots(events: DataFrame, led: DataFrame, step_ms: int, n: int = 10, sessions=SESSIONS, origin: Column | None = None) -> DataFrame:
-    """Snapshots of every book at every boundary of the grid, with boundary_ms; states are those strictly before it."""
+def _grid(events: DataFrame, step_ms: int, sessions, origin: Column | None) -> tuple[DataFrame, Column, int]:
     origin = day_epoch_ms(F.col("trading_day")) - 28_800_000 if origin is None else origin
     last = sum(boundary_count(step_ms, sessions))
-    out = scheduled(events, led, grid_points(events, last), first_boundary(F.col("quote_ms"), origin, step_ms, sessions), F.lit(last).cast("bigint"), n)
-    return out.withColumn("boundary_ms", boundary_time(F.col("k"), origin, step_ms, sessions))
+    points = grid_points(events, last).withColumn("boundary_ms", boundary_time(F.col("k"), origin, step_ms, sessions))
+    return points, first_boundary(F.col("quote_ms"), origin, step_ms, sessions), last
+
+
+def grid_stats(events: DataFrame, changes: DataFrame, step_ms: int, sessions=SESSIONS, origin: Column | None = None) -> DataFrame:
+    """point_stats of every book at every boundary of the grid, with boundary_ms."""
+    points, k, _ = _grid(events, step_ms, sessions, origin)
+    return point_stats(events, changes, points, k)
+
+
+def grid_depth(events: DataFrame, changes: DataFrame, step_ms: int, n: int = 10, sessions=SESSIONS, origin: Column | None = None) -> DataFrame:
+    """(book, boundary_ms, k, order_side, level, price, quantity, order_count) of the n best levels at every boundary of the grid."""
+    points, k, last = _grid(events, step_ms, sessions, origin)
+    origin = day_epoch_ms(F.col("trading_day")) - 28_800_000 if origin is None else origin
+    return best_states(changes.withColumn("k", k), F.lit(last).cast("bigint"), n).withColumn("boundary_ms", boundary_time(F.col("k"), origin, step_ms, sessions))
+
+
+def grid_snapshots(events: DataFrame, changes: DataFrame, step_ms: int, n: int = 10, sessions=SESSIONS, origin: Column | None = None) -> DataFrame:
+    """Snapshots of every book at every boundary of the grid, with boundary_ms; states are those strictly before it."""
+    points, k, last = _grid(events, step_ms, sessions, origin)
+    return scheduled(events, changes, points, k, F.lit(last).cast("bigint"), n)

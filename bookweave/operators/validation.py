@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bookweave.functions.scalars import in_class, time_of_day, weighted_match, weighted_price, weighted_price_q
-from bookweave.operators.book import turnover
+from bookweave.functions.scalars import close_band, in_class, quantum, symbol_class, time_of_day, turnover_compat, weighted_match, weighted_price_q
+from bookweave.operators.book import depth, turnover
+from bookweave.operators.snapshots import LEVELS_TYPE, level_arrays
 from bookweave.schema import BOOK
 
 EXACT = ["last_price", "high_price", "low_price", "volume", "turnover", "trades", "bid_total", "ask_total"]
@@ -27,10 +28,14 @@ def look_ahead() -> Column:
     return F.when((m == "SZ") & in_class(m, s, "etf"), 1100).when((m == "SZ") & in_class(m, s, "chinext"), 3000).otherwise(1000)
 
 
-def with_window(frames: DataFrame, back_ms: int | None = None, ahead_ms: int | None = None) -> DataFrame:
+#: How far a window may be set to look back and ahead.
+LIMITS_MS = (1000, 3000)
+
+
+def with_window(frames: DataFrame, back_ms: int | None = None, ahead_ms: int | None = None, limit_ms: tuple[int, int] = LIMITS_MS) -> DataFrame:
     """frames with win_from, win_to (exclusive) and whether a default was overridden (a diagnostic run). Pre-open windows are one second from the frame on."""
-    if back_ms is not None and not 0 <= back_ms or ahead_ms is not None and ahead_ms < 1:
-        raise ValueError("a window can't be negative or empty")
+    if back_ms is not None and not 0 <= back_ms <= limit_ms[0] or ahead_ms is not None and not 1 <= ahead_ms <= limit_ms[1]:
+        raise ValueError(f"a window looks back at most {limit_ms[0]} and ahead 1 to {limit_ms[1]} milliseconds")
     back, ahead = look_back() if back_ms is None else F.lit(back_ms), look_ahead() if ahead_ms is None else F.lit(ahead_ms)
     pre = F.col("anchor") == "pre_open" if "anchor" in frames.columns else F.lit(False)
     return frames.withColumns({
@@ -39,24 +44,31 @@ def with_window(frames: DataFrame, back_ms: int | None = None, ahead_ms: int | N
     })
 
 
-def states(events: DataFrame, led: DataFrame) -> DataFrame:
-    """The ten scalar fields of a book after each of its events (seq), with quote_ms and the latest time before (high_ms)."""
+def price_quantum() -> Column:
+    """The quantum of a row's market and symbol."""
+    return quantum(F.col("market"), symbol_class(F.col("market"), F.col("symbol")))
+
+
+def states(events: DataFrame, changes: DataFrame) -> DataFrame:
+    """The ten scalar fields of a book after each of its events (seq), with quote_ms, the latest time before (high_ms) and apply_seq.
+
+    changes: visible ones, as deltas or placed_deltas give them. Sides' averages are rounded once, to the
+    quantum at which the exchange publishes them.
+    """
     w = W.partitionBy(*BOOK).orderBy("seq")
     upto, before = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(W.unboundedPreceding, -1)
-    add = F.col("ref_status") == "add"
-    dq = F.when(F.col("ref_status").isin("add", "active"), F.col("remaining_after") - F.when(add, 0).otherwise(F.col("remaining_before"))).otherwise(0)
     side = lambda s, c: F.sum(F.when(F.col("order_side") == s, c).otherwise(0))
-    money = F.col("order_price").cast("decimal(19,0)") * dq.cast("decimal(19,0)")
-    moved = led.groupBy(*BOOK, "seq").agg(side("B", dq).alias("bq"), side("S", dq).alias("sq"), side("B", money).alias("bm"), side("S", money).alias("sm"))
+    money = F.col("price").cast("decimal(19,0)") * F.col("dqty").cast("decimal(19,0)")
+    moved = changes.groupBy(*BOOK, "seq").agg(side("B", F.col("dqty")).alias("bq"), side("S", F.col("dqty")).alias("sq"), side("B", money).alias("bm"), side("S", money).alias("sm"))
     price, qty = (F.when(F.col("kind") == "T", F.col(c)) for c in ("price", "qty"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     out = events.filter("kind <> 'S'").join(moved, [*BOOK, "seq"], "left").select(
-        *BOOK, "seq", "quote_ms", F.max("quote_ms").over(before).alias("high_ms"), F.lead("seq").over(w).alias("next_seq"),
+        *BOOK, "seq", "quote_ms", F.max("quote_ms").over(before).alias("high_ms"), F.row_number().over(w).alias("apply_seq"),
         F.last(price, True).over(upto).alias("last_price"), F.max(price).over(upto).alias("high_price"), F.min(price).over(upto).alias("low_price"),
         zero(F.sum(qty).over(upto)).alias("volume"), F.coalesce(F.sum(price.cast("decimal(19,0)") * qty.cast("decimal(19,0)")).over(upto), F.lit(0).cast("decimal(38,0)")).alias("turnover"),
         F.count(qty).over(upto).alias("trades"), *(F.sum(zero(F.col(c))).over(upto).alias(n) for c, n in (("bq", "bid_total"), ("sq", "ask_total"), ("bm", "__bm"), ("sm", "__sm"))),
     )
-    return out.withColumns({"bid_vwap": weighted_price(F.col("__bm"), F.col("bid_total")), "ask_vwap": weighted_price(F.col("__sm"), F.col("ask_total"))}).drop("__bm", "__sm")
+    return out.withColumns({"bid_vwap": weighted_price_q(F.col("__bm"), F.col("bid_total"), price_quantum()), "ask_vwap": weighted_price_q(F.col("__sm"), F.col("ask_total"), price_quantum())}).drop("__bm", "__sm")
 
 
 def candidates(frames: DataFrame, points: DataFrame, width_ms: int = 1000) -> DataFrame:
@@ -83,9 +95,16 @@ def candidates(frames: DataFrame, points: DataFrame, width_ms: int = 1000) -> Da
 
 
 def differing(pairs: DataFrame, fields: list[str] = FIELDS) -> Column:
-    """Array of (field, expected, actual) of the fields in which e_<field> and <field> differ."""
+    """Array of (field, expected, actual) of the fields in which e_<field> and <field> differ.
+
+    Averages may be ten units apart. Where a frame's reception fields are missing (e_missing_reception),
+    a turnover may be published with twelve digits.
+    """
+    missing = F.coalesce("e_missing_reception", F.lit(False)) if "e_missing_reception" in pairs.columns else F.lit(False)
 
     def same(f: str) -> Column:
+        if f == "turnover":
+            return F.coalesce(turnover_compat(missing, F.col(f"e_{f}"), F.col(f)), F.lit(False))
         return weighted_match(F.col(f"e_{f}"), F.col(f)) if f in WEIGHTED else F.col(f"e_{f}").eqNullSafe(F.col(f))
 
     shown = lambda c, f: F.to_json(F.col(c)) if f in BOOKS else F.col(c).cast("string")
@@ -107,10 +126,8 @@ def depth_at(changes: DataFrame, points: DataFrame, n: int = 10) -> DataFrame:
     held = _held(numbered)
     best = W.partitionBy(*BOOK, "order_side", "k").orderBy(F.when(F.col("order_side") == "B", -F.col("price")).otherwise(F.col("price")))
     top = held.withColumn("level", F.row_number().over(best)).filter(F.col("level") <= n)
-    row = F.struct("level", "price", "quantity", "order_count")
-    of = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("order_side") == s, row))), lambda x: F.struct(x["price"].alias("price"), x["quantity"].alias("quantity"), x["order_count"].alias("order_count")))
-    books = top.groupBy(*BOOK, "k").agg(of("B").alias("bids"), of("S").alias("asks"))
-    none = F.array().cast("array<struct<price:bigint,quantity:bigint,order_count:bigint>>")
+    books = level_arrays(top, [*BOOK, "k"])
+    none = F.array().cast(LEVELS_TYPE)
     return wanted.join(books, [*BOOK, "k"], "left").select(*BOOK, "seq", F.coalesce("bids", none).alias("bids"), F.coalesce("asks", none).alias("asks"))
 
 
@@ -123,26 +140,73 @@ def _held(numbered: DataFrame) -> DataFrame:
     return held.filter("order_count > 0").select(*level, F.explode(F.sequence("k", "to_k")).alias("k"), "quantity", "order_count")
 
 
+def _expected(frames: DataFrame) -> DataFrame:
+    return frames.select("frame_id", *BOOK, *(F.col(f).alias(f"e_{f}") for f in [*FIELDS, "missing_reception"] if f in frames.columns))
+
+
+SCALARS = [*EXACT, *WEIGHTED]
+#: Scalars that a book without events or trades has; the others are null.
+ZERO = ["volume", "turnover", "trades", "bid_total", "ask_total"]
+
+
 def best_match(frames: DataFrame, found: DataFrame, points: DataFrame, changes: DataFrame | None = None) -> DataFrame:
     """Each frame with its outcome: the first state that matches in all fields, else the one with fewest differing fields, the earliest of those.
 
     frames: frame_id, book and the fields; found: candidates; points: states. With changes, depth is
     compared too, but only for states whose scalars differ no more than the frame's best.
     """
-    expected = frames.select("frame_id", *BOOK, *(F.col(f).alias(f"e_{f}") for f in FIELDS if f in frames.columns))
-    empty = {f: F.lit(None) for f in ("last_price", "high_price", "low_price", *WEIGHTED)}
-    scalars = [*EXACT, *WEIGHTED]
-    pairs = expected.join(found, "frame_id").join(points.select(*BOOK, "seq", *scalars), [*BOOK, "seq"], "left")
-    pairs = pairs.withColumns({f: F.coalesce(F.col(f), F.lit(0)) for f in scalars if f not in empty})
-    pairs = pairs.withColumn("fields", differing(pairs, scalars)).withColumn("n", F.size("fields"))
+    pairs = _expected(frames).join(found, "frame_id").join(points.select(*BOOK, "seq", "apply_seq", *SCALARS), [*BOOK, "seq"], "left")
+    pairs = pairs.withColumns({f: F.coalesce(F.col(f), F.lit(0)) for f in ZERO})
+    pairs = pairs.withColumn("fields", differing(pairs, SCALARS)).withColumn("n", F.size("fields"))
     if changes is not None:
         least = F.min("n").over(W.partitionBy("frame_id"))
         pairs = pairs.withColumn("__least", least).filter("n <= __least + 2")
-        none = F.array().cast("array<struct<price:bigint,quantity:bigint,order_count:bigint>>")
+        none = F.array().cast(LEVELS_TYPE)
         pairs = pairs.join(depth_at(changes, pairs), [*BOOK, "seq"], "left").withColumns({f: F.coalesce(f, none) for f in BOOKS})
         pairs = pairs.withColumn("fields", F.concat("fields", differing(pairs, BOOKS))).withColumn("n", F.size("fields"))
     order = W.partitionBy("frame_id").orderBy((F.col("n") > 0), F.when(F.col("n") > 0, F.col("n")), "at_ms", "seq")
-    return pairs.withColumn("nth", F.row_number().over(order)).filter("nth = 1").select("frame_id", *BOOK, "seq", "at_ms", (F.col("n") == 0).alias("matched"), "fields")
+    return pairs.withColumn("nth", F.row_number().over(order)).filter("nth = 1").select("frame_id", *BOOK, "seq", "apply_seq", "at_ms", (F.col("n") == 0).alias("matched"), "fields")
+
+
+def closing_match(frames: DataFrame, cut: DataFrame, points: DataFrame, changes: DataFrame, events: DataFrame, limits: DataFrame | None = None) -> DataFrame:
+    """Each market_close frame against its book's closing state alone, with the exchange's closing rules.
+
+    cut: close_cut. Of Shenzhen stocks without an upper limit (limits: day_limits) only levels in the band
+    round the last trade before 14:57 count, with totals and averages of their own; excluded tells what
+    was left out. A last price that alone differs may be explained by the closing average or the previous
+    close (tag). error: `limits` (none, in conflict or invalid) or `no_range_base`.
+    """
+    sz_stock = (F.col("market") == "SZ") & in_class(F.col("market"), F.col("symbol"), "stock")
+    base = closing_auction(events).join(closing_vwap(events, price_quantum()).select(*BOOK, "close_price"), BOOK, "left")
+    books = cut.select(*BOOK, "cut_seq", "boundary_ms").join(base, BOOK, "left")
+    if limits is not None:
+        books = books.join(limits.select(*BOOK, F.col("kind").alias("limit_kind"), F.col("error").alias("limit_error")), BOOK, "left")
+    else:
+        books = books.withColumns({"limit_kind": F.lit(None).cast("string"), "limit_error": F.lit(None).cast("string")})
+    unlimited = sz_stock & (F.col("limit_kind") == "unlimited")
+    band = F.when(unlimited, close_band(F.col("base_price")))
+    wrong = F.when(sz_stock & (F.col("limit_kind").isNull() | F.col("limit_error").isNotNull()), "limits").when(unlimited & band.isNull(), "no_range_base")
+    books = books.withColumns({"band": band, "error": wrong})
+
+    live = changes.join(books.select(*BOOK, "cut_seq", "band"), BOOK).filter("seq <= cut_seq").groupBy(*BOOK, "order_side", "price").agg(F.sum("dqty").alias("quantity"), F.sum("dcount").alias("order_count"), F.first("band").alias("band")).filter("order_count > 0")
+    inside = F.col("band").isNull() | F.col("price").between(F.col("band.low"), F.col("band.high"))
+    money = F.col("price").cast("decimal(19,0)") * F.col("quantity").cast("decimal(19,0)")
+    of = lambda s, c, i=inside: F.coalesce(F.sum(F.when(i & (F.col("order_side") == s), c)), F.lit(0))
+    sides = live.groupBy(*BOOK).agg(of("B", F.col("quantity")).alias("bid_total"), of("S", F.col("quantity")).alias("ask_total"), of("B", money).alias("bm"), of("S", money).alias("sm"), of("B", F.col("quantity"), ~inside).alias("excluded_bid"), of("S", F.col("quantity"), ~inside).alias("excluded_ask"))
+    depths = level_arrays(depth(live.filter(inside), 10), BOOK)
+    trades = [f for f in SCALARS if f not in ("bid_total", "ask_total", *WEIGHTED)]
+    # the closing state's own row has the trade statistics
+    stats = books.join(points.select(*BOOK, F.col("seq").alias("cut_seq"), "apply_seq", *trades), [*BOOK, "cut_seq"], "left")
+    none = F.array().cast(LEVELS_TYPE)
+    actual = stats.join(sides, BOOK, "left").join(depths, BOOK, "left").withColumns({**{f: F.coalesce(F.col(f), F.lit(0)) for f in ZERO}, **{f: F.coalesce(f, none) for f in BOOKS}})
+    actual = actual.withColumns({"bid_vwap": weighted_price_q(F.col("bm"), F.col("bid_total"), price_quantum()), "ask_vwap": weighted_price_q(F.col("sm"), F.col("ask_total"), price_quantum())})
+    previous = F.col("previous_close") if "previous_close" in frames.columns else F.lit(None).cast("bigint")
+    pairs = _expected(frames).join(frames.select("frame_id", previous.alias("__previous")), "frame_id").join(actual, BOOK, "left")
+    pairs = pairs.withColumn("fields", differing(pairs))
+    only_last = (F.size("fields") == 1) & (F.get("fields", 0)["field"] == "last_price") & (F.col("market") == "SZ")
+    tag = reconciled(only_last, symbol_class(F.col("market"), F.col("symbol")), F.coalesce("auction_trade", F.lit(False)), F.col("trades"), F.col("e_last_price"), F.col("close_price"), F.col("__previous"))
+    pairs = pairs.withColumn("tag", tag).withColumn("fields", F.when(F.col("tag").isNotNull(), F.array().cast(pairs.schema["fields"].dataType)).otherwise(F.col("fields")))
+    return pairs.select("frame_id", *BOOK, F.col("cut_seq").alias("seq"), "apply_seq", F.col("boundary_ms").alias("at_ms"), (F.size("fields") == 0).alias("matched"), "fields", "tag", "error", F.coalesce("excluded_bid", F.lit(0)).alias("excluded_bid"), F.coalesce("excluded_ask", F.lit(0)).alias("excluded_ask"))
 
 
 def closing_vwap(events: DataFrame, q: Column, window_ms: int = 60_000) -> DataFrame:

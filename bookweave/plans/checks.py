@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bookweave.functions import scalars as S
-from bookweave.operators import book, ledger, reference, reports, validation
-from bookweave.operators.book import deltas
+from bookweave.operators import book, reference, reports, snapshots, validation
 from bookweave.plans import core
 from bookweave.plans.core import DAY, ORIGIN_MS
 from bookweave.plans.feed import CANONICAL_CTE, ms, order_feed
@@ -20,10 +20,12 @@ HALF_HOUR = 1_800_000
 # ------------------------------------------------------------------ frames against states
 
 
-def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Our own snapshots as published frames, some spoilt by rule."""
-    snaps = core._snaps(spark, sf_dir)
-    k = F.col("k")
+def _frames(base: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """Our own snapshots as published frames, their averages rounded as the market's are, some spoilt by rule."""
+    feed, changes = base
+    snaps = snapshots.grid_snapshots(feed, changes, origin=F.lit(ORIGIN_MS), **core.GRID)
+    k, q = F.col("k"), F.lit(100).cast("bigint")
+    snaps = snaps.withColumns({f"{s}_vwap": S.weighted_price_q(F.col(f"{s}_amount"), F.col(f"{s}_total"), q) for s in ("bid", "ask")})
     wrong = {
         "volume": F.when(k % 5 == 0, F.col("volume") + 100).otherwise(F.col("volume")),
         "bid_vwap": F.when(k % 3 == 0, F.col("bid_vwap") + 9).when(k % 7 == 0, F.col("bid_vwap") + 11).otherwise(F.col("bid_vwap")),
@@ -31,26 +33,20 @@ def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         "bids": F.when(k % 11 == 0, F.slice("bids", 1, 3)).otherwise(F.col("bids")),
     }
     named = snaps.withColumns(wrong).withColumn("frame_id", F.col("symbol").cast("bigint") * 1000 + k).withColumn("quote_ms", F.col("boundary_ms"))
-    return written(validation.with_window(named, HALF_HOUR, HALF_HOUR), "frames")
-
-
-def _stated(spark, sf_dir):
-    feed = order_feed(spark, sf_dir)
-    led = written(ledger.ledger(feed), "ledger")
-    return written(validation.states(feed, led), "states"), led
+    return written(validation.with_window(named, HALF_HOUR, HALF_HOUR, (HALF_HOUR, HALF_HOUR)), "frames")
 
 
 def candidate_join(spark, sf_dir):
-    points, _ = _stated(spark, sf_dir)
+    points = order_feed(spark, sf_dir).select(*BOOK, "seq", "quote_ms").withColumn("high_ms", F.max("quote_ms").over(W.partitionBy(*BOOK).orderBy("seq").rowsBetween(W.unboundedPreceding, -1)))
     frames = core.snapshot_grid(spark, sf_dir).select(F.lit("SZ").alias("market"), F.lit(20240101).alias("trading_day"), "symbol", (F.col("symbol").cast("bigint") * 1000 + F.col("k")).alias("frame_id"), F.col("boundary_ms").alias("quote_ms"))
-    return validation.candidates(validation.with_window(frames, HALF_HOUR, HALF_HOUR), points, HALF_HOUR)
+    return validation.candidates(validation.with_window(frames, HALF_HOUR, HALF_HOUR, (HALF_HOUR, HALF_HOUR)), written(points, "points"), HALF_HOUR)
 
 
 def _chosen(spark, sf_dir, with_depth):
-    points, led = _stated(spark, sf_dir)
-    frames = _frames(spark, sf_dir)
+    base = core.rebuilt(spark, sf_dir)
+    points, frames = written(validation.states(*base), "states"), _frames(base)
     found = validation.candidates(frames, points, HALF_HOUR)
-    best = validation.best_match(frames, found, points, deltas(led) if with_depth else None)
+    best = validation.best_match(frames, found, points, base[1] if with_depth else None)
     return best.select("frame_id", "symbol", "seq", "at_ms", "matched", F.array_join(F.array_sort(F.transform("fields", lambda x: x["field"])), ",").alias("differ"))
 
 
@@ -123,8 +119,10 @@ def phase_select_sh(spark, sf_dir):
 
 
 def selection_audit(spark, sf_dir):
-    a = reference.selection_audit(reference.select_phases(_phase_frames(spark, sf_dir, "SZ")))
-    return a.select("symbol", "trading_day", "frames", "selected", "pre_open", "continuous", "market_close", "coverage", F.coalesce(F.element_at("by_status", "T0"), F.lit(0)).alias("t0"), F.coalesce(F.element_at("by_reason", reference.UNEXPECTED), F.lit(0)).alias("unexpected"), F.element_at("first_sample", reference.UNEXPECTED).alias("unexpected_first_ms"))
+    frames = _phase_frames(spark, sf_dir, "SZ")
+    days = frames.select("market", "trading_day").distinct().crossJoin(spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.lpad(F.col("n_nationkey").cast("string"), 6, "0").alias("symbol")))
+    a = reference.selection_audit(reference.select_phases(frames), days)
+    return a.select("symbol", "trading_day", "frames", "selected", "pre_open", "continuous", "market_close", "coverage", F.coalesce(F.element_at("by_status", "T0"), F.lit(0)).alias("t0"), F.coalesce(F.element_at("by_reason", reference.UNEXPECTED), F.lit(0)).alias("unexpected"), F.element_at("first_sample", reference.UNEXPECTED)["quote_ms"].alias("unexpected_first_ms"), F.element_at("first_sample", reference.UNEXPECTED)["previous_status"].alias("unexpected_after"))
 
 
 def preopen_cutoff(spark, sf_dir):
@@ -246,9 +244,10 @@ def mismatches_by_prefix(spark, sf_dir):
 
 
 def coverage(spark, sf_dir):
+    """All records, and symbols that have none."""
     r = _records(spark, sf_dir)
-    symbols = r.groupBy("market", "symbol").agg(F.min("class").alias("class"))
-    return reports.coverage(r.filter("frame_id % 10 < 3"), symbols)
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.lit("SZ").alias("market"), F.lpad((F.col("n_nationkey") + 777_000).cast("string"), 6, "0").alias("symbol"), F.lit("etf").alias("class"))
+    return reports.coverage(r, r.groupBy("market", "symbol").agg(F.min("class").alias("class")).unionByName(nations))
 
 
 def retained_details(spark, sf_dir):
@@ -293,7 +292,7 @@ tt AS (SELECT f.symbol, f.seq, arg_max(t.price, t.seq) AS last_price, max(t.pric
   FROM f LEFT JOIN f t ON t.symbol = f.symbol AND t.kind = 'T' AND t.seq <= f.seq GROUP BY 1, 2),
 gg AS (SELECT f.symbol, f.seq, coalesce(sum(g.dq) FILTER (g.order_side = 'B'), 0) AS bq, coalesce(sum(g.dq) FILTER (g.order_side = 'S'), 0) AS sq, sum(g.dq * g.price) FILTER (g.order_side = 'B') AS bm, sum(g.dq * g.price) FILTER (g.order_side = 'S') AS sm
   FROM f JOIN g ON g.symbol = f.symbol AND g.seq <= f.seq GROUP BY 1, 2),
-st AS (SELECT tt.*, bq, sq, CASE WHEN bq > 0 THEN (bm + bq // 2) // bq END AS bv, CASE WHEN sq > 0 THEN (sm + sq // 2) // sq END AS sv FROM tt JOIN gg USING (symbol, seq)),
+st AS (SELECT tt.*, bq, sq, CASE WHEN bq > 0 THEN (bm + bq * 100 // 2) // (bq * 100) * 100 END AS bv, CASE WHEN sq > 0 THEN (sm + sq * 100 // 2) // (sq * 100) * 100 END AS sv FROM tt JOIN gg USING (symbol, seq)),
 as_of AS (SELECT w.*, (SELECT max(seq) FROM f WHERE f.symbol = w.symbol AND f.quote_ms < w.t) AS s FROM w),
 ex AS (SELECT a.frame_id, a.symbol, a.k, a.s, last_price, high_price, low_price, coalesce(trades, 0) AS trades, coalesce(turnover, 0) AS turnover, coalesce(bq, 0) AS bq, coalesce(volume, 0) + CASE WHEN k % 5 = 0 THEN 100 ELSE 0 END AS volume,
   coalesce(sq, 0) - CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS sq, bv + CASE WHEN k % 3 = 0 THEN 9 WHEN k % 7 = 0 THEN 11 ELSE 0 END AS bv, sv
@@ -384,8 +383,10 @@ SELECT market, symbol, anchor, quote_ms, class, quote_ms - CASE WHEN anchor = 'p
         "phase_select_sz": f"{sz} SELECT symbol, trading_day, row_ AS source_row, anchor, skip_reason FROM k",
         "phase_select_sh": f"{sh} SELECT symbol, trading_day, row_ AS source_row, anchor, skip_reason FROM k",
         "selection_audit": f"""{sz}, a AS (SELECT symbol, trading_day, count(*) AS frames, count(anchor) AS selected, count(*) FILTER (anchor = 'pre_open') AS pre_open, count(*) FILTER (anchor = 'continuous') AS continuous, count(*) FILTER (anchor = 'market_close') AS market_close,
-  count(*) FILTER (status = 'T0') AS t0, count(*) FILTER (skip_reason = 'unexpected_phase_transition') AS unexpected, arg_min(quote_ms, row_) FILTER (skip_reason = 'unexpected_phase_transition') AS unexpected_first_ms FROM k GROUP BY symbol, trading_day)
-SELECT *, CASE WHEN selected = 0 THEN 'no_eligible' WHEN pre_open > 0 AND continuous > 0 AND market_close > 0 THEN 'complete' ELSE 'partial' END AS coverage FROM a""",
+  count(*) FILTER (status = 'T0') AS t0, count(*) FILTER (skip_reason = 'unexpected_phase_transition') AS unexpected, arg_min(quote_ms, row_) FILTER (skip_reason = 'unexpected_phase_transition') AS unexpected_first_ms, arg_min(prev, row_) FILTER (skip_reason = 'unexpected_phase_transition') AS unexpected_after FROM k GROUP BY symbol, trading_day),
+y AS (SELECT DISTINCT trading_day, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS symbol FROM k, nation)
+SELECT symbol, trading_day, coalesce(frames, 0) AS frames, coalesce(selected, 0) AS selected, coalesce(pre_open, 0) AS pre_open, coalesce(continuous, 0) AS continuous, coalesce(market_close, 0) AS market_close, coalesce(t0, 0) AS t0, coalesce(unexpected, 0) AS unexpected, unexpected_first_ms, unexpected_after,
+  CASE WHEN coalesce(selected, 0) > 0 THEN 'selected' WHEN frames > 0 THEN 'no_eligible_references' ELSE 'no_reference_records' END AS coverage FROM y LEFT JOIN a USING (symbol, trading_day)""",
         "preopen_cutoff": f"{sz} SELECT 'SZ' AS market, trading_day, max(quote_ms) FILTER (anchor = 'pre_open') + 1000 AS cutoff_ms FROM k GROUP BY trading_day",
         "position_faults": f"{sz}, y AS (SELECT symbol, trading_day, row_, quote_ms - CASE WHEN row_ % 3 = 0 THEN 90000000 ELSE 0 END AS q FROM fr), z AS (SELECT *, lag(q) OVER (PARTITION BY symbol, trading_day ORDER BY row_) AS pq FROM y) SELECT symbol, trading_day, row_ AS source_row, q AS quote_ms, pq AS previous_ms FROM z WHERE q < pq",
         "duplicate_times": f"{sz}, y AS (SELECT *, count(*) OVER (PARTITION BY symbol, trading_day, quote_ms // {DAY}) AS frames FROM k WHERE anchor = 'continuous') SELECT symbol, trading_day, row_ AS source_row, frames FROM y WHERE frames > 1",
@@ -409,14 +410,14 @@ SELECT market, CASE WHEN market = 'SH' AND (prefix BETWEEN '510' AND '513' OR pr
         "limit_classes": """WITH s AS (SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN 9999999999999 WHEN 1 THEN 10000000000000 WHEN 2 THEN 110000 WHEN 3 THEN 50 ELSE 0 END AS h, CASE o_orderkey % 4 WHEN 0 THEN 100 WHEN 1 THEN -9999999999999 WHEN 2 THEN 90000 ELSE 120000 END AS l FROM orders)
 SELECT CASE WHEN h = 9999999999999 AND l IN (100, -9999999999999) OR h = 10000000000000 AND l = 100 AND k % 3 = 0 THEN 'unlimited' WHEN h = 110000 AND l IN (100, 90000) THEN 'limited' ELSE 'invalid' END AS class, count(*) AS rows FROM s GROUP BY 1""",
         "outcome_breakdown": f"{_RECORDS} SELECT class, anchor, {_COUNTS} FROM r2 GROUP BY GROUPING SETS ((), (class, anchor))",
-        "run_summary": f"{_RECORDS}, t AS (SELECT {_COUNTS} FROM r2) SELECT *, matched / comparable AS match_rate, 'failed' AS outcome, false AS accepted FROM t",
+        "run_summary": f"{_RECORDS}, t AS (SELECT {_COUNTS} FROM r2) SELECT *, CASE WHEN comparable > 0 THEN matched / comparable END AS match_rate, CASE WHEN mismatched + data_error + missing_source > 0 THEN 'failed' WHEN comparable = 0 THEN 'no_eligible' ELSE 'passed' END AS outcome, mismatched + data_error + missing_source = 0 AND comparable > 0 AS accepted FROM t",
         "detail_counts": f"""{_RECORDS}, d AS (SELECT 'field' AS kind, CASE i % 3 WHEN 0 THEN 'bids' WHEN 1 THEN 'asks' ELSE 'volume' END AS key FROM r2 WHERE outcome = 'mismatched' UNION ALL SELECT 'field', 'last_price' FROM r2 WHERE outcome = 'mismatched' AND i % 2 = 0
   UNION ALL SELECT 'reason', CASE outcome WHEN 'data_error' THEN 'load_error' ELSE 'symbol_unseen' END FROM r2 WHERE outcome IN ('data_error', 'missing_source') UNION ALL SELECT 'tag', tag FROM r2 WHERE tag IS NOT NULL) SELECT kind, key, count(*) AS n FROM d GROUP BY ALL""",
         "mismatched_symbols": f"{_RECORDS} SELECT market, symbol, count(*) AS mismatches FROM r2 WHERE outcome = 'mismatched' AND symbol LIKE '0%' GROUP BY ALL",
         "mismatch_count_check": f"{_RECORDS}, n AS (SELECT DISTINCT market, symbol FROM r2 WHERE outcome = 'mismatched') SELECT count(*) AS found, CAST(100 AS BIGINT) AS expected, count(*) = 100 AS ok FROM n",
         "mismatches_by_prefix": f"{_RECORDS} SELECT market, substr(symbol, 1, 3) AS prefix, count(*) AS mismatches, count(DISTINCT symbol) AS symbols FROM r2 WHERE outcome = 'mismatched' GROUP BY ALL",
-        "coverage": f"""{_RECORDS}, s AS (SELECT market, symbol, min(class) AS class FROM r2 GROUP BY ALL), g AS (SELECT s.*, anchor FROM s, (VALUES ('pre_open'), ('continuous'), ('market_close')) AS v(anchor)),
-n AS (SELECT g.*, (SELECT count(*) FROM r2 WHERE r2.market = g.market AND r2.symbol = g.symbol AND r2.anchor = g.anchor AND i % 10 < 3) AS c FROM g) SELECT market, class, anchor, CAST(sum(c) AS BIGINT) AS frames, count(*) FILTER (c > 0) AS covered, count(*) FILTER (c = 0) AS uncovered FROM n GROUP BY market, class, anchor""",
+        "coverage": f"""{_RECORDS}, s AS (SELECT market, symbol, min(class) AS class FROM r2 GROUP BY ALL UNION ALL SELECT 'SZ', CAST(n_nationkey + 777000 AS VARCHAR), 'etf' FROM nation), g AS (SELECT s.*, anchor FROM s, (VALUES ('pre_open'), ('continuous'), ('market_close')) AS v(anchor)),
+n AS (SELECT g.*, (SELECT count(*) FROM r2 WHERE r2.market = g.market AND r2.symbol = g.symbol AND r2.anchor = g.anchor) AS c FROM g) SELECT market, class, anchor, CAST(sum(c) AS BIGINT) AS frames, count(*) FILTER (c > 0) AS covered, count(*) FILTER (c = 0) AS uncovered FROM n GROUP BY market, class, anchor""",
         "retained_details": f"""{_RECORDS}, d AS (SELECT *, row_number() OVER (ORDER BY symbol, CASE anchor WHEN 'pre_open' THEN 1 WHEN 'continuous' THEN 2 ELSE 3 END, i) AS place FROM r2 WHERE outcome <> 'matched' OR tag IS NOT NULL) SELECT frame_id, symbol, anchor, outcome, place FROM d WHERE place <= 300 OR outcome = 'matched'""",
         "conservation_checks": f"{_RECORDS} SELECT 'selected' AS \"check\", count(*) AS \"left\", count(*) + 1 AS \"right\" FROM r2 UNION ALL SELECT 'details', count(*) + 7, count(*) FROM r2 WHERE outcome <> 'matched' OR tag IS NOT NULL",
         "campaign": f"""{_RECORDS}, d AS (SELECT market, 20260801 + i % 10 AS day, {_COUNTS} FROM r2 GROUP BY 1, 2), v AS (SELECT *, CAST(CASE WHEN day % 2 = 0 THEN 2 ELSE 1 END AS INTEGER) AS version FROM d)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bookweave.operators import book, integrity, ledger, snapshots
 from bookweave.plans.feed import CANONICAL_CTE, order_feed
 from bookweave.schema import BOOK, LEVEL
+from bookweave.shared import written
 
 DAY = 86_400_000
 #: The derived feed runs over thirty days; its grid has one session of that length and a boundary every twelve hours.
@@ -23,6 +24,12 @@ def _led(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.ledger(order_feed(spark, sf_dir))
 
 
+def rebuilt(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The feed and its books' changes, each computed once and written, whatever reads them."""
+    feed = written(order_feed(spark, sf_dir), "feed")
+    return feed, written(book.deltas(ledger.ledger(feed)), "changes")
+
+
 def damaged(feed: DataFrame) -> DataFrame:
     """The feed with each kind of fault put in by rule: a doubled add, an overfill, an unknown cancel and an unknown trade."""
     end = F.col("seq") + 10_000_000
@@ -99,9 +106,12 @@ def always_hidden(spark, sf_dir):
 
 
 def book_invariants(spark, sf_dir):
-    led = _led(spark, sf_dir)
+    """A damaged book: every 40th order is lost from its level, and every 90th has more left than it began with."""
+    led = written(_led(spark, sf_dir), "ledger")
     changes = book.deltas(led)
-    return book.invariant_breaks(ledger.active_orders(led), book.level_totals(changes), book.side_totals(changes))
+    orders = ledger.active_orders(led).filter("order_no % 40 <> 0").withColumn("remaining", F.when(F.col("order_no") % 90 == 7, F.col("order_qty") + 1).otherwise(F.col("remaining")))
+    kept = book.level_totals(changes).filter("price % 3700 <> 0")
+    return book.invariant_breaks(orders, kept, book.side_totals(changes))
 
 
 def reference_faults(spark, sf_dir):
@@ -132,24 +142,17 @@ def snapshot_grid(spark, sf_dir):
     return points.select("symbol", "k", snapshots.boundary_time(F.col("k"), F.lit(ORIGIN_MS), GRID["step_ms"], GRID["sessions"]).alias("boundary_ms"))
 
 
-def _snaps(spark, sf_dir, n=10):
-    feed = order_feed(spark, sf_dir)
-    return snapshots.grid_snapshots(feed, ledger.ledger(feed), n=n, origin=F.lit(ORIGIN_MS), **GRID)
-
-
 def snapshot_stats(spark, sf_dir):
-    return _big(_snaps(spark, sf_dir), "turnover").select("symbol", "boundary_ms", "last_price", "high_price", "low_price", "volume", "turnover", "trades", "bid_total", "ask_total", "bid_vwap", "ask_vwap")
+    return _big(snapshots.grid_stats(*rebuilt(spark, sf_dir), origin=F.lit(ORIGIN_MS), **GRID), "turnover").select("symbol", "boundary_ms", "last_price", "high_price", "low_price", "volume", "turnover", "trades", "bid_total", "ask_total", "bid_vwap", "ask_vwap")
 
 
 def snapshot_depth(spark, sf_dir):
-    snaps = _snaps(spark, sf_dir, 5)
-    side = lambda c, s: snaps.select("symbol", "boundary_ms", F.lit(s).alias("order_side"), F.posexplode(c).alias("p", "x"))
-    return side("bids", "B").unionByName(side("asks", "S")).select("symbol", "boundary_ms", "order_side", (F.col("p") + 1).alias("level"), "x.price", "x.quantity", "x.order_count")
+    best = snapshots.grid_depth(*rebuilt(spark, sf_dir), n=5, origin=F.lit(ORIGIN_MS), **GRID)
+    return best.select("symbol", "boundary_ms", "order_side", "level", "price", "quantity", "order_count")
 
 
 def close_snapshot(spark, sf_dir):
-    feed = order_feed(spark, sf_dir)
-    out = _big(snapshots.close_snapshots(feed, ledger.ledger(feed)), "turnover")
+    out = _big(snapshots.close_snapshots(*rebuilt(spark, sf_dir)), "turnover")
     return out.select("symbol", "boundary_ms", "last_price", "volume", "turnover", "trades", "bid_total", "ask_total", "bid_vwap", "ask_vwap", F.get("bids", 0)["price"].alias("best_bid"), F.get("asks", 0)["price"].alias("best_ask"), F.size("bids").alias("bid_levels"), F.size("asks").alias("ask_levels"))
 
 
@@ -193,14 +196,21 @@ def late_events(spark, sf_dir):
     return integrity.late_events(order_feed(spark, sf_dir))
 
 
+def _of_four_kinds(feed: DataFrame) -> DataFrame:
+    return feed.withColumn("symbol", F.concat(F.array(*map(F.lit, ["000", "159", "300", "999"]))[(F.col("seq") % 4).cast("int")], F.substring("symbol", 4, 3)))
+
+
 def universe_counts(spark, sf_dir):
-    rows = order_feed(spark, sf_dir).withColumn("symbol", F.concat(F.array(*map(F.lit, ["000", "159", "300", "999"]))[(F.col("seq") % 4).cast("int")], F.substring("symbol", 4, 3)))
+    rows = _of_four_kinds(order_feed(spark, sf_dir))
     c = integrity.row_class("stocks", F.lit(ORIGIN_MS + 20 * DAY))
     return rows.groupBy(c.alias("row_class")).agg(F.count("*").alias("rows"))
 
 
 def run_counters(spark, sf_dir):
-    return integrity.run_counters(order_feed(spark, sf_dir), "stocks")
+    """Counters of a feed whose symbols are of four kinds, cut off after twenty days, with a status row put in for each book."""
+    feed = _of_four_kinds(order_feed(spark, sf_dir))
+    status = feed.groupBy(*BOOK).agg(F.max("channel").alias("channel"), F.min("quote_ms").alias("quote_ms")).withColumn("kind", F.lit("S"))
+    return integrity.run_counters(feed.unionByName(status, allowMissingColumns=True), "stocks", F.lit(ORIGIN_MS + 20 * DAY))
 
 
 def symbol_semi(spark, sf_dir):
@@ -302,7 +312,15 @@ y AS (SELECT symbol, count(*) AS active_orders, max(price) FILTER (order_side =
 z AS (SELECT symbol, arg_max(price, seq) AS last_price, max(price) AS high_price, min(price) AS low_price, CAST(sum(qty) AS BIGINT) AS volume, CAST(sum(price * qty) AS BIGINT) AS turnover, count(*) AS trades FROM f WHERE kind = 'T' GROUP BY symbol)
 SELECT x.*, coalesce(active_orders, 0) AS active_orders, best_bid, best_ask, last_price, high_price, low_price, coalesce(volume, 0) AS volume, turnover, coalesce(trades, 0) AS trades FROM x LEFT JOIN y USING (symbol) LEFT JOIN z USING (symbol)""",
         "always_hidden": f"{_FEED}{_TOUCH}{_ACTIVE} SELECT 'SZ' AS market, 20240101 AS trading_day, symbol, order_side, price, CAST(sum(remaining) AS BIGINT) AS quantity, count(*) AS order_count FROM ac WHERE remaining > 0 AND order_no % 7 <> 0 GROUP BY symbol, order_side, price",
-        "book_invariants": f"{_FEED} SELECT market, trading_day, symbol, 'B' AS order_side, price, 'none' AS rule FROM f WHERE false",
+        "book_invariants": f"""{_FEED}{_TOUCH}{_ACTIVE},
+q AS (SELECT * FROM ac WHERE remaining > 0),
+q2 AS (SELECT symbol, order_side, order_no, price, order_qty, CASE WHEN order_no % 90 = 7 THEN order_qty + 1 ELSE remaining END AS remaining FROM q WHERE order_no % 40 <> 0),
+lq AS (SELECT symbol, order_side, price, sum(remaining) AS a, count(*) AS n FROM q WHERE price % 3700 <> 0 GROUP BY ALL),
+lo AS (SELECT symbol, order_side, price, sum(remaining) AS a, count(*) AS n FROM q2 GROUP BY ALL),
+sq AS (SELECT symbol, order_side, bool_or(price % 3700 = 0) AS lost FROM q GROUP BY ALL)
+SELECT 'SZ' AS market, 20240101 AS trading_day, symbol, order_side, price, 'remaining' AS rule FROM q2 WHERE remaining > order_qty
+UNION ALL SELECT 'SZ', 20240101, symbol, order_side, price, 'level' FROM lq FULL JOIN lo USING (symbol, order_side, price) WHERE lq.a IS DISTINCT FROM lo.a OR lq.n IS DISTINCT FROM lo.n
+UNION ALL SELECT 'SZ', 20240101, symbol, order_side, NULL, 'side' FROM sq WHERE lost""",
         "reference_faults": f"{_FEED0}{_DAMAGED}{_TOUCH}{_FAULTS} SELECT symbol, code, count(*) AS rows, min(seq) AS first_seq FROM v WHERE code IS NOT NULL GROUP BY symbol, code",
         "lenient_faults": f"{_FEED0}{_DAMAGED}{_TOUCH} SELECT symbol, count(*) AS rows FROM e WHERE kind = 'T' AND ref_status IN ('unknown', 'inactive') AND NOT (order_side = 'B' AND seq % 2 = 0) GROUP BY symbol",
         "first_faults": f"{_FEED0}{_DAMAGED}{_TOUCH}{_FAULTS}, w AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY channel, seq, code) AS n FROM v WHERE code IS NOT NULL) SELECT symbol, channel, seq, code FROM w WHERE n = 1",
@@ -333,7 +351,7 @@ SELECT symbol, boundary_ms, last_price, coalesce(volume, 0) AS volume, coalesce(
         "seq_inversions": f"""{_FEED}, x AS (SELECT symbol, seq, qty * 100000000 + seq AS row, lead(seq) OVER (PARTITION BY symbol ORDER BY qty, seq) AS nseq, lead(qty * 100000000 + seq) OVER (PARTITION BY symbol ORDER BY qty, seq) AS nrow FROM f WHERE kind = 'A')
 SELECT symbol, seq AS previous_seq, nseq AS seq, row AS previous_row, nrow AS row, nseq = seq AS equal FROM x WHERE nseq <= seq""",
         "natural_runs": f"""{_FEED}, x AS (SELECT symbol, seq, lag(seq) OVER (PARTITION BY symbol ORDER BY qty, seq) AS p FROM f WHERE kind = 'A'), y AS (SELECT symbol, count(*) AS rows, count(*) FILTER (seq < p) + 1 AS runs, count(seq) - count(DISTINCT seq) AS duplicates FROM x GROUP BY symbol)
-SELECT *, CAST(ceil(log(runs) / log(32)) AS INTEGER) AS merge_passes FROM y""",
+SELECT * FROM y""",
         "duplicate_seq": f"{_FEED} SELECT market, trading_day, channel, seq, count(*) AS rows FROM f GROUP BY ALL HAVING count(*) > 1",
         "channel_conflict": f"{_FEED}, x AS (SELECT *, CASE WHEN seq % 101 = 0 AND symbol < '000010' THEN 9 ELSE channel END AS c FROM f) SELECT {book_}, count(DISTINCT c) AS channels, CAST(arg_min(c, seq) AS INTEGER) AS first_channel FROM x GROUP BY {book_} HAVING count(DISTINCT c) > 1",
         "time_regressions": f"""{_FEED}, x AS (SELECT symbol, seq, quote_ms - CASE WHEN seq % 37 = 0 THEN 500000 WHEN seq % 41 = 0 THEN 1 ELSE 0 END AS quote_ms FROM f),
@@ -342,7 +360,11 @@ SELECT *, quote_ms // 1000 = high_ms // 1000 AS same_second FROM y WHERE quote_m
         "after_close": f"""{_FEED}, x AS (SELECT symbol, CASE WHEN max(seq) > 500 THEN 500 ELSE 10 END AS cut FROM f GROUP BY symbol) SELECT f.symbol, count(*) AS rows, min(seq) AS first_seq FROM f JOIN x ON x.symbol = f.symbol WHERE seq > cut AND seq <> 500 AND seq <> 10 GROUP BY f.symbol""",
         "late_events": f"{_FEED} SELECT {book_}, count(*) AS late FROM f WHERE (quote_ms + 28800000) % 86400000 > 54000000 GROUP BY {book_}",
         "universe_counts": f"{_FEED} SELECT CASE WHEN seq % 4 = 3 THEN 'unsupported' WHEN seq % 4 = 1 THEN 'unselected' WHEN quote_ms >= {ORIGIN_MS + 20 * DAY} THEN 'after_cutoff' ELSE 'selected' END AS row_class, count(*) AS rows FROM f GROUP BY 1",
-        "run_counters": f"{_FEED} SELECT count(*) AS input_rows, count(*) AS selected, CAST(0 AS BIGINT) AS unsupported, CAST(0 AS BIGINT) AS unselected, count(DISTINCT channel) AS channels, count(DISTINCT symbol) AS symbols, count(*) AS applied, CAST(0 AS BIGINT) AS status_rows FROM f",
+        "run_counters": f"""{_FEED}, x AS (SELECT concat(['000', '159', '300', '999'][CAST(seq % 4 AS INTEGER) + 1], substr(symbol, 4)) AS symbol, seq % 4 AS kind_, channel, quote_ms, 1 AS applied FROM f),
+y AS (SELECT * FROM x UNION ALL SELECT symbol, min(kind_), max(channel), min(quote_ms), 0 FROM x GROUP BY symbol),
+z AS (SELECT *, kind_ IN (0, 2) AND quote_ms < {ORIGIN_MS + 20 * DAY} AS sel FROM y)
+SELECT count(*) AS input_rows, count(*) FILTER (sel) AS selected, count(*) FILTER (kind_ = 3) AS unsupported, count(*) FILTER (kind_ = 1) AS unselected, count(*) FILTER (kind_ IN (0, 2) AND NOT sel) AS after_cutoff,
+  count(DISTINCT channel) FILTER (sel) AS channels, count(DISTINCT symbol) FILTER (sel) AS symbols, count(*) FILTER (sel AND applied = 1) AS applied, count(*) FILTER (sel AND applied = 0) AS status_rows FROM z""",
         "symbol_semi": f"{_FEED} SELECT symbol, count(*) AS rows FROM f WHERE CAST(symbol AS INTEGER) IN (SELECT n_nationkey FROM nation WHERE n_nationkey > 7) GROUP BY symbol",
         "observed_symbols": f"{_FEED} SELECT market, symbol FROM f UNION SELECT 'SZ', lpad(CAST(c_nationkey + 10 AS VARCHAR), 6, '0') FROM customer",
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bookweave.operators import book, ledger, placement
@@ -10,7 +11,7 @@ from bookweave.plans import core
 from bookweave.plans.core import ORIGIN_MS
 from bookweave.plans.feed import CANONICAL_CTE, order_feed
 from bookweave.schema import EVENT
-from bookweave.shared import new_path
+from bookweave.shared import new_path, written
 from bookweave.streaming import books
 
 
@@ -44,16 +45,30 @@ def never_crossing(spark, sf_dir):
     return book.level_totals(placement.placed_deltas(apart, led, placement.placements(apart)))
 
 
-def _stream(spark, sf_dir, columns: list[str], parts: int = 4) -> DataFrame:
-    """The feed as a file stream: written part after part in the order of time, as it would arrive, and read one part at a time."""
+#: Files that a stream is fed from, one a batch.
+PARTS = 4
+
+
+def _numbered(spark, sf_dir) -> DataFrame:
+    """The feed with each channel's rows numbered from 1, as an exchange numbers them, and a last row that ends the channel."""
+    feed = order_feed(spark, sf_dir)
+    by = W.partitionBy("market", "trading_day", "channel").orderBy("quote_ms", "symbol", "seq")
+    feed = feed.withColumn("book_seq", F.col("seq")).withColumn("seq", F.row_number().over(by).cast("bigint"))
+    last = feed.groupBy("market", "trading_day", "channel").agg((F.max("seq") + 1).alias("seq"), F.max("quote_ms").alias("quote_ms")).withColumns({"kind": F.lit("S"), "status": F.lit(books.END), "symbol": F.lit("")})
+    return feed.unionByName(last, allowMissingColumns=True)
+
+
+def _stream(spark, feed: DataFrame, part, columns: list[str]) -> DataFrame:
+    """feed as a file stream that is read one part at a time, in the order of their numbers; all parts are written at once."""
     path = new_path(spark, "feed")
-    feed = order_feed(spark, sf_dir).withColumn("ts", F.timestamp_millis("quote_ms")).select(*columns, F.col("quote_ms").alias("__t"))
-    days = -(-30 // parts)
-    for i in range(parts):
-        low = F.col("__t") >= ORIGIN_MS + i * days * core.DAY if i else F.lit(True)
-        high = F.col("__t") < ORIGIN_MS + (i + 1) * days * core.DAY if i < parts - 1 else F.lit(True)
-        feed.filter(low & high).drop("__t").coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(feed.drop("__t").schema).option("maxFilesPerTrigger", 1).parquet(path)
+    for i, rows in enumerate(_parts(feed.withColumn("part", part.cast("int")))):
+        rows.select(*columns).repartition("channel").write.mode("append").parquet(f"{path}/batch={i}")
+    return spark.readStream.schema(feed.select(*columns).schema).option("maxFilesPerTrigger", 8).parquet(f"{path}/batch=*")
+
+
+def _parts(feed: DataFrame) -> list[DataFrame]:
+    kept = written(feed, "parts")
+    return [kept.filter(F.col("part") == i) for i in range(PARTS)]
 
 
 def _drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -66,10 +81,14 @@ def _drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
 
 
 _EVENTS = [c.split()[0] for c in EVENT.split(", ")]
+#: End of the derived feed's thirty days.
+UNTIL_MS = ORIGIN_MS + 30 * core.DAY
 
 
 def _books(spark, sf_dir):
-    return _drained(books.incremental_books(_stream(spark, sf_dir, _EVENTS), core.DAY), "books")
+    """Rows come out of order: runs of fifty are dealt out to the parts, so the gate holds three of four back."""
+    stream = _stream(spark, _numbered(spark, sf_dir), F.floor(F.col("seq") / 50) % PARTS, _EVENTS)
+    return _drained(books.incremental_books(stream, core.DAY, UNTIL_MS), "books")
 
 
 def stream_levels(spark, sf_dir):
@@ -84,20 +103,22 @@ def stream_snapshots(spark, sf_dir):
 
 
 def stream_trade_windows(spark, sf_dir):
-    """All windows but those that the watermark has not yet closed."""
-    out = _drained(books.trade_windows(_stream(spark, sf_dir, ["ts", *_EVENTS])), "windows")
-    return out.filter(F.unix_millis("window_start") < ORIGIN_MS + 25 * core.DAY).select("market", "symbol", F.unix_millis("window_start").alias("window_ms"), "trades", "volume", "high_price", "low_price")
+    """All windows: a row a month after the last one closes those that are open."""
+    feed = order_feed(spark, sf_dir)
+    end = feed.groupBy("market", "trading_day", "channel").agg((F.max("quote_ms") + 30 * core.DAY).alias("quote_ms")).withColumn("kind", F.lit("S"))
+    days = F.when(F.col("kind") == "S", PARTS - 1).otherwise(F.least(F.floor((F.col("quote_ms") - ORIGIN_MS) / (8 * core.DAY)), F.lit(PARTS - 1)))
+    feed = feed.unionByName(end, allowMissingColumns=True).withColumn("ts", F.timestamp_millis("quote_ms"))
+    out = _drained(books.trade_windows(_stream(spark, feed, days, ["ts", *_EVENTS])), "windows")
+    return out.select("market", "symbol", F.unix_millis("window_start").alias("window_ms"), "trades", "volume", "high_price", "low_price")
 
 
 def stream_late(spark, sf_dir):
-    """Rows that came twice: the feed's every hundredth event is repeated a day later."""
-    path = new_path(spark, "feed")
-    feed = order_feed(spark, sf_dir).select(*_EVENTS)
-    again = feed.filter("seq % 100 = 0")
-    feed.repartition(1).write.parquet(path)
-    again.repartition(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return _drained(books.incremental_books(stream), "late").filter("what = 'late'").groupBy("symbol", "seq").agg(F.count("*").alias("rows"))
+    """Rows that came twice: the last part repeats every hundredth row of each channel."""
+    feed = _numbered(spark, sf_dir)
+    again = feed.filter("seq % 100 = 0").withColumn("part", F.lit(PARTS - 1))
+    all_ = feed.withColumn("part", (F.floor(F.col("seq") / 50) % (PARTS - 1)).cast("int")).unionByName(again)
+    stream = _stream(spark, all_, F.col("part"), _EVENTS)
+    return _drained(books.incremental_books(stream), "late").filter("what = 'late'").groupBy(F.floor(F.col("seq") / 100).alias("hundred")).agg(F.count("*").alias("rows"))
 
 
 def queries():
@@ -111,8 +132,8 @@ def oracle_sql():
     return {
         "never_crossing": levels.replace("symbol, order_side, price, CAST(sum", "symbol, order_side, price - CASE WHEN order_side = 'B' THEN 50000 ELSE 0 END AS price, CAST(sum").replace("GROUP BY symbol, order_side, price", "GROUP BY symbol, order_side, ac.price"),
         "stream_levels": levels,
-        "stream_snapshots": f"""{feed}, s AS (SELECT symbol, min(quote_ms) // 86400000 + 1 AS a, max(quote_ms) // 86400000 AS z FROM f GROUP BY symbol), b AS (SELECT symbol, unnest(range(a, z + 1)) * 86400000 AS boundary_ms FROM s)
+        "stream_snapshots": f"""{feed}, s AS (SELECT symbol, min(quote_ms) // 86400000 + 1 AS a FROM f GROUP BY symbol), b AS (SELECT symbol, unnest(range(a, {UNTIL_MS // core.DAY + 1})) * 86400000 AS boundary_ms FROM s)
 SELECT symbol, boundary_ms, CAST(coalesce((SELECT sum(qty) FROM f WHERE f.symbol = b.symbol AND kind = 'T' AND quote_ms < boundary_ms), 0) AS BIGINT) AS volume, (SELECT count(*) FROM f WHERE f.symbol = b.symbol AND kind = 'T' AND quote_ms < boundary_ms) AS trades FROM b""",
-        "stream_trade_windows": f"{feed} SELECT market, symbol, quote_ms // 86400000 * 86400000 AS window_ms, count(*) AS trades, CAST(sum(qty) AS BIGINT) AS volume, max(price) AS high_price, min(price) AS low_price FROM f WHERE kind = 'T' AND quote_ms < {ORIGIN_MS + 25 * core.DAY} GROUP BY ALL",
-        "stream_late": f"{feed} SELECT symbol, seq, CAST(1 AS BIGINT) AS rows FROM f WHERE seq % 100 = 0",
+        "stream_trade_windows": f"{feed} SELECT market, symbol, quote_ms // 86400000 * 86400000 AS window_ms, count(*) AS trades, CAST(sum(qty) AS BIGINT) AS volume, max(price) AS high_price, min(price) AS low_price FROM f WHERE kind = 'T' GROUP BY ALL",
+        "stream_late": f"{feed}, n AS (SELECT row_number() OVER (PARTITION BY channel ORDER BY quote_ms, symbol, seq) AS no FROM f UNION ALL SELECT count(*) + 1 FROM f GROUP BY channel) SELECT no // 100 AS hundred, count(*) AS rows FROM n WHERE no % 100 = 0 GROUP BY 1",
     }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from bookweave.plans import checks, core, special
+from bookweave.plans import checks, core, days, special
 
-PLANS = [core, checks, special]
+PLANS = [core, checks, days, special]
 
 
 def queries():

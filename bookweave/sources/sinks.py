@@ -9,7 +9,7 @@ REPORT_VERSION = 2
 
 
 def wide_snapshots(snaps: DataFrame, depth: int = 10) -> DataFrame:
-    """Nested snapshots as one wide row each: asks before bids, level 1 to depth; price decimal(18,4), null beyond the depth there is."""
+    """Nested snapshots (with channel and kind) as one wide row each: asks before bids, level 1 to depth; price decimal(18,4), null beyond the depth there is."""
     money = lambda c: (c / F.lit(10_000).cast("decimal(5,0)")).cast("decimal(18,4)")
     price = lambda c: money(c.cast("decimal(18,0)"))
 
@@ -21,17 +21,17 @@ def wide_snapshots(snaps: DataFrame, depth: int = 10) -> DataFrame:
         return out
 
     turnover = (F.col("turnover").cast("decimal(34,0)") / F.lit(10_000).cast("decimal(5,0)")).cast("decimal(38,4)")
-    keys = [c for c in ("trading_day", "market", "channel", "symbol", "kind", "boundary_ms") if c in snaps.columns]
+    times = {"boundary_time": "boundary_ms", "last_local_time": "last_local_ms", "last_quote_time": "last_quote_ms"}
     return snaps.select(
-        *keys, F.timestamp_millis("boundary_ms").alias("snapshot_time"), *(price(F.col(c)).alias(c) for c in ("last_price", "high_price", "low_price")), "volume", turnover.alias("turnover"), "trades", "bid_total", "ask_total",
-        *(price(F.col(c)).alias(c) for c in ("bid_vwap", "ask_vwap")), *level("asks", "ask"), *level("bids", "bid"),
+        "trading_day", "market", "channel", "symbol", F.col("kind").alias("snapshot_kind"), *(F.timestamp_millis(c).alias(n) for n, c in times.items()), *level("asks", "ask"), *level("bids", "bid"),
+        "bid_total", price(F.col("bid_vwap")).alias("bid_vwap"), "ask_total", price(F.col("ask_vwap")).alias("ask_vwap"), *(price(F.col(c)).alias(c) for c in ("last_price", "high_price", "low_price")), "trades", "volume", turnover.alias("turnover"),
     )
 
 
 def write_snapshots(snaps: DataFrame, root: str, depth: int = 10) -> None:
-    """Parquet under date=/market=/channel=, one file set per partition."""
+    """Parquet under date=/market=/channel=, scheduled rows before closing ones."""
     wide = wide_snapshots(snaps, depth).withColumnRenamed("trading_day", "date")
-    wide.repartition("date", "market", "channel").sortWithinPartitions("symbol", "boundary_ms").write.mode("append").partitionBy("date", "market", "channel").parquet(root)
+    wide.repartition("date", "market", "channel").sortWithinPartitions(F.col("snapshot_kind").desc(), "symbol", "boundary_time").write.mode("append").partitionBy("date", "market", "channel").parquet(root)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookweave.functions.scalars import market_ts, ref_amount, ref_price, ref_price_error, ref_quantity, rescaled
+from bookweave.functions.scalars import market_ts, missing_reception, ref_amount, ref_price, ref_price_error, ref_quantity, rescaled
 
 #: Feed names and columns with their types as Spark reads them.
 FEEDS = {
@@ -62,22 +62,22 @@ def read_sh_ticks(spark: SparkSession, root: str, days: list[int] | None = None)
     """Shanghai ticks as canonical events (A add, D cancel, T trade, S status) with the rules each row breaks."""
     raw = _scan(spark, root, *FEEDS["sh_ticks"], days)
     kind = F.when(_text("Type") == "D", "C").when(_text("Type").isin("A", "T", "S"), _text("Type"))
-    flag, status = _text("TickBSFlag"), F.col("kind") == "S"
+    flag, status = _text("TickBSFlag"), F.coalesce(F.col("kind") == "S", F.lit(False))
     df = raw.select(
         F.lit("SH").alias("market"), "trading_day", _text("SecurityID").alias("symbol"), _long("Channel").cast("int").alias("channel"), _long("BizIndex").alias("seq"), _long("source_row_no").alias("source_row"),
         F.lit("ticks").alias("stream"), kind.alias("kind"), flag.alias("raw_flag"), _number("BuyOrderNO").alias("bid_no"), _number("SellOrderNO").alias("ask_no"), (F.col("Price") * 10_000).cast("bigint").alias("price"), F.col("Qty").alias("qty"),
         market_ts(F.col("trading_day"), F.trim("TickTime")).alias("quote_ms"), _text("LocalTime").alias("local_time"),
     )
-    add, cancel = F.col("kind") == "A", F.col("kind") == "C"
+    add, cancel, priced = (F.coalesce(F.col("kind").isin(*k), F.lit(False)) for k in ("A", "C", "AT"))
     df = df.withColumns({
         "ord_type": F.when(add, "limit"),
         "side": F.when(add | cancel, F.when(F.col("bid_no").isNotNull() & F.col("ask_no").isNull(), "B").when(F.col("ask_no").isNotNull() & F.col("bid_no").isNull(), "S")).otherwise(F.when(~status, F.when(F.col("raw_flag").isin("B", "S", "N"), F.col("raw_flag")))),
         "status": F.when(status, F.col("raw_flag")), "flag": F.when(~status, F.when(F.col("raw_flag").isin("B", "S", "N"), F.col("raw_flag")).otherwise("other")),
-        "price": F.when(F.col("kind").isin("A", "T"), F.col("price")),
+        "price": F.when(priced, F.col("price")),
     })
     df = _checked(df, {
         "kind": F.col("kind").isNull(), "sequence": ~(F.col("seq") > 0), "symbol": F.col("symbol").isNull(), "time": F.col("quote_ms").isNull(), "local_time": F.col("local_time").isNull(), "flag": F.col("raw_flag").isNull(),
-        "price": F.col("kind").isin("A", "T") & ~(F.col("price") > 0), "quantity": ~status & ~(F.col("qty") > 0), "side": (add | cancel) & F.col("side").isNull(), "status": status & ~F.col("status").isin(*STATUS_FLAGS, "START", "OCALL", "SUSP", "ENDTR"),
+        "price": priced & ~(F.col("price") > 0), "quantity": ~status & ~(F.col("qty") > 0), "side": (add | cancel) & F.col("side").isNull(), "status": status & ~F.col("status").isin(*STATUS_FLAGS, "START", "OCALL", "SUSP", "ENDTR"),
     })
     return df.select(*_COMMON)
 
@@ -94,7 +94,7 @@ def read_sz_orders(spark: SparkSession, root: str, days: list[int] | None = None
     )
     return _checked(df, {
         "side": F.col("side").isNull(), "type": F.col("ord_type").isNull(), "sequence": ~(F.col("seq") > 0), "symbol": F.col("symbol").isNull(), "time": F.col("quote_ms").isNull(), "local_time": F.col("local_time").isNull(),
-        "price": (F.col("ord_type") == "limit") & ~(F.col("price") > 0), "quantity": ~(F.col("qty") > 0),
+        "price": F.coalesce(F.col("ord_type") == "limit", F.lit(False)) & ~(F.col("price") > 0), "quantity": ~(F.col("qty") > 0),
     }).select(*_COMMON)
 
 
@@ -110,7 +110,7 @@ def read_sz_executions(spark: SparkSession, root: str, days: list[int] | None =
     )
     return _checked(df, {
         "kind": F.col("kind").isNull(), "sequence": ~(F.col("seq") > 0), "symbol": F.col("symbol").isNull(), "time": F.col("quote_ms").isNull(), "local_time": F.col("local_time").isNull(),
-        "price": (F.col("kind") == "T") & ~(F.col("price") > 0), "quantity": ~(F.col("qty") > 0),
+        "price": F.coalesce(F.col("kind") == "T", F.lit(False)) & ~(F.col("price") > 0), "quantity": ~(F.col("qty") > 0),
     }).select(*_COMMON)
 
 
@@ -157,8 +157,8 @@ def read_reference(spark: SparkSession, root: str, market: str, days: list[int]
         F.lit(market).alias("market"), F.col("date").cast("int").alias("trading_day"), _text("SecurityID").alias("symbol"), market_ts(F.col("date").cast("int"), F.trim("UpdateTime")).alias("quote_ms"), _long("source_row_no").alias("source_row"), F.trim(c["status"]).alias("status"),
         *(price(f).alias(f) for f in prices), *(ref_quantity(scaled(f), market).alias(f) for f in quantities), ref_amount(scaled("turnover"), c["turnover"][1]).cast("decimal(38,0)").alias("turnover"), _long(c["trades"]).alias("trades"),
         bids.alias("bids"), asks.alias("asks"), bad_b.alias("__bad_b"), bad_a.alias("__bad_a"), *(ref_price_error(scaled(f)).alias(f"__neg_{f}") for f in prices),
-        (F.col("SeqNo").isNull() & (F.col("LocalTime").isNull() | (F.trim("LocalTime") == ""))).alias("missing_reception"),
-        *((optional("PreCloPrice", (F.col("PreCloPrice") * 10_000).cast("bigint")).alias("previous_close"), limit("HighLimitPrice").alias("high_limit"), limit("LowLimitPrice").alias("low_limit")) if market == "SZ" else ()),
+        missing_reception(F.col("SeqNo"), F.col("LocalTime")).alias("missing_reception"),
+        *((optional("PreCloPrice", ref_price((F.col("PreCloPrice") * 10_000).cast("bigint"), 4)).alias("previous_close"), limit("HighLimitPrice").alias("high_limit"), limit("LowLimitPrice").alias("low_limit")) if market == "SZ" else ()),
     )
     rules = {**{f: F.col(f"__neg_{f}") for f in prices}, **{f: F.col(f).isNull() for f in [*quantities, "turnover", "trades", "quote_ms", "symbol"]}, "bids": F.col("__bad_b"), "asks": F.col("__bad_a")}
     return _checked(df, rules).withColumnRenamed("faults", "load_error").drop(*[x for x in df.columns if x.startswith("__")])

@@ -1,113 +1,168 @@
 """Incremental books on Structured Streaming.
 
-Events reach a book's state in native order: rows are held until the next sequence number is there, and a
-number that was already applied is told apart, never dropped in silence. Every applied event emits the
-levels it changed; the first event at or after a boundary emits the trade statistics before it.
+A channel's rows reach its books in native order: rows are held until the next number of the channel is
+there, and a number that was already applied is told apart, never dropped in silence. Every applied event
+tells the levels that it changed; the first event of a book at or after a boundary tells its trade
+statistics before it, and the channel's last row those of all boundaries that are left.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from bookweave.schema import BOOK
 
 _OUT = "market string, trading_day int, symbol string, what string, seq bigint, order_side string, price bigint, quantity bigint, order_count bigint, at_ms bigint, volume bigint, trades bigint"
-#: State of a book: next sequence number, held rows, orders, levels and statistics, as JSON.
-_STATE = "state string"
-
-
-def _fresh() -> dict:
-    return {"next": 1, "held": {}, "orders": {}, "levels": {}, "volume": 0, "trades": 0, "high": None, "bound": None}
-
-
-def _apply(s: dict, e: dict) -> dict[str, None]:
-    """Apply one event; the levels (side|price) that it changed."""
-    changed: dict[str, None] = {}
-
-    def move(key: str, price: int, q: int, n: int) -> None:
-        level = f"{key[0]}|{price}"
-        was = s["levels"].get(level, [0, 0])
-        s["levels"][level] = [was[0] + q, was[1] + n]
-        changed[level] = None
-
-    for side, no in (("B", e["bid_no"]), ("S", e["ask_no"])):
-        if no is None or no == 0:
-            continue
-        key = f"{side}{no}"
-        if e["kind"] == "A":
-            s["orders"][key] = [e["price"], e["qty"]]
-            move(key, e["price"], e["qty"], 1)
-        elif key in s["orders"]:
-            price, left = s["orders"][key]
-            q = left if e["kind"] == "C" else min(left, e["qty"])
-            if q == left:
-                del s["orders"][key]
-            else:
-                s["orders"][key][1] = left - q
-            move(key, price, -q, -int(q == left))
-    if e["kind"] == "T":
-        s["volume"] += e["qty"]
-        s["trades"] += 1
-    return changed
-
-
-def incremental_books(events: DataFrame, step_ms: int | None = None) -> DataFrame:
-    """Stream of rows: `level` (a level's totals after an event), `snapshot` (statistics before a boundary), `late` (a number already applied) and `time` (a quote time behind the latest one).
-
-    events: a streaming DataFrame of canonical events whose seq is dense from 1 in each book. State grows
-    with a book's live orders, not with its history.
-    """
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        s = json.loads(state.get[0]) if state.exists else _fresh()
-        rows: list[tuple] = []
-
-        def emit(what, seq, side=None, price=None, q=None, n=None, at=None) -> None:
-            rows.append((*key, what, seq, side, price, q, n, at, s["volume"], s["trades"]))
-
-        def number(x) -> int | None:
-            return None if pd.isna(x) else int(x)
-
-        for b in batches:
-            for e in b.to_dict("records"):
-                e = {"seq": int(e["seq"]), "kind": e["kind"], **{c: number(e[c]) for c in ("bid_no", "ask_no", "price", "qty", "quote_ms")}}
-                if e["seq"] < s["next"] or str(e["seq"]) in s["held"]:
-                    emit("late", e["seq"], at=e["quote_ms"])
+_NAMES = [c.split()[0] for c in _OUT.split(", ")]
+_ROW = "symbol string, kind string, status string, bid_no bigint, ask_no bigint, price bigint, qty bigint, quote_ms bigint"
+_FIELDS = [c.split()[0] for c in _ROW.split(", ")]
+#: Status of a channel's last row.
+END = "END"
+_NUMBERS = ["seq", "bid_no", "ask_no", "price", "qty", "quote_ms"]
+
+
+class _Entries:
+    """A map state, read and written once a batch per key that is touched."""
+
+    def __init__(self, state):
+        self.state, self.now, self.changed = state, {}, set()
+
+    def get(self, key: tuple) -> tuple | None:
+        if key not in self.now:
+            self.now[key] = self.state.getValue(key) if self.state.containsKey(key) else None
+        return self.now[key]
+
+    def put(self, key: tuple, value: tuple | None) -> None:
+        self.now[key] = value
+        self.changed.add(key)
+
+    def flush(self) -> None:
+        for key in self.changed:
+            if self.now[key] is not None:
+                self.state.updateValue(key, self.now[key])
+            elif self.state.containsKey(key):
+                self.state.removeKey(key)
+
+
+class _Channel(StatefulProcessor):
+    """State of a channel: the next number and how many rows are held; these rows; live orders and levels; statistics of each book."""
+
+    def __init__(self, step_ms: int | None, until_ms: int | None):
+        self.step_ms, self.until_ms = step_ms, until_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.place = handle.getValueState("place", "next bigint, held bigint")
+        self.held = handle.getMapState("held", "seq bigint", _ROW)
+        self.orders = handle.getMapState("orders", "symbol string, side string, no bigint", "price bigint, rest bigint")
+        self.levels = handle.getMapState("levels", "symbol string, side string, price bigint", "quantity bigint, orders bigint")
+        self.books = handle.getMapState("books", "symbol string", "volume bigint, trades bigint, high bigint, bound bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        market, day, _ = key
+        at, held = self.place.get() if self.place.exists() else (1, 0)
+        orders, levels, books = _Entries(self.orders), _Entries(self.levels), _Entries(self.books)
+        out: list[tuple] = []
+
+        def tell(what, symbol, seq, side=None, price=None, q=None, n=None, ms=None) -> None:
+            volume, trades, _, _ = books.get((symbol,)) or (0, 0, None, None)
+            out.append((market, day, symbol, what, seq, side, price, q, n, ms, volume, trades))
+
+        def due(symbol: str, seq: int, ms: int | None) -> None:
+            """Boundaries up to a time, or all that are left."""
+            volume, trades, high, bound = books.get((symbol,)) or (0, 0, None, None)
+            if bound is None:
+                bound = (ms // self.step_ms + 1) * self.step_ms if ms is not None else None
+            while bound is not None and (bound <= ms if ms is not None else bound <= (self.until_ms or 0)):
+                tell("snapshot", symbol, seq, ms=bound)
+                bound += self.step_ms
+            books.put((symbol,), (volume, trades, high, bound))
+
+        def move(symbol, side, price, q, n, seq, ms) -> None:
+            was = levels.get((symbol, side, price)) or (0, 0)
+            now = (was[0] + q, was[1] + n)
+            levels.put((symbol, side, price), now if now[1] else None)
+            tell("level", symbol, seq, side, price, *now, ms)
+
+        def apply(seq: int, e: tuple) -> None:
+            symbol, kind, status, bid, ask, price, qty, ms = e
+            if kind == "S":
+                if status == END and self.step_ms:
+                    for (name,) in list(self.books.keys()) + [k for k in books.now if not self.books.containsKey(k)]:
+                        due(name, seq, None)
+                return
+            _, _, high, _ = books.get((symbol,)) or (0, 0, None, None)
+            if high is not None and ms < high:
+                tell("time", symbol, seq, ms=ms)
+            if self.step_ms:
+                due(symbol, seq, ms)
+            volume, trades, _, bound = books.get((symbol,)) or (0, 0, None, None)
+            if kind == "T":
+                volume, trades = volume + qty, trades + 1
+            books.put((symbol,), (volume, trades, max(ms, high or ms), bound))
+            for side, no in (("B", bid), ("S", ask)):
+                if not no:
+                    continue
+                order = (symbol, side, no)
+                if kind == "A":
+                    orders.put(order, (price, qty))
+                    move(symbol, side, price, qty, 1, seq, ms)
+                elif (o := orders.get(order)) is not None:
+                    q = o[1] if kind == "C" else min(o[1], qty)
+                    orders.put(order, (o[0], o[1] - q) if q < o[1] else None)
+                    move(symbol, side, o[0], -q, -int(q == o[1]), seq, ms)
+
+        fresh: dict[int, tuple] = {}
+        for b in rows:
+            numbers = {c: [None if pd.isna(x) else int(x) for x in b[c]] for c in _NUMBERS}
+            texts = {c: [None if pd.isna(x) else x for x in b[c]] for c in ("symbol", "kind", "status")}
+            for seq, *e in zip(numbers["seq"], *((texts | numbers)[c] for c in _FIELDS), strict=True):
+                if seq < at or seq in fresh or (held and self.held.containsKey((seq,))):
+                    tell("late", e[0], seq, ms=e[-1])
                 else:
-                    s["held"][str(e["seq"])] = e
-        while (e := s["held"].pop(str(s["next"]), None)) is not None:
-            if s["high"] is not None and e["quote_ms"] < s["high"]:
-                emit("time", e["seq"], at=e["quote_ms"])
-            s["high"] = max(s["high"] or 0, e["quote_ms"])
-            if step_ms:
-                s["bound"] = s["bound"] or (e["quote_ms"] // step_ms + 1) * step_ms
-                while e["quote_ms"] >= s["bound"]:
-                    emit("snapshot", e["seq"], at=s["bound"])
-                    s["bound"] += step_ms
-            for level in _apply(s, e):
-                side, price = level.split("|")
-                q, n = s["levels"][level]
-                if n == 0:
-                    del s["levels"][level]
-                emit("level", e["seq"], side, int(price), q, n, e["quote_ms"])
-            s["next"] += 1
-        state.update((json.dumps(s),))
-        if rows:
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in _OUT.split(", ")])
-            yield out.astype({c: "Int64" for c in ("price", "quantity", "order_count", "at_ms")})
-
-    narrow = events.select(*BOOK, "seq", "kind", "bid_no", "ask_no", "price", "qty", "quote_ms")
-    return narrow.groupBy(*BOOK).applyInPandasWithState(run, _OUT, _STATE, "append", GroupStateTimeout.NoTimeout)
+                    fresh[seq] = tuple(e)
+        while True:
+            e = fresh.pop(at, None)
+            if e is None and held and self.held.containsKey((at,)):
+                e, held = self.held.getValue((at,)), held - 1
+                self.held.removeKey((at,))
+            if e is None:
+                break
+            apply(at, tuple(e))
+            at += 1
+        for seq, e in fresh.items():
+            self.held.updateValue((seq,), e)
+        for entries in (orders, levels, books):
+            entries.flush()
+        self.place.update((at, held + len(fresh)))
+        if out:
+            yield pd.DataFrame(out, columns=_NAMES).astype({c: "Int64" for c in ("price", "quantity", "order_count", "at_ms")})
+
+    def close(self) -> None:
+        pass
+
+
+def incremental_books(events: DataFrame, step_ms: int | None = None, until_ms: int | None = None) -> DataFrame:
+    """Stream of rows: `level` (a level's totals after an event), `snapshot` (statistics before a boundary), `late` (a number already applied or held) and `time` (a quote time behind the latest one).
+
+    events: a streaming DataFrame of canonical events whose seq is dense from 1 on each channel, as a
+    channel's rows are before any are left out; they may arrive in any order. A row of kind S and status
+    END is the channel's last and tells the boundaries left up to until_ms. State is one entry per live
+    order, level and held row, in RocksDB.
+    """
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    narrow = events.select("market", "trading_day", "channel", "seq", *_FIELDS)
+    return narrow.groupBy("market", "trading_day", "channel").transformWithStateInPandas(_Channel(step_ms, until_ms), outputStructType=_OUT, outputMode="Append", timeMode="None")
 
 
 def trade_windows(events: DataFrame, width: str = "1 day", late: str = "1 hour") -> DataFrame:
-    """Trades, volume, and high and low price per symbol and tumbling window; events: streaming, with ts and a watermark of `late`."""
-    t = events.filter("kind = 'T'").withWatermark("ts", late).groupBy("market", "symbol", F.window("ts", width).alias("w"))
-    sums = t.agg(F.count("*").alias("trades"), F.sum("qty").alias("volume"), F.max("price").alias("high_price"), F.min("price").alias("low_price"))
+    """Trades, volume, and high and low price per symbol and tumbling window; events: streaming, with ts. A row of any kind moves the watermark on, `late` behind the latest ts."""
+    price, qty = (F.when(F.col("kind") == "T", F.col(c)) for c in ("price", "qty"))
+    t = events.withWatermark("ts", late).groupBy("market", "symbol", F.window("ts", width).alias("w"))
+    # no filter before: it would go below the watermark, which then saw trades alone
+    sums = t.agg(F.count_if(F.col("kind") == "T").alias("trades"), F.sum(qty).alias("volume"), F.max(price).alias("high_price"), F.min(price).alias("low_price")).filter("trades > 0")
     return sums.select("market", "symbol", F.col("w.start").alias("window_start"), "trades", "volume", "high_price", "low_price")

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from bookweave.operators import book, integrity, ledger, placement
+from bookweave.operators import book, integrity, ledger, placement, snapshots
 from bookweave.schema import EVENT
 
 COLUMNS = [c.split()[0] for c in EVENT.split(", ")]
@@ -163,29 +163,79 @@ def test_random_days(spark):
     assert book.invariant_breaks(ledger.active_orders(led), book.level_totals(changes), book.side_totals(changes)).count() == 0
 
 
-def test_placements_give_the_folds_book(spark):
-    """Placed orders by sums of changes, against the visible orders of a fold that keeps the whole book."""
-    days = {f"{i:06d}": random_day(random.Random(100 + i), 50, ("limit", "limit", "market", "hide_if_crossing")) for i in range(30)}
+def plain_book(rows):
+    """Visible levels after a day, by a book that is searched whole at every step: market orders are hidden until they have traded, then take that price; hidden ones show once they do not cross."""
+    orders = {}
+
+    def best(side):
+        prices = [o["price"] for (s, _), o in orders.items() if s == side and o["seen"] and o["left"]]
+        return (max if side == "B" else min)(prices) if prices else None
+
+    def clear(side, price):
+        other = best("S" if side == "B" else "B")
+        return other is None or (price < other if side == "B" else price > other)
+
+    for r in rows:
+        named = [(s, n) for s, n in (("B", r.get("bid_no")), ("S", r.get("ask_no"))) if n]
+        if r["kind"] == "A":
+            kind = r["ord_type"]
+            orders[named[0]] = {"price": r["price"], "left": r["qty"], "kind": kind, "seen": kind == "limit" or kind == "hide_if_crossing" and clear(r["side"], r["price"])}
+        elif r["kind"] == "C":
+            orders[named[0]]["left"] = 0
+        else:
+            for k in named:
+                orders[k]["left"] -= r["qty"]
+            for k in named:
+                o = orders[k]
+                if o["left"] and not o["seen"]:
+                    if o["kind"] == "market":
+                        o["price"] = r["price"]
+                    o["seen"] = clear(k[0], o["price"])
+    out = {}
+    for (side, _), o in orders.items():
+        if o["seen"] and o["left"]:
+            was = out.get((side, o["price"]), (0, 0))
+            out[side, o["price"]] = (was[0] + o["left"], was[1] + 1)
+    return out
+
+
+def test_placements_give_the_whole_book(spark):
+    """Placed orders by sums of changes, against a book of its own that keeps every order and looks for the best at each step."""
+    days = {f"{i:06d}": random_day(random.Random(100 + i), 60, ("limit", "limit", "market", "hide_if_crossing")) for i in range(40)}
     events = make(spark, [{**r, "symbol": s} for s, rows in days.items() for r in rows])
+    found = placement.placements(events)
     got = {s: {} for s in days}
-    for r in book.level_totals(placement.placed_deltas(events, ledger.ledger(events), placement.placements(events))).collect():
+    for r in book.level_totals(placement.placed_deltas(events, ledger.ledger(events), found)).collect():
         got[r.symbol][r.order_side, r.price] = (r.quantity, r.order_count)
-    for s, rows in days.items():
-        full = [{"bid_no": None, "ask_no": None, **r} for r in rows]
-        at = {(p[1], p[2]): p[5] for p in placement.fold(full, "rest_at_last_trade") if p[0] == "placement"}
-        types = {(r["side"], r.get("bid_no") or r.get("ask_no")): (r["ord_type"], r["price"]) for r in rows if r["kind"] == "A"}
-        left = {k: r["qty"] for r in rows if r["kind"] == "A" for k in [(r["side"], r.get("bid_no") or r.get("ask_no"))]}
-        for r in rows:
-            for side, no in (("B", r.get("bid_no")), ("S", r.get("ask_no"))):
-                if r["kind"] != "A" and no:
-                    left[side, no] = 0 if r["kind"] == "C" else left[side, no] - r["qty"]
-        want = {}
-        for k, q in left.items():
-            price = types[k][1] if types[k][0] == "limit" else at.get(k)
-            if q and price is not None:
-                was = want.get((k[0], price), (0, 0))
-                want[k[0], price] = (was[0] + q, was[1] + 1)
-        assert got[s] == want, s
+    assert got == {s: plain_book(rows) for s, rows in days.items()}
+    assert found.filter("what = 'placement'").groupBy("symbol").count().count() > 30
+
+
+def test_runs_of_points_lose_no_level(spark):
+    """The best levels at every point, by runs of points and by looking at all levels."""
+    rng = random.Random(3)
+    rows, now = [], {}
+    for k in range(1, 200):
+        for _ in range(rng.randrange(3)):
+            side, price = rng.choice("BS"), rng.randrange(40)
+            q, n = now.get((side, price), (0, 0))
+            d = (-q, -n) if n and rng.random() < 0.4 else (rng.randrange(1, 9), 1)
+            now[side, price] = (q + d[0], n + d[1])
+            rows.append(("SZ", 1, "000001", side, price, k, *d))
+    changes = spark.createDataFrame(rows, "market string, trading_day int, symbol string, order_side string, price long, k long, dqty long, dcount long")
+    last = F.lit(230).cast("bigint")
+    for run in (1, 16, 64):
+        got = {(r.order_side, r.k, r.level): (r.price, r.quantity, r.order_count) for r in snapshots.best_states(changes, last, 4, run).collect()}
+        want, held = {}, {}
+        for k in range(1, 231):
+            for _, _, _, side, price, at, q, n in rows:
+                if at == k:
+                    was = held.get((side, price), (0, 0))
+                    held[side, price] = (was[0] + q, was[1] + n)
+            for side in "BS":
+                live = sorted((p for (s, p), (_, n) in held.items() if s == side and n), reverse=side == "B")
+                want |= {(side, k, i + 1): (p, *held[side, p]) for i, p in enumerate(live[:4])}
+        assert got == want
 
 
 def test_every_fault_is_found(spark):

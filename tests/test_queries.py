@@ -1,7 +1,6 @@
 """Every query with SQL gives the same rows on the smallest tables, and every query imports without a session."""
 
 import datetime
-import os
 
 import duckdb
 import pytest
@@ -27,11 +26,7 @@ def duck():
     return c
 
 
-#: The longest plans run in the driver's own comparison; here a few of each kind keep the suite short.
-SKIP = {"first_match", "best_candidate", "book_summary", "stream_snapshots", "close_snapshot", "book_invariants", "first_fault_of_run", "lenient_faults"} if not os.environ.get("ALL_QUERIES") else set()
-
-
-@pytest.mark.parametrize("name", sorted(set(q.oracle_sql()) - SKIP))
+@pytest.mark.parametrize("name", sorted(q.oracle_sql()))
 def test_same_rows_as_sql(spark, duck, name):
     df = q.queries()[name](spark, SF)
     names = sorted(df.columns)

@@ -43,12 +43,13 @@ def test_shanghai_day(spark, tmp_path):
     mine = ticks.filter("symbol = '600000'")
     led = ledger.ledger(mine)
     assert ledger.reference_violations(mine, led).count() == 0
-    grid = {r.boundary_ms: r for r in snapshots.grid_snapshots(mine, led, 3_600_000).collect()}
+    changes = book.deltas(led)
+    grid = {r.boundary_ms: r for r in snapshots.grid_snapshots(mine, changes, 3_600_000).collect()}
     times = sorted(grid)
     assert len(times) == 4
     # a snapshot holds what came strictly before it
     assert grid[times[0]].asks == [] and grid[times[1]].asks[0].price == 110_000
-    close = snapshots.close_snapshots(mine, led).first()
+    close = snapshots.close_snapshots(mine, changes).first()
     assert close.ask_total == 160 and close.bid_total == 0 and close.boundary_ms == times[3] + 1000
     files = spark.createDataFrame([(path, "SH", "mdl_4_24_0")], "path string, market string, feed string")
     assert vendor.check_footers(spark, files).filter("not ok").count() == 0
@@ -57,11 +58,11 @@ def test_shanghai_day(spark, tmp_path):
     raw = spark.read.parquet(path)
     assert vendor.check_schema(raw, vendor.FEEDS["sh_ticks"][1]) == []
     assert vendor.check_schema(raw.drop("Qty"), vendor.FEEDS["sh_ticks"][1]) == [("Qty", "bigint", "missing")]
-    wide = sinks.wide_snapshots(snapshots.grid_snapshots(mine, led, 3_600_000).withColumn("channel", F.lit(1)))
-    row = wide.orderBy("boundary_ms").collect()[1]
+    wide = sinks.wide_snapshots(snapshots.grid_snapshots(mine, changes, 3_600_000).withColumns({"channel": F.lit(1), "kind": F.lit("scheduled")}))
+    row = wide.orderBy("boundary_time").collect()[1]
     assert row.ask_price_1 == D("11.0000") and row.ask_price_2 is None and row.bid_qty_1 == 100
     out = str(tmp_path / "out")
-    sinks.write_snapshots(snapshots.grid_snapshots(mine, led, 3_600_000).withColumn("channel", F.lit(1)), out)
+    sinks.write_snapshots(snapshots.grid_snapshots(mine, changes, 3_600_000).withColumns({"channel": F.lit(1), "kind": F.lit("scheduled")}), out)
     assert spark.read.parquet(out).count() == 4
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         vendor.read_sh_ticks(spark, str(tmp_path), [20260829]).count()
@@ -88,12 +89,12 @@ def test_shenzhen_day(spark, tmp_path):
     led = ledger.ledger(e)
     assert ledger.reference_violations(e, led).count() == 0
     assert integrity.duplicate_sequences(e.filter("stream = 'orders'"), e.filter("stream = 'executions'")).count() == 0
-    close = snapshots.close_snapshots(e, led).first()
+    close = snapshots.close_snapshots(e, book.deltas(led)).first()
     assert close.bids == [] and close.asks[0].quantity == 160 and close.last_price == 105_000
     wrong = e.withColumn("qty", F.when(F.col("kind") == "C", 59).otherwise(F.col("qty")).cast("bigint"))
     assert [r.code for r in ledger.reference_violations(wrong, ledger.ledger(wrong)).collect()] == ["cancel_quantity"]
     runs = integrity.natural_runs(e.filter("stream = 'orders'").withColumn("source_row", -F.col("source_row")), [*BOOK, "channel"]).first()
-    assert (runs.rows, runs.runs, runs.merge_passes) == (2, 2, 1)
+    assert (runs.rows, runs.runs, runs.duplicates) == (2, 2, 0)
     assert book.book_summary(e, led).first().active_orders == 1
 
 
