@@ -123,43 +123,54 @@ class Model:
             cls._built = {key: cls(sample)}
         return cls._built[key]
 
-    def _walk(self, k: int, blocks: Blocks, state: np.ndarray, which: np.ndarray, before: tuple | None = None) -> tuple:
-        """Parse blocks `which` from the states given with language k: pieces ended in each, the state at its end, and where pieces ended.
-
-        before: the result of an earlier walk over all blocks; where a piece ends in both walks they are one from there on.
-        """
-        to, (keys, targets) = self.tables[k], self.rare[k]
+    def _step(self, k: int, state: np.ndarray, c: np.ndarray, wide: bool) -> np.ndarray:
+        """States after one more symbol each; the root where the run is known no longer. wide: some symbols may be beyond the table."""
+        if not wide:
+            return self.tables[k][state + c]
+        keys, targets = self.rare[k]
+        s = self.tables[k][state + np.minimum(c, LETTERS + 1)]
+        at = np.flatnonzero(c >= self.alphabet)
+        if len(at):
+            key = state[at] // self.alphabet * np.int64(self.width) + c[at]
+            place = np.searchsorted(keys[:-1], key)
+            s[at] = np.where(keys[place] == key, targets[place], 0)
+        return s
+
+    def _from_root(self, k: int, blocks: Blocks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All blocks parsed as if a piece began with each: pieces ended in each, the state at its end, and where pieces ended [place, block]."""
+        n = len(blocks.owner)
+        state, count, cuts = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros((BLOCK, n), bool)
+        for i, m in enumerate(blocks.live):
+            if not m:
+                break
+            state[:m] = s = self._step(k, state[:m], blocks.longest_first[i, :m], blocks.wide[i])
+            cuts[i, :m] = cut = s == 0
+            count[:m] += cut
+        back = np.argsort(blocks.order)
+        return count[back], state[back], cuts[:, back]
+
+    def _again(self, k: int, blocks: Blocks, which: np.ndarray, state: np.ndarray, before: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for blocks `which` parsed from the states given; where a piece ends in this parse and the one before, they are one from there on."""
         n, state = len(which), state.copy()
-        count, ends = np.zeros(n, np.int32), blocks.ends[which]
-        cuts = np.zeros((BLOCK, n), bool)
-        last = np.zeros(n, np.int32)
-        passed = np.zeros(n, np.int32)  # pieces that the earlier walk has ended so far
+        count, last, passed, cuts = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros((BLOCK, n), bool)
         go = np.arange(n)
         for i in range(BLOCK):
-            go = go[ends[go] > i]
+            go = go[blocks.ends[which[go]] > i]
             if not len(go):
                 break
-            c = blocks.symbols[i, which[go]]
-            s = to[state[go] + np.minimum(c, LETTERS + 1)]
-            wide = np.flatnonzero(c >= self.alphabet)
-            if len(wide):
-                key = state[go[wide]] // self.alphabet * np.int64(self.width) + c[wide]
-                place = np.searchsorted(keys[:-1], key)
-                s[wide] = np.where(keys[place] == key, targets[place], 0)
-            state[go] = s
+            state[go] = s = self._step(k, state[go], blocks.symbols[i, which[go]], blocks.wide[i])
             cuts[i, go] = s == 0
             count[go] += s == 0
             last[go] = s
-            if before is not None:
-                was = before[2][i, which[go]]
-                passed[go] += was
-                both = was & (s == 0)
-                if both.any():
-                    met = go[both]
-                    count[met] += before[0][which[met]] - passed[met]
-                    last[met] = before[1][which[met]]
-                    cuts[i + 1 :, met] = before[2][i + 1 :, which[met]]
-                    go = go[~both]
+            was = before[2][i, which[go]]
+            passed[go] += was
+            both = was & (s == 0)
+            if both.any():
+                met = go[both]
+                count[met] += before[0][which[met]] - passed[met]
+                last[met] = before[1][which[met]]
+                cuts[i + 1 :, met] = before[2][i + 1 :, which[met]]
+                go = go[~both]
         return count, last, cuts
 
     def pieces(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -169,18 +180,17 @@ class Model:
         from the state in which the one before it ended, until a piece ends in both parses; blocks whose
         predecessor thereby ends otherwise are parsed once more, until nothing changes.
         """
-        blocks = Blocks(texts)
+        blocks = Blocks(texts, self.alphabet)
         out = np.zeros((len(texts), len(self.names)), np.int64)
         if not len(blocks.owner):
             return out
-        all_ = np.arange(len(blocks.owner))
-        follows = all_[1:][blocks.owner[1:] == blocks.owner[:-1]]
+        follows = np.flatnonzero(blocks.owner[1:] == blocks.owner[:-1]) + 1
         for k in range(len(self.names)):
-            count, last, cuts = self._walk(k, blocks, np.zeros(len(all_), np.int32), all_)
+            count, last, cuts = self._from_root(k, blocks)
             due = follows[last[follows - 1] != 0]  # where nothing is left open before a block, its parse from the root stands
             while len(due):
                 was = last[due].copy()
-                got = self._walk(k, blocks, last[due - 1], due, (count, last, cuts))
+                got = self._again(k, blocks, due, last[due - 1], (count, last, cuts))
                 count[due], last[due], cuts[:, due] = got
                 changed = due[last[due] != was]
                 due = changed[np.isin(changed + 1, follows)] + 1
@@ -198,9 +208,9 @@ class Model:
 
 
 class Blocks:
-    """Texts of symbols cut into blocks [place, block], the text of each block, and how long it is."""
+    """Texts of symbols cut into blocks [place, block], the text of each block, and how long it is; the same with the longest first."""
 
-    def __init__(self, texts: list[np.ndarray]):
+    def __init__(self, texts: list[np.ndarray], alphabet: int):
         sizes = np.array([len(x) for x in texts], np.int64)
         blocks = -(-sizes // BLOCK)
         self.owner = np.repeat(np.arange(len(texts)), blocks)
@@ -212,6 +222,10 @@ class Blocks:
             if b:
                 self.ends[row - 1] = n - (b - 1) * BLOCK
         self.symbols = np.ascontiguousarray(grid.T)
+        self.wide = self.symbols.max(axis=1, initial=0) >= alphabet
+        self.order = np.argsort(-self.ends, kind="stable")
+        self.longest_first = self.symbols[:, self.order]
+        self.live = np.searchsorted(-self.ends[self.order], -np.arange(BLOCK), side="left")  # blocks of more symbols than so many
 
 
 def sample(labelled: DataFrame, documents: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS) -> dict[str, str]:
