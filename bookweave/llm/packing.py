@@ -30,7 +30,7 @@ END = 0
 #: Steps of the search, after its first way down, after which the best plan so far is taken; and how many steps it can go back.
 NODES, DEEP = 2000, 64
 #: Pieces that a part has, into which pieces of one length are dealt for ranking.
-PART = 50_000
+PART = 2_000
 
 _CODER: dict = {}
 
