@@ -5,6 +5,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from bookweave.llm import decontaminate, jaccard, language, line_dedup, packing, secrets, sharding, surrogates, transport
 
@@ -153,3 +154,30 @@ def test_surrogates(docs, nothing):
     rows = surrogates.replace_pii(docs).collect()
     assert sorted((r.doc_id or -1, r.text or "") for r in rows) == sorted((d or -1, t or "") for d, t in ROWS)
     assert surrogates.replace_pii(nothing).count() == 0
+
+
+def test_pipeline_stages(spark, docs, nothing):
+    """Every stage on nulls, empty and very long texts, repeated rows and ids, clashing columns, and an empty table."""
+    import corpus_pipeline as p
+
+    sf = "/root/testdata/sf0.001"
+    wide = docs.unionByName(docs.sparkSession.createDataFrame([(5, "quite another text under the same id, of some length", "en", 1, "x", "k", 1, 1, 1, "z", 1, 1, 1, "s", 1, "r", 1)], docs.schema))
+    more = {c: F.lit("c") for c in ("doc", "c", "t", "rep", "label", "component", "d", "th", "at", "n_chars2", "draw", "lot", "part", "first")}
+    wide = wide.withColumns(more)
+    ids = lambda df: sorted((r.doc_id or -1, r.text or "") for r in df.collect())
+    rows = ids(wide)
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, wide, sf)
+        assert out.columns == [c for c in wide.columns if c != "lines_removed" or name != "line_dedup"], name
+        got = ids(out)
+        assert stage(spark, wide.limit(0), sf).count() == 0, name
+        if name == "line_dedup":
+            assert {d for d, _ in got} == {d for d, _ in rows} - {6}
+        elif name == "language":
+            assert {d for d, _ in got} == {-1, 4, 5, 6, 8} and all(x in rows for x in got)
+        elif name == "near_duplicates":
+            assert got == sorted(set(rows) - {(6, ROWS[4][1])})
+        else:
+            assert got == rows
+    packed = p.pack(spark, wide, sf).collect()
+    assert {r.doc_id for r in packed} == {d for d, _ in ROWS} and p.pack(spark, wide.limit(0), sf).count() == 0
