@@ -9,9 +9,11 @@ from pyspark.sql import SparkSession
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir; under a temporary folder only where the session names none (tests)."""
+    """A new path under spark.checkpoint.dir; under a temporary folder only where the session names none and all runs in one process (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
