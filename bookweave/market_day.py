@@ -43,11 +43,12 @@ class Replay:
 
 @dataclass(frozen=True)
 class Validation:
-    """A record per selected frame, what was selected per symbol, how far the anchors are covered, and one summary row."""
+    """A record per selected frame, what was selected per symbol, how far anchors and symbols are covered, and one summary row."""
 
     records: DataFrame
     audit: DataFrame
     coverage: DataFrame
+    symbols: DataFrame
     summary: DataFrame
     violations: DataFrame
 
@@ -188,4 +189,4 @@ def validate_day(
     of = symbols_.withColumn("class", kind)
     positions = reference.position_faults(frames).select(*BOOK, F.lit(None).cast("int").alias("channel"), F.lit(None).cast("bigint").alias("seq"), F.lit("reference_position").alias("code"))
     summary = reports.run_summary(records, diagnostic=back_ms is not None or ahead_ms is not None, strict_policy=policy == "require_evidence")
-    return Validation(records, audit, reports.coverage(records, of), summary, day.violations.unionByName(positions))
+    return Validation(records, audit, reports.coverage(records, of), reports.symbol_totals(audit), summary, day.violations.unionByName(positions))

@@ -52,8 +52,10 @@ def depth(levels: DataFrame, n: int = 10, keys: list[str] = BOOK) -> DataFrame:
 
 
 def fifo_queue(active: DataFrame) -> DataFrame:
-    """Place of each active order in its level's queue, and the quantity ahead of it."""
-    queue = W.partitionBy(*LEVEL).orderBy("add_seq", "order_no")
+    """Place of each active order in its level's queue, and the quantity ahead of it. One that came to rest later than it was entered stands where it came; hidden ones are in no queue."""
+    if "visible" in active.columns:
+        active = active.filter("visible")
+    queue = W.partitionBy(*LEVEL).orderBy("attach_seq", "attach_sub", "order_no")
     ahead = F.coalesce(F.sum("remaining").over(queue.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     return active.withColumn("position", F.row_number().over(queue)).withColumn("quantity_ahead", ahead)
 

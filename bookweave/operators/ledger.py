@@ -16,7 +16,7 @@ def references(events: DataFrame) -> DataFrame:
         F.struct(F.lit("S").alias("order_side"), F.col("ask_no").alias("order_no"), F.lit(1).alias("sub_seq")),
     )
     named = F.filter(sides, lambda x: F.coalesce(x["order_no"], F.lit(0)) != 0)
-    return events.filter(F.col("kind") != "S").select(*BOOK, "channel", "seq", "kind", "side", "price", "qty", "quote_ms", F.explode(named).alias("o")).select("*", "o.*").drop("o")
+    return events.filter(F.col("kind") != "S").select(*BOOK, "channel", "seq", "kind", "ord_type", "side", "price", "qty", "quote_ms", F.explode(named).alias("o")).select("*", "o.*").drop("o")
 
 
 def ledger(events: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def ledger(events: DataFrame) -> DataFrame:
     return (
         rows.withColumn("remaining_before", F.coalesce(before, F.lit(0)).cast("bigint"))
         .withColumn("ref_status", status).withColumn("remaining_after", after.cast("bigint"))
-        .select(*BOOK, "channel", "seq", "sub_seq", "kind", "side", "order_side", "order_no", "price", "qty", "quote_ms", "order_price", "order_qty", "add_seq", "remaining_before", "remaining_after", "ref_status")
+        .select(*BOOK, "channel", "seq", "sub_seq", "kind", "ord_type", "side", "order_side", "order_no", "price", "qty", "quote_ms", "order_price", "order_qty", "add_seq", "remaining_before", "remaining_after", "ref_status")
     )
 
 
@@ -60,8 +60,23 @@ def order_state(led: DataFrame) -> DataFrame:
     )
 
 
-def active_orders(led: DataFrame) -> DataFrame:
-    return order_state(led).filter("remaining > 0")
+def active_orders(led: DataFrame, placed: DataFrame | None = None) -> DataFrame:
+    """Orders with something left: price, size, remainder, and the event with which each took its place (attach_seq, attach_sub).
+
+    With placed (placements of the same events), an order without a price of its own is visible and has a
+    price once it rests, and takes its place then.
+    """
+    live = order_state(led).filter("remaining > 0")
+    if placed is None:
+        return live.withColumns({"attach_seq": F.col("add_seq"), "attach_sub": F.lit(0)})
+    at = placed.filter("what = 'placement'").select(*ORDER, "rest_seq", F.col("sub_seq").alias("rest_sub"), F.col("price").alias("rest_price"))
+    own = led.filter("kind = 'A' AND ref_status = 'add'").select(*ORDER, F.coalesce("ord_type", F.lit("limit")).alias("ord_type"))
+    limit = F.col("ord_type") == "limit"
+    out = live.join(own, ORDER, "left").join(at, ORDER, "left").withColumns({
+        "visible": limit | F.col("rest_seq").isNotNull(), "price": F.when(limit, F.col("price")).otherwise(F.col("rest_price")),
+        "attach_seq": F.when(limit, F.col("add_seq")).otherwise(F.col("rest_seq")), "attach_sub": F.coalesce("rest_sub", F.lit(0)),
+    })
+    return out.drop("rest_seq", "rest_sub", "rest_price")
 
 
 def reference_violations(events: DataFrame, led: DataFrame, market_policy: dict[str, str] | None = None) -> DataFrame:

@@ -103,21 +103,33 @@ def retained(records: DataFrame, cap: int) -> DataFrame:
     return numbered.filter((F.col("place") <= cap) | (F.col("outcome") == "matched")).drop("__r", "__before")
 
 
-def conservation(records: DataFrame, audit: DataFrame, details: DataFrame, omitted: Column | int) -> DataFrame:
-    """Failing checks (check, left, right): outcomes add up to what was selected, breakdowns to totals, details and omitted to what is to tell."""
+def conservation(records: DataFrame, audit: DataFrame, details: DataFrame, omitted: Column | int, coverage: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
+    """Failing checks (check, left, right): outcomes add up to what was selected, breakdowns to totals, a selection audit to
+    itself and to the records, coverage and summary to both, details and omitted ones to what is to tell."""
     b = outcome_breakdown(records)
     top, parts = totals(records), b.filter("class IS NOT NULL OR anchor IS NOT NULL")
     pair = lambda df, name, left, right: df.select(F.lit(name).alias("check"), left.cast("bigint").alias("left"), right.cast("bigint").alias("right"))
-    sums = parts.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("t"), F.coalesce(F.sum("matched"), F.lit(0)).alias("m"))
+    sums = parts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(f"s_{c}") for c in ("total", *OUTCOMES)))
     told = details.agg(F.count("*").alias("d"))
     due = records.agg(F.count_if((F.col("outcome") != "matched") | F.col("tag").isNotNull()).alias("due"))
     checks = [
         pair(top, "outcomes", F.col("total"), sum((F.col(o) for o in OUTCOMES), F.lit(0))),
-        pair(top.join(sums), "breakdown_total", F.col("total"), F.col("t")),
-        pair(top.join(sums), "breakdown_matched", F.col("matched"), F.col("m")),
+        *(pair(top.join(sums), f"breakdown_{c}", F.col(c), F.col(f"s_{c}")) for c in ("total", *OUTCOMES)),
+        pair(top, "comparable", F.col("comparable"), F.col("matched") + F.col("mismatched")),
         pair(top.join(audit.agg(F.sum("selected").alias("s"))), "selected", F.col("total"), F.col("s")),
         pair(told.join(due), "details", F.col("d") + (F.lit(omitted) if isinstance(omitted, int) else omitted), F.col("due")),
     ]
+    added = lambda m: F.coalesce(F.aggregate(F.map_values(m), F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0))
+    if "by_status" in audit.columns:
+        a = audit.agg(F.sum(added("by_status")).alias("status"), F.sum("frames").alias("frames"), F.sum(F.col("selected") + added("by_reason")).alias("told"))
+        checks += [pair(a, "audit_status", F.col("status"), F.col("frames")), pair(a, "audit_reasons", F.col("told"), F.col("frames"))]
+    if coverage is not None:
+        c = coverage.agg(F.sum("frames").alias("frames"), F.sum(F.col("covered") + F.col("uncovered")).alias("symbols"))
+        checks += [pair(c.join(top), "coverage_frames", F.col("frames"), F.col("total")), pair(c.join(audit.agg(F.count_distinct("market", "symbol").alias("n"))), "coverage_symbols", F.col("symbols"), F.col("n") * len(ANCHORS))]
+    if summary is not None:
+        bad = F.col("mismatched") + F.col("data_error") + F.col("missing_source") > 0
+        checks.append(pair(summary, "summary_outcome", F.lit(1), (F.col("outcome") == F.when(bad, "failed").when(F.col("comparable") == 0, "no_eligible").otherwise("passed")).cast("int")))
+        checks.append(pair(summary.select(F.col("total").alias("__n")).join(top), "summary_total", F.col("__n"), F.col("total")))
     out = checks[0]
     for c in checks[1:]:
         out = out.unionByName(c)

@@ -125,6 +125,13 @@ def selection_audit(spark, sf_dir):
     return a.select("symbol", "trading_day", "frames", "selected", "pre_open", "continuous", "market_close", "coverage", F.coalesce(F.element_at("by_status", "T0"), F.lit(0)).alias("t0"), F.coalesce(F.element_at("by_reason", reference.UNEXPECTED), F.lit(0)).alias("unexpected"), F.element_at("first_sample", reference.UNEXPECTED)["quote_ms"].alias("unexpected_first_ms"), F.element_at("first_sample", reference.UNEXPECTED)["previous_status"].alias("unexpected_after"))
 
 
+def symbol_coverage(spark, sf_dir):
+    """How many of 25 symbols have selected frames, frames that are not eligible, or none, over all days; frames of the second half only."""
+    frames = _phase_frames(spark, sf_dir, "SZ")
+    days = frames.select("market", "trading_day").distinct().crossJoin(spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.lpad(F.col("n_nationkey").cast("string"), 6, "0").alias("symbol")))
+    return reports.symbol_totals(reference.selection_audit(reference.select_phases(frames.filter("status <> 'T0'")), days))
+
+
 def preopen_cutoff(spark, sf_dir):
     return reference.preopen_cutoff(reference.select_phases(_phase_frames(spark, sf_dir, "SZ")))
 
@@ -255,9 +262,9 @@ def retained_details(spark, sf_dir):
 
 
 def conservation_checks(spark, sf_dir):
-    """Two checks fail by rule: the audit counts one frame too many, and seven details are called omitted."""
+    """Checks that fail by rule: the audit selects one frame too many and counts three too many, and seven details are called omitted."""
     r = _records(spark, sf_dir)
-    audit = r.agg((F.count("*") + 1).alias("selected"))
+    audit = r.agg((F.count("*") + 1).alias("selected"), (F.count("*") + 3).alias("frames"), F.create_map(F.lit("T0"), F.count("*")).alias("by_status"), F.create_map(F.lit("other"), F.lit(1).cast("bigint")).alias("by_reason"))
     details = r.filter((F.col("outcome") != "matched") | F.col("tag").isNotNull())
     return reports.conservation(r, audit, details, 7)
 
@@ -271,7 +278,7 @@ def campaign(spark, sf_dir):
 
 def queries():
     names = [
-        candidate_join, first_match, best_candidate, close_vwap, closing_auction_flag, close_projection, price_reconciliation, window_rules, phase_select_sz, phase_select_sh, selection_audit,
+        candidate_join, first_match, best_candidate, close_vwap, closing_auction_flag, close_projection, price_reconciliation, window_rules, phase_select_sz, phase_select_sh, selection_audit, symbol_coverage,
         preopen_cutoff, position_faults, duplicate_times, day_limits, decimal_units, weighted_price, price_band, turnover_compat, clock_times, symbol_class, limit_classes, outcome_breakdown,
         run_summary, detail_counts, mismatched_symbols, mismatch_count_check, mismatches_by_prefix, coverage, retained_details, conservation_checks, campaign,
     ]
@@ -387,6 +394,9 @@ SELECT market, symbol, anchor, quote_ms, class, quote_ms - CASE WHEN anchor = 'p
 y AS (SELECT DISTINCT trading_day, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS symbol FROM k, nation)
 SELECT symbol, trading_day, coalesce(frames, 0) AS frames, coalesce(selected, 0) AS selected, coalesce(pre_open, 0) AS pre_open, coalesce(continuous, 0) AS continuous, coalesce(market_close, 0) AS market_close, coalesce(t0, 0) AS t0, coalesce(unexpected, 0) AS unexpected, unexpected_first_ms, unexpected_after,
   CASE WHEN coalesce(selected, 0) > 0 THEN 'selected' WHEN frames > 0 THEN 'no_eligible_references' ELSE 'no_reference_records' END AS coverage FROM y LEFT JOIN a USING (symbol, trading_day)""",
+        "symbol_coverage": f"""{sz.replace("FROM events)", "FROM events WHERE event_type <> 'view')")}, d AS (SELECT DISTINCT CAST(20260600 + user_id % 60 * 2 AS INTEGER) AS trading_day FROM events), y AS (SELECT trading_day, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS symbol FROM d, nation),
+a AS (SELECT symbol, trading_day, count(*) AS frames, count(anchor) AS selected FROM k GROUP BY ALL)
+SELECT count(*) AS symbols, count(*) FILTER (selected > 0) AS with_selected, count(*) FILTER (frames IS NULL) AS without_records, count(*) FILTER (frames > 0 AND selected = 0) AS without_eligible FROM y LEFT JOIN a USING (symbol, trading_day)""",
         "preopen_cutoff": f"{sz} SELECT 'SZ' AS market, trading_day, max(quote_ms) FILTER (anchor = 'pre_open') + 1000 AS cutoff_ms FROM k GROUP BY trading_day",
         "position_faults": f"{sz}, y AS (SELECT symbol, trading_day, row_, quote_ms - CASE WHEN row_ % 3 = 0 THEN 90000000 ELSE 0 END AS q FROM fr), z AS (SELECT *, lag(q) OVER (PARTITION BY symbol, trading_day ORDER BY row_) AS pq FROM y) SELECT symbol, trading_day, row_ AS source_row, q AS quote_ms, pq AS previous_ms FROM z WHERE q < pq",
         "duplicate_times": f"{sz}, y AS (SELECT *, count(*) OVER (PARTITION BY symbol, trading_day, quote_ms // {DAY}) AS frames FROM k WHERE anchor = 'continuous') SELECT symbol, trading_day, row_ AS source_row, frames FROM y WHERE frames > 1",
@@ -419,7 +429,7 @@ SELECT CASE WHEN h = 9999999999999 AND l IN (100, -9999999999999) OR h = 1000000
         "coverage": f"""{_RECORDS}, s AS (SELECT market, symbol, min(class) AS class FROM r2 GROUP BY ALL UNION ALL SELECT 'SZ', CAST(n_nationkey + 777000 AS VARCHAR), 'etf' FROM nation), g AS (SELECT s.*, anchor FROM s, (VALUES ('pre_open'), ('continuous'), ('market_close')) AS v(anchor)),
 n AS (SELECT g.*, (SELECT count(*) FROM r2 WHERE r2.market = g.market AND r2.symbol = g.symbol AND r2.anchor = g.anchor) AS c FROM g) SELECT market, class, anchor, CAST(sum(c) AS BIGINT) AS frames, count(*) FILTER (c > 0) AS covered, count(*) FILTER (c = 0) AS uncovered FROM n GROUP BY market, class, anchor""",
         "retained_details": f"""{_RECORDS}, d AS (SELECT *, row_number() OVER (ORDER BY symbol, CASE anchor WHEN 'pre_open' THEN 1 WHEN 'continuous' THEN 2 ELSE 3 END, i) AS place FROM r2 WHERE outcome <> 'matched' OR tag IS NOT NULL) SELECT frame_id, symbol, anchor, outcome, place FROM d WHERE place <= 300 OR outcome = 'matched'""",
-        "conservation_checks": f"{_RECORDS} SELECT 'selected' AS \"check\", count(*) AS \"left\", count(*) + 1 AS \"right\" FROM r2 UNION ALL SELECT 'details', count(*) + 7, count(*) FROM r2 WHERE outcome <> 'matched' OR tag IS NOT NULL",
+        "conservation_checks": f"{_RECORDS} SELECT 'selected' AS \"check\", count(*) AS \"left\", count(*) + 1 AS \"right\" FROM r2 UNION ALL SELECT 'audit_status', count(*), count(*) + 3 FROM r2 UNION ALL SELECT 'audit_reasons', count(*) + 2, count(*) + 3 FROM r2 UNION ALL SELECT 'details', count(*) + 7, count(*) FROM r2 WHERE outcome <> 'matched' OR tag IS NOT NULL",
         "campaign": f"""{_RECORDS}, d AS (SELECT market, 20260801 + i % 10 AS day, {_COUNTS} FROM r2 GROUP BY 1, 2), v AS (SELECT *, CAST(CASE WHEN day % 2 = 0 THEN 2 ELSE 1 END AS INTEGER) AS version FROM d)
 SELECT market, version, count(DISTINCT day) AS days, {', '.join(big(f'sum({c})') + f' AS {c}' for c in ('total', 'comparable', *reports.OUTCOMES))}, bool_and(mismatched = 0) AS accepted, sum(matched) / sum(comparable) AS match_rate FROM v GROUP BY market, version""",
     }

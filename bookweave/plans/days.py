@@ -57,8 +57,7 @@ def _clock(ms) -> F.Column:
 
 def _put(rows: DataFrame, root: str, feed: str, contract: str) -> None:
     """Rows in a feed's own types and columns."""
-    columns = [c.strip().split(" ", 1) for c in contract.replace("(20,0)", "(20;0)").replace("(38,", "(38;").split(",")]
-    rows.select(*(F.col(n).cast(t.replace(";", ",")).alias(n) for n, t in columns)).write.parquet(vendor.feed_path(root, TRADING_DAY, feed))
+    rows.select(*(F.col(n).cast(t.replace(";", ",")).alias(n) for n, t in vendor._columns(contract))).write.parquet(vendor.feed_path(root, TRADING_DAY, feed))
 
 
 def _money(c, scale: int):

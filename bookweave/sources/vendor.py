@@ -6,6 +6,7 @@ decimals and become integer units. Spark reads unsigned 64-bit columns as decima
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -164,11 +165,54 @@ def read_reference(spark: SparkSession, root: str, market: str, days: list[int]
     return _checked(df, rules).withColumnRenamed("faults", "load_error").drop(*[x for x in df.columns if x.startswith("__")])
 
 
+def _columns(contract: str) -> list[list[str]]:
+    """(name, type) pairs of a contract."""
+    return [x.strip().split(" ", 1) for x in contract.replace("(20,0)", "(20;0)").replace("(38,", "(38;").split(",")]
+
+
+def snapshot_contract(market: str, depth: int = 10) -> str:
+    """Columns of a market's published frames with their types as Spark reads them; limits are optional and not in it."""
+    c = _REFERENCE[market]
+    kind = lambda s: "bigint" if s is None else f"decimal(38,{s})"
+    rows = ["SecurityID string", "UpdateTime string", "source_row_no decimal(20,0)", f"{c['status']} string", "LocalTime string", "SeqNo bigint", f"{c['trades']} bigint", *(f"{n} {kind(s)}" for n, s in (x for x in c.values() if isinstance(x, tuple)))]
+    for word, count in (("Ask", "NumOrdersS"), ("Bid", "NumOrdersB")):
+        for i in range(1, depth + 1):
+            rows += [f"{word}Price{i} decimal(38,{c['level']})", f"{word}Volume{i} {'decimal(38,3)' if market == 'SH' else 'bigint'}", f"{count}{i} bigint"]
+    return ", ".join(rows + (["PreCloPrice decimal(38,4)"] if market == "SZ" else []))
+
+
 def check_schema(df: DataFrame, contract: str) -> list[tuple[str, str, str]]:
     """(column, expected type, actual type) of every column that is missing or of another type than its contract."""
     have = dict(df.dtypes)
-    wanted = [x.strip().split(" ") for x in contract.replace(",", ", ").replace("(20, 0)", "(20,0)").replace("(38, ", "(38,").split(", ")]
-    return [(n, t, have.get(n, "missing")) for n, t in wanted if have.get(n) != t]
+    return [(n, t, have.get(n, "missing")) for n, t in ((n, t.replace(";", ",")) for n, t in _columns(contract)) if have.get(n) != t]
+
+
+def stored_type(name: str, kind: str) -> str:
+    """The exact type of a contract's column in its file, where Spark's reader widens unsigned numbers."""
+    if name.startswith("NumOrders") or name in ("TradNumber", "TurnNum"):
+        return "uint32"
+    return {"decimal(20,0)": "uint64", "string": "large_string", "int": "int32", "bigint": "int64"}.get(kind, kind.replace("decimal(", "decimal128(").replace(",", ", "))
+
+
+def contract_of(market: str, feed: str) -> str:
+    return snapshot_contract(market) if feed in SNAPSHOT_FEEDS.values() else next(c for f, c in FEEDS.values() if f == feed)
+
+
+def check_types(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(path, column, expected, actual) of every column of files (path, market, feed) whose stored type is not its contract's; from footers alone."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for path, market, feed in zip(b["path"], b["market"], b["feed"], strict=True):
+                fs, inner, pq = _open(path)
+                with fs.open_input_file(inner) as f:
+                    have = {x.name: str(x.type) for x in pq.ParquetFile(f).schema_arrow}
+                wanted = {n: stored_type(n, t.replace(";", ",")) for n, t in _columns(contract_of(market, feed))}
+                rows += [(path, n, t, have.get(n, "missing")) for n, t in wanted.items() if have.get(n) != t]
+            yield pd.DataFrame(rows, columns=["path", "column", "expected", "actual"])
+
+    return files.select("path", "market", "feed").mapInPandas(run, "path string, column string, expected string, actual string")
 
 
 def violations(rows: DataFrame) -> DataFrame:
@@ -202,23 +246,43 @@ def check_footers(spark: SparkSession, files: DataFrame) -> DataFrame:
     return files.select("path", "market", "feed").mapInPandas(run, "path string, key string, expected string, actual string, ok boolean")
 
 
+#: Fixed value: how a file's schema id is made up.
+SCHEMA_ID = "tonglian.level2.v4_1.{market}.{feed}"
+
+
 def inventory_check(spark: SparkSession, inventory: DataFrame) -> DataFrame:
-    """inventory (path, bytes, rows, schema_id) beside what the files have, and ok."""
+    """(path, check, expected, actual, ok) for every file of inventory (path, market, feed, date, bytes, rows, schema_sha256).
+
+    Checked are size, rows (and that there are any), the hash of the fields, that the folder has one part
+    only, and the footer's entries. Of a file that is not there only `exists` is told.
+    """
+
+    def look(path: str) -> dict[str, str | None]:
+        fs, inner, pq = _open(path)
+        from pyarrow.fs import FileSelector
+
+        info = fs.get_file_info(inner)
+        if not info.is_file:
+            return {}
+        with fs.open_input_file(inner) as f:
+            parquet = pq.ParquetFile(f)
+            meta, schema = parquet.metadata, str(parquet.schema_arrow.remove_metadata())
+        footer = {k.decode().removeprefix("clara.raw."): v.decode() for k, v in (meta.metadata or {}).items() if k.startswith(b"clara.raw.")}
+        parts = sum(x.path.endswith(".parquet") for x in fs.get_file_info(FileSelector(inner.rsplit("/", 1)[0])))
+        return {**footer, "bytes": str(info.size), "rows": str(meta.num_rows), "any_rows": str(meta.num_rows > 0).lower(), "schema_sha256": hashlib.sha256(schema.encode()).hexdigest(), "parts": str(parts), "hashed": str(bool(footer.get("schema_hash"))).lower()}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for path in b["path"]:
-                fs, inner, pq = _open(path)
-                info = fs.get_file_info(inner)
-                if info.is_file:
-                    with fs.open_input_file(inner) as f:
-                        meta = pq.ParquetFile(f).metadata
-                    out.append((path, info.size, meta.num_rows, (meta.metadata or {}).get(b"clara.raw.schema_id", b"").decode()))
-                else:
-                    out.append((path, None, None, None))
-            yield b.assign(**{k: pd.Series([r[i] for r in out], dtype=t, index=b.index) for i, (k, t) in enumerate((("p", object), ("actual_bytes", "Int64"), ("actual_rows", "Int64"), ("actual_schema_id", object)))}).drop(columns="p")
-
-    rows = inventory.select("path", F.col("bytes").cast("bigint").alias("bytes"), F.col("rows").cast("bigint").alias("rows"), "schema_id")
-    out = rows.mapInPandas(run, "path string, bytes bigint, rows bigint, schema_id string, actual_bytes bigint, actual_rows bigint, actual_schema_id string")
-    return out.withColumn("ok", F.col("bytes").eqNullSafe(F.col("actual_bytes")) & F.col("rows").eqNullSafe(F.col("actual_rows")) & F.col("schema_id").eqNullSafe(F.col("actual_schema_id")))
+            for r in b.to_dict("records"):
+                have = look(r["path"])
+                if not have:
+                    out.append((r["path"], "exists", "true", "false", False))
+                    continue
+                want = {k: str(r[k]) for k in ("market", "feed", "date", "bytes", "rows", "schema_sha256")}
+                want |= {"any_rows": "true", "parts": "1", "hashed": "true", "schema_id": SCHEMA_ID.format(**r), **{k.removeprefix("clara.raw."): v for k, v in FOOTER.items()}}
+                out += [(r["path"], k, v, have.get(k), have.get(k) == v) for k, v in want.items()]
+            yield pd.DataFrame(out, columns=["path", "check", "expected", "actual", "ok"])
+
+    rows = inventory.select("path", "market", "feed", F.col("date").cast("string").alias("date"), F.col("bytes").cast("bigint").alias("bytes"), F.col("rows").cast("bigint").alias("rows"), "schema_sha256")
+    return rows.mapInPandas(run, "path string, check string, expected string, actual string, ok boolean")

@@ -108,6 +108,16 @@ def test_same_side_best(spark):
     assert [r.code for r in placed(spark, [add(2, "B", 2, None, 300, "same_side_best"), cancel(3, "B", 2, 300)])[1]] == ["cancelled"]
 
 
+def test_places_in_the_queue(spark):
+    """An order that came to rest later stands behind those that were there; one that never did is in no queue."""
+    rows = [add(1, "S", 1, 100_000, 100), add(2, "B", 2, None, 150, "market"), add(3, "B", 3, 99_000, 10), add(4, "B", 4, None, 20, "market"), trade(5, 2, 1, 99_000, 100), add(6, "B", 6, 99_000, 5)]
+    events = make(spark, rows)
+    led = ledger.ledger(events)
+    live = ledger.active_orders(led, placement.placements(events))
+    assert {(r.order_no, r.visible, r.price) for r in live.collect()} == {(2, True, 99_000), (3, True, 99_000), (4, False, None), (6, True, 99_000)}
+    assert [(r.order_no, r.quantity_ahead) for r in book.fifo_queue(live).orderBy("position").collect()] == [(3, 0), (2, 10), (6, 60)]
+
+
 def random_day(rng, n, kinds=("limit",)):
     rows, left, seq = [], {}, 0
     for _ in range(n):

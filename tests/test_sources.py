@@ -1,4 +1,5 @@
 import decimal
+import hashlib
 import os
 
 import pyarrow as pa
@@ -12,13 +13,14 @@ from bookweave.sources import sinks, vendor
 
 D = decimal.Decimal
 DAY = 20260828
-META = {"clara.raw.document_version": "4.1", "clara.raw.format_version": "2", "clara.raw.schema_hash": "h", "clara.raw.schema_id": "s"}
+#: Footer entries of the format, and (below) columns and types of its feeds.
+META = {**vendor.FOOTER, "clara.raw.schema_hash": "h", "clara.raw.date": str(DAY)}
 
 
 def put(root, feed, market, schema, rows):
     path = vendor.feed_path(str(root), DAY, feed)
     os.makedirs(os.path.dirname(path), exist_ok=True)
-    meta = {k: v for k, v in {**META, "clara.raw.market": market, "clara.raw.feed": feed}.items()}
+    meta = {**META, "clara.raw.market": market, "clara.raw.feed": feed, "clara.raw.schema_id": vendor.SCHEMA_ID.format(market=market, feed=feed)}
     s = pa.schema(schema).with_metadata(meta)
     pq.write_table(pa.Table.from_pylist([dict(zip([n for n, _ in schema], r, strict=True)) for r in rows], schema=s), path)
     return path
@@ -53,8 +55,14 @@ def test_shanghai_day(spark, tmp_path):
     assert close.ask_total == 160 and close.bid_total == 0 and close.boundary_ms == times[3] + 1000
     files = spark.createDataFrame([(path, "SH", "mdl_4_24_0")], "path string, market string, feed string")
     assert vendor.check_footers(spark, files).filter("not ok").count() == 0
-    inv = spark.createDataFrame([(path, os.path.getsize(path), 6, "s"), (path + "x", 1, 1, "s")], "path string, bytes long, rows long, schema_id string")
-    assert sorted(r.ok for r in vendor.inventory_check(spark, inv).collect()) == [False, True]
+    sha = hashlib.sha256(str(pq.ParquetFile(path).schema_arrow.remove_metadata()).encode()).hexdigest()
+    known = "path string, market string, feed string, date string, bytes long, rows long, schema_sha256 string"
+    inv = spark.createDataFrame([(path, "SH", "mdl_4_24_0", str(DAY), os.path.getsize(path), 6, sha), (path + "x", "SH", "mdl_4_24_0", str(DAY), 1, 1, sha)], known)
+    assert [(r.check, r.ok) for r in vendor.inventory_check(spark, inv).filter("NOT ok").collect()] == [("exists", False)]
+    wrong = spark.createDataFrame([(path, "SZ", "mdl_6_33_0", "20260829", 7, 5, "0")], known)
+    assert {r.check for r in vendor.inventory_check(spark, wrong).filter("NOT ok").collect()} == {"market", "feed", "date", "bytes", "rows", "schema_sha256", "schema_id"}
+    assert vendor.check_types(spark, files).count() == 0
+    assert {r.column for r in vendor.check_types(spark, files.withColumn("feed", F.lit("mdl_6_33_0"))).collect()} == {"ChannelNo", "ApplSeqNum", "OrderQty", "Side", "TransactTime", "OrdType", "Price"}
     raw = spark.read.parquet(path)
     assert vendor.check_schema(raw, vendor.FEEDS["sh_ticks"][1]) == []
     assert vendor.check_schema(raw.drop("Qty"), vendor.FEEDS["sh_ticks"][1]) == [("Qty", "bigint", "missing")]
@@ -109,6 +117,9 @@ def test_reference_frames(spark, tmp_path):
             "WeightedAvgOfferPx": D(11), "AskPrice1": D(11), "AskVolume1": 160, "NumOrdersS1": 1}
     rows = [{**base, "source_row_no": 0}, {**base, "source_row_no": 1, "BidPrice3": D(9)}, {**base, "source_row_no": 2, "LowPrice": D(-1)}]
     put(tmp_path, "mdl_6_28_0", "SZ", names, [tuple(r.get(n) for n, _ in names) for r in rows])
+    path = vendor.feed_path(str(tmp_path), DAY, "mdl_6_28_0")
+    files = spark.createDataFrame([(path, "SZ", "mdl_6_28_0")], "path string, market string, feed string")
+    assert vendor.check_schema(spark.read.parquet(path), vendor.snapshot_contract("SZ")) == [] and vendor.check_types(spark, files).count() == 0
     got = vendor.read_reference(spark, str(tmp_path), "SZ").orderBy("source_row").collect()
     assert got[0].load_error == [] and got[0].asks[0].price == 110_000 and got[0].bids == [] and got[0].high_price == 12_345_649 and got[0].low_price is None
     assert got[0].turnover == 4_200_000 and got[0].missing_reception and got[0].high_limit is None
