@@ -17,23 +17,23 @@ LINES = 3
 
 
 def _windows(docs: DataFrame) -> DataFrame:
-    """doc_id, at (0-based line of the window's start), h1, h2: 128 bits over three lines."""
-    lines = docs.select("doc_id", F.split(text_of(), "\n", -1).alias("lines")).filter(F.size("lines") >= LINES)
-    each = lines.select("doc_id", "lines", F.explode(F.sequence(F.lit(0), F.size("lines") - LINES)).alias("at"))
+    """doc_id, th, at (0-based line of the window's start), h1, h2: 128 bits over three lines."""
+    lines = docs.select("doc_id", "th", F.split(text_of(), "\n", -1).alias("lines")).filter(F.size("lines") >= LINES)
+    each = lines.select("doc_id", "th", "lines", F.explode(F.sequence(F.lit(0), F.size("lines") - LINES)).alias("at"))
     three = [F.col("lines")[F.col("at") + i] for i in range(LINES)]
-    return each.select("doc_id", "at", F.xxhash64(*three).alias("h1"), F.xxhash64(F.lit(7919), *reversed(three)).alias("h2"))
+    return each.select("doc_id", "th", "at", F.xxhash64(*three).alias("h1"), F.xxhash64(F.lit(7919), *reversed(three)).alias("h2"))
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """doc_id, at: every occurrence of a window but the first by (doc_id, at)."""
+    """doc_id, th (hash of the text), at: every occurrence of a window but the first by (doc_id, th, at)."""
     windows = _windows(docs)
     first = (
         windows.groupBy("h1", "h2")
-        .agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
+        .agg(F.min(F.struct("doc_id", "th", "at")).alias("first"), F.count("*").alias("n"))
         .filter("n > 1").select("h1", "h2", "first")
     )
     # written, so that the join stands on two plain exchanges and Spark can split the partition of a very common window
-    return windows.join(stored(first, "windows"), ["h1", "h2"]).filter(~F.struct("doc_id", "at").eqNullSafe(F.col("first"))).select("doc_id", "at")
+    return windows.join(stored(first, "windows"), ["h1", "h2"]).filter(~F.struct("doc_id", "th", "at").eqNullSafe(F.col("first"))).select("doc_id", "th", "at")
 
 
 @F.pandas_udf(T.StringType())
@@ -65,20 +65,19 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     A later occurrence loses all three lines; only a window's first occurrence by (doc_id, line) keeps
     them, unless another repeat covers them. Lines compare exactly; a text of under three lines, empty or
-    null stays as it is. Rows that share a doc_id are one document to this operator: identical ones are
-    treated alike. A null doc_id comes first and its rows are one document. A text all of whose lines
-    go becomes empty. A column lines_removed of docs is replaced.
+    null stays as it is. Different texts under one doc_id, or under none, are documents of their own, in the
+    order of their hashes; a null doc_id comes first. Equal rows are treated alike, and are no repeats of each
+    other. A text all of whose lines go becomes empty. Texts are looked at whole, however long. A column
+    lines_removed of docs is replaced, other columns are kept. An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
     columns = [c for c in docs.columns if c != "lines_removed"]
-    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    gone = repeated_windows(keyed).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("at").alias("__starts"))
-    joined = docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")), "left")
-    n = F.size(F.split("text", "\n", -1))
-    starts = F.filter("__starts", lambda i: i <= n - LINES)
-    hit = F.col("__starts").isNotNull() & F.col("text").isNotNull()
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    gone = repeated_windows(keyed).groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(F.collect_set("at").alias("__starts"))
+    joined = docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th")), "left")
+    hit = F.col("__starts").isNotNull()
     kept = joined.filter(~hit).select(*columns, F.lit(0).alias("lines_removed"))
-    cut = joined.filter(hit).withColumn("__starts", starts)
+    cut = joined.filter(hit)
     cut = cut.select(*(_without("text", "__starts").alias("text") if c == "text" else c for c in columns), _merged("__starts").alias("lines_removed"))
     return kept.unionByName(cut)
 
