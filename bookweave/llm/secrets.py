@@ -70,7 +70,8 @@ def find_secrets(docs: DataFrame, scope: int = 512) -> DataFrame:
     Positions are code points, ends exclusive. Strong kinds: assign, access, hex. A bare key is reported
     when an access key or identifier begins within `scope` characters; an identifier when a bare key or an
     assigned secret does; an endpoint when both do. Null and empty texts have no spans; repeated rows are
-    one text.
+    one text; spans of several kinds with one start stand in the order of KINDS. Texts are searched whole,
+    however long. Other columns are left behind. An empty table gives an empty result.
     """
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
     spans = stored(_spans(keyed), "spans")

@@ -98,8 +98,17 @@ def _table(packet: np.ndarray, table_id: int) -> bytes:
     return section
 
 
+def _first(packets: np.ndarray, which: np.ndarray, what: str) -> np.ndarray:
+    if not which.any():
+        raise ValueError(f"no {what}")
+    return packets[which.argmax()]
+
+
 def demux(stream: bytes) -> dict:
-    """payload, stamps, random_access (offsets in the payload), packets and counter_errors of a transport stream."""
+    """payload, stamps, random_access (offsets in the payload), packets and counter_errors of a transport stream.
+
+    Raises ValueError where packets, tables or the programme are damaged or missing.
+    """
     if not stream or len(stream) % PACKET:
         raise ValueError("not a whole number of transport packets")
     p = np.frombuffer(stream, np.uint8).reshape(-1, PACKET)
@@ -107,9 +116,11 @@ def demux(stream: bytes) -> dict:
         raise ValueError("lost synchronisation")
     pid = (p[:, 1] & 0x1F).astype(np.int32) << 8 | p[:, 2]
     first = (p[:, 1] & 0x40) != 0
-    pat = _table(p[np.flatnonzero((pid == PAT_PID) & first)[0]], 0)
+    pat = _table(_first(p, (pid == PAT_PID) & first, "program association table"), 0)
     programs = {int.from_bytes(pat[i : i + 2], "big"): int.from_bytes(pat[i + 2 : i + 4], "big") & 0x1FFF for i in range(8, len(pat) - 4, 4)}
-    pmt = _table(p[np.flatnonzero((pid == programs[PROGRAM]) & first)[0]], 2)
+    if PROGRAM not in programs:
+        raise ValueError(f"no programme {PROGRAM}")
+    pmt = _table(_first(p, (pid == programs[PROGRAM]) & first, "program map table"), 2)
     i = 12 + ((pmt[10] & 0x0F) << 8 | pmt[11])
     es = (pmt[i + 1] & 0x1F) << 8 | pmt[i + 2]
     p, first = p[pid == es], first[pid == es]
@@ -143,7 +154,11 @@ def padded(text: str | None) -> tuple[int, bytes]:
 
 
 def with_media(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, media: each row's text, padded with spaces to a positive multiple of 192 bytes, as a transport stream. A null text is an empty one."""
+    """doc_id, n_bytes, media: each row's text, padded with spaces to a positive multiple of 192 bytes, as a transport stream.
+
+    A null text is an empty one. A text is taken whole, however long; equal texts, repeated rows among them, give
+    equal streams, each row its own. Other columns are left behind. An empty table gives an empty result.
+    """
     small_batches(docs.sparkSession, 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +179,8 @@ def media_features(media: DataFrame) -> DataFrame:
             for stream in b.column("media").to_pylist():
                 x = demux(stream)
                 body, s = x["payload"], x["stamps"]
-                feature = f"units={len(s)};packets={x['packets']};first={s[0]};last={s[-1]};random_access={len(x['random_access'])};last_point={x['random_access'][-1]};counter_errors={x['counter_errors']}"
+                points = x["random_access"]
+                feature = f"units={len(s)};packets={x['packets']};first={s[0] if s else ''};last={s[-1] if s else ''};random_access={len(points)};last_point={points[-1] if points else ''};counter_errors={x['counter_errors']}"
                 rows.append((len(body), hashlib.sha256(body).hexdigest(), zlib.crc32(body[-16:]), len(stream), hashlib.sha256(stream).hexdigest(), feature))
             cols = list(zip(*rows, strict=True)) or [()] * 6
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]

@@ -249,6 +249,8 @@ def page_records(pages: DataFrame, least: int = 1000) -> DataFrame:
 
     Of pages with equal payloads of at least `least` bytes, the one with the largest page_id is the
     response and the others revisit it; rows that repeat that page_id, and rows without one, are responses.
+    A page is taken whole, however long (Spark's limit of 2 GB for a value keeps its member below the 4 GB that
+    its length field can tell). Other columns are left behind. An empty table gives an empty result.
     """
     payload = F.encode(text_of("html"), "UTF-8")
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", payload.alias("payload"))
