@@ -7,7 +7,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from bookweave.llm import decontaminate, jaccard, language, line_dedup, packing, secrets, sharding, surrogates, transport
+from bookweave.llm import decontaminate, jaccard, language, line_dedup, packing, secrets, sharding, surrogates, transport, warc
 
 LONG = "word " * 40_000 + "\n" + "x" * 100_000
 ROWS = [(1, None), (2, ""), (3, "   \n\t "), (4, LONG), (5, "same text here\nsecond line\nthird line"), (5, "same text here\nsecond line\nthird line"), (6, "same text here\nsecond line\nthird line"), (None, "no id\nat all\nin this row"), (7, "123 !?"), (8, "café 日本 token = abcdefgh1")]
@@ -65,6 +65,35 @@ def test_line_dedup(docs, nothing):
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+def test_line_dedup_of_texts_without_id(spark):
+    """Texts without an id, and several under one, are documents of their own; repeated rows are no repeats of each other."""
+    rows = [(None, "a\nb\nc\nx"), (None, "a\nb\nc\ny"), (None, "a\nb\nc\ny"), (3, "a\nb\nc"), (4, "k\nl\nm\n1"), (4, "k\nl\nm\n2")]
+    got = [(r.doc_id, r.text) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(got) == 6 and (3, "") in got
+    without = sorted(t for d, t in got if d is None)
+    assert without in (["a\nb\nc\nx", "y", "y"], ["a\nb\nc\ny", "a\nb\nc\ny", "x"])
+    assert sorted(t for d, t in got if d == 4) in (["1", "k\nl\nm\n2"], ["2", "k\nl\nm\n1"])
+
+
+def test_archive(spark, tmp_path):
+    """Pages that are null, empty, very long or repeated, with clashing columns, and no pages."""
+    long = "x" * 3_000_000
+    rows = [(1, "http://a", None), (2, None, ""), (3, "http://b", long), (4, "http://c", long), (4, "http://c", long), (None, "http://d", "short")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("c") for c in ("digest", "payload", "type", "d", "kept", "n")})
+    warc.archive(pages, str(tmp_path / "w"))
+    got = sorted((r.record_id, r.type, r.http_length) for r in warc.read_archive(spark, str(tmp_path / "w")).collect())
+    assert got == sorted([("<urn:page:1>", "response", 0), ("<urn:page:2>", "response", 0), ("<urn:page:3>", "revisit", 3_000_000), ("<urn:page:4>", "response", 3_000_000), ("<urn:page:4>", "response", 3_000_000), ("<urn:page:>", "response", 5)])
+    warc.archive(pages.limit(0), str(tmp_path / "none"))
+    assert warc.read_archive(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_damaged_streams():
+    stream = transport.mux(b"x" * 5000)
+    for wrong in (stream[188:], stream[:188] + stream[376:], b"", stream[:-1]):
+        with pytest.raises(ValueError):
+            transport.demux(wrong)
+
+
 def test_line_windows_overlap(spark):
     docs = spark.createDataFrame([(1, "a\nb\nc\nd\ne"), (2, "x\nb\nc\nd\ne\ny"), (3, "a\nb"), (4, "q\nq\nq\nq")], "doc_id long, text string")
     got = {r.doc_id: (r.text, r.lines_removed) for r in line_dedup.dedup_lines(docs).collect()}
