@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from bookweave.llm.common import small_batches, table
 
 #: Labelled documents per language that the model learns from at most; whole texts, if there are any of so many characters at most then those.
-SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 24, 4000
+SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 24, 2000
 #: Texts are parsed in blocks of so many characters side by side.
 BLOCK = 512
 #: The most frequent letters, whose transitions stand in a table; those of all others are looked up by key.
@@ -200,10 +200,10 @@ class Model:
 
     def rates(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Bits a character [text, language], and the number of letters of each text."""
-        folded = [_folded(t or "") for t in texts]
+        folded = [self.code[_folded(t or "")] for t in texts]
         sizes = np.array([len(x) for x in folded])
         letters = np.array([np.count_nonzero(x) for x in folded])
-        pieces = self.pieces([self.code[x] for x in folded])
+        pieces = self.pieces(folded)
         return pieces * np.array(self.bits) / np.maximum(sizes, 1)[:, None], letters
 
 
@@ -214,7 +214,8 @@ class Blocks:
         sizes = np.array([len(x) for x in texts], np.int64)
         blocks = -(-sizes // BLOCK)
         self.owner = np.repeat(np.arange(len(texts)), blocks)
-        grid, self.ends, row = np.zeros((len(self.owner), BLOCK), np.int32), np.full(len(self.owner), BLOCK), 0
+        most = max((int(x.max(initial=0)) for x in texts), default=0)
+        grid, self.ends, row = np.zeros((len(self.owner), BLOCK), np.min_scalar_type(most)), np.full(len(self.owner), BLOCK), 0  # a byte a symbol, but for rare letters
         flat = grid.ravel()
         for x, n, b in zip(texts, sizes.tolist(), blocks.tolist(), strict=True):
             flat[row * BLOCK : row * BLOCK + n] = x
@@ -273,7 +274,7 @@ def learn(docs: DataFrame) -> dict[str, str]:
 
 def predict(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, bits, letters, for every row; extra columns are left behind."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 4)
     named = docs.select("doc_id", held_out().alias("held_out"), identified(learn(docs))("text").alias("x"))
     return named.select("doc_id", "held_out", "x.lang_pred", "x.score", "x.bits", "x.letters")
 
@@ -286,7 +287,7 @@ TELLING_LETTERS = 64
 
 def in_a_language(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns kept, but those without a letter and longer ones that parse no better than random letters."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 4)
     x = identified(learn(docs))("text")
     return docs.filter((x["lang_pred"] != "und") & ((x["bits"] < RANDOM_BITS) | (x["letters"] < TELLING_LETTERS)))
 
