@@ -12,7 +12,8 @@ from bookweave.plans import core
 from bookweave.plans.core import DAY, ORIGIN_MS
 from bookweave.plans.feed import CANONICAL_CTE, ms, order_feed
 from bookweave.schema import BOOK
-from bookweave.shared import written
+from bookweave.shared import new_path, written
+from bookweave.sources import sinks
 
 HALF_HOUR = 1_800_000
 
@@ -234,6 +235,21 @@ def run_summary(spark, sf_dir):
     return reports.run_summary(_records(spark, sf_dir))
 
 
+def report_round_trip(spark, sf_dir):
+    """The summary as a report that was written and read back."""
+    path = new_path(spark, "report")
+    sinks.write_report(run_summary(spark, sf_dir), path)
+    return sinks.read_report(spark, path, "total bigint, comparable bigint, matched bigint, mismatched bigint, data_error bigint, missing_source bigint, match_rate double, outcome string, accepted boolean")
+
+
+def regression_audit(spark, sf_dir):
+    """Inversions of the native sequence as the audit that was written."""
+    path = new_path(spark, "regressions")
+    rows = core.seq_inversions(spark, sf_dir)
+    sinks.write_regressions(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
 def detail_counts(spark, sf_dir):
     return reports.detail_counts(_records(spark, sf_dir))
 
@@ -280,7 +296,7 @@ def queries():
     names = [
         candidate_join, first_match, best_candidate, close_vwap, closing_auction_flag, close_projection, price_reconciliation, window_rules, phase_select_sz, phase_select_sh, selection_audit, symbol_coverage,
         preopen_cutoff, position_faults, duplicate_times, day_limits, decimal_units, weighted_price, price_band, turnover_compat, clock_times, symbol_class, limit_classes, outcome_breakdown,
-        run_summary, detail_counts, mismatched_symbols, mismatch_count_check, mismatches_by_prefix, coverage, retained_details, conservation_checks, campaign,
+        run_summary, report_round_trip, regression_audit, detail_counts, mismatched_symbols, mismatch_count_check, mismatches_by_prefix, coverage, retained_details, conservation_checks, campaign,
     ]
     return {f.__name__: f for f in names}
 
@@ -421,6 +437,8 @@ SELECT market, CASE WHEN market = 'SH' AND (prefix BETWEEN '510' AND '513' OR pr
 SELECT CASE WHEN h = 9999999999999 AND l IN (100, -9999999999999) OR h = 10000000000000 AND l = 100 AND k % 3 = 0 THEN 'unlimited' WHEN h = 110000 AND l IN (100, 90000) THEN 'limited' ELSE 'invalid' END AS class, count(*) AS rows FROM s GROUP BY 1""",
         "outcome_breakdown": f"{_RECORDS} SELECT class, anchor, {_COUNTS} FROM r2 GROUP BY GROUPING SETS ((), (class, anchor))",
         "run_summary": f"{_RECORDS}, t AS (SELECT {_COUNTS} FROM r2) SELECT *, CASE WHEN comparable > 0 THEN matched / comparable END AS match_rate, CASE WHEN mismatched + data_error + missing_source > 0 THEN 'failed' WHEN comparable = 0 THEN 'no_eligible' ELSE 'passed' END AS outcome, mismatched + data_error + missing_source = 0 AND comparable > 0 AS accepted FROM t",
+        "report_round_trip": f"{_RECORDS}, t AS (SELECT {_COUNTS} FROM r2) SELECT *, CASE WHEN comparable > 0 THEN matched / comparable END AS match_rate, CASE WHEN mismatched + data_error + missing_source > 0 THEN 'failed' WHEN comparable = 0 THEN 'no_eligible' ELSE 'passed' END AS outcome, mismatched + data_error + missing_source = 0 AND comparable > 0 AS accepted FROM t",
+        "regression_audit": core.oracle_sql()["seq_inversions"],
         "detail_counts": f"""{_RECORDS}, d AS (SELECT 'field' AS kind, CASE i % 3 WHEN 0 THEN 'bids' WHEN 1 THEN 'asks' ELSE 'volume' END AS key FROM r2 WHERE outcome = 'mismatched' UNION ALL SELECT 'field', 'last_price' FROM r2 WHERE outcome = 'mismatched' AND i % 2 = 0
   UNION ALL SELECT 'reason', CASE outcome WHEN 'data_error' THEN 'load_error' ELSE 'symbol_unseen' END FROM r2 WHERE outcome IN ('data_error', 'missing_source') UNION ALL SELECT 'tag', tag FROM r2 WHERE tag IS NOT NULL) SELECT kind, key, count(*) AS n FROM d GROUP BY ALL""",
         "mismatched_symbols": f"{_RECORDS} SELECT market, symbol, count(*) AS mismatches FROM r2 WHERE outcome = 'mismatched' AND symbol LIKE '0%' GROUP BY ALL",

@@ -41,6 +41,10 @@ def damaged(feed: DataFrame) -> DataFrame:
     )
 
 
+def _damaged(spark, sf_dir) -> DataFrame:
+    return written(damaged(written(order_feed(spark, sf_dir), "feed")), "damaged")
+
+
 def feed_profile(spark, sf_dir):
     return order_feed(spark, sf_dir).groupBy(*BOOK, "kind").agg(F.count("*").alias("rows"), F.sum("qty").alias("qty"), F.sum("seq").alias("seqs"), F.min("quote_ms").alias("first_ms"), F.max("quote_ms").alias("last_ms"))
 
@@ -115,24 +119,24 @@ def book_invariants(spark, sf_dir):
 
 
 def reference_faults(spark, sf_dir):
-    bad = damaged(order_feed(spark, sf_dir))
+    bad = _damaged(spark, sf_dir)
     return ledger.reference_violations(bad, ledger.ledger(bad)).groupBy("symbol", "code").agg(F.count("*").alias("rows"), F.min("seq").alias("first_seq"))
 
 
 def lenient_faults(spark, sf_dir):
     """The same faults under the SH rules, which let the aggressor be unknown."""
-    bad = damaged(order_feed(spark, sf_dir)).withColumn("side", F.when((F.col("kind") == "T") & (F.col("seq") % 2 == 0), F.lit("B")).otherwise(F.col("side")))
+    bad = _damaged(spark, sf_dir).withColumn("side", F.when((F.col("kind") == "T") & (F.col("seq") % 2 == 0), F.lit("B")).otherwise(F.col("side")))
     found = ledger.reference_violations(bad, ledger.ledger(bad), {"SZ": "update_known_and_statistics"})
     return found.filter("code = 'unknown_trade'").groupBy("symbol").agg(F.count("*").alias("rows"))
 
 
 def first_faults(spark, sf_dir):
-    bad = damaged(order_feed(spark, sf_dir))
+    bad = _damaged(spark, sf_dir)
     return ledger.first_violations(ledger.reference_violations(bad, ledger.ledger(bad))).select("symbol", "channel", "seq", "code")
 
 
 def first_fault_of_run(spark, sf_dir):
-    bad = damaged(order_feed(spark, sf_dir))
+    bad = _damaged(spark, sf_dir)
     return ledger.first_violations(ledger.reference_violations(bad, ledger.ledger(bad)), ["market", "trading_day"])
 
 

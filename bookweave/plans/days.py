@@ -210,6 +210,17 @@ def vendor_faults(spark, sf_dir):
     return out[0].unionByName(out[1])
 
 
+def sh_faults(spark, sf_dir):
+    """What breaks the Shanghai rules: every 40th row's flag names the other side, and every 30th trade no passive order."""
+    root = new_path(spark, "vendor")
+    n = F.floor((F.col("seq") - 1) / 20)
+    e = vendor_events(spark, sf_dir, "SH")
+    other = F.when(F.col("side") == "B", "S").when(F.col("side") == "S", "B")
+    e = e.withColumns({"side": F.when((F.col("kind") == "A") & (n % 40 == 0), other).otherwise(F.col("side")), "ask_no": F.when((F.col("kind") == "T") & (n % 30 == 0), None).otherwise(F.col("ask_no"))})
+    write_ticks(e, root, "SH")
+    return market_day.rebuild(spark, root, "SH").violations.filter("code IN ('add_side', 'unknown_trade')").groupBy("symbol", "code").agg(F.count("*").alias("rows"))
+
+
 def vendor_amounts(spark, sf_dir):
     """Published Shanghai frames as read: amounts, prices, quantities and levels, summed by symbol."""
     root, events = _files(spark, sf_dir, "SH")
@@ -229,7 +240,7 @@ def explicit_universe(spark, sf_dir):
 
 
 def queries():
-    names = [replay_sz, replay_sh, replay_counters, validate_sz, validate_sh, validate_preopen, validation_summary, vendor_faults, vendor_amounts, explicit_universe]
+    names = [replay_sz, replay_sh, replay_counters, validate_sz, validate_sh, validate_preopen, validation_summary, vendor_faults, sh_faults, vendor_amounts, explicit_universe]
     return {f.__name__: f for f in names}
 
 
@@ -310,6 +321,7 @@ SELECT input_rows, applied + symbols AS selected, CAST(0 AS BIGINT) AS unsupport
         "validate_preopen": _validate_sql("SZ", "anchor = 'pre_open'"),
         "validation_summary": _validate_sql("SH", "symbol IN ('600000', '510001', '601003', '688999')", summary=True),
         "vendor_faults": f"SELECT market, stream, code, count(*) AS rows FROM ({both}) GROUP BY ALL",
+        "sh_faults": f"{sh} SELECT symbol, CASE kind WHEN 'A' THEN 'add_side' ELSE 'unknown_trade' END AS code, count(*) AS rows FROM f WHERE (kind = 'A' AND (seq - 1) // 20 % 40 = 0) OR (kind = 'T' AND (seq - 1) // 20 % 30 = 0) GROUP BY ALL",
         "vendor_amounts": f"""{sh}{core._TOUCH}{core._SIGNED}{_POINTS}{_AT},
 aq AS (SELECT symbol, k, sum(q) AS q FROM n WHERE order_side = 'S' AND r <= 10 GROUP BY 1, 2)
 SELECT b.symbol, count(*) AS frames, CAST(sum(coalesce(turnover, 0)) AS BIGINT) AS turnover, CAST(sum(coalesce(volume, 0) + CASE WHEN b.k % 5 = 0 THEN 100 ELSE 0 END) AS BIGINT) AS volume, max(last_price) AS last_price, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS errors, CAST(sum(coalesce(aq.q, 0)) AS BIGINT) AS ask_quantity, CAST({MIDNIGHT} + 33900000 AS BIGINT) AS open_ms
