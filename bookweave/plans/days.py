@@ -275,8 +275,8 @@ SELECT b.symbol, CAST(1 + CAST(substr(b.symbol, 4) AS INTEGER) % 4 AS INTEGER) A
 FROM b LEFT JOIN s USING (symbol, k) LEFT JOIN lq USING (symbol, k) LEFT JOIN v USING (symbol, k)"""
 
 
-def _validate_sql(market: str, where: str, summary: bool = False) -> str:
-    """What each frame must come to, by what was spoilt in it; of closing prices, by the closing rule."""
+def _validate_sql(market: str, where: str, summary: bool = False, upto: int = 54_000_001) -> str:
+    """What each frame must come to, by what was spoilt in it; of closing prices, by the closing rule; without events before `upto`, that there is no source."""
     end = 54_003_000 if market == "SH" else 54_000_000
     start = 2 if market == "SH" else 2
     quantum = "CASE WHEN symbol LIKE '159%' THEN 10 ELSE 100 END" if market == "SZ" else "10"
@@ -289,11 +289,11 @@ sides AS (SELECT symbol, k, count(*) FILTER (order_side = 'B') AS nb, count(*) F
 w AS (
   SELECT b.symbol, CASE WHEN b.symbol LIKE '159%' OR b.symbol LIKE '510%' THEN 'etf' ELSE 'stock' END AS class, CASE WHEN b.k = 2 THEN 'pre_open' WHEN b.k = 52 THEN 'market_close' ELSE 'continuous' END AS anchor,
     CASE WHEN b.k = 52 THEN {MIDNIGHT} + {end} ELSE boundary_ms END AS quote_ms, b.k, CASE WHEN b.k = 52 THEN coalesce(far, 0) END AS far,
-    b.k = 52 AND b.symbol LIKE '159%' AND cp IS NOT NULL AND cp <> lp AS price_off, auction,
+    EXISTS (SELECT 1 FROM f WHERE f.symbol = b.symbol AND quote_ms < {MIDNIGHT} + {upto}) AS seen, b.k = 52 AND b.symbol LIKE '159%' AND cp IS NOT NULL AND cp <> lp AS price_off, auction,
     coalesce(nb, 0) > 0 AND b.k % 11 = 0 AS f_bids, coalesce(ns, 0) > 0 AND b.k % 7 = 0 AS f_ask_vwap, b.k % 9 = 0 AS f_trades, b.k % 5 = 0 AS f_volume
   FROM b LEFT JOIN cp USING (symbol) LEFT JOIN sides USING (symbol, k) WHERE b.k >= {start} AND b.k <> 51),
-x AS (SELECT *, array_to_string(list_filter([CASE WHEN f_ask_vwap THEN 'ask_vwap' END, CASE WHEN f_bids THEN 'bids' END, CASE WHEN price_off AND auction THEN 'last_price' END, CASE WHEN f_trades THEN 'trades' END, CASE WHEN f_volume THEN 'volume' END], lambda y: y IS NOT NULL), ',') AS fields FROM w),
-records AS (SELECT symbol, class, anchor, quote_ms, CASE WHEN fields = '' THEN 'matched' ELSE 'mismatched' END AS outcome, CAST(NULL AS VARCHAR) AS reason, fields, CASE WHEN price_off AND NOT auction THEN 'etf_close_vwap' END AS tag, CAST({'far' if market == 'SZ' else 'CASE WHEN k = 52 THEN 0 END'} AS BIGINT) AS excluded_bid FROM x WHERE {where})
+x AS (SELECT *, CASE WHEN NOT seen THEN '' ELSE array_to_string(list_filter([CASE WHEN f_ask_vwap THEN 'ask_vwap' END, CASE WHEN f_bids THEN 'bids' END, CASE WHEN price_off AND auction THEN 'last_price' END, CASE WHEN f_trades THEN 'trades' END, CASE WHEN f_volume THEN 'volume' END], lambda y: y IS NOT NULL), ',') END AS fields FROM w),
+records AS (SELECT symbol, class, anchor, quote_ms, CASE WHEN NOT seen THEN 'missing_source' WHEN fields = '' THEN 'matched' ELSE 'mismatched' END AS outcome, CASE WHEN NOT seen THEN 'symbol_unseen' END AS reason, fields, CASE WHEN price_off AND NOT auction THEN 'etf_close_vwap' END AS tag, CAST({'far' if market == 'SZ' else 'CASE WHEN k = 52 THEN 0 END'} AS BIGINT) AS excluded_bid FROM x WHERE {where})
 SELECT {'*' if not summary else "count(*) AS total, count(*) AS comparable, count(*) FILTER (outcome = 'matched') AS matched, count(*) FILTER (outcome = 'mismatched') AS mismatched, CAST(0 AS BIGINT) AS data_error, CAST(0 AS BIGINT) AS missing_source, count(*) FILTER (outcome = 'matched') / count(*) AS match_rate, CASE WHEN count(*) = 0 THEN 'no_eligible' WHEN count(*) FILTER (outcome = 'mismatched') > 0 THEN 'failed' ELSE 'passed' END AS outcome, count(*) > 0 AND count(*) FILTER (outcome = 'mismatched') = 0 AS accepted"} FROM records"""
 
 
@@ -318,7 +318,7 @@ SELECT input_rows, applied + symbols AS selected, CAST(0 AS BIGINT) AS unsupport
   symbols * 51 AS scheduled, symbols AS market_close, symbols * 52 AS output_rows, CAST(0 AS BIGINT) AS pending_groups, CAST(0 AS BIGINT) AS inferred_remainders, CAST(0 AS BIGINT) AS empty_same_side_cancels, CAST(0 AS BIGINT) AS violations FROM c""",
         "validate_sz": _validate_sql("SZ", "true"),
         "validate_sh": _validate_sql("SH", "true"),
-        "validate_preopen": _validate_sql("SZ", "anchor = 'pre_open'"),
+        "validate_preopen": _validate_sql("SZ", "anchor = 'pre_open'", upto=33_901_000),
         "validation_summary": _validate_sql("SH", "symbol IN ('600000', '510001', '601003', '688999')", summary=True),
         "vendor_faults": f"SELECT market, stream, code, count(*) AS rows FROM ({both}) GROUP BY ALL",
         "sh_faults": f"{sh} SELECT symbol, CASE kind WHEN 'A' THEN 'add_side' ELSE 'unknown_trade' END AS code, count(*) AS rows FROM f WHERE (kind = 'A' AND (seq - 1) // 20 % 40 = 0) OR (kind = 'T' AND (seq - 1) // 20 % 30 = 0) GROUP BY ALL",
