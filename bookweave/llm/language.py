@@ -20,6 +20,8 @@ from bookweave.llm.common import small_batches, table
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 24, 2000
 #: Texts are parsed in blocks of so many characters side by side.
 BLOCK = 512
+#: Blocks up to which it is quicker to go through them one by one than step by step side by side.
+FEW = 32
 #: The most frequent letters, whose transitions stand in a table; those of all others are looked up by key.
 LETTERS = 62
 
@@ -152,6 +154,10 @@ class Model:
     def _again(self, k: int, blocks: Blocks, which: np.ndarray, state: np.ndarray, before: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The same for blocks `which` parsed from the states given; where a piece ends in this parse and the one before, they are one from there on."""
         n, state = len(which), state.copy()
+        if n <= FEW:
+            each = [self._one_again(k, blocks, j, s, before) for j, s in zip(which.tolist(), state.tolist(), strict=True)]
+            count, last, cuts = zip(*each, strict=True)
+            return np.array(count, np.int32), np.array(last, np.int32), np.stack(cuts, axis=1)
         count, last, passed, cuts = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros((BLOCK, n), bool)
         go = np.arange(n)
         for i in range(BLOCK):
@@ -173,6 +179,25 @@ class Model:
                 go = go[~both]
         return count, last, cuts
 
+    def _one_again(self, k: int, blocks: Blocks, j: int, state: int, before: tuple) -> tuple[int, int, np.ndarray]:
+        """_again for one block, symbol by symbol."""
+        to, (keys, targets) = memoryview(self.tables[k]), self.rare[k]
+        was, cuts, count, passed = before[2][:, j], np.zeros(BLOCK, bool), 0, 0
+        for i, (c, cut) in enumerate(zip(blocks.symbols[: blocks.ends[j], j].tolist(), was.tolist(), strict=False)):
+            passed += cut
+            if c < self.alphabet:
+                state = to[state + c]
+            else:
+                key = state // self.alphabet * self.width + c
+                place = int(np.searchsorted(keys[:-1], key))
+                state = int(targets[place]) if keys[place] == key else 0
+            if state == 0:
+                count, cuts[i] = count + 1, True
+                if cut:
+                    cuts[i + 1 :] = was[i + 1 :]
+                    return count + int(before[0][j]) - passed, int(before[1][j]), cuts
+        return count, state, cuts
+
     def pieces(self, texts: list[np.ndarray]) -> np.ndarray:
         """Pieces that each text of symbols needs [text, language], by longest matches from its start to its end.
 
