@@ -23,21 +23,19 @@ def ledger(events: DataFrame) -> DataFrame:
     """references with the order's own price and size, what was left before and after, and how the reference resolves.
 
     ref_status: `add`; `active`; `inactive` (filled or cancelled before), `unknown` (no earlier add), or
-    `duplicate` (an add of a key already seen). A cancel removes the whole remainder. Only windows over
-    one key of the book's, so one shuffle by book serves all that follows.
+    `duplicate` (an add of a key already seen). A cancel removes the whole remainder. All windows are over
+    one order, so one shuffle serves them, and a busy symbol is many tasks' work.
     """
     seen = W.partitionBy(*ORDER).orderBy("seq", "sub_seq")
     earlier, upto = seen.rowsBetween(W.unboundedPreceding, -1), seen.rowsBetween(W.unboundedPreceding, 0)
     add = F.col("kind") == "A"
-    rows = (
-        references(events).repartition(*BOOK)
-        .withColumn("nth_add", F.count_if(add).over(upto))
-        .withColumn("order_price", F.first(F.when(add, F.col("price")), ignorenulls=True).over(upto))
-        .withColumn("order_qty", F.first(F.when(add, F.col("qty")), ignorenulls=True).over(upto))
-        .withColumn("add_seq", F.first(F.when(add, F.col("seq")), ignorenulls=True).over(upto))
-        .withColumn("traded", F.coalesce(F.sum(F.when((F.col("kind") == "T") & (F.col("nth_add") > 0), F.col("qty"))).over(earlier), F.lit(0)))
-        .withColumn("cancelled", F.coalesce(F.max(F.when((F.col("kind") == "C") & (F.col("nth_add") > 0), 1)).over(earlier), F.lit(0)) == 1)
-    )
+    of_add = lambda c: F.first(F.when(add, F.col(c)), ignorenulls=True).over(upto)
+    known = F.col("nth_add") > 0
+    # columns of one window together, so that each is one pass
+    rows = references(events).withColumns({"nth_add": F.count_if(add).over(upto), "order_price": of_add("price"), "order_qty": of_add("qty"), "add_seq": of_add("seq")}).withColumns({
+        "traded": F.coalesce(F.sum(F.when((F.col("kind") == "T") & known, F.col("qty"))).over(earlier), F.lit(0)),
+        "cancelled": F.coalesce(F.max(F.when((F.col("kind") == "C") & known, 1)).over(earlier), F.lit(0)) == 1,
+    })
     before = F.when(F.col("cancelled") | add, 0).otherwise(F.greatest(F.col("order_qty") - F.col("traded"), F.lit(0)))
     status = (
         F.when(add & (F.col("nth_add") > 1), "duplicate").when(add, "add").when(F.col("nth_add") == 0, "unknown")
