@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bookweave.llm import decontaminate, jaccard, language, line_dedup, packing, secrets, sharding, surrogates, transport, warc
+from bookweave.llm import collocations, decontaminate, exact, jaccard, language, lexical, line_dedup, packing, secrets, sharding, surrogates, transport, warc
 
 
 def queries():
@@ -17,8 +17,11 @@ def queries():
         "op8_language_id": language.op8_language_id,
         "op9_best_fit_packing": packing.op9_best_fit_packing,
         "op10_secret_scans": secrets.op10_secret_scans,
+        "op11_phrase_collocations": collocations.op11_phrase_collocations,
+        "op12_exact_dedup": exact.op12_exact_dedup,
+        "op13_lexical_search": lexical.op13_lexical_search,
     }
 
 
 def oracle_sql():
-    return {**warc.ORACLE, **jaccard.ORACLE, **line_dedup.ORACLE, **decontaminate.ORACLE}
+    return {**warc.ORACLE, **jaccard.ORACLE, **line_dedup.ORACLE, **decontaminate.ORACLE, **collocations.ORACLE, **exact.ORACLE, **lexical.ORACLE}
