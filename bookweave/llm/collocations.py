@@ -70,7 +70,7 @@ def _bits(counts: DataFrame, words: list[str]) -> np.ndarray:
 
 
 def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    at = at & ((1 << BITS) - 1)
+    at = at & (8 * len(bits) - 1)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 

@@ -150,8 +150,9 @@ def exact_groups(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, key_bits: in
     heads = stored(rows.groupBy("key", "sha").agg(F.count("*").alias("rows"), F.max(F.struct("doc_id", "place")).alias("last"), F.max(F.octet_length("text")).cast("bigint").alias("bytes")), "heads")
     keys = stored(heads.groupBy("key").agg(F.sum("rows").alias("n"), F.sum("bytes").alias("bytes")).filter("n > 1").select("key", "bytes"), "keys")
     placed, depth = directory(keys, bucket_bytes)
-    owner = F.shiftright("bucket", F.col("depth") - max(0, depth - OWNER_BITS)) if depth > OWNER_BITS else F.lit(0).cast("bigint")
-    placed = stored(placed.select("key", owner.alias("owner"), F.col("bucket") * 64 + F.col("depth") % 64, F.col("depth")).toDF("key", "owner", "bucket", "depth").drop("depth"), "index")
+    owner = _leading(max(0, depth - OWNER_BITS))
+    first = F.call_function("shiftleft", F.col("bucket"), F.lit(64) - F.col("depth"))  # of a bucket's range of keys
+    placed = stored(placed.select("key", owner.alias("owner"), first.alias("bucket")), "index")
 
     page = "owner bigint, bucket bigint, " + _PAGE
     entries = rows.filter("n IS NOT NULL").select("key", "sha", "n", "last", "text").join(placed, "key").select("owner", "bucket", "key", "sha", "n", "last", "text").mapInArrow(_merged, page)
