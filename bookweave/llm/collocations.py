@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from bookweave.llm.common import small_batches, stored, table
 
 #: Longest phrase, bytes of text whose phrases are counted before they are passed on, and bits (as a power of two) that tell which phrases may be frequent: 8 MB at most.
-LONGEST, COUNTED_BYTES, BITS = 3, 24 << 20, 26
+LONGEST, COUNTED_BYTES, BITS = 3, 12 << 20, 26
 #: Parts in which a language's best phrases are looked for first.
 PARTS = 64
 
@@ -49,7 +49,7 @@ def _words(text: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray
     lengths = np.flatnonzero(last) + 1 - starts
     bounds = np.concatenate(([0], np.cumsum(lengths)))
     each = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(_LOWER[raw[word]])]).dictionary_encode()
-    of, piece = np.searchsorted(offsets, starts, side="right") - 1, np.cumsum(_BREAK[raw])[starts]
+    of, piece = np.searchsorted(offsets, starts, side="right") - 1, np.searchsorted(np.flatnonzero(_BREAK[raw]), starts)
     return each.indices.to_numpy(zero_copy_only=False), each.dictionary, of, (of[1:] == of[:-1]) & (piece[1:] == piece[:-1])
 
 
