@@ -320,16 +320,17 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, width: int, pe
     """Links (a, b: hashes of the sets) among pairs (a, b: halves of such hashes).
 
     The sets that are to be compared with one hub are dealt out in parts, each with the hub's text; reps
-    names a document (h, c, doc) of every set, whose whole text is read again.
+    names a text (h, c, text_at: doc_id and hash) of every set, which is read again whole.
     """
-    side = lambda x: reps.select(F.col("h").alias(x), F.col("c").alias("c" + x), F.col("doc").alias("d" + x))
+    side = lambda x: reps.select(F.col("h").alias(x), F.col("c").alias("c" + x), F.col("text_at").alias("d" + x))
     both = stored(pairs.join(side("a"), "a").join(side("b"), "b").select("ca", "da", "cb", "db"), "pairs")
     parts = stored(both.groupBy("ca").agg(F.ceil(F.count("*") / CHUNK).alias("parts")), "parts")
     dealt = both.join(parts, "ca").withColumn("part", F.pmod(F.xxhash64("cb"), F.col("parts")).cast("int"))
-    wanted = dealt.select("ca", "part", F.lit(1).alias("turn"), F.col("cb").alias("c"), F.col("db").alias("doc")).unionByName(
-        dealt.select("ca", "part", F.lit(0).alias("turn"), F.col("ca").alias("c"), F.col("da").alias("doc")).distinct()
+    wanted = dealt.select("ca", "part", F.lit(1).alias("turn"), F.col("cb").alias("c"), F.col("db").alias("text_at")).unionByName(
+        dealt.select("ca", "part", F.lit(0).alias("turn"), F.col("ca").alias("c"), F.col("da").alias("text_at")).distinct()
     )
-    tasks = docs.join(stored(wanted, "wanted"), F.col("doc_id") == F.col("doc")).repartition("ca", "part").sortWithinPartitions("ca", "part", "turn")
+    wanted = stored(wanted.select("ca", "part", "turn", "c", "text_at.doc", F.col("text_at.t").alias("of")), "wanted")
+    tasks = docs.join(wanted, (F.col("doc_id") == F.col("doc")) & (F.col("t") == F.col("of"))).repartition("ca", "part").sortWithinPartitions("ca", "part", "turn")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, hub = None, None
@@ -337,7 +338,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, width: int, pe
             found = []
             for ca, part, turn, c, text in zip(*(batch.column(x).to_pylist() for x in ("ca", "part", "turn", "c", "text")), strict=True):
                 s = shingles(text, width)
-                if set_hash(s) != c:  # another text of a repeated doc_id
+                if set_hash(s) != c:  # another text with the same hash
                     continue
                 if turn == 0:
                     now, hub = (ca, part), s
@@ -402,8 +403,10 @@ def linked_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, D
     found = stored(keyed.mapInArrow(_blocks(percent), "kind int, block bigint, a bigint, b bigint, n bigint, q bigint"), "blocks")
 
     info = described.filter("chunk IS NULL").select("doc", "t", "n", "c", "h", "point")
-    nodes = stored(info.filter("n > 0 AND doc IS NOT NULL").groupBy("c", "h", "point").agg(F.min("doc").alias("doc")), "nodes")
-    reps = nodes.select("h", "c", "doc")
+    nodes = stored(info.filter("n > 0 AND doc IS NOT NULL").groupBy("c", "h", "point").agg(F.min(F.struct("doc", "t")).alias("text_at")), "nodes")
+    reps = nodes.select("h", "c", "text_at")
+    if not info.filter("doc IS NOT NULL").groupBy("doc", "t").agg(F.count("*").alias("rows")).filter("rows > 1").isEmpty():
+        docs = docs.dropDuplicates(["doc_id", "t"])  # of repeated rows one is read
     # first sets of the parts of a hot block are compared with the first of all of these
     parts = found.filter("kind = 2")
     step = F.floor(F.log("n") / float(np.log(100 / percent)) + 1e-9).alias("step")

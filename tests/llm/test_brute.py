@@ -524,3 +524,83 @@ def test_pipeline(spark):
         size[r.doc_id] = size.get(r.doc_id, 0) + r.length
     assert size == {d: len(encode(r.text)) + 1 for d, r in kept["decontaminate"].items()}
     assert len({r.sequence_id for r in pieces}) <= -(-sum(size.values()) // 2048) + 1
+
+
+def test_replacements_of_a_table(spark):
+    """All texts, spans found again by another engine: text between them stays, every entity has one surrogate, and no two share one or get a real one."""
+    import regex
+
+    pattern = regex.compile(surrogates.ALL)
+    docs = table(spark, SMALL.replace("0.001", "0.01"), "documents").select("doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got, to, real = {r.doc_id: r.text or "" for r in surrogates.replace_pii(docs, "k").collect()}, {}, set()
+    squeeze = lambda x: x.lower() if "@" in x else re.sub("[^0-9A-Za-z]", "", x) if re.search("[0-9]", x) and not re.fullmatch(r"[0-9.]+", x) else x
+    n = 0
+    for i, text in texts.items():
+        spans = [m.span() for m in pattern.finditer(text)]
+        rest, at = got[i], 0
+        for (a, z), after in zip(spans, [x[0] for x in spans[1:]] + [len(text)] * bool(spans), strict=True):
+            assert rest.startswith(text[at:a])
+            rest, gap = rest[a - at :], text[z:after]
+            new = rest[: rest.index(gap)] if gap and after < len(text) else rest[: len(rest) - len(gap)]
+            rest, at, n = rest[len(new) :], z, n + 1
+            old = squeeze(text[a:z])
+            real.add(old)
+            assert to.setdefault(old, squeeze(new)) == squeeze(new) != old, (old, new)
+        assert rest == text[at:]
+    assert n > 50 and len(set(to.values())) == len(to) and not real & set(to.values())
+
+
+def test_replacements_are_of_a_kind(spark):
+    """Account numbers, social security numbers, network addresses and hosts stay what they are."""
+    numbers = ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "123-45-6789", "192.168.1.1", "10.1.2.3", "172.20.0.9", "8.8.8.8"]
+    text = " | ".join([*numbers, "bob@corp.com", "eve@corp.com", "Bob@corp.com", "Mr Παπαδόπουλος"])
+    out = surrogates.replace_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").first().text.split(" | ")
+    for new in (out[0], out[1].replace(" ", "")):
+        assert int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1
+    assert out[0][:2] == "DE" and re.fullmatch(r"GB\d\d [A-Z]{4}( \d{4}){3} \d\d", out[1])
+    area, group, serial = map(int, out[2].split("-"))
+    assert 0 < area < 900 and area != 666 and group and serial
+    assert out[3].startswith("192.168.") and out[4].startswith("10.") and re.match(r"172\.(1[6-9]|2\d|3[01])\.", out[5]) and int(out[6].split(".")[0]) in surrogates.PUBLIC
+    (bob, host), (eve, host2) = (x.split("@") for x in out[7:9])
+    assert host == host2 != "corp.com" and bob != eve and out[9] == out[7] and host.endswith(".com")
+    assert re.fullmatch(r"Mr [Α-Ωά-ώΆ-Ώ]+", out[10])
+
+
+def test_numbers_of_a_full_shape(spark):
+    """Every value of a short shape is a real one: surrogates leave the shape, and are distinct and not real."""
+    values = spark.range(90_000).select(F.lit("phone").alias("kind"), F.format_string("%d%04d", (F.col("id") / 10_000).cast("int") + 1, F.col("id") % 10_000).alias("value"))
+    got = surrogates.surrogate_map(values, "k")
+    assert got.count() == got.select("surrogate").distinct().count() == 90_000
+    assert got.join(values.select(F.col("value").alias("surrogate")), "surrogate").count() == 0
+    row = spark.createDataFrame([("+1 23 45", "123456789")], "piece string, s string").select(surrogates._poured(F.col("piece"), F.col("s")).alias("x")).first()
+    assert row.x == "+1 23 456789"
+
+
+def test_many_texts_under_one_id(spark):
+    """A third of all rows under one doc_id, all different: links are found, in work that grows with the rows."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    text = lambda: " ".join(w if rng.random() > 0.01 else f"n{rng.randrange(999)}" for w in base)
+    rows = [(7, text()) for _ in range(600)] + [(i, f"only {i} " * 5) for i in range(100, 1300)] + [(7, text())] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = jaccard.one_of_each(docs, 4, 85).filter("doc_id = 7").collect()
+    sets = [shingle_set(t, 4) for t in sorted({t for d, t in rows if d == 7})]
+    assert len(kept) == len(set(components_of(sets, 85)))
+
+
+def test_shards_of_a_derived_table(spark):
+    """Behind a shuffle, with repeated rows, counts and records are of one evaluation: slots have no gap."""
+    docs = spark.range(3000).selectExpr("id % 700 AS doc_id", "concat('t', id % 700) AS text").repartition(7)
+    out = sharding.shard_records(docs, shards=6, bucket_bytes=512).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.shard, []).append(r.slot)
+    assert len(out) == 3000 and all(sorted(v) == list(range(500)) for v in by.values())
+
+
+def test_short_items(spark):
+    docs = spark.createDataFrame([(1, "yes or no"), (2, "no one knows"), (3, "maybe"), (4, "One, two: three!")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "yes"), (2, "no one"), (3, "one two three"), (4, "?")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items, shortest=1).collect()}
+    assert got == {(1, 1), (2, 2), (4, 3)} and decontaminate.contaminated(docs, items).count() == 0
