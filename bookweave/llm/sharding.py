@@ -15,6 +15,8 @@ from bookweave.llm.common import new_path, stored, table, text_of
 
 #: Buckets whose first places are summed up together.
 TOGETHER = 1024
+#: Copies of one row that one task numbers.
+NUMBERED = 256
 
 
 def size_of(text: str = "text") -> Column:
@@ -34,7 +36,7 @@ def _starts(rows: DataFrame) -> DataFrame:
 def shard_records(docs: DataFrame, shards: int = 40, seed: int = 17, bucket_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, text, shard and slot of every row.
 
-    A row's bucket follows from seed, doc_id and text; rows that are there more than once get a drawn number
+    A row's bucket follows from seed, doc_id and text; rows that are there more than once are numbered
     besides, so that copies scatter too. Null texts stay null. Repeated rows are all kept and get slots of their own.
     A text longer than a bucket has one nearly to itself. An empty table gives an empty result; columns but
     doc_id and text are left behind. The order within a bucket is drawn anew each time this is computed:
@@ -43,10 +45,14 @@ def shard_records(docs: DataFrame, shards: int = 40, seed: int = 17, bucket_byte
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
     total = rows.agg(F.coalesce(F.sum(size_of()), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
     buckets = max(1, -(-total["bytes"] // bucket_bytes))
-    again = stored(rows.groupBy("doc_id", "th").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("d"), F.col("th").alias("h"), F.lit(True).alias("again")), "repeated")
-    drawn = rows.withColumn("draw", F.floor(F.rand(seed) * (1 << 30)))
-    marked = drawn.join(again, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")), "left")
-    place = F.xxhash64(F.lit(seed), "doc_id", "th", F.when(F.col("again"), F.col("draw")))
+    again = stored(rows.groupBy("doc_id", "th").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("d"), F.col("th").alias("h")), "repeated")
+    here = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))
+    # repeated rows are numbered, in runs that are dealt out first: no draw, so that whatever reads rows sees the same ones
+    runs = rows.join(again, here, "left_semi").groupBy("doc_id", "text", "th").agg(F.count("*").alias("n")).select("doc_id", "text", "th", "n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / NUMBERED))).alias("run"))
+    last = F.least(F.col("n"), (F.col("run") + 1) * NUMBERED) - 1
+    copies = runs.repartition("doc_id", "th", "run").select("doc_id", "text", "th", F.explode(F.sequence(F.col("run") * NUMBERED, last)).alias("copy"))
+    marked = rows.join(again, here, "left_anti").withColumn("copy", F.lit(None).cast("bigint")).unionByName(copies)
+    place = F.xxhash64(F.lit(seed), "doc_id", "th", "copy")
     rows = marked.select("doc_id", "text", "th", F.pmod(place, F.lit(buckets)).alias("bucket"))
 
     # first in an order of their own, whatever the order in which they arrive
