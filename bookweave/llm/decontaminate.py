@@ -16,7 +16,7 @@ from bookweave.llm.common import stored, table, text_of
 #: wherever the others stand, meets one of these three (a test goes through all such stretches of 14 to 27 tokens;
 #: a longer one holds one of these).
 MASKS = ["1010000111", "110111", "1111001"]
-#: Tokens that must be compared, and fewest tokens of an item that is looked for at all; items between are looked for whole and unchanged.
+#: Tokens that must be compared, and fewest tokens of an item that is looked for unless asked otherwise; items between are looked for whole and unchanged.
 LEAST, SHORTEST = 14, 4
 #: An equal token counts one, another takes away three: a stretch of three equal ones in four comes to nought.
 _OFF = 3
@@ -59,11 +59,11 @@ def _stretch(n: Column) -> Column:
     return F.when(whole >= 0, row(n, whole, F.lit(0))).otherwise(F.get(F.transform(F.array(sums), longest), 0))
 
 
-def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def _found(docs: DataFrame, benchmark: DataFrame, shortest: int) -> DataFrame:
     """doc_id, th (hash of the text), item_id, matched, compared, first_token: one row per text and test item it holds."""
     words = _tokens(text_of())
-    items = benchmark.select("item_id", words.alias("words")).withColumn("n", F.size("words")).filter(F.col("n") >= SHORTEST)
-    short = [r["n"] for r in items.filter(F.col("n") < LEAST).select("n").distinct().collect()]  # ten lengths at most
+    items = benchmark.select("item_id", words.alias("words")).withColumn("n", F.size("words")).filter(F.col("n") >= max(1, shortest))
+    short = [r["n"] for r in items.filter(F.col("n") < LEAST).select("n").distinct().collect()]  # thirteen lengths at most
     masks = MASKS + ["1" * n for n in sorted(short)]
     own = F.when(F.col("n") >= LEAST, F.col("mask") < len(MASKS)).otherwise((F.col("at") == 0) & (F.col("mask") == len(MASKS) - 1 + F.array_position(F.array(*map(F.lit, sorted(short) or [0])), F.col("n"))))
     seeds = _each_seed(items, ["item_id", "n"], masks).filter(own).select("item_id", F.col("at").alias("j"), "seed", "mask")
@@ -85,24 +85,24 @@ def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return told.groupBy("doc_id", "th", "item_id").agg(F.max("x").alias("x")).select("doc_id", "th", "item_id", "x.matched", "x.compared", (-F.col("x.back")).cast("int").alias("first_token"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """doc_id, item_id, matched, compared, first_token: one row per document and test item it holds.
 
     A document holds an item if the two, laid side by side somewhere, agree in three of four tokens over a
     stretch of 14 tokens or more; told is the longest such stretch (of these the one with most equal
-    tokens, then the first). Every such stretch is found. Items of 4 to 13 tokens must be there whole and
-    unchanged; shorter ones are phrases of every text and are not looked for. Null and empty texts match
+    tokens, then the first). Every such stretch is found. Items of fewer tokens must be there whole and
+    unchanged; those under `shortest` tokens, which are phrases of every text, are not looked for. Null and empty texts match
     nothing, however long a text is it is searched whole, repeated rows count once, and texts that share a
     doc_id are one document. An empty table on either side gives an empty result; columns but doc_id and
     text are left behind.
     """
     best = F.max(F.struct("compared", "matched", (-F.col("first_token")).alias("back"))).alias("x")
-    return _found(docs, benchmark).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.matched", "x.compared", (-F.col("x.back")).alias("first_token"))
+    return _found(docs, benchmark, shortest).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.matched", "x.compared", (-F.col("x.back")).alias("first_token"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """Rows of docs whose text holds no test item, all columns kept. Each text counts for itself, with or without a doc_id."""
-    gone = stored(_found(docs, benchmark).select(F.col("doc_id").alias("__doc"), F.col("th").alias("__th")).distinct(), "leaks")
+    gone = stored(_found(docs, benchmark, shortest).select(F.col("doc_id").alias("__doc"), F.col("th").alias("__th")).distinct(), "leaks")
     return docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__th")), "left_anti")
 
 
