@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from bookweave.llm.common import small_batches, stored, table
 
 #: Bytes of text beyond which a bucket is split, and how many times as much an owner's range of keys has, as a power of two.
-BUCKET_BYTES, OWNER_BITS = 1 << 20, 4
+BUCKET_BYTES, OWNER_BITS = 1 << 20, 2
 #: Bytes of text that a task holds while it merges copies.
 MERGED_BYTES = 32 << 20
 
