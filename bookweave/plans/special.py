@@ -45,17 +45,21 @@ def never_crossing(spark, sf_dir):
     return book.level_totals(placement.placed_deltas(apart, led, placement.placements(apart)))
 
 
-#: Files that a stream is fed from, one a batch.
+#: Parts that a stream is fed in, before one that moves time on.
 PARTS = 4
 
 
 def _numbered(spark, sf_dir) -> DataFrame:
-    """The feed with each channel's rows numbered from 1, as an exchange numbers them, and a last row that ends the channel."""
+    """The feed with each channel's rows numbered from 1, as an exchange numbers them."""
     feed = order_feed(spark, sf_dir)
     by = W.partitionBy("market", "trading_day", "channel").orderBy("quote_ms", "symbol", "seq")
-    feed = feed.withColumn("book_seq", F.col("seq")).withColumn("seq", F.row_number().over(by).cast("bigint"))
-    last = feed.groupBy("market", "trading_day", "channel").agg((F.max("seq") + 1).alias("seq"), F.max("quote_ms").alias("quote_ms")).withColumns({"kind": F.lit("S"), "status": F.lit(books.END), "symbol": F.lit("")})
-    return feed.unionByName(last, allowMissingColumns=True)
+    return feed.withColumn("book_seq", F.col("seq")).withColumn("seq", F.row_number().over(by).cast("bigint"))
+
+
+def _with_clock(feed: DataFrame) -> DataFrame:
+    """feed with a status row of a channel of its own, two months after the last row, in a part after all others: time goes on."""
+    clock = feed.groupBy("market", "trading_day").agg((F.max("quote_ms") + 60 * core.DAY).alias("quote_ms")).withColumns({"channel": F.lit(0), "seq": F.lit(1).cast("bigint"), "kind": F.lit("S"), "symbol": F.lit(""), "part": F.lit(PARTS)})
+    return feed.unionByName(clock, allowMissingColumns=True)
 
 
 def _stream(spark, feed: DataFrame, part, columns: list[str]) -> DataFrame:
@@ -68,7 +72,7 @@ def _stream(spark, feed: DataFrame, part, columns: list[str]) -> DataFrame:
 
 def _parts(feed: DataFrame) -> list[DataFrame]:
     kept = written(feed, "parts")
-    return [kept.filter(F.col("part") == i) for i in range(PARTS)]
+    return [kept.filter(F.col("part") == i) for i in range(PARTS + 1)]
 
 
 def _drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -85,10 +89,29 @@ _EVENTS = [c.split()[0] for c in EVENT.split(", ")]
 UNTIL_MS = ORIGIN_MS + 30 * core.DAY
 
 
+#: How far the derived feed's parts run into one another, and how long a number is waited for.
+LATE, GAP_MS = "20 days", core.DAY
+
+
+def _dealt(feed: DataFrame) -> DataFrame:
+    """Parts by time, a week each; of three runs of fifty rows one comes a part later, so that the gate holds the other two back."""
+    week = F.least(F.floor((F.col("quote_ms") - ORIGIN_MS) / (8 * core.DAY)), F.lit(PARTS - 1))
+    return feed.withColumn("part", F.least(week + F.when(F.floor(F.col("seq") / 50) % 3 == 1, 1).otherwise(0), F.lit(PARTS - 1)).cast("int"))
+
+
+def _told(spark, feed: DataFrame, step_ms: int | None = None) -> DataFrame:
+    """What the books tell of a feed that is dealt out in parts."""
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", books.STORE)
+    try:
+        stream = _stream(spark, _with_clock(feed), F.col("part"), _EVENTS)
+        return _drained(books.incremental_books(stream, step_ms, UNTIL_MS, LATE, GAP_MS), "books")
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
 def _books(spark, sf_dir):
-    """Rows come out of order: runs of fifty are dealt out to the parts, so the gate holds three of four back."""
-    stream = _stream(spark, _numbered(spark, sf_dir), F.floor(F.col("seq") / 50) % PARTS, _EVENTS)
-    return _drained(books.incremental_books(stream, core.DAY, UNTIL_MS), "books")
+    return _told(spark, _dealt(_numbered(spark, sf_dir)), core.DAY)
 
 
 def stream_levels(spark, sf_dir):
@@ -113,27 +136,47 @@ def stream_trade_windows(spark, sf_dir):
 
 
 def stream_late(spark, sf_dir):
-    """Rows that came twice: the last part repeats every hundredth row of each channel."""
-    feed = _numbered(spark, sf_dir)
-    again = feed.filter("seq % 100 = 0").withColumn("part", F.lit(PARTS - 1))
-    all_ = feed.withColumn("part", (F.floor(F.col("seq") / 50) % (PARTS - 1)).cast("int")).unionByName(again)
-    stream = _stream(spark, all_, F.col("part"), _EVENTS)
-    return _drained(books.incremental_books(stream), "late").filter("what = 'late'").groupBy(F.floor(F.col("seq") / 100).alias("hundred")).agg(F.count("*").alias("rows"))
+    """Rows that came twice: the last part repeats every hundredth row of its channel's last ten days."""
+    feed = _dealt(_numbered(spark, sf_dir))
+    again = feed.filter(f"seq % 100 = 0 AND quote_ms >= {UNTIL_MS - 10 * core.DAY}").withColumn("part", F.lit(PARTS - 1))
+    return _told(spark, feed.unionByName(again)).filter("what = 'late'").groupBy(F.floor(F.col("seq") / 100).alias("hundred")).agg(F.count("*").alias("rows"))
+
+
+def _lossy(spark, sf_dir):
+    """The feed without the cancels whose number divides by seven, and three rows more after each: numbers that never come."""
+    feed = _dealt(_numbered(spark, sf_dir))
+    lost = feed.filter("kind = 'C' AND seq % 7 = 0").select("channel", F.explode(F.array(*(F.col("seq") + i for i in range(4)))).alias("seq")).distinct()
+    return _told(spark, feed.join(lost, ["channel", "seq"], "left_anti"), core.DAY)
+
+
+def stream_gaps(spark, sf_dir):
+    """Numbers that were given up, on each channel."""
+    return _lossy(spark, sf_dir).filter("what = 'gap'").select("channel", "seq", "upto")
+
+
+def stream_lossy_snapshots(spark, sf_dir):
+    """Statistics at every boundary of the feed with lost rows: all that came is applied."""
+    return _lossy(spark, sf_dir).filter("what = 'snapshot'").select("symbol", F.col("at_ms").alias("boundary_ms"), "volume", "trades")
 
 
 def queries():
-    names = [placements, evidence_groups, placed_levels, never_crossing, stream_levels, stream_snapshots, stream_trade_windows, stream_late]
+    names = [placements, evidence_groups, placed_levels, never_crossing, stream_levels, stream_snapshots, stream_trade_windows, stream_late, stream_gaps, stream_lossy_snapshots]
     return {f.__name__: f for f in names}
 
 
 def oracle_sql():
     feed = f"WITH {CANONICAL_CTE}"
     levels = core.oracle_sql()["level_totals"]
+    numbered = f"{feed}, n AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY quote_ms, symbol, seq) AS no FROM f)"
+    lossy = f"{numbered}, lost AS (SELECT DISTINCT channel, no + i AS no FROM n, (SELECT unnest(range(4)) AS i) WHERE kind = 'C' AND no % 7 = 0), k AS (SELECT * FROM n ANTI JOIN lost USING (channel, no))"
     return {
         "never_crossing": levels.replace("symbol, order_side, price, CAST(sum", "symbol, order_side, price - CASE WHEN order_side = 'B' THEN 50000 ELSE 0 END AS price, CAST(sum").replace("GROUP BY symbol, order_side, price", "GROUP BY symbol, order_side, ac.price"),
         "stream_levels": levels,
         "stream_snapshots": f"""{feed}, s AS (SELECT symbol, min(quote_ms) // 86400000 + 1 AS a FROM f GROUP BY symbol), b AS (SELECT symbol, unnest(range(a, {UNTIL_MS // core.DAY + 1})) * 86400000 AS boundary_ms FROM s)
 SELECT symbol, boundary_ms, CAST(coalesce((SELECT sum(qty) FROM f WHERE f.symbol = b.symbol AND kind = 'T' AND quote_ms < boundary_ms), 0) AS BIGINT) AS volume, (SELECT count(*) FROM f WHERE f.symbol = b.symbol AND kind = 'T' AND quote_ms < boundary_ms) AS trades FROM b""",
         "stream_trade_windows": f"{feed} SELECT market, symbol, quote_ms // 86400000 * 86400000 AS window_ms, count(*) AS trades, CAST(sum(qty) AS BIGINT) AS volume, max(price) AS high_price, min(price) AS low_price FROM f WHERE kind = 'T' GROUP BY ALL",
-        "stream_late": f"{feed}, n AS (SELECT row_number() OVER (PARTITION BY channel ORDER BY quote_ms, symbol, seq) AS no FROM f UNION ALL SELECT count(*) + 1 FROM f GROUP BY channel) SELECT no // 100 AS hundred, count(*) AS rows FROM n WHERE no % 100 = 0 GROUP BY 1",
+        "stream_late": f"{numbered} SELECT no // 100 AS hundred, count(*) AS rows FROM n WHERE no % 100 = 0 AND quote_ms >= {UNTIL_MS - 10 * core.DAY} GROUP BY 1",
+        "stream_gaps": f"{lossy}, x AS (SELECT channel, no, lag(no, 1, 0) OVER (PARTITION BY channel ORDER BY no) AS before FROM k) SELECT channel, CAST(before + 1 AS BIGINT) AS seq, CAST(no - 1 AS BIGINT) AS upto FROM x WHERE no > before + 1",
+        "stream_lossy_snapshots": f"""{lossy}, s AS (SELECT symbol, min(quote_ms) // 86400000 + 1 AS a FROM k GROUP BY symbol), b AS (SELECT symbol, unnest(range(a, {UNTIL_MS // core.DAY + 1})) * 86400000 AS boundary_ms FROM s)
+SELECT symbol, boundary_ms, CAST(coalesce((SELECT sum(qty) FROM k WHERE k.symbol = b.symbol AND kind = 'T' AND quote_ms < boundary_ms), 0) AS BIGINT) AS volume, (SELECT count(*) FROM k WHERE k.symbol = b.symbol AND kind = 'T' AND quote_ms < boundary_ms) AS trades FROM b""",
     }

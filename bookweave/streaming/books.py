@@ -1,9 +1,10 @@
-"""Incremental books on Structured Streaming.
+"""Incremental books on Structured Streaming, in two stateful steps.
 
-A channel's rows reach its books in native order: rows are held until the next number of the channel is
-there, and a number that was already applied is told apart, never dropped in silence. Every applied event
-tells the levels that it changed; the first event of a book at or after a boundary tells its trade
-statistics before it, and the channel's last row those of all boundaries that are left.
+The gate, a state per channel, brings rows into native order: a row waits until the one before it is there, a number that
+was already passed on is told apart, and one that does not come is given up, and told, once the watermark is far enough
+behind it. The books, a state per book, apply what the gate passes on: every event tells the levels that it changed, and
+every boundary a book's trade statistics before it, either when an event at or after it comes or when the watermark has
+passed it.
 """
 
 from __future__ import annotations
@@ -15,15 +16,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from bookweave.schema import BOOK
-
-_OUT = "market string, trading_day int, symbol string, what string, seq bigint, order_side string, price bigint, quantity bigint, order_count bigint, at_ms bigint, volume bigint, trades bigint"
-_NAMES = [c.split()[0] for c in _OUT.split(", ")]
-_ROW = "symbol string, kind string, status string, bid_no bigint, ask_no bigint, price bigint, qty bigint, quote_ms bigint"
+_ROW = "symbol string, kind string, bid_no bigint, ask_no bigint, price bigint, qty bigint, quote_ms bigint"
 _FIELDS = [c.split()[0] for c in _ROW.split(", ")]
-#: Status of a channel's last row.
-END = "END"
-_NUMBERS = ["seq", "bid_no", "ask_no", "price", "qty", "quote_ms"]
+_PASSED = f"market string, trading_day int, channel int, what string, seq bigint, upto bigint, {_ROW}, released timestamp"
+_OUT = "market string, trading_day int, symbol string, what string, seq bigint, upto bigint, channel int, order_side string, price bigint, quantity bigint, order_count bigint, at_ms bigint, volume bigint, trades bigint"
+
+
+#: The state store that map states and timers need.
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    numbers = [n for n, t in (c.split() for c in schema.split(", ")) if t in ("bigint", "int")]
+    return pd.DataFrame(rows, columns=_names(schema)).astype(dict.fromkeys(numbers, "Int64"))
+
+
+def _plain(batch: pd.DataFrame, names: list[str]) -> Iterator[tuple]:
+    """Rows of plain values; absent ones are None."""
+    text = ("symbol", "kind", "what")
+    of = lambda c: batch[c].astype(object).where(batch[c].notna(), None).tolist()
+    return zip(*(of(c) if c in text else [None if x is None else int(x) for x in of(c)] for c in names), strict=True)
 
 
 class _Entries:
@@ -49,114 +65,195 @@ class _Entries:
                 self.state.removeKey(key)
 
 
-class _Channel(StatefulProcessor):
-    """State of a channel: the next number and how many rows are held; these rows; live orders and levels; statistics of each book."""
+class _Gate(StatefulProcessor):
+    """State of a channel: the next number, how many rows wait, and which number is waited for until when; and the rows that wait."""
 
-    def __init__(self, step_ms: int | None, until_ms: int | None):
-        self.step_ms, self.until_ms = step_ms, until_ms
+    def __init__(self, gap_ms: int):
+        self.gap_ms = gap_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.place = handle.getValueState("place", "next bigint, held bigint")
+        self.handle = handle
+        self.place = handle.getValueState("place", "next bigint, held bigint, missing bigint, until bigint")
         self.held = handle.getMapState("held", "seq bigint", _ROW)
-        self.orders = handle.getMapState("orders", "symbol string, side string, no bigint", "price bigint, rest bigint")
-        self.levels = handle.getMapState("levels", "symbol string, side string, price bigint", "quantity bigint, orders bigint")
-        self.books = handle.getMapState("books", "symbol string", "volume bigint, trades bigint, high bigint, bound bigint")
+
+    def _at(self) -> tuple[int, int, int | None, int | None]:
+        return self.place.get() if self.place.exists() else (1, 0, None, None)
+
+    def _passed(self, key: tuple, clock: int, what: str, seq: int, row: tuple, upto: int | None = None) -> tuple:
+        # what is passed on is as late as the watermark at most, however long it has waited
+        return (*key, what, seq, upto, *row, pd.Timestamp(max(row[-1] or 0, clock + 1), unit="ms"))
+
+    def _drained(self, key: tuple, clock: int, at: int, held: int, fresh: dict[int, tuple], out: list[tuple]) -> tuple[int, int]:
+        """Pass on all rows from the next number on that follow one another; the next number then, and how many still wait."""
+        while True:
+            row = fresh.pop(at, None)
+            if row is None and held and self.held.containsKey((at,)):
+                row, held = self.held.getValue((at,)), held - 1
+                self.held.removeKey((at,))
+            if row is None:
+                return at, held
+            if row[1] != "S":
+                out.append(self._passed(key, clock, "row", at, tuple(row)))
+            at += 1
+
+    def _given_up(self, key: tuple, clock: int, at: int, held: int, out: list[tuple]) -> tuple[int, int]:
+        """Tell of numbers that rows have waited for too long, and pass these rows on; the next number then, and how many still wait."""
+        for first in sorted(k for (k,) in self.held.keys()) if held else []:
+            if first < at:
+                continue
+            if self._due(first) > clock:
+                break
+            out.append(self._passed(key, clock, "gap", at, (None,) * len(_FIELDS), first - 1))
+            at, held = self._drained(key, clock, first, held, {}, out)
+        return at, held
+
+    def _due(self, seq: int) -> int:
+        return (self.held.getValue((seq,))[-1] or 0) + self.gap_ms
+
+    def _kept(self, at: int, held: int, missing: int | None, until: int | None) -> None:
+        """Keep the place, and a timer for the number that is missing now."""
+        if missing is not None and (not held or missing != at):
+            self.handle.deleteTimer(until)
+            missing = until = None
+        if held and missing is None:
+            missing, until = at, self._due(min(k for (k,) in self.held.keys()))
+            self.handle.registerTimer(until)
+        self.place.update((at, held, missing, until))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        market, day, _ = key
-        at, held = self.place.get() if self.place.exists() else (1, 0)
-        orders, levels, books = _Entries(self.orders), _Entries(self.levels), _Entries(self.books)
+        clock, (at, held, missing, until) = timerValues.getCurrentWatermarkInMs(), self._at()
+        out: list[tuple] = []
+        fresh: dict[int, tuple] = {}
+        for batch in rows:
+            for seq, *row in _plain(batch, ["seq", *_FIELDS]):
+                if seq < at or seq in fresh or (held and self.held.containsKey((seq,))):
+                    out.append(self._passed(key, clock, "late", seq, tuple(row)))
+                else:
+                    fresh[seq] = tuple(row)
+        at, held = self._drained(key, clock, at, held, fresh, out)
+        for seq, row in fresh.items():
+            self.held.updateValue((seq,), row)
+        at, held = self._given_up(key, clock, at, held + len(fresh), out)
+        self._kept(at, held, missing, until)
+        if out:
+            yield _frame(out, _PASSED)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        clock, (at, held, missing, until) = timerValues.getCurrentWatermarkInMs(), self._at()
         out: list[tuple] = []
+        at, held = self._given_up(key, clock, at, held, out)
+        # the timer that is running out is gone already
+        gone = expiredTimerInfo.getExpiryTimeInMs() == until
+        self._kept(at, held, None if gone else missing, None if gone else until)
+        if out:
+            yield _frame(out, _PASSED)
+
+    def close(self) -> None:
+        pass
+
+
+class _Book(StatefulProcessor):
+    """State of a book: live orders and levels, statistics, the latest time and the next boundary."""
+
+    def __init__(self, step_ms: int | None, until_ms: int | None, gap_ms: int):
+        self.step_ms, self.until_ms, self.gap_ms = step_ms, until_ms, gap_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.orders = handle.getMapState("orders", "side string, no bigint", "price bigint, rest bigint")
+        self.levels = handle.getMapState("levels", "side string, price bigint", "quantity bigint, orders bigint")
+        self.stats = handle.getValueState("stats", "volume bigint, trades bigint, high bigint, bound bigint, seq bigint")
+
+    def _stats(self) -> tuple[int, int, int | None, int | None, int]:
+        return self.stats.get() if self.stats.exists() else (0, 0, None, None, 0)
+
+    def _timed(self, was: int | None, bound: int | None) -> None:
+        """Move the timer from one boundary to another. It waits as long as the gate may, whose rows could still count."""
+        if was != bound:
+            for at, change in ((was, self.handle.deleteTimer), (bound, self.handle.registerTimer)):
+                if at is not None and at <= (self.until_ms or 0):
+                    change(at + self.gap_ms)
 
-        def tell(what, symbol, seq, side=None, price=None, q=None, n=None, ms=None) -> None:
-            volume, trades, _, _ = books.get((symbol,)) or (0, 0, None, None)
-            out.append((market, day, symbol, what, seq, side, price, q, n, ms, volume, trades))
-
-        def due(symbol: str, seq: int, ms: int | None) -> None:
-            """Boundaries up to a time, or all that are left."""
-            volume, trades, high, bound = books.get((symbol,)) or (0, 0, None, None)
-            if bound is None:
-                bound = (ms // self.step_ms + 1) * self.step_ms if ms is not None else None
-            while bound is not None and (bound <= ms if ms is not None else bound <= (self.until_ms or 0)):
-                tell("snapshot", symbol, seq, ms=bound)
-                bound += self.step_ms
-            books.put((symbol,), (volume, trades, high, bound))
-
-        def move(symbol, side, price, q, n, seq, ms) -> None:
-            was = levels.get((symbol, side, price)) or (0, 0)
-            now = (was[0] + q, was[1] + n)
-            levels.put((symbol, side, price), now if now[1] else None)
-            tell("level", symbol, seq, side, price, *now, ms)
-
-        def apply(seq: int, e: tuple) -> None:
-            symbol, kind, status, bid, ask, price, qty, ms = e
-            if kind == "S":
-                if status == END and self.step_ms:
-                    for (name,) in list(self.books.keys()) + [k for k in books.now if not self.books.containsKey(k)]:
-                        due(name, seq, None)
-                return
-            _, _, high, _ = books.get((symbol,)) or (0, 0, None, None)
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        orders, levels = _Entries(self.orders), _Entries(self.levels)
+        volume, trades, high, bound, last = self._stats()
+        was, out = bound, []
+        tell = lambda what, seq, side=None, price=None, q=None, n=None, ms=None, upto=None, channel=None: out.append((*key, what, seq, upto, channel, side, price, q, n, ms, volume, trades))
+
+        def move(side, price, q, n, seq, ms) -> None:
+            old = levels.get((side, price)) or (0, 0)
+            new = (old[0] + q, old[1] + n)
+            levels.put((side, price), new if new[1] else None)
+            tell("level", seq, side, price, *new, ms)
+
+        # the gate passes rows on in order, so that this batch's come after all before it; within it the shuffle may have mixed them
+        mine = sorted((r for b in rows for r in _plain(b, ["seq", "what", "upto", "channel", *_FIELDS[1:]])), key=lambda r: r[0])
+        for seq, what, upto, channel, kind, bid, ask, price, qty, ms in mine:
+            if what != "row":
+                tell(what, seq, ms=ms, upto=upto, channel=channel)
+                continue
             if high is not None and ms < high:
-                tell("time", symbol, seq, ms=ms)
+                tell("time", seq, ms=ms)
             if self.step_ms:
-                due(symbol, seq, ms)
-            volume, trades, _, bound = books.get((symbol,)) or (0, 0, None, None)
+                bound = (ms // self.step_ms + 1) * self.step_ms if bound is None else bound
+                while bound <= ms:
+                    tell("snapshot", seq, ms=bound)
+                    bound += self.step_ms
             if kind == "T":
                 volume, trades = volume + qty, trades + 1
-            books.put((symbol,), (volume, trades, max(ms, high or ms), bound))
+            high, last = max(ms, high or ms), seq
             for side, no in (("B", bid), ("S", ask)):
                 if not no:
                     continue
-                order = (symbol, side, no)
                 if kind == "A":
-                    orders.put(order, (price, qty))
-                    move(symbol, side, price, qty, 1, seq, ms)
-                elif (o := orders.get(order)) is not None:
+                    orders.put((side, no), (price, qty))
+                    move(side, price, qty, 1, seq, ms)
+                elif (o := orders.get((side, no))) is not None:
                     q = o[1] if kind == "C" else min(o[1], qty)
-                    orders.put(order, (o[0], o[1] - q) if q < o[1] else None)
-                    move(symbol, side, o[0], -q, -int(q == o[1]), seq, ms)
-
-        fresh: dict[int, tuple] = {}
-        for b in rows:
-            numbers = {c: [None if pd.isna(x) else int(x) for x in b[c]] for c in _NUMBERS}
-            texts = {c: [None if pd.isna(x) else x for x in b[c]] for c in ("symbol", "kind", "status")}
-            for seq, *e in zip(numbers["seq"], *((texts | numbers)[c] for c in _FIELDS), strict=True):
-                if seq < at or seq in fresh or (held and self.held.containsKey((seq,))):
-                    tell("late", e[0], seq, ms=e[-1])
-                else:
-                    fresh[seq] = tuple(e)
-        while True:
-            e = fresh.pop(at, None)
-            if e is None and held and self.held.containsKey((at,)):
-                e, held = self.held.getValue((at,)), held - 1
-                self.held.removeKey((at,))
-            if e is None:
-                break
-            apply(at, tuple(e))
-            at += 1
-        for seq, e in fresh.items():
-            self.held.updateValue((seq,), e)
-        for entries in (orders, levels, books):
-            entries.flush()
-        self.place.update((at, held + len(fresh)))
+                    orders.put((side, no), (o[0], o[1] - q) if q < o[1] else None)
+                    move(side, o[0], -q, -int(q == o[1]), seq, ms)
+        orders.flush()
+        levels.flush()
+        if high is not None:
+            self._timed(was, bound)
+            self.stats.update((volume, trades, high, bound, last))
         if out:
-            yield pd.DataFrame(out, columns=_NAMES).astype({c: "Int64" for c in ("price", "quantity", "order_count", "at_ms")})
+            yield _frame(out, _OUT)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Boundaries that the watermark has passed, with nothing after them yet."""
+        volume, trades, high, bound, last = self._stats()
+        clock, out = timerValues.getCurrentWatermarkInMs(), []
+        if bound is None or expiredTimerInfo.getExpiryTimeInMs() != bound + self.gap_ms:
+            return
+        while bound <= self.until_ms and bound + self.gap_ms <= clock:
+            out.append((*key, "snapshot", last, None, None, None, None, None, None, bound, volume, trades))
+            bound += self.step_ms
+        if bound <= self.until_ms:
+            self.handle.registerTimer(bound + self.gap_ms)
+        self.stats.update((volume, trades, high, bound, last))
+        yield _frame(out, _OUT)
 
     def close(self) -> None:
         pass
 
 
-def incremental_books(events: DataFrame, step_ms: int | None = None, until_ms: int | None = None) -> DataFrame:
-    """Stream of rows: `level` (a level's totals after an event), `snapshot` (statistics before a boundary), `late` (a number already applied or held) and `time` (a quote time behind the latest one).
+def incremental_books(events: DataFrame, step_ms: int | None = None, until_ms: int | None = None, late: str = "1 minute", gap_ms: int = 5_000) -> DataFrame:
+    """Stream of rows: `level` (a level's totals after an event), `snapshot` (statistics before a boundary, up to until_ms), `late` (a number already passed on, or there twice), `gap` (numbers seq to upto never came) and `time` (a quote time behind the latest one).
 
-    events: a streaming DataFrame of canonical events whose seq is dense from 1 on each channel, as a
-    channel's rows are before any are left out; they may arrive in any order. A row of kind S and status
-    END is the channel's last and tells the boundaries left up to until_ms. State is one entry per live
-    order, level and held row, in RocksDB.
+    events: a streaming DataFrame of canonical events whose seq is dense from 1 on each channel, as a channel's rows are
+    before any are left out; they may arrive in any order. Rows of kind S change no book, but count and move the watermark on,
+    which is `late` behind the latest quote time of all channels; what comes still later is dropped by Spark and becomes a gap. A
+    missing number is given up once the watermark is gap_ms past the first row that waits for it, and boundaries that no
+    event passes are told gap_ms after them. The gate's state is a row per row that waits, the books' one per live order and
+    level, in RocksDB; the gate does no more than pass rows on, the books are spread over all tasks.
     """
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    narrow = events.select("market", "trading_day", "channel", "seq", *_FIELDS)
-    return narrow.groupBy("market", "trading_day", "channel").transformWithStateInPandas(_Channel(step_ms, until_ms), outputStructType=_OUT, outputMode="Append", timeMode="None")
+    if events.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass") != STORE:
+        raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {STORE}")
+    narrow = events.select("market", "trading_day", "channel", "seq", *_FIELDS, F.timestamp_millis("quote_ms").alias("ts")).withWatermark("ts", late)
+    passed = narrow.groupBy("market", "trading_day", "channel").transformWithStateInPandas(_Gate(gap_ms), outputStructType=_PASSED, outputMode="Append", timeMode="EventTime", eventTimeColumnName="released")
+    keyed = passed.withColumn("symbol", F.coalesce("symbol", F.lit("")))
+    return keyed.groupBy("market", "trading_day", "symbol").transformWithStateInPandas(_Book(step_ms, until_ms, gap_ms), outputStructType=_OUT, outputMode="Append", timeMode="EventTime")
 
 
 def trade_windows(events: DataFrame, width: str = "1 day", late: str = "1 hour") -> DataFrame:
