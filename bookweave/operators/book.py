@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from bookweave.operators.slices import Running, running
 from bookweave.schema import BOOK, LEVEL
 
 
@@ -72,22 +73,35 @@ def trade_stats(events: DataFrame, keys: list[str] = BOOK) -> DataFrame:
     )
 
 
-def running_stats(events: DataFrame) -> DataFrame:
-    """Trade statistics of a book after each of its business events; before its first trade prices are null and totals zero."""
-    upto = W.partitionBy(*BOOK).orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
-    price, qty = (F.when(F.col("kind") == "T", F.col(c)) for c in ("price", "qty"))
+def trade_values() -> dict[str, Running]:
+    """Running trade statistics, from price and qty of trades alone (t_price and t_qty)."""
+    price, qty = F.col("t_price"), F.col("t_qty")
     money = price.cast("decimal(19,0)") * qty.cast("decimal(19,0)")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    return events.filter("kind <> 'S'").select(
-        *BOOK, "seq", "quote_ms",
-        F.last(price, ignorenulls=True).over(upto).alias("last_price"), F.max(price).over(upto).alias("high_price"), F.min(price).over(upto).alias("low_price"),
-        zero(F.sum(qty).over(upto)).alias("volume"), F.coalesce(F.sum(money).over(upto), F.lit(0).cast("decimal(38,0)")).alias("turnover"), F.count(qty).over(upto).alias("trades"),
-    )
+    return {
+        "last_price": Running("last", price), "high_price": Running("max", price), "low_price": Running("min", price),
+        "volume": Running("sum", qty), "turnover": Running("sum", money), "trades": Running("count", qty),
+    }
+
+
+def of_trades(events: DataFrame) -> DataFrame:
+    """events with t_price and t_qty, null but for trades."""
+    return events.withColumns({f"t_{c}": F.when(F.col("kind") == "T", F.col(c)) for c in ("price", "qty")})
+
+
+def zero_totals(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"volume": F.coalesce("volume", F.lit(0)), "turnover": F.coalesce("turnover", F.lit(0).cast("decimal(38,0)"))})
+
+
+def running_stats(events: DataFrame) -> DataFrame:
+    """Trade statistics of a book after each of its business events; before its first trade prices are null and totals zero. Read twice."""
+    rows = of_trades(events.filter("kind <> 'S'")).select(*BOOK, "seq", "quote_ms", "t_price", "t_qty")
+    return zero_totals(running(rows, BOOK, "seq", trade_values())).drop("t_price", "t_qty")
 
 
 def apply_sequence(events: DataFrame) -> DataFrame:
-    """events that are applied, numbered 1..n in each book."""
-    return events.filter("kind <> 'S'").withColumn("apply_seq", F.row_number().over(W.partitionBy(*BOOK).orderBy("seq")))
+    """events that are applied, numbered 1..n in each book. Read twice."""
+    out = running(events.filter("kind <> 'S'"), BOOK, "seq", {"apply_seq": Running("count", F.lit(1))})
+    return out.withColumn("apply_seq", F.col("apply_seq").cast("int"))
 
 
 def book_summary(events: DataFrame, led: DataFrame) -> DataFrame:

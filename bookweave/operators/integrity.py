@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bookweave.functions.scalars import PREFIXES, in_class, time_of_day
+from bookweave.operators.slices import Running, running
 from bookweave.schema import BOOK
 
 FIFTEEN = 54_000_000
@@ -45,20 +45,23 @@ def business(events: DataFrame) -> DataFrame:
     return events.filter("kind <> 'S'")
 
 
+def _after(rows: DataFrame, key: list[str], order: str, seq: str) -> DataFrame:
+    """key, seq, row, and the seq and row before it in source order. Slices alone are windows; what lies before a slice is one row."""
+    narrow = rows.select(*key, F.col(seq).alias("seq"), F.col(order).cast("bigint").alias("row"))
+    out = running(narrow, key, "row", {"previous": Running("last", F.struct("seq", "row"), before=True)})
+    return out.select(*key, F.col("previous.seq").alias("previous_seq"), "seq", F.col("previous.row").alias("previous_row"), "row")
+
+
 def sequence_regressions(rows: DataFrame, key: list[str], order: str = "source_row", seq: str = "seq") -> DataFrame:
-    """Rows, in source order, whose sequence is not above the one before: previous, current and whether they are equal."""
-    w = W.partitionBy(*key).orderBy(order)
-    return (
-        rows.select(*key, F.lag(seq).over(w).alias("previous_seq"), F.col(seq).alias("seq"), F.lag(order).over(w).alias("previous_row"), F.col(order).alias("row"))
-        .filter("seq <= previous_seq").withColumn("equal", F.col("seq") == F.col("previous_seq"))
-    )
+    """Rows, in source order, whose sequence is not above the one before: previous, current and whether they are equal. Read twice."""
+    return _after(rows, key, order, seq).filter("seq <= previous_seq").withColumn("equal", F.col("seq") == F.col("previous_seq"))
 
 
 def natural_runs(rows: DataFrame, key: list[str], order: str = "source_row", seq: str = "seq") -> DataFrame:
-    """For each key: rows, ascending runs in source order, and duplicates."""
-    w = W.partitionBy(*key).orderBy(order)
-    marked = rows.withColumn("__down", (F.col(seq) < F.lag(seq).over(w)).cast("int"))
-    return marked.groupBy(*key).agg(F.count("*").alias("rows"), (F.coalesce(F.sum("__down"), F.lit(0)) + 1).alias("runs"), (F.count(seq) - F.count_distinct(seq)).alias("duplicates"))
+    """For each key: rows, ascending runs in source order, and duplicates. Read three times."""
+    runs = _after(rows, key, order, seq).groupBy(*key).agg(F.count("*").alias("rows"), (F.count_if(F.col("seq") < F.col("previous_seq")) + 1).alias("runs"))
+    again = rows.filter(F.col(seq).isNotNull()).groupBy(*key, seq).agg((F.count("*") - 1).alias("n")).groupBy(*key).agg(F.sum("n").alias("duplicates"))
+    return runs.join(again, key, "left").fillna(0, ["duplicates"])
 
 
 def duplicate_sequences(*streams: DataFrame, key: list[str] = ("market", "trading_day", "channel")) -> DataFrame:
@@ -75,17 +78,17 @@ def channel_conflicts(events: DataFrame) -> DataFrame:
 
 
 def time_regressions(events: DataFrame) -> DataFrame:
-    """Business events earlier than the latest before them in their book: the high-water mark and whether both are in one second (allowed in validation)."""
-    earlier = W.partitionBy(*BOOK).orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
-    high = business(events).withColumn("high_ms", F.max("quote_ms").over(earlier))
+    """Business events earlier than the latest before them in their book: the high-water mark and whether both are in one second (allowed in validation). Read twice."""
+    rows = business(events).select(*BOOK, "seq", "quote_ms")
+    high = running(rows, BOOK, "seq", {"high_ms": Running("max", F.col("quote_ms"), before=True)})
     second = lambda c: F.floor(F.col(c) / 1000)
-    return high.filter("quote_ms < high_ms").select(*BOOK, "seq", "quote_ms", "high_ms", (second("quote_ms") == second("high_ms")).alias("same_second"))
+    return high.filter("quote_ms < high_ms").withColumn("same_second", second("quote_ms") == second("high_ms"))
 
 
 def after_close(events: DataFrame) -> DataFrame:
-    """Business events that come after their book's first CLOSE status row."""
-    close = F.min(F.when((F.col("kind") == "S") & (F.col("status") == "CLOSE"), F.col("seq"))).over(W.partitionBy(*BOOK))
-    return events.withColumn("close_seq", close).filter("kind <> 'S' AND seq > close_seq")
+    """Business events that come after their book's first CLOSE status row. Read twice."""
+    close = events.filter("kind = 'S' AND status = 'CLOSE'").groupBy(*BOOK).agg(F.min("seq").alias("close_seq"))
+    return events.filter("kind <> 'S'").join(close, BOOK).filter("seq > close_seq")
 
 
 def late_events(events: DataFrame) -> DataFrame:

@@ -50,12 +50,12 @@ def first_boundary(ms: Column, origin: Column, step_ms: int, sessions=SESSIONS)
 def held_levels(changes: DataFrame, last_k: Column) -> DataFrame:
     """(book, order_side, price, k, to_k, quantity, order_count): a live level's totals from point k to point to_k.
 
-    changes: deltas with k, the number of the point at which each first shows; last_k: the last point.
+    changes: deltas with k, the number of the point at which each first shows; last_k: the book's last point.
     """
-    at = changes.filter("k IS NOT NULL").groupBy(*LEVEL, "k").agg(F.sum("dqty").alias("dqty"), F.sum("dcount").alias("dcount"))
+    at = changes.filter("k IS NOT NULL").groupBy(*LEVEL, "k").agg(F.sum("dqty").alias("dqty"), F.sum("dcount").alias("dcount"), F.max(last_k).alias("last_k"))
     w = W.partitionBy(*LEVEL).orderBy("k")
     upto = w.rowsBetween(W.unboundedPreceding, 0)
-    held = at.select(*LEVEL, "k", F.sum("dqty").over(upto).alias("quantity"), F.sum("dcount").over(upto).alias("order_count"), (F.coalesce(F.lead("k").over(w), last_k + 1) - 1).alias("to_k"))
+    held = at.select(*LEVEL, "k", F.sum("dqty").over(upto).alias("quantity"), F.sum("dcount").over(upto).alias("order_count"), (F.coalesce(F.lead("k").over(w), F.col("last_k") + 1) - 1).alias("to_k"))
     return held.filter("order_count > 0 AND to_k >= k")
 
 
@@ -136,9 +136,9 @@ def close_cut(events: DataFrame) -> DataFrame:
     """(book, cut_seq, boundary_ms), cut_seq being the last event that counts: SH closes at its first CLOSE row, by native order; SZ after all input, at 15:00 or its last quote if later."""
     is_close = (F.col("kind") == "S") & (F.col("status") == "CLOSE")
     sz_end = F.greatest(day_epoch_ms(F.col("trading_day")) - 28_800_000 + 54_000_000, F.max(F.when(F.col("kind") != "S", F.col("quote_ms"))))
-    close = F.min(F.when(is_close, F.col("seq"))).over(W.partitionBy(*BOOK))
-    cut = events.withColumn("__close", close).groupBy(*BOOK).agg(
-        F.min("__close").alias("close_seq"), F.min_by("quote_ms", F.when(is_close, F.col("seq"))).alias("close_ms"),
+    close = events.filter(is_close).groupBy(*BOOK).agg(F.min("seq").alias("__close"), F.min_by("quote_ms", "seq").alias("close_ms"))
+    cut = events.join(close, BOOK, "left").groupBy(*BOOK).agg(
+        F.min("__close").alias("close_seq"), F.min("close_ms").alias("close_ms"),
         F.max(F.when((F.col("kind") != "S") & (F.col("seq") < F.col("__close")), F.col("seq"))).alias("before_seq"), F.max("seq").alias("last_seq"), sz_end.alias("end_ms"),
     )
     sh = F.col("market") == "SH"

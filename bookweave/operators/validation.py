@@ -7,9 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bookweave.functions.scalars import close_band, in_class, quantum, symbol_class, time_of_day, turnover_compat, weighted_match, weighted_price_q
-from bookweave.operators.book import depth, turnover
-from bookweave.operators.snapshots import LEVELS_TYPE, level_arrays
+from bookweave.operators.book import depth, of_trades, trade_values, turnover, zero_totals
+from bookweave.operators.slices import TIMES, Running, running
+from bookweave.operators.snapshots import LEVELS_TYPE, best_states, level_arrays
 from bookweave.schema import BOOK
+from bookweave.shared import written
 
 EXACT = ["last_price", "high_price", "low_price", "volume", "turnover", "trades", "bid_total", "ask_total"]
 WEIGHTED = ["bid_vwap", "ask_vwap"]
@@ -55,20 +57,14 @@ def states(events: DataFrame, changes: DataFrame) -> DataFrame:
     changes: visible ones, as deltas or placed_deltas give them. Sides' averages are rounded once, to the
     quantum at which the exchange publishes them.
     """
-    w = W.partitionBy(*BOOK).orderBy("seq")
-    upto, before = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(W.unboundedPreceding, -1)
     side = lambda s, c: F.sum(F.when(F.col("order_side") == s, c).otherwise(0))
     money = F.col("price").cast("decimal(19,0)") * F.col("dqty").cast("decimal(19,0)")
     moved = changes.groupBy(*BOOK, "seq").agg(side("B", F.col("dqty")).alias("bq"), side("S", F.col("dqty")).alias("sq"), side("B", money).alias("bm"), side("S", money).alias("sm"))
-    price, qty = (F.when(F.col("kind") == "T", F.col(c)) for c in ("price", "qty"))
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    out = events.filter("kind <> 'S'").join(moved, [*BOOK, "seq"], "left").select(
-        *BOOK, "seq", "quote_ms", F.max("quote_ms").over(before).alias("high_ms"), F.row_number().over(w).alias("apply_seq"),
-        F.last(price, True).over(upto).alias("last_price"), F.max(price).over(upto).alias("high_price"), F.min(price).over(upto).alias("low_price"),
-        zero(F.sum(qty).over(upto)).alias("volume"), F.coalesce(F.sum(price.cast("decimal(19,0)") * qty.cast("decimal(19,0)")).over(upto), F.lit(0).cast("decimal(38,0)")).alias("turnover"),
-        F.count(qty).over(upto).alias("trades"), *(F.sum(zero(F.col(c))).over(upto).alias(n) for c, n in (("bq", "bid_total"), ("sq", "ask_total"), ("bm", "__bm"), ("sm", "__sm"))),
-    )
-    return out.withColumns({"bid_vwap": weighted_price_q(F.col("__bm"), F.col("bid_total"), price_quantum()), "ask_vwap": weighted_price_q(F.col("__sm"), F.col("ask_total"), price_quantum())}).drop("__bm", "__sm")
+    rows = of_trades(events.filter("kind <> 'S'")).select(*BOOK, "seq", "quote_ms", "t_price", "t_qty").join(moved, [*BOOK, "seq"], "left")
+    sums = {n: Running("sum", F.coalesce(F.col(c), F.lit(0))) for c, n in (("bq", "bid_total"), ("sq", "ask_total"), ("bm", "__bm"), ("sm", "__sm"))}
+    out = running(written(rows, "moved"), BOOK, "seq", {"high_ms": Running("max", F.col("quote_ms"), before=True), "apply_seq": Running("count", F.lit(1)), **trade_values(), **sums})
+    out = zero_totals(out).withColumn("apply_seq", F.col("apply_seq").cast("int"))
+    return out.withColumns({"bid_vwap": weighted_price_q(F.col("__bm"), F.col("bid_total"), price_quantum()), "ask_vwap": weighted_price_q(F.col("__sm"), F.col("ask_total"), price_quantum())}).drop("__bm", "__sm", "t_price", "t_qty", "bq", "sq", "bm", "sm")
 
 
 def candidates(frames: DataFrame, points: DataFrame, width_ms: int = 1000) -> DataFrame:
@@ -79,17 +75,17 @@ def candidates(frames: DataFrame, points: DataFrame, width_ms: int = 1000) -> Da
     state before that event is looked at once more, as of a millisecond before the end. Equal states keep
     their earliest time. An equi-join on the book and cells of `width_ms`, then the exact range.
     """
-    p = points.select(*BOOK, "seq", "quote_ms", "high_ms", F.lag("seq").over(W.partitionBy(*BOOK).orderBy("seq")).alias("prev_seq"))
+    p = running(points.select(*BOOK, "seq", "quote_ms", "high_ms"), BOOK, "seq", {"prev_seq": Running("last", F.col("seq"), before=True)})
     cell = lambda c: F.floor(c / width_ms)
     f = frames.select("frame_id", *BOOK, "win_from", "win_to", F.explode(F.sequence(cell(F.col("win_from")), cell(F.col("win_to") - 1))).alias("cell"))
     inside = f.join(p.withColumn("cell", cell(F.col("quote_ms"))), [*BOOK, "cell"]).filter(
         (F.col("quote_ms") >= F.col("win_from")) & (F.col("quote_ms") < F.col("win_to")) & (F.coalesce(F.col("high_ms"), F.col("win_to") - 1) < F.col("win_to")))
     both = inside.select("frame_id", F.explode(F.array(F.struct(F.col("prev_seq").alias("seq"), F.lit(0).alias("o")), F.struct("seq", F.lit(1).alias("o")))).alias("x"), F.col("quote_ms").alias("at_ms"))
     # the exit: the last state whose running latest time is below the window's end, found by order, not by range
-    marks = p.select(*BOOK, F.greatest("quote_ms", "high_ms").alias("t"), F.lit(0).alias("is_frame"), F.lit(None).cast(frames.schema["frame_id"].dataType).alias("frame_id"), "seq")
+    marks = points.select(*BOOK, F.greatest("quote_ms", "high_ms").alias("t"), F.lit(0).alias("is_frame"), F.lit(None).cast(frames.schema["frame_id"].dataType).alias("frame_id"), "seq")
     ends = frames.select(*BOOK, (F.col("win_to") - 1).alias("t"), F.lit(1).alias("is_frame"), "frame_id", F.lit(None).cast("bigint").alias("seq"))
-    upto = W.partitionBy(*BOOK).orderBy("t", "is_frame", "seq").rowsBetween(W.unboundedPreceding, 0)
-    exits = marks.unionByName(ends).withColumn("seq", F.max("seq").over(upto)).filter("is_frame = 1").select("frame_id", "seq", F.col("t").alias("at_ms"))
+    order = running(marks.unionByName(ends), BOOK, "t", {"upto": Running("max", F.col("seq"))}, ["is_frame", "seq"], TIMES)
+    exits = order.filter("is_frame = 1").select("frame_id", F.col("upto").alias("seq"), F.col("t").alias("at_ms"))
     all_ = both.select("frame_id", "x.seq", "at_ms").unionByName(exits)
     return all_.groupBy("frame_id", "seq").agg(F.min("at_ms").alias("at_ms"))
 
@@ -112,32 +108,20 @@ def differing(pairs: DataFrame, fields: list[str] = FIELDS) -> Column:
 
 
 def depth_at(changes: DataFrame, points: DataFrame, n: int = 10) -> DataFrame:
-    """points (book, seq) with the n best levels of each side as bids and asks, after all changes up to seq.
+    """points (book, seq) with the n best levels of each side as bids and asks, after all changes up to seq. Both are read more than once.
 
-    Changes and points are put in one order per book, each change is numbered by the first point that
-    sees it, and levels hold from point to point; there is no range join.
+    Changes and points are put in one order per book and each change is numbered by the first point that
+    sees it; from there on points are those of a grid, taken in runs. There is no range join.
     """
-    wanted = points.select(*BOOK, "seq").filter("seq IS NOT NULL").distinct().withColumn("k", F.row_number().over(W.partitionBy(*BOOK).orderBy("seq")).cast("bigint"))
-    seen = W.partitionBy(*BOOK).orderBy("seq", "is_point").rowsBetween(W.unboundedPreceding, -1)
+    wanted = points.select(*BOOK, "seq").filter("seq IS NOT NULL").distinct()
     columns = [*BOOK, "seq", "order_side", "price", "dqty", "dcount"]
     mixed = changes.select(*columns, F.lit(0).alias("is_point")).unionByName(wanted.select(*BOOK, "seq", F.lit(1).alias("is_point")), allowMissingColumns=True)
-    last = F.count_if(F.col("is_point") == 1).over(W.partitionBy(*BOOK))
-    numbered = mixed.withColumn("k", F.coalesce(F.sum("is_point").over(seen), F.lit(0)) + 1).withColumn("last_k", last).filter("is_point = 0 AND k <= last_k")
-    held = _held(numbered)
-    best = W.partitionBy(*BOOK, "order_side", "k").orderBy(F.when(F.col("order_side") == "B", -F.col("price")).otherwise(F.col("price")))
-    top = held.withColumn("level", F.row_number().over(best)).filter(F.col("level") <= n)
-    books = level_arrays(top, [*BOOK, "k"])
+    numbered = running(mixed, BOOK, "seq", {"k": Running("sum", F.col("is_point"), before=True)}, ["is_point"]).withColumn("k", F.coalesce("k", F.lit(0)) + 1)
+    last = wanted.groupBy(*BOOK).agg(F.count("*").alias("last_k"))
+    best = best_states(numbered.filter("is_point = 0").join(last, BOOK).filter("k <= last_k"), F.col("last_k"), n)
     none = F.array().cast(LEVELS_TYPE)
-    return wanted.join(books, [*BOOK, "k"], "left").select(*BOOK, "seq", F.coalesce("bids", none).alias("bids"), F.coalesce("asks", none).alias("asks"))
-
-
-def _held(numbered: DataFrame) -> DataFrame:
-    level = [*BOOK, "order_side", "price"]
-    at = numbered.groupBy(*level, "k").agg(F.sum("dqty").alias("dqty"), F.sum("dcount").alias("dcount"), F.max("last_k").alias("last_k"))
-    w = W.partitionBy(*level).orderBy("k")
-    upto = w.rowsBetween(W.unboundedPreceding, 0)
-    held = at.select(*level, "k", F.sum("dqty").over(upto).alias("quantity"), F.sum("dcount").over(upto).alias("order_count"), (F.coalesce(F.lead("k").over(w), F.col("last_k") + 1) - 1).alias("to_k"))
-    return held.filter("order_count > 0").select(*level, F.explode(F.sequence("k", "to_k")).alias("k"), "quantity", "order_count")
+    at = numbered.filter("is_point = 1").select(*BOOK, "seq", "k").join(level_arrays(best, [*BOOK, "k"]), [*BOOK, "k"], "left")
+    return at.select(*BOOK, "seq", F.coalesce("bids", none).alias("bids"), F.coalesce("asks", none).alias("asks"))
 
 
 def _expected(frames: DataFrame) -> DataFrame:
@@ -160,7 +144,7 @@ def best_match(frames: DataFrame, found: DataFrame, points: DataFrame, changes:
     pairs = pairs.withColumn("fields", differing(pairs, SCALARS)).withColumn("n", F.size("fields"))
     if changes is not None:
         least = F.min("n").over(W.partitionBy("frame_id"))
-        pairs = pairs.withColumn("__least", least).filter("n <= __least + 2")
+        pairs = written(pairs.withColumn("__least", least).filter("n <= __least + 2"), "pairs")
         none = F.array().cast(LEVELS_TYPE)
         pairs = pairs.join(depth_at(changes, pairs), [*BOOK, "seq"], "left").withColumns({f: F.coalesce(f, none) for f in BOOKS})
         pairs = pairs.withColumn("fields", F.concat("fields", differing(pairs, BOOKS))).withColumn("n", F.size("fields"))
@@ -211,8 +195,9 @@ def closing_match(frames: DataFrame, cut: DataFrame, points: DataFrame, changes:
 
 def closing_vwap(events: DataFrame, q: Column, window_ms: int = 60_000) -> DataFrame:
     """Average price, rounded once to the quantum, of each book's trades in the minute up to and with its last one (both ends count)."""
-    last = F.max("quote_ms").over(W.partitionBy(*BOOK))
-    t = events.filter("kind = 'T'").withColumn("__last", last).filter(F.col("quote_ms") >= F.col("__last") - window_ms)
+    trades = events.filter("kind = 'T'")
+    last = trades.groupBy(*BOOK).agg(F.max("quote_ms").alias("__last"))
+    t = trades.join(last, BOOK).filter(F.col("quote_ms") >= F.col("__last") - window_ms)
     sums = t.groupBy(*BOOK).agg(turnover().alias("amount"), F.sum("qty").alias("quantity"))
     return sums.select(*BOOK, weighted_price_q(F.col("amount"), F.col("quantity"), q).alias("close_price"), "quantity")
 

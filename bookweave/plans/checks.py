@@ -60,7 +60,7 @@ def best_candidate(spark, sf_dir):
 
 
 def close_vwap(spark, sf_dir):
-    return validation.closing_vwap(order_feed(spark, sf_dir), F.lit(100).cast("bigint"), DAY).select("symbol", "close_price", "quantity")
+    return validation.closing_vwap(written(order_feed(spark, sf_dir), "feed"), F.lit(100).cast("bigint"), DAY).select("symbol", "close_price", "quantity")
 
 
 def closing_auction_flag(spark, sf_dir):
@@ -78,7 +78,7 @@ def close_projection(spark, sf_dir):
 
 def price_reconciliation(spark, sf_dir):
     """Which closing prices that differ are explained by the closing rule."""
-    feed = order_feed(spark, sf_dir)
+    feed = written(order_feed(spark, sf_dir), "feed")
     flags, vwap = validation.closing_auction(feed), validation.closing_vwap(feed, F.lit(100).cast("bigint"), DAY)
     stats = book.trade_stats(feed)
     rows = stats.join(flags, BOOK).join(vwap, BOOK).withColumn("n", F.col("symbol").cast("int"))

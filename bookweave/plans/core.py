@@ -24,6 +24,10 @@ def _led(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.ledger(order_feed(spark, sf_dir))
 
 
+def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(order_feed(spark, sf_dir), "feed")
+
+
 def rebuilt(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The feed and its books' changes, each computed once and written, whatever reads them."""
     feed = written(order_feed(spark, sf_dir), "feed")
@@ -66,7 +70,7 @@ def trade_stats(spark, sf_dir):
 
 
 def running_stats(spark, sf_dir):
-    return _big(book.running_stats(order_feed(spark, sf_dir)), "turnover").select("symbol", "seq", "last_price", "high_price", "low_price", "volume", "turnover", "trades")
+    return _big(book.running_stats(_feed(spark, sf_dir)), "turnover").select("symbol", "seq", "last_price", "high_price", "low_price", "volume", "turnover", "trades")
 
 
 def level_totals(spark, sf_dir):
@@ -90,7 +94,7 @@ def fifo_queue(spark, sf_dir):
 
 
 def apply_sequence(spark, sf_dir):
-    return book.apply_sequence(order_feed(spark, sf_dir).filter("kind <> 'C'")).select("symbol", "seq", "apply_seq")
+    return book.apply_sequence(_feed(spark, sf_dir)).select("symbol", "seq", "apply_seq")
 
 
 def active_counts(spark, sf_dir):
@@ -166,7 +170,7 @@ def seq_inversions(spark, sf_dir):
 
 
 def _shuffled(spark, sf_dir):
-    return order_feed(spark, sf_dir).filter("kind = 'A'").withColumn("source_row", F.col("qty") * 100_000_000 + F.col("seq"))
+    return written(order_feed(spark, sf_dir).filter("kind = 'A'").withColumn("source_row", F.col("qty") * 100_000_000 + F.col("seq")), "shuffled")
 
 
 def natural_runs(spark, sf_dir):
@@ -184,13 +188,13 @@ def channel_conflict(spark, sf_dir):
 
 
 def time_regressions(spark, sf_dir):
-    feed = order_feed(spark, sf_dir)
+    feed = _feed(spark, sf_dir)
     return integrity.time_regressions(feed.withColumn("quote_ms", F.when(F.col("seq") % 37 == 0, F.col("quote_ms") - 500_000).when(F.col("seq") % 41 == 0, F.col("quote_ms") - 1).otherwise(F.col("quote_ms")))).select("symbol", "seq", "quote_ms", "high_ms", "same_second")
 
 
 def after_close(spark, sf_dir):
     """Events after a closing row put in at every book's five-hundredth place (or its tenth, if shorter)."""
-    feed = order_feed(spark, sf_dir)
+    feed = _feed(spark, sf_dir)
     close = feed.groupBy(*BOOK).agg(F.max("seq").alias("n"), F.min("channel").alias("channel")).select("*", F.when(F.col("n") > 500, 500).otherwise(10).cast("bigint").alias("seq")).drop("n")
     rows = close.withColumns({"kind": F.lit("S"), "status": F.lit("CLOSE")})
     return integrity.after_close(feed.filter("seq <> 500 AND seq <> 10").unionByName(rows, allowMissingColumns=True)).groupBy("symbol").agg(F.count("*").alias("rows"), F.min("seq").alias("first_seq"))
@@ -308,7 +312,7 @@ FROM n LEFT JOIN tr ON tr.symbol = n.symbol AND tr.seq = n.last LEFT JOIN s ON s
         "best_levels": f"{_FEED}{_TOUCH}{_ACTIVE} SELECT 'SZ' AS market, 20240101 AS trading_day, symbol, max(price) FILTER (order_side = 'B') AS best_bid, min(price) FILTER (order_side = 'S') AS best_ask FROM ac WHERE remaining > 0 GROUP BY symbol",
         "depth10": f"{_FEED}{_TOUCH}{_SIGNED} SELECT *, CAST((SELECT count(*) FROM lv x WHERE x.symbol = lv.symbol AND x.order_side = lv.order_side AND CASE WHEN x.order_side = 'B' THEN x.price >= lv.price ELSE x.price <= lv.price END) AS INTEGER) AS level FROM lv WHERE level <= 10",
         "fifo_queue": f"{_FEED}{_TOUCH}{_ACTIVE}, q AS (SELECT * FROM ac WHERE remaining > 0) SELECT symbol, order_side, price, order_no, remaining, CAST(1 + (SELECT count(*) FROM q x WHERE x.symbol = q.symbol AND x.order_side = q.order_side AND x.price = q.price AND x.add_seq < q.add_seq) AS INTEGER) AS position, CAST(coalesce((SELECT sum(remaining) FROM q x WHERE x.symbol = q.symbol AND x.order_side = q.order_side AND x.price = q.price AND x.add_seq < q.add_seq), 0) AS BIGINT) AS quantity_ahead FROM q",
-        "apply_sequence": f"{_FEED}, x AS (SELECT * FROM f WHERE kind <> 'C') SELECT a.symbol, a.seq, CAST(count(*) AS INTEGER) AS apply_seq FROM x a JOIN x b ON a.symbol = b.symbol AND b.seq <= a.seq GROUP BY 1, 2",
+        "apply_sequence": f"{_FEED}, x AS (SELECT * FROM f) SELECT a.symbol, a.seq, CAST(count(*) AS INTEGER) AS apply_seq FROM x a JOIN x b ON a.symbol = b.symbol AND b.seq <= a.seq GROUP BY 1, 2",
         "active_counts": f"{_FEED}{_TOUCH}{_ACTIVE} SELECT 'SZ' AS market, 20240101 AS trading_day, symbol, count(*) FILTER (remaining > 0) AS active_orders FROM ac GROUP BY symbol",
         "book_summary": f"""{_FEED}{_TOUCH}{_ACTIVE},
 x AS (SELECT {book_}, max(seq) AS last_seq, count(*) AS applied, arg_max(quote_ms, seq) AS last_quote_ms FROM f GROUP BY {book_}),
