@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookweave.functions.scalars import clock_ms, day_epoch_ms, in_class
-from bookweave.operators import integrity, ledger, placement, reference, reports, snapshots, validation
+from bookweave.operators import faults, integrity, ledger, placement, reference, reports, snapshots, validation
 from bookweave.operators.book import deltas
 from bookweave.schema import BOOK
 from bookweave.shared import written
 from bookweave.sources import vendor
 
 MARKETS = ("SH", "SZ")
+DAY = ["market", "trading_day"]
 
 
 @dataclass(frozen=True)
@@ -34,25 +35,36 @@ class Day:
 
 @dataclass(frozen=True)
 class Replay:
-    """snapshots (kind scheduled or market_close), counters (one row), and the rules that rows break (none in a good day)."""
+    """snapshots (kind scheduled or market_close), counters (a row per market and day), streams that had to be put in order, and the rules that rows break (none in a good day)."""
 
     snapshots: DataFrame
     counters: DataFrame
+    repairs: DataFrame
     violations: DataFrame
 
 
 @dataclass(frozen=True)
 class Validation:
-    """A record per selected frame, what was selected per symbol, how far anchors and symbols are covered, and one summary row."""
+    """A record per selected frame, what was selected per symbol and day, and, for each market and day, how far anchors and symbols are covered, a summary, and all of it as one nested report."""
 
     records: DataFrame
     audit: DataFrame
     coverage: DataFrame
     symbols: DataFrame
     summary: DataFrame
+    reports: DataFrame
     violations: DataFrame
 
 
+def _checked(spark: SparkSession, root: str, market: str, days: list[int] | None, on_fault: str, check_files: bool, frames: bool = False) -> None:
+    if market not in MARKETS:
+        raise ValueError(f"market {market}")
+    if on_fault not in faults.POLICIES:
+        raise ValueError(f"on_fault {on_fault}")
+    if check_files:
+        vendor.refuse_faulty_files(spark, root, market, days, frames)
+
+
 def _read(spark: SparkSession, root: str, market: str, days: list[int] | None) -> DataFrame:
     if market not in MARKETS:
         raise ValueError(f"market {market}")
@@ -105,34 +117,60 @@ def rebuild(spark: SparkSession, root: str, market: str, days: list[int] | None
     return Day(rows, events, written(changes, "changes"), placed, violations)
 
 
-def _counters(day: Day, snaps: DataFrame) -> DataFrame:
-    """One row: integrity.run_counters of what was read, and of what was rebuilt and sampled."""
-    out = integrity.class_counters(day.rows)
-    same = integrity.time_regressions(day.events).agg(F.count_if("same_second").alias("same_second_regressions"))
+def _counters(day: Day, repairs: DataFrame, snaps: DataFrame | None = None) -> DataFrame:
+    """For each market and day: class_counters of what was read, and of what was rebuilt, put in order and sampled."""
+    same = integrity.time_regressions(day.events).groupBy(*DAY).agg(F.count_if("same_second").alias("same_second_regressions"))
     limit = (F.col("market") == "SZ") & (F.col("kind") == "A") & (F.col("ord_type") == "limit")
-    direct = day.events.agg(F.count_if(limit).alias("direct_rest_limits"))
-    late = integrity.late_events(day.events).agg(F.coalesce(F.sum("late"), F.lit(0)).alias("after_close_events"))
-    taken = snaps.agg(F.count_if(F.col("kind") == "scheduled").alias("scheduled"), F.count_if(F.col("kind") == "market_close").alias("market_close"), F.count("*").alias("output_rows"))
+    direct = day.events.groupBy(*DAY).agg(F.count_if(limit).alias("direct_rest_limits"))
+    by_symbol = integrity.late_events(day.events).groupBy(*DAY).agg(F.sum("late").alias("after_close_events"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("symbol", "late")))).alias("after_close_by_symbol"))
+    streams = repairs.groupBy(*DAY).agg(F.count("*").alias("repaired_streams"), F.array_sort(F.collect_list(F.struct("channel", "stream", "rows", "runs", "duplicates"))).alias("repairs"))
+    parts = [same, direct, by_symbol, streams]
     groups = ("pending_groups", "inferred_remainders", "empty_same_side_cancels")
-    if day.placed is None:
-        none = day.events.agg(*(F.lit(0).cast("bigint").alias(c) for c in groups))
-    else:
+    if day.placed is not None:
         order = day.events.filter("kind = 'A'").select(*BOOK, F.col("side").alias("order_side"), F.col("seq").alias("order_no"), "ord_type")
         told = day.placed.filter("what = 'group'").join(order, [*BOOK, "order_side", "order_no"], "left")
-        none = told.agg(F.count("*").alias(groups[0]), F.count_if(F.col("code") == "inferred").alias(groups[1]), F.count_if((F.col("ord_type") == "same_side_best") & (F.col("code") == "cancelled")).alias(groups[2]))
-    for part in (same, direct, late, taken, none):  # rows of one each
-        out = out.join(F.broadcast(part))
-    return out
-
-
-def replay_day(spark: SparkSession, root: str, market: str, days: list[int] | None = None, step_ms: int = 30_000, depth: int = 10, universe: str = "both", symbols: list[str] | None = None, policy: str = "rest_at_last_trade") -> Replay:
-    """Every selected security's book at each boundary of the grid and at the close."""
+        parts.append(told.groupBy(*DAY).agg(F.count("*").alias(groups[0]), F.count_if(F.col("code") == "inferred").alias(groups[1]), F.count_if((F.col("ord_type") == "same_side_best") & (F.col("code") == "cancelled")).alias(groups[2])))
+    if snaps is not None:
+        parts.append(snaps.groupBy(*DAY).agg(F.count_if(F.col("kind") == "scheduled").alias("scheduled"), F.count_if(F.col("kind") == "market_close").alias("market_close"), F.count("*").alias("output_rows")))
+    out = integrity.class_counters(day.rows, DAY)
+    for part in parts:  # a row a day each
+        out = out.join(part, DAY, "left")
+    none = [c for c in groups if c not in out.columns]
+    return out.withColumns({c: F.lit(0).cast("bigint") for c in none}).fillna(0)
+
+
+def _repairs(day: Day) -> DataFrame:
+    """Streams of Shenzhen, whose two files are merged by number; Shanghai's order is checked, not mended."""
+    return integrity.sequence_repairs(day.rows.filter("row_class = 'selected' AND market = 'SZ'"))
+
+
+def replay_day(
+    spark: SparkSession, root: str, market: str, days: list[int] | None = None, step_ms: int = 30_000, depth: int = 10, universe: str = "both", symbols: list[str] | None = None, policy: str = "rest_at_last_trade",
+    on_fault: str = "raise", check_files: bool = True,
+) -> Replay:
+    """Every selected security's book at each boundary of the grid and at the close.
+
+    A file whose footer or types are wrong is refused before any row is read. A day that breaks a rule is refused before
+    anything of it is told (on_fault `raise`), or its books end at their first faults (`cut`): boundaries after them, and
+    their closes, are not told.
+    """
+    _checked(spark, root, market, days, on_fault, check_files)
     day = rebuild(spark, root, market, days, universe, symbols, policy)
-    grid = snapshots.grid_snapshots(day.events, day.changes, step_ms, depth).drop("k").withColumn("kind", F.lit("scheduled"))
-    close = snapshots.close_snapshots(day.events, day.changes, depth).withColumn("kind", F.lit("market_close"))
-    channel = written(day.events.groupBy(*BOOK).agg(F.min("channel").alias("channel")), "channels")
+    events, changes, ends = day.events, day.changes, None
+    if on_fault == "raise":
+        faults.refuse(day.violations)
+    elif on_fault == "cut":
+        ends = written(faults.book_ends(written(day.violations, "violations"), events, day.rows.filter("row_class = 'selected'")), "ends")
+        events, changes = (written(faults.before_end(x, ends), "before") for x in (events, changes))
+    grid = snapshots.grid_snapshots(events, changes, step_ms, depth).drop("k").withColumn("kind", F.lit("scheduled"))
+    close = snapshots.close_snapshots(events, changes, depth).withColumn("kind", F.lit("market_close"))
+    if ends is not None:
+        grid = grid.join(ends.select(*BOOK, "end_ms"), BOOK, "left").filter("end_ms IS NULL OR boundary_ms <= end_ms").drop("end_ms")
+        close = close.join(ends, BOOK, "left_anti")
+    channel = written(events.groupBy(*BOOK).agg(F.min("channel").alias("channel")), "channels")
     snaps = written(grid.unionByName(close).join(channel, BOOK), "snapshots")
-    return Replay(snaps, _counters(day, snaps), day.violations)
+    repairs = written(_repairs(day), "repairs")
+    return Replay(snaps, _counters(day, repairs, snaps), repairs, day.violations)
 
 
 def _hidden_points(placed: DataFrame) -> DataFrame:
@@ -143,12 +181,17 @@ def _hidden_points(placed: DataFrame) -> DataFrame:
 
 def validate_day(
     spark: SparkSession, root: str, market: str, days: list[int] | None = None, universe: str = "both", symbols: list[str] | None = None, policy: str = "require_evidence",
-    back_ms: int | None = None, ahead_ms: int | None = None, pre_open_only: bool = False,
+    back_ms: int | None = None, ahead_ms: int | None = None, pre_open_only: bool = False, on_fault: str = "raise", check_files: bool = True, details: int = 5_000,
 ) -> Validation:
     """Hold every selected published frame against the states rebuilt round its time.
 
-    With pre_open_only, events after the last selected pre-open frame are left out, and so are other anchors.
+    With pre_open_only, events after the last selected pre-open frame of the day (09:30 where there is none) are left out,
+    and so are other anchors. Faulty files and days are refused, unless on_fault is `keep`. details: records that a day's
+    report keeps.
     """
+    _checked(spark, root, market, days, on_fault, check_files, frames=True)
+    if on_fault == "cut":
+        raise ValueError("a day that is held against published frames is whole or not at all: on_fault is raise or keep")
     frames = vendor.read_reference(spark, root, market, days)
     frames = frames.filter(_wanted(frames, universe, symbols))
     id_ = F.concat_ws("-", "trading_day", "symbol", "source_row")
@@ -156,6 +199,10 @@ def validate_day(
     limits = reference.day_limits(frames, missing=F.col("missing_reception")) if market == "SZ" else None
     cutoff = reference.preopen_cutoff(picked) if pre_open_only else None
     day = rebuild(spark, root, market, days, universe, symbols, policy, cutoff)
+    positions = reference.position_faults(frames).select(*BOOK, F.lit(None).cast("int").alias("channel"), F.lit(None).cast("bigint").alias("seq"), F.lit("reference_position").alias("code"))
+    violations = day.violations.unionByName(positions)
+    if on_fault == "raise":
+        faults.refuse(violations)
 
     shared = reference.duplicate_times(picked).select("frame_id", F.lit(True).alias("twice"))
     selected = picked.filter("anchor IS NOT NULL").join(shared, "frame_id", "left")
@@ -184,9 +231,11 @@ def validate_day(
         F.when(result == "mismatched", fields).otherwise(F.array().cast("array<string>")).alias("fields"), F.when(result == "matched", F.col("tag")).alias("tag"), "seq", "apply_seq", "at_ms", "excluded_bid", "excluded_ask",
     )
     records = written(records, "records")
-    symbols_ = integrity.observed_symbols(frames, day.events)
-    audit = reference.selection_audit(picked, symbols_.join(frames.select("market", "trading_day").distinct(), "market"))
-    of = symbols_.withColumn("class", kind)
-    positions = reference.position_faults(frames).select(*BOOK, F.lit(None).cast("int").alias("channel"), F.lit(None).cast("bigint").alias("seq"), F.lit("reference_position").alias("code"))
-    summary = reports.run_summary(records, diagnostic=back_ms is not None or ahead_ms is not None, strict_policy=policy == "require_evidence")
-    return Validation(records, audit, reports.coverage(records, of), reports.symbol_totals(audit), summary, day.violations.unionByName(positions))
+    books_ = integrity.observed_books(frames, day.events)
+    audit = reference.selection_audit(picked, books_)
+    cover = reports.coverage(records, books_.withColumn("class", kind), DAY)
+    counters = _counters(day, _repairs(day))
+    seen_days = books_.select(*DAY).distinct().join(counters.select(*DAY, F.col("after_close_events").alias("after_close")), DAY, "left")
+    summary = reports.day_summaries(records, seen_days, diagnostic=back_ms is not None or ahead_ms is not None, strict_policy=policy == "require_evidence")
+    documents = reports.day_reports(records, audit, cover, counters, summary, details)
+    return Validation(records, audit, cover, reports.symbol_totals(audit, DAY), summary, documents, violations)

@@ -105,17 +105,30 @@ def observed_symbols(*frames: DataFrame) -> DataFrame:
     return out.distinct()
 
 
+def observed_books(*frames: DataFrame) -> DataFrame:
+    """Every (market, trading_day, symbol) that occurs in any of the frames, once."""
+    out = frames[0].select(*BOOK)
+    for f in frames[1:]:
+        out = out.union(f.select(*BOOK))
+    return out.distinct()
+
+
 def run_counters(events: DataFrame, universe: str = "both", cutoff_ms: Column | None = None) -> DataFrame:
     """One row: input rows, rows by class, channels, symbols, applied and status rows of what is selected."""
     return class_counters(events.withColumn("row_class", row_class(universe, cutoff_ms)))
 
 
-def class_counters(events: DataFrame) -> DataFrame:
-    """run_counters of rows whose row_class is known."""
+def class_counters(events: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """run_counters of rows whose row_class is known, one row or one for each of `by`."""
     c = F.col("row_class")
     chosen = c == "selected"
-    return events.agg(
+    return events.groupBy(*(by or [])).agg(
         F.count("*").alias("input_rows"), *(F.count_if(c == k).alias(k) for k in ("selected", "unsupported", "unselected", "after_cutoff")),
         F.count_distinct(F.when(chosen, F.col("channel"))).alias("channels"), F.count_distinct(F.when(chosen, F.struct(*BOOK))).alias("symbols"),
         F.count_if(chosen & (F.col("kind") != "S")).alias("applied"), F.count_if(chosen & (F.col("kind") == "S")).alias("status_rows"),
     )
+
+
+def sequence_repairs(rows: DataFrame) -> DataFrame:
+    """Streams of a channel whose rows are not in native order in their file, and so had to be put in order: runs and duplicates. Read three times."""
+    return natural_runs(rows.filter("stream IS NOT NULL"), ["market", "trading_day", "channel", "stream"]).filter("runs > 1")

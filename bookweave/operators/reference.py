@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bookweave.functions.scalars import in_class, limit_class, time_of_day
+from bookweave.functions.scalars import day_epoch_ms, in_class, limit_class, time_of_day
 from bookweave.schema import BOOK
 
 #: From this day funds in Shanghai close through a closing call like stocks.
@@ -90,7 +90,8 @@ def duplicate_times(selected: DataFrame) -> DataFrame:
 def preopen_cutoff(selected: DataFrame) -> DataFrame:
     """One row per market and day: a second after the last selected pre-open frame, or 09:30 where there is none."""
     last = F.max(F.when(F.col("anchor") == "pre_open", F.col("quote_ms")))
-    return selected.groupBy("market", "trading_day").agg((last + 1000).alias("cutoff_ms"))
+    opening = day_epoch_ms(F.col("trading_day")) - 28_800_000 + OPEN_TO
+    return selected.groupBy("market", "trading_day").agg(last.alias("last")).select("market", "trading_day", F.coalesce(F.col("last") + 1000, opening).alias("cutoff_ms"))
 
 
 #: Skip reasons of which the first frame is kept as a sample.

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from bookweave.functions.scalars import day_epoch_ms, weighted_price
 from bookweave.operators.book import best_order, depth
 from bookweave.schema import BOOK, LEVEL
+from bookweave.shared import written
 
 #: Milliseconds since midnight of the exchange's two sessions; a grid starts after each one's start.
 SESSIONS = ((33_300_000, 41_400_000), (46_800_000, 54_000_000))
@@ -147,7 +148,7 @@ def close_cut(events: DataFrame) -> DataFrame:
 
 def close_snapshots(events: DataFrame, changes: DataFrame, n: int = 10, cut: DataFrame | None = None) -> DataFrame:
     """One closing snapshot per book that closes."""
-    cut = close_cut(events) if cut is None else cut
+    cut = written(close_cut(events), "cut") if cut is None else cut
     before = lambda df: df.join(cut.select(*BOOK, "cut_seq"), BOOK).filter("seq <= cut_seq")
     points = cut.select(*BOOK, F.lit(1).cast("bigint").alias("k"), "boundary_ms")
     one = F.lit(1).cast("bigint")

@@ -134,7 +134,9 @@ def symbol_coverage(spark, sf_dir):
 
 
 def preopen_cutoff(spark, sf_dir):
-    return reference.preopen_cutoff(reference.select_phases(_phase_frames(spark, sf_dir, "SZ")))
+    """The last pre-open frame's second of each day; every fourth day is without opening calls, and so without pre-open frames."""
+    frames = _phase_frames(spark, sf_dir, "SZ").filter("NOT (trading_day % 8 = 0 AND status = 'O0')")
+    return reference.preopen_cutoff(reference.select_phases(frames))
 
 
 def position_faults(spark, sf_dir):
@@ -413,7 +415,8 @@ SELECT symbol, trading_day, coalesce(frames, 0) AS frames, coalesce(selected, 0)
         "symbol_coverage": f"""{sz.replace("FROM events)", "FROM events WHERE event_type <> 'view')")}, d AS (SELECT DISTINCT CAST(20260600 + user_id % 60 * 2 AS INTEGER) AS trading_day FROM events), y AS (SELECT trading_day, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS symbol FROM d, nation),
 a AS (SELECT symbol, trading_day, count(*) AS frames, count(anchor) AS selected FROM k GROUP BY ALL)
 SELECT count(*) AS symbols, count(*) FILTER (selected > 0) AS with_selected, count(*) FILTER (frames IS NULL) AS without_records, count(*) FILTER (frames > 0 AND selected = 0) AS without_eligible FROM y LEFT JOIN a USING (symbol, trading_day)""",
-        "preopen_cutoff": f"{sz} SELECT 'SZ' AS market, trading_day, max(quote_ms) FILTER (anchor = 'pre_open') + 1000 AS cutoff_ms FROM k GROUP BY trading_day",
+        "preopen_cutoff": f"""{sz.replace("FROM fr)", "FROM fr WHERE NOT (trading_day % 8 = 0 AND status = 'O0'))", 1)}
+SELECT 'SZ' AS market, trading_day, coalesce(max(quote_ms) FILTER (anchor = 'pre_open') + 1000, epoch_us(try_strptime(CAST(trading_day AS VARCHAR), '%Y%m%d')) // 1000 - 28800000 + 34200000) AS cutoff_ms FROM k GROUP BY trading_day""",
         "position_faults": f"{sz}, y AS (SELECT symbol, trading_day, row_, quote_ms - CASE WHEN row_ % 3 = 0 THEN 90000000 ELSE 0 END AS q FROM fr), z AS (SELECT *, lag(q) OVER (PARTITION BY symbol, trading_day ORDER BY row_) AS pq FROM y) SELECT symbol, trading_day, row_ AS source_row, q AS quote_ms, pq AS previous_ms FROM z WHERE q < pq",
         "duplicate_times": f"{sz}, y AS (SELECT *, count(*) OVER (PARTITION BY symbol, trading_day, quote_ms // {DAY}) AS frames FROM k WHERE anchor = 'continuous') SELECT symbol, trading_day, row_ AS source_row, frames FROM y WHERE frames > 1",
         "day_limits": """WITH s AS (SELECT CAST(o_custkey AS VARCHAR) AS symbol, o_orderkey AS r, o_custkey % 8 = 0 AS missing,

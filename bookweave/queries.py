@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from bookweave.plans import checks, core, days, special
+from bookweave.plans import audits, checks, core, days, special
 
-PLANS = [core, checks, days, special]
+PLANS = [core, checks, days, audits, special]
 
 
 def queries():

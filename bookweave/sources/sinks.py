@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 REPORT_VERSION = 2
 
@@ -46,6 +47,18 @@ def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return df.drop("schema_version")
 
 
+def write_day_reports(reports: DataFrame, root: str) -> None:
+    """A nested JSON document per market and day under market=/trading_day=; one that is there already is replaced."""
+    reports.repartition("market", "trading_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("market", "trading_day").json(root)
+
+
+def read_day_reports(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
+    """Documents of all markets and days under root, of whatever version; like: any reports, whose schema they have."""
+    inner = [f for f in like.schema if f.name not in ("market", "trading_day")]
+    read = spark.read.schema(StructType([*inner, *(like.schema[c] for c in ("market", "trading_day"))])).json(root)
+    return read.select(*like.columns)
+
+
 def write_regressions(rows: DataFrame, path: str) -> None:
     """Audit of sequence regressions, a JSON line each."""
     rows.write.mode("overwrite").json(path)

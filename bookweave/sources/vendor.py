@@ -7,6 +7,7 @@ decimals and become integer units. Spark reads unsigned 64-bit columns as decima
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -246,6 +247,38 @@ def check_footers(spark: SparkSession, files: DataFrame) -> DataFrame:
     return files.select("path", "market", "feed").mapInPandas(run, "path string, key string, expected string, actual string, ok boolean")
 
 
+def feeds_of(market: str, frames: bool = False) -> list[str]:
+    """A market's event feeds, and that of its published frames."""
+    names = ["sh_ticks"] if market == "SH" else ["sz_orders", "sz_executions"]
+    return [FEEDS[n][0] for n in names] + ([SNAPSHOT_FEEDS[market]] if frames else [])
+
+
+def day_files(spark: SparkSession, root: str, market: str, days: list[int] | None, frames: bool = False) -> DataFrame:
+    """(path, market, feed) of every file of a market's days; a named day without one is an error."""
+    found = []
+    for feed in feeds_of(market, frames):
+        for pattern in [feed_path(root, d, feed) for d in days] if days else [feed_path(root, "*", feed)]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+            there = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+            if not there:
+                raise FaultyFile(f"{pattern}: no such file")
+            found += [(re.sub("^file:/+", "/", x.getPath().toString()), market, feed) for x in there]
+    return spark.createDataFrame(found, "path string, market string, feed string")
+
+
+class FaultyFile(ValueError):
+    """A file whose footer or types are not its contract's; none of its rows has been read."""
+
+
+def refuse_faulty_files(spark: SparkSession, root: str, market: str, days: list[int] | None, frames: bool = False, told: int = 20) -> None:
+    """Raises FaultyFile if a footer entry or a stored type of any file of the days is wrong; executors read the footers."""
+    files = day_files(spark, root, market, days, frames).repartition("path")
+    footers = check_footers(spark, files).filter("NOT ok").select("path", F.col("key").alias("what"), "expected", "actual")
+    types = check_types(spark, files).select("path", F.col("column").alias("what"), "expected", "actual")
+    if wrong := footers.unionByName(types).orderBy("path", "what").limit(told).collect():
+        raise FaultyFile("; ".join(f"{r.path}: {r.what} is {r.actual}, not {r.expected}" for r in wrong))
+
+
 #: Fixed value: how a file's schema id is made up.
 SCHEMA_ID = "tonglian.level2.v4_1.{market}.{feed}"
 

@@ -54,7 +54,9 @@ def test_a_validated_day_adds_up(spark):
     kept = reports.retained(v.records, cap)
     left = v.records.filter("outcome <> 'matched' OR tag IS NOT NULL").count() - kept.count()
     assert reports.conservation(v.records, v.audit, kept, left, v.coverage, v.summary).collect() == []
-    assert v.symbols.first().symbols == v.audit.count() == v.symbols.first().with_selected
+    assert v.symbols.count() == 1 and v.symbols.first().symbols == v.audit.count() == v.symbols.first().with_selected
+    r = v.reports.first()
+    assert r.total == v.records.count() and len(r.selection) == v.audit.count() and r.replay.applied > 0 and r.version == 2
 
 
 def test_groups_are_seen_as_a_whole(spark, tmp_path):
@@ -67,7 +69,7 @@ def test_groups_are_seen_as_a_whole(spark, tmp_path):
     days.write_ticks(events, root, "SZ")
     book_ = market_day.rebuild(spark, root, "SZ", policy="require_evidence")
     assert book_.violations.count() == 0 and sorted(r.seq for r in market_day._hidden_points(book_.placed).collect()) == [2, 3]
-    c = market_day.replay_day(spark, root, "SZ", step_ms=3_600_000, policy="require_evidence").counters.first()
+    c = market_day.replay_day(spark, root, "SZ", step_ms=3_600_000, policy="require_evidence", check_files=False).counters.first()
     assert (c.pending_groups, c.inferred_remainders, c.direct_rest_limits, c.scheduled, c.market_close) == (1, 0, 2, 4, 1)
     with pytest.raises(ValueError, match="symbols"):
         market_day.rebuild(spark, root, "SZ", symbols=["999999"])
