@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookweave.operators import book, integrity, ledger, snapshots
+from bookweave.operators import book, history, integrity, ledger, snapshots
 from bookweave.plans.feed import CANONICAL_CTE, order_feed
 from bookweave.schema import BOOK, LEVEL
 from bookweave.shared import written
@@ -122,6 +122,27 @@ def book_invariants(spark, sf_dir):
     return book.invariant_breaks(orders, kept, book.side_totals(changes))
 
 
+def queue_at_events(spark, sf_dir):
+    """Each order just before every event that takes from it: what it has left, its place and the quantity ahead."""
+    led = written(_led(spark, sf_dir), "ledger")
+    asked = led.filter("ref_status = 'active'").select(*BOOK, "order_side", "order_no", (F.col("seq") - 1).alias("at_seq"))
+    return history.queue_at(written(book.deltas(led), "changes"), asked).select("symbol", "order_side", "order_no", "at_seq", "price", "remaining", "position", "quantity_ahead")
+
+
+def _damaged_books(spark, sf_dir):
+    """A ledger in which every 90th order is said to be half as large, and changes of which levels miss those of every 31st trade, and sides those of every 17th cancel."""
+    led = written(_led(spark, sf_dir), "ledger")
+    small = led.withColumn("order_qty", F.when(F.col("order_no") % 90 == 7, F.floor(F.col("order_qty") / 2)).otherwise(F.col("order_qty")))
+    kind = led.select(*BOOK, "seq", "kind").distinct()
+    changes = written(book.deltas(led).join(kind, [*BOOK, "seq"]), "changes")
+    levels = changes.filter("NOT (kind = 'T' AND seq % 31 = 0)")
+    return small, changes, levels, levels.filter("NOT (kind = 'C' AND seq % 17 = 0)")
+
+
+def running_invariants(spark, sf_dir):
+    return history.first_breaks(*_damaged_books(spark, sf_dir)).select("symbol", "order_side", "price", "rule", "first_seq")
+
+
 def reference_faults(spark, sf_dir):
     bad = _damaged(spark, sf_dir)
     return ledger.reference_violations(bad, ledger.ledger(bad)).groupBy("symbol", "code").agg(F.count("*").alias("rows"), F.min("seq").alias("first_seq"))
@@ -236,7 +257,7 @@ def observed_symbols(spark, sf_dir):
 def queries():
     names = [
         feed_profile, order_ledger, order_remaining, active_orders, trade_stats, running_stats, level_totals, side_totals, best_levels, depth10, fifo_queue,
-        apply_sequence, active_counts, book_summary, always_hidden, book_invariants, reference_faults, lenient_faults, first_faults, first_fault_of_run, snapshot_grid,
+        apply_sequence, active_counts, book_summary, always_hidden, book_invariants, queue_at_events, running_invariants, reference_faults, lenient_faults, first_faults, first_fault_of_run, snapshot_grid,
         snapshot_stats, snapshot_depth, close_snapshot, seq_inversions, natural_runs, duplicate_seq, channel_conflict, time_regressions, after_close, late_events,
         universe_counts, run_counters, symbol_semi, observed_symbols,
     ]
@@ -329,6 +350,19 @@ sq AS (SELECT symbol, order_side, bool_or(price % 3700 = 0) AS lost FROM q GROUP
 SELECT 'SZ' AS market, 20240101 AS trading_day, symbol, order_side, price, 'remaining' AS rule FROM q2 WHERE remaining > order_qty
 UNION ALL SELECT 'SZ', 20240101, symbol, order_side, price, 'level' FROM lq FULL JOIN lo USING (symbol, order_side, price) WHERE lq.a IS DISTINCT FROM lo.a OR lq.n IS DISTINCT FROM lo.n
 UNION ALL SELECT 'SZ', 20240101, symbol, order_side, NULL, 'side' FROM sq WHERE lost""",
+        "queue_at_events": f"""{_FEED}{_TOUCH}{_SIGNED}, q AS (SELECT symbol, order_side, order_no, order_price AS price, add_seq, seq - 1 AS at_seq, before AS remaining FROM e WHERE ref_status = 'active'),
+x AS (SELECT q.symbol, q.order_side, q.order_no, q.at_seq, sum(g.dq) AS a, sum(g.dc) AS n FROM q JOIN o p ON p.symbol = q.symbol AND p.order_side = q.order_side AND p.order_price = q.price AND p.add_seq < q.add_seq
+  JOIN g ON g.symbol = p.symbol AND g.order_side = p.order_side AND g.order_no = p.order_no AND g.seq <= q.at_seq GROUP BY ALL)
+SELECT q.symbol, q.order_side, q.order_no, q.at_seq, q.price, q.remaining, CAST(1 + coalesce(n, 0) AS BIGINT) AS position, CAST(coalesce(a, 0) AS BIGINT) AS quantity_ahead FROM q LEFT JOIN x USING (symbol, order_side, order_no, at_seq)""",
+        "running_invariants": f"""{_FEED}{_TOUCH}{_SIGNED}, kg AS (SELECT g.*, f.kind FROM g JOIN f USING (symbol, seq)),
+lg AS (SELECT * FROM kg WHERE NOT (kind = 'T' AND seq % 31 = 0)), sg AS (SELECT * FROM lg WHERE NOT (kind = 'C' AND seq % 17 = 0)),
+ls AS (SELECT symbol, order_side, price, seq, sum(sum(dq)) OVER w AS q, sum(sum(dc)) OVER w AS c FROM lg GROUP BY symbol, order_side, price, seq WINDOW w AS (PARTITION BY symbol, order_side, price ORDER BY seq)),
+ms AS (SELECT symbol, order_side, price, seq, sum(sum(dq)) OVER w AS q, sum(sum(dc)) OVER w AS c FROM kg WHERE kind = 'T' AND seq % 31 = 0 GROUP BY symbol, order_side, price, seq WINDOW w AS (PARTITION BY symbol, order_side, price ORDER BY seq)),
+ss AS (SELECT symbol, order_side, seq, sum(sum(dq)) OVER w AS q, sum(sum(dq * price)) OVER w AS m FROM lg WHERE kind = 'C' AND seq % 17 = 0 GROUP BY symbol, order_side, seq WINDOW w AS (PARTITION BY symbol, order_side ORDER BY seq))
+SELECT symbol, order_side, order_price AS price, 'remaining' AS rule, min(seq) AS first_seq FROM e WHERE ref_status IN ('add', 'active') AND order_no % 90 = 7 AND CASE WHEN kind = 'A' THEN qty WHEN kind = 'C' THEN 0 ELSE greatest(before - qty, 0) END > order_qty // 2 GROUP BY ALL
+UNION ALL SELECT symbol, order_side, price, 'empty', min(seq) FROM ls WHERE q < 0 OR c < 0 OR (q = 0) <> (c = 0) GROUP BY ALL
+UNION ALL SELECT symbol, order_side, price, 'level', min(seq) FROM ms WHERE q <> 0 OR c <> 0 GROUP BY ALL
+UNION ALL SELECT symbol, order_side, NULL, 'side', min(seq) FROM ss WHERE q <> 0 OR m <> 0 GROUP BY ALL""",
         "reference_faults": f"{_FEED0}{_DAMAGED}{_TOUCH}{_FAULTS} SELECT symbol, code, count(*) AS rows, min(seq) AS first_seq FROM v WHERE code IS NOT NULL GROUP BY symbol, code",
         "lenient_faults": f"{_FEED0}{_DAMAGED}{_TOUCH} SELECT symbol, count(*) AS rows FROM e WHERE kind = 'T' AND ref_status IN ('unknown', 'inactive') AND NOT (order_side = 'B' AND seq % 2 = 0) GROUP BY symbol",
         "first_faults": f"{_FEED0}{_DAMAGED}{_TOUCH}{_FAULTS}, w AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY channel, seq, code) AS n FROM v WHERE code IS NOT NULL) SELECT symbol, channel, seq, code FROM w WHERE n = 1",
