@@ -164,12 +164,72 @@ def queries():
     return {f.__name__: f for f in names}
 
 
+#: A book kept event by event: os are its live orders after event i. An order is rest (the event at which it took its place), and its price then.
+_ORDER = "STRUCT(side VARCHAR, no BIGINT, price BIGINT, lft BIGINT, vis BOOLEAN, typ VARCHAR, never BOOLEAN, rest BIGINT)"
+
+
+def _fold_sql(policy: str) -> str:
+    """CTEs: ev (events with their order's type) and st (the books after each of them)."""
+    never = "typ = 'same_side_best' AND mine IS NULL" + (" OR typ = 'market'" if policy != "rest_at_last_trade" else "")
+    best = lambda os, side: f"list_{'max' if side == 'B' else 'min'}(list_transform(list_filter({os}, lambda o: o.vis AND o.side = '{side}'), lambda o: o.price))"
+    pack = lambda side, no, price, lft, vis, typ, nv, rest: f"struct_pack(side := {side}, no := {no}, price := {price}, lft := {lft}, vis := {vis}, typ := {typ}, never := {nv}, rest := {rest})"
+
+    def rested(os: str, side: str) -> str:
+        """Hidden orders of a trade's side that now stand inside the other side's best."""
+        other, inside = ("ba", "<") if side == "B" else ("bb", ">")
+        price = "CASE WHEN o.typ = 'market' THEN price ELSE o.price END"
+        hit = f"o.side = '{side}' AND o.no = {'bid_no' if side == 'B' else 'ask_no'} AND NOT o.vis AND NOT o.never AND o.typ <> 'same_side_best' AND ({other} IS NULL OR {price} {inside} {other})"
+        return f"list_transform({os}, lambda o: CASE WHEN {hit} THEN {pack('o.side', 'o.no', price, 'o.lft', 'true', 'o.typ', 'o.never', 'seq')} ELSE o END)"
+
+    new = pack("side", "no", "CASE typ WHEN 'limit' THEN price WHEN 'hide_if_crossing' THEN price WHEN 'same_side_best' THEN mine END", "qty", "CASE typ WHEN 'limit' THEN true WHEN 'hide_if_crossing' THEN theirs IS NULL OR CASE WHEN side = 'B' THEN price < theirs ELSE price > theirs END WHEN 'same_side_best' THEN mine IS NOT NULL ELSE false END", "typ", never, "seq")
+    left = f"list_filter(list_transform(os, lambda o: CASE WHEN o.no = CASE WHEN o.side = 'B' THEN bid_no ELSE ask_no END THEN {pack('o.side', 'o.no', 'o.price', 'o.lft - qty', 'o.vis', 'o.typ', 'o.never', 'o.rest')} ELSE o END), lambda o: o.lft > 0)"
+    gone = "list_filter(os, lambda o: coalesce(o.no <> CASE WHEN o.side = 'B' THEN bid_no ELSE ask_no END, true))"
+    return f"""WITH RECURSIVE {CANONICAL_CTE},
+ev AS (SELECT symbol, seq, kind, side, bid_no, ask_no, coalesce(bid_no, ask_no) AS no, price, qty, quote_ms,
+  CASE WHEN kind = 'A' THEN CASE WHEN coalesce(bid_no, ask_no) % 9 = 0 THEN 'market' WHEN coalesce(bid_no, ask_no) % 10 = 1 THEN 'same_side_best' WHEN coalesce(bid_no, ask_no) % 11 = 2 THEN 'hide_if_crossing' ELSE 'limit' END END AS typ FROM f),
+st AS (
+  SELECT DISTINCT symbol, CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS theirs, CAST([] AS {_ORDER}[]) AS os FROM ev
+  UNION ALL
+  SELECT symbol, seq, theirs, CASE kind WHEN 'A' THEN list_append(os, CAST({new} AS {_ORDER})) WHEN 'C' THEN {gone} ELSE t2 END
+  FROM (
+    SELECT *, {rested('t1', 'S')} AS t2 FROM (
+      SELECT *, {best('t1', 'B')} AS bb FROM (
+        SELECT *, {rested('t0', 'B')} AS t1 FROM (
+          SELECT *, {best('t0', 'S')} AS ba FROM (
+            SELECT ev.*, os, CASE WHEN kind = 'T' THEN {left} END AS t0, CASE WHEN side = 'B' THEN b0 ELSE a0 END AS mine, CASE WHEN side = 'B' THEN a0 ELSE b0 END AS theirs
+            FROM (SELECT *, {best('os', 'B')} AS b0, {best('os', 'S')} AS a0 FROM st) s JOIN ev ON ev.symbol = s.symbol AND ev.seq = s.i + 1))))))"""
+
+
+#: Orders that take no place of their own when they come: what the events that follow at once, and nothing else, tell of each (gr).
+_GROUPS = """,
+mo AS (SELECT ev.*, theirs FROM ev JOIN st ON st.symbol = ev.symbol AND st.i = ev.seq JOIN (SELECT symbol, i, unnest(os) AS o FROM st) x ON x.symbol = ev.symbol AND x.i = ev.seq AND x.o.side = ev.side AND x.o.no = ev.no WHERE kind = 'A' AND x.o.never),
+tc AS (
+  SELECT mo.symbol, mo.side, mo.no, mo.seq AS came, mo.qty AS size, e.seq, e.kind, e.qty, row_number() OVER w AS rn, e.seq - mo.seq = row_number() OVER w AS next_, e.quote_ms = mo.quote_ms AS same_, mo.typ = 'market' AND mo.theirs IS NOT NULL AS legal,
+    CASE WHEN mo.side = 'B' THEN e.ask_no ELSE e.bid_no END AS other, mo.qty - coalesce(sum(CASE WHEN e.kind = 'T' THEN e.qty END) OVER (PARTITION BY mo.symbol, mo.side, mo.no ORDER BY e.seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lb
+  FROM mo JOIN ev e ON e.symbol = mo.symbol AND e.kind IN ('T', 'C') AND e.seq > mo.seq AND CASE WHEN mo.side = 'B' THEN e.bid_no ELSE e.ask_no END = mo.no
+  WINDOW w AS (PARTITION BY mo.symbol, mo.side, mo.no ORDER BY e.seq)),
+fb AS (SELECT symbol, side, no, coalesce(min(rn) FILTER (NOT (next_ AND same_ AND kind = 'T' AND legal AND lb > 0)), count(*) + 1) AS b FROM tc GROUP BY ALL),
+gl AS (SELECT mo.symbol, mo.side, mo.no, mo.seq AS came, coalesce(b, 1) AS b, greatest(mo.qty - coalesce((SELECT sum(qty) FROM tc WHERE tc.symbol = mo.symbol AND tc.side = mo.side AND tc.no = mo.no AND rn < b), 0), 0) AS lft FROM mo LEFT JOIN fb USING (symbol, side, no)),
+gr AS (
+  SELECT gl.symbol, CASE WHEN gl.lft = 0 OR (next_ AND same_ AND kind = 'C' AND other IS NULL AND qty = gl.lft) THEN 'group' ELSE 'violation' END AS what, gl.side AS order_side, gl.no AS order_no,
+    gl.came + gl.b - 1 + CASE WHEN gl.lft > 0 AND next_ AND same_ AND kind = 'C' AND other IS NULL AND qty = gl.lft THEN 1 ELSE 0 END AS rest_seq,
+    CASE WHEN gl.lft > 0 AND next_ AND same_ AND kind = 'C' AND other IS NULL AND qty = gl.lft THEN 0 ELSE gl.lft END AS remaining,
+    CASE WHEN gl.lft = 0 THEN 'completed' WHEN NOT coalesce(next_, false) THEN 'no_completion_evidence' WHEN NOT same_ THEN 'quote_time_boundary' WHEN kind = 'T' THEN 'illegal_trade' WHEN other IS NULL AND qty = gl.lft THEN 'cancelled' ELSE 'inexact_cancel' END AS code
+  FROM gl LEFT JOIN tc ON tc.symbol = gl.symbol AND tc.side = gl.side AND tc.no = gl.no AND tc.rn = gl.b),
+pl AS (SELECT symbol, 'placement' AS what, o.side AS order_side, o.no AS order_no, o.rest AS rest_seq, o.price, o.lft AS remaining, CAST(NULL AS VARCHAR) AS code FROM (SELECT symbol, i, unnest(os) AS o FROM st) WHERE o.vis AND o.typ <> 'limit' AND o.rest = i),
+told AS (SELECT * FROM pl UNION ALL SELECT symbol, what, order_side, order_no, rest_seq, NULL, CAST(remaining AS BIGINT), code FROM gr)"""
+
+
 def oracle_sql():
     feed = f"WITH {CANONICAL_CTE}"
     levels = core.oracle_sql()["level_totals"]
     numbered = f"{feed}, n AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY quote_ms, symbol, seq) AS no FROM f)"
     lossy = f"{numbered}, lost AS (SELECT DISTINCT channel, no + i AS no FROM n, (SELECT unnest(range(4)) AS i) WHERE kind = 'C' AND no % 7 = 0), k AS (SELECT * FROM n ANTI JOIN lost USING (channel, no))"
     return {
+        "placements": f"{_fold_sql('rest_at_last_trade')}{_GROUPS} SELECT * FROM told",
+        "evidence_groups": f"{_fold_sql('require_evidence')}{_GROUPS} SELECT symbol, what, code, count(*) AS rows FROM told GROUP BY ALL",
+        "placed_levels": f"""{_fold_sql('rest_at_last_trade')}, z AS (SELECT symbol, unnest(arg_max(os, i)) AS o FROM st GROUP BY symbol)
+SELECT 'SZ' AS market, 20240101 AS trading_day, symbol, o.side AS order_side, o.price AS price, CAST(sum(o.lft) AS BIGINT) AS quantity, count(*) AS order_count FROM z WHERE o.vis GROUP BY ALL""",
         "never_crossing": levels.replace("symbol, order_side, price, CAST(sum", "symbol, order_side, price - CASE WHEN order_side = 'B' THEN 50000 ELSE 0 END AS price, CAST(sum").replace("GROUP BY symbol, order_side, price", "GROUP BY symbol, order_side, ac.price"),
         "stream_levels": levels,
         "stream_snapshots": f"""{feed}, s AS (SELECT symbol, min(quote_ms) // 86400000 + 1 AS a FROM f GROUP BY symbol), b AS (SELECT symbol, unnest(range(a, {UNTIL_MS // core.DAY + 1})) * 86400000 AS boundary_ms FROM s)
