@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookweave.functions.scalars import clock_ms, day_epoch_ms, in_class
-from bookweave.operators import faults, integrity, ledger, placement, reference, reports, snapshots, validation
+from bookweave.operators import faults, integrity, ledger, placement, reference, reports, rounds, snapshots, validation
 from bookweave.operators.book import deltas
 from bookweave.schema import BOOK
 from bookweave.shared import written
@@ -20,6 +20,8 @@ from bookweave.sources import vendor
 
 MARKETS = ("SH", "SZ")
 DAY = ["market", "trading_day"]
+#: Events beyond which a book is not folded by one task.
+LARGE_BOOK = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -77,6 +79,15 @@ def _wanted(rows: DataFrame, universe: str, symbols: list[str] | None) -> Column
     return F.col("symbol").isin(integrity.checked_symbols(symbols)) if symbols is not None else integrity.in_universe(universe)
 
 
+def _placements(events: DataFrame, led: DataFrame, policy: str) -> DataFrame:
+    """Where orders rest: large books in rounds, by all tasks together, the others by folding, a book a task. Both give the same rows."""
+    large = written(events.groupBy(*BOOK).agg(F.count("*").alias("n")).filter(F.col("n") > LARGE_BOOK).select(*BOOK), "large")
+    if large.isEmpty():
+        return placement.placements(events, policy)
+    inside, outside = (written(events.join(large, BOOK, how), "books") for how in ("left_semi", "left_anti"))
+    return placement.placements(outside, policy).unionByName(rounds.placements_in_rounds(inside, policy, led))
+
+
 def rebuild(spark: SparkSession, root: str, market: str, days: list[int] | None = None, universe: str = "both", symbols: list[str] | None = None, policy: str = "rest_at_last_trade", cutoff: DataFrame | None = None) -> Day:
     """Scan, select, order and rebuild the books of a market's days.
 
@@ -104,7 +115,7 @@ def rebuild(spark: SparkSession, root: str, market: str, days: list[int] | None
     ]
     placed = None
     if market == "SZ":
-        placed = written(placement.placements(events, policy), "placements")
+        placed = written(_placements(events, led, policy), "placements")
         wrong.append(placed.filter("what = 'violation'").select(*BOOK, F.lit(None).cast("int").alias("channel"), F.col("rest_seq").alias("seq"), "code"))
         changes = placement.placed_deltas(events, led, placed)
     else:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bookweave.operators import book, ledger, placement
+from bookweave.operators import book, ledger, placement, rounds
 from bookweave.plans import core
 from bookweave.plans.core import ORIGIN_MS
 from bookweave.plans.feed import CANONICAL_CTE, order_feed
@@ -27,6 +27,17 @@ def placements(spark, sf_dir):
     return placement.placements(_mixed(spark, sf_dir)).select("symbol", "what", "order_side", "order_no", "rest_seq", "price", "remaining", "code")
 
 
+def placements_in_rounds(spark, sf_dir):
+    """The same rows without the fold."""
+    return rounds.placements_in_rounds(written(_mixed(spark, sf_dir), "mixed")).select("symbol", "what", "order_side", "order_no", "rest_seq", "price", "remaining", "code")
+
+
+def response_groups(spark, sf_dir):
+    """Islands of answers, without the fold: what each order that waits for them came to."""
+    found = rounds.placements_in_rounds(written(_mixed(spark, sf_dir), "mixed"), "require_evidence").filter("what <> 'placement'")
+    return found.select("symbol", "what", "order_side", "order_no", "rest_seq", "remaining", "code")
+
+
 def evidence_groups(spark, sf_dir):
     return placement.placements(_mixed(spark, sf_dir), "require_evidence").groupBy("symbol", "what", "code").agg(F.count("*").alias("rows"))
 
@@ -160,7 +171,7 @@ def stream_lossy_snapshots(spark, sf_dir):
 
 
 def queries():
-    names = [placements, evidence_groups, placed_levels, never_crossing, stream_levels, stream_snapshots, stream_trade_windows, stream_late, stream_gaps, stream_lossy_snapshots]
+    names = [placements, placements_in_rounds, response_groups, evidence_groups, placed_levels, never_crossing, stream_levels, stream_snapshots, stream_trade_windows, stream_late, stream_gaps, stream_lossy_snapshots]
     return {f.__name__: f for f in names}
 
 
@@ -227,6 +238,8 @@ def oracle_sql():
     lossy = f"{numbered}, lost AS (SELECT DISTINCT channel, no + i AS no FROM n, (SELECT unnest(range(4)) AS i) WHERE kind = 'C' AND no % 7 = 0), k AS (SELECT * FROM n ANTI JOIN lost USING (channel, no))"
     return {
         "placements": f"{_fold_sql('rest_at_last_trade')}{_GROUPS} SELECT * FROM told",
+        "placements_in_rounds": f"{_fold_sql('rest_at_last_trade')}{_GROUPS} SELECT * FROM told",
+        "response_groups": f"{_fold_sql('require_evidence')}{_GROUPS} SELECT symbol, what, order_side, order_no, rest_seq, CAST(remaining AS BIGINT) AS remaining, code FROM gr",
         "evidence_groups": f"{_fold_sql('require_evidence')}{_GROUPS} SELECT symbol, what, code, count(*) AS rows FROM told GROUP BY ALL",
         "placed_levels": f"""{_fold_sql('rest_at_last_trade')}, z AS (SELECT symbol, unnest(arg_max(os, i)) AS o FROM st GROUP BY symbol)
 SELECT 'SZ' AS market, 20240101 AS trading_day, symbol, o.side AS order_side, o.price AS price, CAST(sum(o.lft) AS BIGINT) AS quantity, count(*) AS order_count FROM z WHERE o.vis GROUP BY ALL""",
