@@ -9,6 +9,7 @@ surrogates are checked against each other and against the corpus, and those that
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bookweave.llm.common import stored, table, text_of
@@ -129,8 +130,9 @@ def _surrogate(key: str, kind: Column, value: Column, turn: int) -> Column:
     label = F.regexp_extract(value, r"\.[a-z]+$", 0)
     # addresses grow too, after a while: there are few short ones
     longer = F.concat(*(F.lower(pick(F.array(*map(F.lit, SYLLABLES["latin"])), i)) for i in range(0, more, 2))) if more else F.lit("")
+    longer_host = longer if turn > LEAVES else F.lit("")
     email = F.concat(longer, _shaped(F.substring_index(value, "@", 1), d))
-    host = F.concat(longer, _shaped(F.substr(value, F.lit(1), F.length(value) - F.length(label)), d), label)
+    host = F.concat(longer_host, _shaped(F.substr(value, F.lit(1), F.length(value) - F.length(label)), d), label)
     drawn = _shaped(value, d)
     body = F.substr(drawn, F.lit(1), F.length(drawn) - 1)
     check = F.pmod(10 - _luhn(F.concat(body, F.lit("0")), 1) % 10, F.lit(10))
@@ -155,16 +157,32 @@ def _poured(piece: Column, surrogate: Column) -> Column:
     return F.concat(put, F.substr(surrogate, F.length(F.regexp_replace(piece, "[^0-9A-Za-z]", "")) + 1))
 
 
+def _exchanged(waiting: DataFrame, key: str) -> DataFrame:
+    """Hosts whose shape has no free value: each gets the next one's name, in a drawn order of those of its shape. One that is alone is left out."""
+    label = F.regexp_extract("value", r"\.[a-z]+$", 0)
+    shape = F.concat(F.regexp_replace(F.regexp_replace(F.substr("value", F.lit(1), F.length("value") - F.length(label)), "[a-z]", "a"), "[0-9]", "0"), label)
+    hosts = waiting.filter("kind = 'host'").withColumns({"shape": shape, "drawn": _digest(key, F.col("kind"), F.col("value"), LEAVES)})
+    by = W.partitionBy("shape").orderBy("drawn", "value")
+    first = F.first("value").over(by.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    return hosts.withColumn("surrogate", F.coalesce(F.lead("value").over(by), first)).filter("surrogate <> value").select("kind", "value", "surrogate")
+
+
 def surrogate_map(entities: DataFrame, key: str, turns: int = 40) -> DataFrame:
-    """kind, value, surrogate for distinct entities. Raises if collisions remain after `turns` draws."""
+    """kind, value, surrogate for distinct entities. Raises if collisions remain after `turns` draws.
+
+    A surrogate is no real value of its kind, and a local part's none of a real address, but for hosts of a shape that has no
+    free one: they are exchanged among themselves.
+    """
     waiting = stored(entities.select("kind", "value").distinct(), "entities")
-    real, done = waiting, None
+    real, done = waiting.select("kind", F.when(F.col("kind") == "email", F.substring_index("value", "@", 1)).otherwise(F.col("value")).alias("surrogate")), None
     for turn in range(turns):
+        if turn == LEAVES:
+            good = stored(_exchanged(waiting, key), "surrogates")
+            done = good if done is None else done.unionByName(good)
+            waiting = stored(waiting.join(good, ["kind", "value"], "left_anti"), "entities")
         drawn = waiting.withColumn("surrogate", _surrogate(key, F.col("kind"), F.col("value"), turn))
         lowest = drawn.groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
-        taken = real.select("kind", F.col("value").alias("surrogate"))
-        if done is not None:
-            taken = taken.unionByName(done.select("kind", "surrogate"))
+        taken = real if done is None else real.unionByName(done.select("kind", "surrogate"))
         good = stored(lowest.join(taken, ["kind", "surrogate"], "left_anti").select("kind", "value", "surrogate"), "surrogates")
         done = good if done is None else done.unionByName(good)
         waiting = stored(waiting.join(good, ["kind", "value"], "left_anti"), "entities")
@@ -179,7 +197,7 @@ def replace_pii(docs: DataFrame, key: str = "surrogate-key") -> DataFrame:
     Account numbers keep their country and have check digits, cards theirs; social security numbers are of areas that are
     issued; private network addresses stay private; a host has one surrogate wherever it occurs, and so has an address.
     Numbers whose shape has no free value left leave it: a telephone number by a digit more, a network address into a
-    wider class. Null and empty texts, and texts without entities, come back as they were. Repeated rows are treated
+    wider class. Hosts of such a shape are exchanged among themselves; local parts are no real address's there either. Null and empty texts, and texts without entities, come back as they were. Repeated rows are treated
     alike; ties between entities that draw the same surrogate go to the smaller value, the other draws again. Whole texts
     are searched, however long. An empty table gives an empty result; columns but doc_id and text are left behind.
     """
