@@ -24,4 +24,4 @@ def queries():
 
 
 def oracle_sql():
-    return {**warc.ORACLE, **jaccard.ORACLE, **line_dedup.ORACLE, **decontaminate.ORACLE, **collocations.ORACLE, **exact.ORACLE, **lexical.ORACLE}
+    return {**warc.ORACLE, **jaccard.ORACLE, **line_dedup.ORACLE, **decontaminate.ORACLE, **secrets.ORACLE, **collocations.ORACLE, **exact.ORACLE, **lexical.ORACLE}

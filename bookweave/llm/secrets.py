@@ -110,3 +110,40 @@ def secret_report(docs: DataFrame, scope: int = 512) -> DataFrame:
 
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
+
+
+def _either(words: str) -> str:
+    """The pattern with A-Z in either case; DuckDB's own folding takes other letters too."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+def _kind_sql(kind: str, pattern: str, text: str = "text", ok: str = "true", core: int = 0) -> str:
+    """Matches of a kind: gap and length in order, whether it counts, and the length of its core (a group, or all)."""
+    return f"""SELECT rid, '{kind}' AS kind, {RANK[kind]} AS rank, generate_subscripts(a, 1) AS i, length(unnest(g[1 : len(a)])) AS gap, length(unnest(a)) AS len, length(unnest(c)) AS core, unnest(list_transform(p, lambda x: {ok})) AS ok
+  FROM (SELECT rid, regexp_split_to_array({text}, '{pattern}') AS g, regexp_extract_all({text}, '{pattern}', 0) AS a, regexp_extract_all({text}, '{pattern}', {core}) AS c, regexp_extract_all({text}, '{pattern}', {1 if kind == 'assign' else 0}) AS p FROM d)"""
+
+
+_QUOTE = """["'']?"""
+_GIVEN = rf"{_QUOTE}\x20*[:=]\x20*{_QUOTE}"
+_NEAR = "EXISTS (FROM s y WHERE y.rid = x.rid AND y.kind IN ({}) AND abs(y.start - x.start) <= 512)"
+_NAMES, _KEYS = _NEAR.format("'access', 'ident'"), _NEAR.format("'bare', 'assign'")
+_SPAN = "concat_ws(':', kind, start, stop)"
+
+#: Without look-behind: bare keys are whole runs of their letters and marks, and identifiers take the character before them along.
+ORACLE = {
+    "op10_secret_scans": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({_kind_sql('assign', f"(?:{_either('password|passwd|secret|token|api_?key')}){_GIVEN}([A-Za-z0-9+/_.=-]+)", ok='length(x) >= 8')}
+  UNION ALL {_kind_sql('access', ACCESS)}
+  UNION ALL {_kind_sql('hex', HEX)}
+  UNION ALL {_kind_sql('bare', '[A-Za-z0-9+/=_-]+', ok="regexp_full_match(x, '[A-Za-z0-9+/]{40}')")}
+  UNION ALL {_kind_sql('ident', f"[^A-Za-z0-9]((?:{_either('account|client|user|app')})_?{_either('id')}{_GIVEN}[A-Za-z0-9-]{{4,64}})", text="' ' || text", core=1)}
+  UNION ALL {_kind_sql('endpoint', ENDPOINT)}),
+z AS (SELECT *, CAST(sum(gap + len) OVER (PARTITION BY rid, kind ORDER BY i) AS BIGINT) - CASE WHEN kind = 'ident' THEN 1 ELSE 0 END AS stop FROM m),
+s AS (SELECT rid, kind, rank, stop - core AS start, stop FROM z WHERE ok),
+k AS (SELECT * FROM s x WHERE kind IN ('assign', 'access', 'hex') OR kind = 'bare' AND {_NAMES} OR kind = 'ident' AND {_KEYS} OR kind = 'endpoint' AND {_NAMES} AND {_KEYS}),
+r AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  string_agg({_SPAN}, ',' ORDER BY start, rank) FILTER (kind IN ('assign', 'access', 'hex')) AS base, string_agg({_SPAN}, ',' ORDER BY start, rank) AS spans FROM k GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN r USING (rid)
+"""
+}

@@ -218,8 +218,13 @@ def test_ids_are_the_tokenizers(spark):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     encode = packing._coder(None)
     texts = [r.text for r in table(spark, SMALL, "documents").select("text").collect()]
-    for s in [*texts, "a <|endoftext|> b's don't  \n\n x", "", "日本 é \U0001f600\r\n", "'ll've  \t 12 3"]:
-        assert t.encode(s, add_special_tokens=False).ids == encode(s)
+    # control characters, lone marks, spaces of all kinds, and letters and digits of every block, alone and in runs
+    every = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    odd = ["".join(every[i : i + 64]) for i in range(0, len(every), 64)] + [f"a{c}b 1{c}{c} {c}" for c in every if not c.isalnum() or not c.isalpha()]
+    rng = random.Random(9)
+    odd += ["".join(rng.choice(every) for _ in range(40)) for _ in range(2000)]
+    for s in [*texts, "a <|endoftext|> b's don't  \n\n x", "", "日本 é \U0001f600\r\n", "'ll've  \t 12 3", *odd]:
+        assert t.encode(s, add_special_tokens=False).ids == encode(s), s
 
 
 def test_held_out_accuracy(spark):
