@@ -8,6 +8,7 @@ are compared token by token, so that passages with some words replaced are still
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bookweave.llm.common import stored, table, text_of
@@ -20,6 +21,8 @@ MASKS = ["1010000111", "110111", "1111001"]
 LEAST, SHORTEST = 14, 4
 #: An equal token counts one, another takes away three: a stretch of three equal ones in four comes to nought.
 _OFF = 3
+#: What a line is: a text, an item (wh: its words' hash) and how far the one is shifted against the other.
+_LINE = ["doc_id", "th", "item_id", "wh", "shift"]
 
 
 def _tokens(text: Column) -> Column:
@@ -42,21 +45,24 @@ def _each_seed(words: DataFrame, keys: list[str], masks: list[str]) -> DataFrame
     return each.filter("seed IS NOT NULL").select(*keys, F.floor(F.col("p") / F.col("m")).cast("int").alias("mask"), (F.col("p") % F.col("m")).alias("at"), "seed")
 
 
-def _stretch(n: Column) -> Column:
-    """struct(compared, excess, back) of the longest stretch of `steps` (1 or -3 a token) of `least` tokens or more that is not below nought; null if there is none."""
-    sums = F.aggregate("steps", F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
-    row = lambda length, excess, back: F.struct(length.alias("compared"), excess.alias("excess"), back.alias("back"))
+def _stretches(lines: DataFrame) -> DataFrame:
+    """keys of a line, compared, excess, back: each place of a line (item_id, text and shift) at which a stretch of `least` tokens or more ends that is not below nought, with the longest one there.
 
-    def longest(s: Column) -> Column:
-        def ends(i: Column) -> Column:
-            far = F.filter(F.sequence(i + F.col("least"), n), lambda j: F.get(s, j) >= F.get(s, i))
-            return row(F.array_max(far) - i, F.get(s, F.array_max(far)) - F.get(s, i), -i)
-
-        return F.array_max(F.filter(F.transform(F.sequence(F.lit(0), n - F.col("least")), ends), lambda x: x["compared"].isNotNull()))
-
-    # mostly the whole of what lies side by side will do
+    steps: 1 or -3 a token. With the sums of steps up to each place, the longest stretch that ends at one begins at the
+    first place whose sum is not higher: a running minimum over the places in the order of their sums.
+    """
     whole = F.aggregate("steps", F.lit(0), lambda a, x: a + x)
-    return F.when(whole >= 0, row(n, whole, F.lit(0))).otherwise(F.get(F.transform(F.array(sums), longest), 0))
+    equal = F.size(F.filter("steps", lambda x: x == 1))
+    place = lambda p, x: F.struct(p.cast("int").alias("p"), x.alias("x"))
+    start = place(F.lit(0), F.lit(0))
+    # mostly the whole of what lies side by side will do, or too few tokens are equal anywhere
+    places = F.when(F.col("whole") >= 0, F.array(start, place(F.col("length"), F.col("whole")))).otherwise(F.concat(F.array(start), F.transform("steps", lambda x, i: place(i + 1, x))))
+    some = lines.withColumns({"whole": whole, "equal": equal}).filter("whole >= 0 OR 4 * equal >= 3 * least")
+    each = some.select(*_LINE, "first", "least", F.inline(places))
+    line = W.partitionBy(*_LINE)
+    each = each.withColumn("c", F.sum("x").over(line.orderBy("p").rowsBetween(W.unboundedPreceding, 0)))
+    each = each.withColumn("low", F.min(F.struct("p", "c")).over(line.orderBy("c").rangeBetween(W.unboundedPreceding, 0)))
+    return each.filter("p - low.p >= least").select(*_LINE, "first", (F.col("p") - F.col("low.p")).alias("compared"), (F.col("c") - F.col("low.c")).alias("excess"), (-F.col("low.p")).alias("back"))
 
 
 def _found(docs: DataFrame, benchmark: DataFrame, shortest: int) -> DataFrame:
@@ -80,8 +86,8 @@ def _found(docs: DataFrame, benchmark: DataFrame, shortest: int) -> DataFrame:
     both = both.withColumns({"first": first, "length": F.least(F.col("n"), F.size("t") - F.col("shift")) - first, "least": F.least(F.col("n"), F.lit(LEAST))}).filter("length >= least")
     step = lambda x, y: F.when(x == y, 1).otherwise(F.when(F.col("n") < LEAST, -1_000_000).otherwise(-_OFF))
     steps = F.zip_with(F.slice("w", F.col("first") + 1, F.col("length")), F.slice("t", F.col("first") + F.col("shift") + 1, F.col("length")), step)
-    best = both.select("doc_id", "th", "item_id", "first", "shift", "least", "length", steps.alias("steps")).withColumn("x", _stretch(F.col("length"))).filter("x IS NOT NULL")
-    told = best.select("doc_id", "th", "item_id", F.struct("x.compared", ((F.col("x.excess") + F.lit(_OFF) * F.col("x.compared")) / (_OFF + 1)).cast("int").alias("matched"), (F.col("x.back") - F.col("first") - F.col("shift")).alias("back")).alias("x"))
+    best = _stretches(both.select("doc_id", "th", "item_id", F.xxhash64("w").alias("wh"), "shift", "first", "least", "length", steps.alias("steps")))
+    told = best.select("doc_id", "th", "item_id", F.struct(F.col("compared").cast("int").alias("compared"), ((F.col("excess") + F.lit(_OFF) * F.col("compared")) / (_OFF + 1)).cast("int").alias("matched"), (F.col("back") - F.col("first") - F.col("shift")).alias("back")).alias("x"))
     return told.groupBy("doc_id", "th", "item_id").agg(F.max("x").alias("x")).select("doc_id", "th", "item_id", "x.matched", "x.compared", (-F.col("x.back")).cast("int").alias("first_token"))
 
 
