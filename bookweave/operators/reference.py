@@ -71,14 +71,14 @@ def select_phases(frames: DataFrame, order: str = "source_row", pre_open_only: b
     return f.select(*frames.columns, "previous_status", "anchor", "skip_reason")
 
 
-def position_faults(frames: DataFrame, order: str = "source_row") -> DataFrame:
-    """Frames that break their book's order, selected or not: a time before an earlier row's, or a row number that occurs twice.
+def position_faults(frames: DataFrame, order: tuple[str, ...] = ("file_name", "file_row")) -> DataFrame:
+    """Frames that break their book's order, selected or not: a time or a row number that falls, or a row number that does not rise, from one frame to the next in the files.
 
-    Files keep no order of their own in Spark, so the order is that of the row numbers.
+    order: where a frame stands, by default in its file as it was read. A frame without a time or a number breaks none.
     """
-    w = W.partitionBy(*BOOK).orderBy(order, "quote_ms")
-    f = frames.withColumns({"previous_ms": F.lag("quote_ms").over(w), "previous_row": F.lag(order).over(w)})
-    return f.filter(f"quote_ms < previous_ms OR {order} = previous_row").select(*BOOK, order, "quote_ms", "previous_ms")
+    w = W.partitionBy(*BOOK).orderBy(*order)
+    f = frames.withColumns({"previous_ms": F.lag("quote_ms").over(w), "previous_row": F.lag("source_row").over(w)})
+    return f.filter("quote_ms < previous_ms OR source_row <= previous_row").select(*BOOK, "source_row", "quote_ms", "previous_ms", "previous_row")
 
 
 def duplicate_times(selected: DataFrame) -> DataFrame:

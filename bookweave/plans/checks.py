@@ -127,10 +127,10 @@ def selection_audit(spark, sf_dir):
 
 
 def symbol_coverage(spark, sf_dir):
-    """How many of 25 symbols have selected frames, frames that are not eligible, or none, over all days; frames of the second half only."""
+    """How many of 25 symbols have selected frames, frames that are not eligible, or none, over all days."""
     frames = _phase_frames(spark, sf_dir, "SZ")
     days = frames.select("market", "trading_day").distinct().crossJoin(spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.lpad(F.col("n_nationkey").cast("string"), 6, "0").alias("symbol")))
-    return reports.symbol_totals(reference.selection_audit(reference.select_phases(frames.filter("status <> 'T0'")), days))
+    return reports.symbol_totals(reference.selection_audit(reference.select_phases(frames), days))
 
 
 def preopen_cutoff(spark, sf_dir):
@@ -140,8 +140,12 @@ def preopen_cutoff(spark, sf_dir):
 
 
 def position_faults(spark, sf_dir):
-    f = _phase_frames(spark, sf_dir, "SZ").withColumn("quote_ms", F.col("quote_ms") - F.when(F.col("source_row") % 3 == 0, 90_000_000).otherwise(0))
-    return reference.position_faults(f).select("symbol", "trading_day", "source_row", "quote_ms", "previous_ms")
+    """Frames in the order of their file: every third has an earlier time, every seventh a lower number, every eleventh the number before its own."""
+    row = F.col("file_row")
+    f = _phase_frames(spark, sf_dir, "SZ").withColumn("file_row", F.col("source_row"))
+    last = F.lag("file_row").over(W.partitionBy("symbol", "trading_day").orderBy("file_row"))
+    f = f.withColumns({"quote_ms": F.col("quote_ms") - F.when(row % 3 == 0, 90_000_000).otherwise(0), "source_row": F.when(row % 7 == 0, row - 100_000).when(row % 11 == 0, F.coalesce(last, row)).otherwise(row)})
+    return reference.position_faults(f, ("file_row",)).select("symbol", "trading_day", "source_row", "quote_ms", "previous_ms", "previous_row")
 
 
 def duplicate_times(spark, sf_dir):
@@ -412,12 +416,15 @@ SELECT market, symbol, anchor, quote_ms, class, quote_ms - CASE WHEN anchor = 'p
 y AS (SELECT DISTINCT trading_day, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS symbol FROM k, nation)
 SELECT symbol, trading_day, coalesce(frames, 0) AS frames, coalesce(selected, 0) AS selected, coalesce(pre_open, 0) AS pre_open, coalesce(continuous, 0) AS continuous, coalesce(market_close, 0) AS market_close, coalesce(t0, 0) AS t0, coalesce(unexpected, 0) AS unexpected, unexpected_first_ms, unexpected_after,
   CASE WHEN coalesce(selected, 0) > 0 THEN 'selected' WHEN frames > 0 THEN 'no_eligible_references' ELSE 'no_reference_records' END AS coverage FROM y LEFT JOIN a USING (symbol, trading_day)""",
-        "symbol_coverage": f"""{sz.replace("FROM events)", "FROM events WHERE event_type <> 'view')")}, d AS (SELECT DISTINCT CAST(20260600 + user_id % 60 * 2 AS INTEGER) AS trading_day FROM events), y AS (SELECT trading_day, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS symbol FROM d, nation),
+        "symbol_coverage": f"""{sz}, d AS (SELECT DISTINCT CAST(20260600 + user_id % 60 * 2 AS INTEGER) AS trading_day FROM events), y AS (SELECT trading_day, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS symbol FROM d, nation),
 a AS (SELECT symbol, trading_day, count(*) AS frames, count(anchor) AS selected FROM k GROUP BY ALL)
 SELECT count(*) AS symbols, count(*) FILTER (selected > 0) AS with_selected, count(*) FILTER (frames IS NULL) AS without_records, count(*) FILTER (frames > 0 AND selected = 0) AS without_eligible FROM y LEFT JOIN a USING (symbol, trading_day)""",
         "preopen_cutoff": f"""{sz.replace("FROM fr)", "FROM fr WHERE NOT (trading_day % 8 = 0 AND status = 'O0'))", 1)}
 SELECT 'SZ' AS market, trading_day, coalesce(max(quote_ms) FILTER (anchor = 'pre_open') + 1000, epoch_us(try_strptime(CAST(trading_day AS VARCHAR), '%Y%m%d')) // 1000 - 28800000 + 34200000) AS cutoff_ms FROM k GROUP BY trading_day""",
-        "position_faults": f"{sz}, y AS (SELECT symbol, trading_day, row_, quote_ms - CASE WHEN row_ % 3 = 0 THEN 90000000 ELSE 0 END AS q FROM fr), z AS (SELECT *, lag(q) OVER (PARTITION BY symbol, trading_day ORDER BY row_) AS pq FROM y) SELECT symbol, trading_day, row_ AS source_row, q AS quote_ms, pq AS previous_ms FROM z WHERE q < pq",
+        "position_faults": f"""{sz}, y AS (SELECT symbol, trading_day, row_, quote_ms - CASE WHEN row_ % 3 = 0 THEN 90000000 ELSE 0 END AS q,
+    CASE WHEN row_ % 7 = 0 THEN row_ - 100000 WHEN row_ % 11 = 0 THEN coalesce(lag(row_) OVER (PARTITION BY symbol, trading_day ORDER BY row_), row_) ELSE row_ END AS r FROM fr),
+z AS (SELECT *, lag(q) OVER b AS pq, lag(r) OVER b AS pr FROM y WINDOW b AS (PARTITION BY symbol, trading_day ORDER BY row_))
+SELECT symbol, trading_day, r AS source_row, q AS quote_ms, pq AS previous_ms, pr AS previous_row FROM z WHERE q < pq OR r <= pr""",
         "duplicate_times": f"{sz}, y AS (SELECT *, count(*) OVER (PARTITION BY symbol, trading_day, quote_ms // {DAY}) AS frames FROM k WHERE anchor = 'continuous') SELECT symbol, trading_day, row_ AS source_row, frames FROM y WHERE frames > 1",
         "day_limits": """WITH s AS (SELECT CAST(o_custkey AS VARCHAR) AS symbol, o_orderkey AS r, o_custkey % 8 = 0 AS missing,
   CASE WHEN o_custkey % 4 = 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 10000000000000 ELSE 9999999999999 END WHEN o_custkey % 4 = 1 AND o_orderkey % 5 = 0 THEN 12300 ELSE 110000 END AS h,

@@ -92,12 +92,14 @@ def write_ticks(events: DataFrame, root: str, market: str, day: int = TRADING_DA
 
 
 def write_frames(frames: DataFrame, root: str, market: str, day: int = TRADING_DAY) -> None:
-    """Snapshots with status and source_row as the vendor's published frames of a market."""
+    """Snapshots with status and source_row as the vendor's published frames of a market, in order; every 13th Shanghai frame lacks its reception number, and some of these their reception time."""
+    gap, row = F.lit(market == "SH") & (F.col("source_row") % 13 == 0), F.col("source_row")
     c = vendor._REFERENCE[market]
     q = F.col("market").isNotNull()
     scaled = lambda f: F.col(f) if c[f][1] is None else F.when(q, F.col(f)).cast("decimal(30,0)").cast(f"decimal(38,{c[f][1]})")
     out = {
-        "SecurityID": F.col("symbol"), "UpdateTime": _clock(F.col("quote_ms")), "source_row_no": F.col("source_row").cast("decimal(20,0)"), c["status"]: F.col("status"), "LocalTime": _clock(F.col("quote_ms")), "SeqNo": F.col("source_row").cast("bigint"),
+        "SecurityID": F.col("symbol"), "UpdateTime": _clock(F.col("quote_ms")), "source_row_no": F.col("source_row").cast("decimal(20,0)"), c["status"]: F.col("status"),
+        "LocalTime": F.when(gap & (row % 2 == 0), " ").when(~(gap & (row % 3 == 0)), _clock(F.col("quote_ms"))), "SeqNo": F.when(~gap, row).cast("bigint"),
         **{c[f][0]: F.coalesce(_money(F.col(f), c[f][1]), F.lit(0).cast(f"decimal(38,{c[f][1]})")) for f in ("last_price", "high_price", "low_price", "bid_vwap", "ask_vwap")},
         "Turnover": _money(F.col("turnover"), c["turnover"][1]), c["trades"]: F.col("trades").cast("bigint"), **{c[f][0]: scaled(f) for f in ("volume", "bid_total", "ask_total")},
     }
@@ -108,7 +110,7 @@ def write_frames(frames: DataFrame, root: str, market: str, day: int = TRADING_D
     if market == "SZ":
         free = F.col("symbol").startswith("300")
         out |= {"PreCloPrice": F.lit(10).cast("decimal(38,4)"), "HighLimitPrice": _money(F.when(free, F.lit(9_999_999_999_999)).otherwise(F.lit(110_000)), 6), "LowLimitPrice": _money(F.when(free, F.lit(100)).otherwise(F.lit(90_000)), 6)}
-    frames.select(*(e.alias(n) for n, e in out.items())).write.parquet(vendor.feed_path(root, day, vendor.SNAPSHOT_FEEDS[market]))
+    frames.orderBy("symbol", "source_row").select(*(e.alias(n) for n, e in out.items())).write.parquet(vendor.feed_path(root, day, vendor.SNAPSHOT_FEEDS[market]))
 
 
 def _files(spark: SparkSession, sf_dir: str, market: str) -> tuple[str, DataFrame]:
@@ -229,10 +231,10 @@ def sh_faults(spark, sf_dir):
 
 
 def vendor_amounts(spark, sf_dir):
-    """Published Shanghai frames as read: amounts, prices, quantities and levels, summed by symbol."""
+    """Published Shanghai frames as read: amounts, prices, quantities and levels, summed by symbol. Closing frames, which hold what stands after all events, are those of validate_sh."""
     root, events = _files(spark, sf_dir, "SH")
     _publish(root, events, "SH")
-    f = vendor.read_reference(spark, root, "SH").filter("status = 'TRADE'")
+    f = vendor.read_reference(spark, root, "SH").filter("status <> 'CLOSE'")
     return f.groupBy("symbol").agg(
         F.count("*").alias("frames"), F.sum("turnover").cast("bigint").alias("turnover"), F.sum("volume").alias("volume"), F.max("last_price").alias("last_price"), F.count_if("missing_reception").alias("missing"),
         F.count_if(F.size("load_error") > 0).alias("errors"), F.sum(F.aggregate("asks", F.lit(0).cast("bigint"), lambda a, x: a + x["quantity"])).alias("ask_quantity"), F.min(market_ts(F.col("trading_day"), F.lit("09:25:00.000"))).alias("open_ms"),
@@ -331,7 +333,7 @@ SELECT input_rows, CAST(0 AS BIGINT) AS repaired_streams, applied + symbols AS s
         "sh_faults": f"{sh} SELECT symbol, CASE kind WHEN 'A' THEN 'add_side' ELSE 'unknown_trade' END AS code, count(*) AS rows FROM f WHERE (kind = 'A' AND (seq - 1) // 20 % 40 = 0) OR (kind = 'T' AND (seq - 1) // 20 % 30 = 0) GROUP BY ALL",
         "vendor_amounts": f"""{sh}{core._TOUCH}{core._SIGNED}{_POINTS}{_AT},
 aq AS (SELECT symbol, k, sum(q) AS q FROM n WHERE order_side = 'S' AND r <= 10 GROUP BY 1, 2)
-SELECT b.symbol, count(*) AS frames, CAST(sum(coalesce(turnover, 0)) AS BIGINT) AS turnover, CAST(sum(coalesce(volume, 0) + CASE WHEN b.k % 5 = 0 THEN 100 ELSE 0 END) AS BIGINT) AS volume, max(last_price) AS last_price, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS errors, CAST(sum(coalesce(aq.q, 0)) AS BIGINT) AS ask_quantity, CAST({MIDNIGHT} + 33900000 AS BIGINT) AS open_ms
-FROM b LEFT JOIN s USING (symbol, k) LEFT JOIN aq USING (symbol, k) WHERE b.k BETWEEN 2 AND 50 GROUP BY b.symbol""",
+SELECT b.symbol, count(*) AS frames, CAST(sum(coalesce(turnover, 0)) AS BIGINT) AS turnover, CAST(sum(coalesce(volume, 0) + CASE WHEN b.k % 5 = 0 THEN 100 ELSE 0 END) AS BIGINT) AS volume, max(last_price) AS last_price, count(*) FILTER (b.k % 13 = 0 AND (b.k % 2 = 0 OR b.k % 3 = 0)) AS missing, CAST(0 AS BIGINT) AS errors, CAST(sum(coalesce(aq.q, 0)) AS BIGINT) AS ask_quantity, CAST({MIDNIGHT} + 33900000 AS BIGINT) AS open_ms
+FROM b LEFT JOIN s USING (symbol, k) LEFT JOIN aq USING (symbol, k) WHERE b.k BETWEEN 1 AND 51 GROUP BY b.symbol""",
         "explicit_universe": f"{_cte('SZ')} SELECT CASE WHEN symbol IN ('159001', '000004') THEN 'selected' ELSE 'unselected' END AS row_class, count(*) AS rows FROM f GROUP BY 1".replace("WITH " + FEED_CTE, feeds),
     }

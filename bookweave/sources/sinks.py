@@ -30,9 +30,10 @@ def wide_snapshots(snaps: DataFrame, depth: int = 10) -> DataFrame:
 
 
 def write_snapshots(snaps: DataFrame, root: str, depth: int = 10) -> None:
-    """Parquet under date=/market=/channel=, scheduled rows before closing ones."""
+    """Parquet under date=/market=/channel=, scheduled rows before closing ones; a large channel is several files that follow one another."""
     wide = wide_snapshots(snaps, depth).withColumnRenamed("trading_day", "date")
-    wide.repartition("date", "market", "channel").sortWithinPartitions(F.col("snapshot_kind").desc(), "symbol", "boundary_time").write.mode("append").partitionBy("date", "market", "channel").parquet(root)
+    order = ["date", "market", "channel", F.col("snapshot_kind").desc(), "symbol", "boundary_time"]
+    wide.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("append").partitionBy("date", "market", "channel").parquet(root)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -142,7 +142,7 @@ def decode_levels(df: DataFrame, side: str, market: str, depth: int = 10) -> tup
 
 
 def read_reference(spark: SparkSession, root: str, market: str, days: list[int] | None = None) -> DataFrame:
-    """Published snapshots with the twelve comparable fields in our units; load_error names the rules a frame breaks, and is empty for a good one."""
+    """Published snapshots with the twelve comparable fields in our units; load_error names the rules a frame breaks, and is empty for a good one. file_name and file_row tell where it stands."""
     c = _REFERENCE[market]
     feed = SNAPSHOT_FEEDS[market]
     paths = [feed_path(root, d, feed) for d in days] if days else [feed_path(root, "*", feed)]
@@ -159,7 +159,7 @@ def read_reference(spark: SparkSession, root: str, market: str, days: list[int]
         F.lit(market).alias("market"), F.col("date").cast("int").alias("trading_day"), _text("SecurityID").alias("symbol"), market_ts(F.col("date").cast("int"), F.trim("UpdateTime")).alias("quote_ms"), _long("source_row_no").alias("source_row"), F.trim(c["status"]).alias("status"),
         *(price(f).alias(f) for f in prices), *(ref_quantity(scaled(f), market).alias(f) for f in quantities), ref_amount(scaled("turnover"), c["turnover"][1]).cast("decimal(38,0)").alias("turnover"), _long(c["trades"]).alias("trades"),
         bids.alias("bids"), asks.alias("asks"), bad_b.alias("__bad_b"), bad_a.alias("__bad_a"), *(ref_price_error(scaled(f)).alias(f"__neg_{f}") for f in prices),
-        missing_reception(F.col("SeqNo"), F.col("LocalTime")).alias("missing_reception"),
+        missing_reception(F.col("SeqNo"), F.col("LocalTime")).alias("missing_reception"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("file_row"),
         *((optional("PreCloPrice", ref_price((F.col("PreCloPrice") * 10_000).cast("bigint"), 4)).alias("previous_close"), limit("HighLimitPrice").alias("high_limit"), limit("LowLimitPrice").alias("low_limit")) if market == "SZ" else ()),
     )
     rules = {**{f: F.col(f"__neg_{f}") for f in prices}, **{f: F.col(f).isNull() for f in [*quantities, "turnover", "trades", "quote_ms", "symbol"]}, "bids": F.col("__bad_b"), "asks": F.col("__bad_a")}

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from bookweave.operators import book, integrity, ledger, snapshots
+from bookweave.operators import book, integrity, ledger, reference, snapshots
 from bookweave.schema import BOOK
 from bookweave.sources import sinks, vendor
 
@@ -124,6 +124,16 @@ def test_reference_frames(spark, tmp_path):
     assert got[0].load_error == [] and got[0].asks[0].price == 110_000 and got[0].bids == [] and got[0].high_price == 12_345_649 and got[0].low_price is None
     assert got[0].turnover == 4_200_000 and got[0].missing_reception and got[0].high_limit is None
     assert got[1].load_error == ["bids"] and got[2].load_error == ["low_price"]
+    assert [r.file_row for r in got] == [0, 1, 2]
+
+
+def test_frames_keep_the_order_of_their_file(spark):
+    """A number or time that falls is seen where the frame stands, not where its number would put it."""
+    rows = [("SZ", DAY, "000001", f, i, n, t) for f, i, n, t in [("a", 0, 1, 10), ("a", 1, 5, 10), ("a", 2, 3, 20), ("a", 3, 6, 15), ("b", 0, 6, 20), ("b", 1, 7, 20)]]
+    f = spark.createDataFrame(rows, "market string, trading_day int, symbol string, file_name string, file_row long, source_row long, quote_ms long")
+    found = [(r.source_row, r.quote_ms, r.previous_ms, r.previous_row) for r in reference.position_faults(f).orderBy("source_row", "quote_ms").collect()]
+    assert found == [(3, 20, 10, 5), (6, 15, 20, 3), (6, 20, 15, 6)]
+    assert reference.position_faults(f, ("source_row", "quote_ms")).count() == 2
 
 
 def test_report_round_trip(spark, tmp_path):
