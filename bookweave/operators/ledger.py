@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -77,16 +77,13 @@ def active_orders(led: DataFrame, placed: DataFrame | None = None) -> DataFrame:
     return out.drop("rest_seq", "rest_sub", "rest_price")
 
 
-def reference_violations(events: DataFrame, led: DataFrame, market_policy: dict[str, str] | None = None) -> DataFrame:
-    """Rows (book, channel, seq, code) where a reference breaks its market's rules.
-
-    Codes: duplicate_add, unknown_cancel, cancel_quantity (SZ: must equal the remainder), cancel_sides (not
-    exactly one order named), overfill, unknown_trade, add_side (SH: flag and side differ). A market whose
-    policy is `update_known_and_statistics` (SH) lets a trade name an unknown order on the aggressor's
-    side, or none there; `reject` (SZ) lets none be unknown.
-    """
+def _lenient(market_policy: dict[str, str] | None) -> Column:
     policy = market_policy or {"SH": "update_known_and_statistics", "SZ": "reject"}
-    lenient = F.col("market").isin(*[m for m, p in policy.items() if p == "update_known_and_statistics"])
+    return F.col("market").isin(*[m for m, p in policy.items() if p == "update_known_and_statistics"])
+
+
+def broken_references(led: DataFrame, market_policy: dict[str, str] | None = None) -> DataFrame:
+    """Rows (book, channel, seq, code) of a ledger's references that break their market's rules; an event that names no order has none. Codes: see reference_violations."""
     gone = F.col("ref_status").isin("unknown", "inactive")
     aggressor = F.coalesce(F.col("side") == F.col("order_side"), F.lit(False))
     trade, cancel = F.col("kind") == "T", F.col("kind") == "C"
@@ -94,19 +91,29 @@ def reference_violations(events: DataFrame, led: DataFrame, market_policy: dict[
         F.when(F.col("ref_status") == "duplicate", "duplicate_add")
         .when(cancel & gone, "unknown_cancel")
         .when(cancel & (F.col("market") == "SZ") & (F.col("qty") != F.col("remaining_before")), "cancel_quantity")
-        .when(trade & gone & ~(lenient & aggressor), "unknown_trade")
+        .when(trade & gone & ~(_lenient(market_policy) & aggressor), "unknown_trade")
         .when(trade & (F.col("ref_status") == "active") & (F.col("qty") > F.col("remaining_before")), "overfill")
     )
-    by_reference = led.withColumn("code", code).filter("code IS NOT NULL").select(*BOOK, "channel", "seq", "code")
+    return led.withColumn("code", code).filter("code IS NOT NULL").select(*BOOK, "channel", "seq", "code")
+
+
+def reference_violations(events: DataFrame, led: DataFrame, market_policy: dict[str, str] | None = None) -> DataFrame:
+    """Rows (book, channel, seq, code) where a reference, or an event by what it names, breaks its market's rules.
+
+    Codes: duplicate_add, unknown_cancel, cancel_quantity (SZ: must equal the remainder), cancel_sides (not
+    exactly one order named), overfill, unknown_trade, add_side (SH: flag and side differ). A market whose
+    policy is `update_known_and_statistics` (SH) lets a trade name an unknown order on the aggressor's
+    side, or none there; `reject` (SZ) lets none be unknown.
+    """
     no = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
     passive_missing = (no("bid_no") & (F.coalesce(F.col("side"), F.lit("N")) != "B")) | (no("ask_no") & (F.coalesce(F.col("side"), F.lit("N")) != "S"))
     own = (
         F.when((F.col("kind") == "C") & (no("bid_no") == no("ask_no")), "cancel_sides")
-        .when((F.col("kind") == "T") & lenient & passive_missing, "unknown_trade")
+        .when((F.col("kind") == "T") & _lenient(market_policy) & passive_missing, "unknown_trade")
         .when((F.col("kind") == "A") & (F.col("market") == "SH") & F.col("flag").isNotNull() & (F.col("flag") != F.col("side")), "add_side")
     )
     by_event = events.withColumn("code", own).filter("code IS NOT NULL").select(*BOOK, "channel", "seq", "code")
-    return by_reference.unionByName(by_event)
+    return broken_references(led, market_policy).unionByName(by_event)
 
 
 def first_violations(violations: DataFrame, keys: list[str] | None = None) -> DataFrame:
