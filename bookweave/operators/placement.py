@@ -185,11 +185,11 @@ def placements(events: DataFrame, policy: str = "rest_at_last_trade") -> DataFra
 
 
 def placed_deltas(events: DataFrame, led: DataFrame, placed: DataFrame) -> DataFrame:
-    """Visible changes of all orders: limit orders as ever, others from where they rest."""
+    """Visible changes of all orders: limit orders as ever, others from where they rest. What has no number is no order, as in the ledger."""
     order = [*BOOK, "order_side", "order_no"]
     number = F.when(F.col("side") == "B", F.col("bid_no")).otherwise(F.col("ask_no"))
     other = events.filter("kind = 'A' AND coalesce(ord_type, 'limit') <> 'limit'").select(*BOOK, F.col("side").alias("order_side"), number.alias("order_no")).distinct()
-    at = placed.filter("what = 'placement'").select(*order, "rest_seq", F.col("price").alias("rest_price"), "remaining", "sub_seq")
+    at = placed.filter("what = 'placement' AND order_no <> 0").select(*order, "rest_seq", F.col("price").alias("rest_price"), "remaining", "sub_seq")
     shown = at.select(*BOOK, "order_side", F.col("rest_price").alias("price"), "order_no", F.col("rest_seq").alias("seq"), "sub_seq", F.lit(None).cast("bigint").alias("quote_ms"), F.col("remaining").alias("dqty"), F.lit(1).cast("bigint").alias("dcount"))
     later = led.filter("ref_status = 'active'").join(at.select(*order, "rest_seq", "rest_price"), order).filter("seq > rest_seq").select(
         *BOOK, "order_side", F.col("rest_price").alias("price"), "order_no", "seq", "sub_seq", "quote_ms", (F.col("remaining_after") - F.col("remaining_before")).alias("dqty"), F.when(F.col("remaining_after") == 0, -1).otherwise(0).cast("bigint").alias("dcount"))

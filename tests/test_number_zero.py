@@ -17,7 +17,7 @@ def zero(spark, tmp_path_factory):
     return root
 
 
-@pytest.mark.parametrize("name", ["reference_faults", "lenient_faults", "level_totals", "first_faults", "first_fault_of_run"])
+@pytest.mark.parametrize("name", ["reference_faults", "lenient_faults", "level_totals", "first_faults", "first_fault_of_run", "never_crossing"])
 def test_same_rows_as_sql(spark, zero, name):
     duck = duckdb.connect()
     duck.execute(f"CREATE VIEW events AS SELECT * FROM '{zero}/events.parquet/*.parquet'")
