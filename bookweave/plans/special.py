@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bookweave.operators import book, ledger, placement, rounds
+from bookweave.operators.slices import TIMES, Running, running
 from bookweave.plans import core
 from bookweave.plans.core import ORIGIN_MS
 from bookweave.plans.feed import CANONICAL_CTE, order_feed
@@ -62,9 +62,9 @@ PARTS = 4
 
 def _numbered(spark, sf_dir) -> DataFrame:
     """The feed with each channel's rows numbered from 1, as an exchange numbers them."""
-    feed = order_feed(spark, sf_dir)
-    by = W.partitionBy("market", "trading_day", "channel").orderBy("quote_ms", "symbol", "seq")
-    return feed.withColumn("book_seq", F.col("seq")).withColumn("seq", F.row_number().over(by).cast("bigint"))
+    feed = written(order_feed(spark, sf_dir), "feed")
+    numbered = running(feed, ["market", "trading_day", "channel"], "quote_ms", {"no": Running("count", F.lit(1))}, ["symbol", "seq"], TIMES)
+    return written(numbered.withColumnRenamed("seq", "book_seq").withColumnRenamed("no", "seq"), "numbered")
 
 
 def _with_clock(feed: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """The gate and the books, batch by batch: order, gaps, late rows, boundaries by the clock."""
 
+import pandas as pd
 import pytest
 from test_books import add, cancel, make, trade
 
@@ -65,3 +66,83 @@ def test_boundaries_by_the_clock(told):
 def test_store_is_asked_for(spark):
     with pytest.raises(ValueError, match="stateStore"):
         books.incremental_books(spark.readStream.format("rate").load())
+
+
+class _Counted:
+    """A map state that counts the calls it gets."""
+
+    def __init__(self):
+        self.rows, self.calls = {}, 0
+
+    def _call(self, f):
+        self.calls += 1
+        return f()
+
+    def containsKey(self, k):
+        return self._call(lambda: k in self.rows)
+
+    def getValue(self, k):
+        return self._call(lambda: self.rows[k])
+
+    def updateValue(self, k, v):
+        self._call(lambda: self.rows.update({k: v}))
+
+    def removeKey(self, k):
+        self._call(lambda: self.rows.pop(k))
+
+    def keys(self):
+        return self._call(lambda: iter(list(self.rows)))
+
+
+class _Handle:
+    def __init__(self):
+        self.maps, self.place, self.timers = {}, None, []
+
+    def getMapState(self, name, *_):
+        return self.maps.setdefault(name, _Counted())
+
+    def getValueState(self, *_):
+        handle = self
+
+        class Value:
+            exists = staticmethod(lambda: handle.place is not None)
+            get = staticmethod(lambda: handle.place)
+            update = staticmethod(lambda v: setattr(handle, "place", v))
+
+        return Value()
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class _Clock:
+    def __init__(self, at=0):
+        self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: at
+
+
+def _rows(numbers):
+    numbers = list(numbers)
+    return pd.DataFrame({"seq": numbers, "symbol": "000001", "kind": "A", "bid_no": numbers, "ask_no": float("nan"), "price": 100, "qty": 1, "quote_ms": 1_000})
+
+
+def test_state_is_asked_by_runs():
+    """Ten thousand rows that wait, and as many orders, are some dozen calls to the state, not one or more each; a row's number that waits is late when it comes again."""
+    handle, gate = _Handle(), books._Gate(2_000)
+    gate.init(handle)
+    give = lambda *frames: pd.concat([pd.DataFrame(columns=["what"]), *gate.handleInputRows(("SZ", 1, 1), iter(frames), _Clock())])
+    assert len(give(_rows(reversed(range(5_002, 10_001))), _rows(range(2, 5_001)))) == 0 and handle.place == (1, 9_998, 1, 3_000)
+    assert give(_rows([7, 7])).what.tolist() == ["late", "late"]
+    out = give(_rows([1]))
+    assert out.seq.tolist() == list(range(1, 5_001)) and set(out.what) == {"row"} and handle.place == (5_001, 4_999, 5_001, 3_000)
+    out = pd.concat(gate.handleExpiredTimer(("SZ", 1, 1), _Clock(3_000), _Clock(3_000)))
+    assert out.iloc[0][["what", "seq", "upto"]].tolist() == ["gap", 5_001, 5_001] and out[out.what == "row"].seq.tolist() == list(range(5_002, 10_001)) and handle.place == (10_001, 0, None, None)
+    orders = books._Orders(state := _Counted())
+    for n in range(1, 10_001):
+        orders.put("B", n, (100, n))
+    orders.flush()
+    again = books._Orders(state)
+    assert again.get("B", 4_096) == (100, 4_096) and again.get("S", 1) is None
+    assert handle.maps["held"].calls + state.calls < 60
