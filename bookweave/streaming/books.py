@@ -184,8 +184,8 @@ class _Gate(StatefulProcessor):
 
     def _waits(self, fresh: pa.Table, held: _Held) -> None:
         seq = fresh["seq"].to_numpy()
-        runs, starts = np.unique(seq >> _HELD, return_index=True)
-        for run, a, b in zip(runs.tolist(), starts.tolist(), [*starts.tolist()[1:], len(seq)], strict=True):
+        for run in np.unique(seq >> _HELD).tolist():
+            a, b = np.searchsorted(seq, (run << _HELD, (run + 1) << _HELD)).tolist()
             both = pa.concat_tables([held.get(run), fresh.slice(a, b - a)])
             held.put(run, both.take(np.argsort(both["seq"].to_numpy())) if both.num_rows > b - a else both)
 
