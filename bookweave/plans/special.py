@@ -147,9 +147,9 @@ def stream_trade_windows(spark, sf_dir):
 
 
 def stream_late(spark, sf_dir):
-    """Rows that came twice: the last part repeats every hundredth row of its channel's last ten days."""
+    """Rows that came twice: every hundredth row of each channel comes again a part later (in the last part at the latest), and no part is as far behind as the watermark."""
     feed = _dealt(_numbered(spark, sf_dir))
-    again = feed.filter(f"seq % 100 = 0 AND quote_ms >= {UNTIL_MS - 10 * core.DAY}").withColumn("part", F.lit(PARTS - 1))
+    again = feed.filter("seq % 100 = 0").withColumn("part", F.least(F.col("part") + 1, F.lit(PARTS - 1)))
     return _told(spark, feed.unionByName(again)).filter("what = 'late'").groupBy(F.floor(F.col("seq") / 100).alias("hundred")).agg(F.count("*").alias("rows"))
 
 
@@ -248,7 +248,7 @@ SELECT 'SZ' AS market, 20240101 AS trading_day, symbol, o.side AS order_side, o.
         "stream_snapshots": f"""{feed}, s AS (SELECT symbol, min(quote_ms) // 86400000 + 1 AS a FROM f GROUP BY symbol), b AS (SELECT symbol, unnest(range(a, {UNTIL_MS // core.DAY + 1})) * 86400000 AS boundary_ms FROM s)
 SELECT symbol, boundary_ms, CAST(coalesce((SELECT sum(qty) FROM f WHERE f.symbol = b.symbol AND kind = 'T' AND quote_ms < boundary_ms), 0) AS BIGINT) AS volume, (SELECT count(*) FROM f WHERE f.symbol = b.symbol AND kind = 'T' AND quote_ms < boundary_ms) AS trades FROM b""",
         "stream_trade_windows": f"{feed} SELECT market, symbol, quote_ms // 86400000 * 86400000 AS window_ms, count(*) AS trades, CAST(sum(qty) AS BIGINT) AS volume, max(price) AS high_price, min(price) AS low_price FROM f WHERE kind = 'T' GROUP BY ALL",
-        "stream_late": f"{numbered} SELECT no // 100 AS hundred, count(*) AS rows FROM n WHERE no % 100 = 0 AND quote_ms >= {UNTIL_MS - 10 * core.DAY} GROUP BY 1",
+        "stream_late": f"{numbered} SELECT no // 100 AS hundred, count(*) AS rows FROM n WHERE no % 100 = 0 GROUP BY 1",
         "stream_gaps": f"{lossy}, x AS (SELECT channel, no, lag(no, 1, 0) OVER (PARTITION BY channel ORDER BY no) AS before FROM k) SELECT channel, CAST(before + 1 AS BIGINT) AS seq, CAST(no - 1 AS BIGINT) AS upto FROM x WHERE no > before + 1",
         "stream_lossy_snapshots": f"""{lossy}, s AS (SELECT symbol, min(quote_ms) // 86400000 + 1 AS a FROM k GROUP BY symbol), b AS (SELECT symbol, unnest(range(a, {UNTIL_MS // core.DAY + 1})) * 86400000 AS boundary_ms FROM s)
 SELECT symbol, boundary_ms, CAST(coalesce((SELECT sum(qty) FROM k WHERE k.symbol = b.symbol AND kind = 'T' AND quote_ms < boundary_ms), 0) AS BIGINT) AS volume, (SELECT count(*) FROM k WHERE k.symbol = b.symbol AND kind = 'T' AND quote_ms < boundary_ms) AS trades FROM b""",

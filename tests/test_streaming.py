@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 from test_books import add, cancel, make, trade
 
+from bookweave.plans import special
 from bookweave.streaming import books
 
 
@@ -146,3 +147,10 @@ def test_state_is_asked_by_runs():
     again = books._Orders(state)
     assert again.get("B", 4_096) == (100, 4_096) and again.get("S", 1) is None
     assert handle.maps["held"].calls + state.calls < 60
+
+
+def test_all_repeats_are_told(spark):
+    """Every hundredth row of the whole feed comes twice, those of the first days among them."""
+    sf = "/root/testdata/sf0.001"
+    told = special.stream_late(spark, sf).agg({"rows": "sum"}).first()[0]
+    assert told == special._numbered(spark, sf).filter("seq % 100 = 0").count() > 0
