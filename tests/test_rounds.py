@@ -58,3 +58,34 @@ def test_large_books_go_in_rounds(spark, tmp_path, monkeypatch):
     whole = sorted(map(repr, market_day._placements(e, led, "rest_at_last_trade").collect()))
     monkeypatch.setattr(market_day, "LARGE_BOOK", counts[len(counts) // 2])
     assert sorted(map(repr, market_day._placements(e, led, "rest_at_last_trade").collect())) == whole and days_sf
+
+
+def test_best_prices(spark):
+    """Best prices at every point are those of summing up all moves before it, over several runs of points."""
+    r = random.Random(7)
+    moves, stands = [], {}
+    for k in range(1, 402):
+        for _ in range(r.randrange(3)):
+            side, price = r.choice("BS"), r.randrange(100, 106)
+            d = r.choice((1, -1)) if stands.get((side, price)) else 1
+            stands[side, price] = stands.get((side, price), 0) + d
+            moves.append(("SZ", 1, "000001", side, price, k, d))
+    rows = spark.createDataFrame(moves, "market string, trading_day int, symbol string, order_side string, price long, k long, dcount long")
+    last = spark.createDataFrame([("SZ", 1, "000001", 400)], "market string, trading_day int, symbol string, last_k long")
+    got = {x.k: (x.bid, x.ask) for x in rounds._best_prices(rows, last).collect()}
+    for k in range(1, 401):
+        at = {}
+        for *_, side, price, when, d in moves:
+            if when <= k:
+                at[side, price] = at.get((side, price), 0) + d
+        of = lambda s, f: f((p for (side, p), n in at.items() if side == s and n > 0), default=None)  # noqa: B023, E731
+        assert got.get(k, (None, None)) == (of("B", max), of("S", min))
+    assert set(got) <= set(range(1, 401))
+
+
+def test_a_round_is_two_tables(spark, monkeypatch):
+    """Points are numbered and groups of answers are told once, whatever the rounds; a round writes best prices and guesses."""
+    names, kept = [], rounds.written
+    monkeypatch.setattr(rounds, "written", lambda df, name: (names.append(name), kept(df, name))[1])
+    rounds.placements_in_rounds(kept(special._mixed(spark, "/root/testdata/sf0.001"), "mixed"), "require_evidence")
+    assert names.count("groups") == names.count("numbered") == 1 and names.count("best") == names.count("guess") - 1 > 1 and "changes" not in names
