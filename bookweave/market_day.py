@@ -101,9 +101,10 @@ def rebuild(spark: SparkSession, root: str, market: str, days: list[int] | None
     else:
         late = F.lit(False)
     chosen = F.when(~_wanted(rows, universe, symbols), F.when(integrity.in_universe("both"), "unselected").otherwise("unsupported")).when(late, "after_cutoff").otherwise("selected")
-    rows = rows.withColumn("row_class", chosen)
+    # written as read: every row is parsed once, and filters on what was parsed do not parse it again
+    rows = written(rows.withColumn("row_class", chosen), "rows")
     selected = rows.filter("row_class = 'selected'")
-    events = written(selected.filter(F.size("faults") == 0).drop("faults", "row_class", "cutoff_ms"), "events")
+    events = selected.filter(F.size("faults") == 0).drop("faults", "row_class", "cutoff_ms")
     led = written(ledger.ledger(events), "ledger")
     wrong = [
         vendor.violations(selected).select(*BOOK, "channel", "seq", "code"),

@@ -64,7 +64,9 @@ def states(events: DataFrame, changes: DataFrame) -> DataFrame:
     sums = {n: Running("sum", F.coalesce(F.col(c), F.lit(0))) for c, n in (("bq", "bid_total"), ("sq", "ask_total"), ("bm", "__bm"), ("sm", "__sm"))}
     out = running(written(rows, "moved"), BOOK, "seq", {"high_ms": Running("max", F.col("quote_ms"), before=True), "apply_seq": Running("count", F.lit(1)), **trade_values(), **sums})
     out = zero_totals(out).withColumn("apply_seq", F.col("apply_seq").cast("int"))
-    return out.withColumns({"bid_vwap": weighted_price_q(F.col("__bm"), F.col("bid_total"), price_quantum()), "ask_vwap": weighted_price_q(F.col("__sm"), F.col("ask_total"), price_quantum())}).drop("__bm", "__sm", "t_price", "t_qty", "bq", "sq", "bm", "sm")
+    q = F.col("__q")
+    out = out.withColumn("__q", price_quantum())
+    return out.withColumns({"bid_vwap": weighted_price_q(F.col("__bm"), F.col("bid_total"), q), "ask_vwap": weighted_price_q(F.col("__sm"), F.col("ask_total"), q)}).drop("__bm", "__sm", "__q", "t_price", "t_qty", "bq", "sq", "bm", "sm")
 
 
 def candidates(frames: DataFrame, points: DataFrame, width_ms: int = 1000) -> DataFrame:

@@ -17,7 +17,7 @@ from bookweave.plans import core
 from bookweave.plans.core import DAY, ORIGIN_MS
 from bookweave.plans.feed import FEED_CTE
 from bookweave.schema import BOOK
-from bookweave.shared import new_path, written
+from bookweave.shared import compilable, new_path, written
 from bookweave.sources import sinks, vendor
 
 TRADING_DAY = 20260828
@@ -49,6 +49,7 @@ def _vendor_sql(market: str, ms: str) -> str:
 
 
 def vendor_events(spark: SparkSession, sf_dir: str, market: str) -> DataFrame:
+    compilable(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type")
     ms = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"
     sql = f"WITH {FEED_CTE.replace('FROM events', 'FROM {events}')}{_vendor_sql(market, ms)} SELECT * FROM vendor"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bookweave.shared import compilable
+
 FEED_CTE = """base AS (
   SELECT event_id, ts, CAST(user_id % 20 AS BIGINT) AS sym,
          CASE WHEN event_type IN ('view','signup') THEN 'B' ELSE 'S' END AS side,
@@ -56,6 +58,7 @@ def ms(column: str):
 
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical events of the SZ market, twenty symbols over four channels, numbered in each book."""
+    compilable(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type")
     feed = spark.sql(f"WITH {FEED_CTE.replace('FROM events', 'FROM {events}')} SELECT * FROM feed", events=events)
     return feed.select(
