@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from bookweave.llm.common import small_batches, stored, table
 
 #: Longest phrase, bytes of text whose phrases are counted before they are passed on, and bits (as a power of two) that tell which phrases may be frequent: 8 MB at most.
-LONGEST, COUNTED_BYTES, BITS = 3, 4 << 20, 26
+LONGEST, COUNTED_BYTES, BITS = 3, 1 << 20, 26
 #: Parts in which a language's best phrases are looked for first.
 PARTS = 64
 
@@ -169,7 +169,7 @@ def collocations(docs: DataFrame, least: int = 10, inside: int = 50, best: int =
     scores are ranked by a, then by phrase in order of bytes. Null texts are empty; a null lang is `und`. Repeated rows
     count each. Texts are read whole. An empty table gives an empty result; columns but lang and text are left behind.
     """
-    small_batches(docs.sparkSession, 4)
+    small_batches(docs.sparkSession, COUNTED_BYTES >> 20)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
     words = stored(_counted(texts, 1, None), "words")
     counts = [words.filter(F.col("f") >= least)]

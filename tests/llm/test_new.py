@@ -159,3 +159,14 @@ def test_search_of_nothing(spark):
     for docs, items in ((frame(spark, []), asked), (frame(spark, ROWS), asked.limit(0)), (frame(spark, [(1, None, "en"), (2, "?!", "en")]), asked)):
         out = lexical.search(docs, items)
         assert out.columns == ["item_id", "rank", "doc_id", "score"] and out.collect() == []
+
+
+def test_phrases_are_counted_over_little_text(spark):
+    """A worker holds at most two counts' worth of text, however large a batch Spark would send."""
+    from bookweave.llm import collocations
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, str(64 << 20))
+    docs = spark.createDataFrame([(i, "one two three, one two", "en") for i in range(20)], "doc_id bigint, text string, lang string")
+    assert [(r.phrase, r.a) for r in collocations.collocations(docs).collect()] == [("one two three", 20)]
+    assert int(spark.conf.get(key)) <= 1 << 20 and collocations.COUNTED_BYTES <= 1 << 20
