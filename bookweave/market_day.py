@@ -26,12 +26,13 @@ LARGE_BOOK = 5_000_000
 
 @dataclass(frozen=True)
 class Day:
-    """Books rebuilt: selected events, their visible changes, placements (Shenzhen), and all rules that rows break."""
+    """Books rebuilt: selected events, their visible changes, placements (Shenzhen), events earlier than one before them, and all rules that rows break."""
 
     rows: DataFrame
     events: DataFrame
     changes: DataFrame
     placed: DataFrame | None
+    regressions: DataFrame
     violations: DataFrame
 
 
@@ -106,11 +107,12 @@ def rebuild(spark: SparkSession, root: str, market: str, days: list[int] | None
     selected = rows.filter("row_class = 'selected'")
     events = selected.filter(F.size("faults") == 0).drop("faults", "row_class", "cutoff_ms")
     led = written(ledger.ledger(events), "ledger")
+    regressions = written(integrity.time_regressions(events), "regressions")
     wrong = [
         vendor.violations(selected).select(*BOOK, "channel", "seq", "code"),
         ledger.reference_violations(events, led),
         integrity.after_close(events).select(*BOOK, "channel", "seq", F.lit("after_close").alias("code")),
-        integrity.time_regressions(events).filter("NOT same_second").select(*BOOK, F.lit(None).cast("int").alias("channel"), "seq", F.lit("time_regression").alias("code")),
+        regressions.filter("NOT same_second").select(*BOOK, F.lit(None).cast("int").alias("channel"), "seq", F.lit("time_regression").alias("code")),
         integrity.duplicate_sequences(rows).select("market", "trading_day", F.lit(None).cast("string").alias("symbol"), "channel", "seq", F.lit("duplicate_sequence").alias("code")),
         integrity.channel_conflicts(events).select(*BOOK, F.col("first_channel").alias("channel"), F.lit(None).cast("bigint").alias("seq"), F.lit("channel_conflict").alias("code")),
     ]
@@ -126,12 +128,12 @@ def rebuild(spark: SparkSession, root: str, market: str, days: list[int] | None
     violations = wrong[0]
     for w in wrong[1:]:
         violations = violations.unionByName(w)
-    return Day(rows, events, written(changes, "changes"), placed, violations)
+    return Day(rows, events, written(changes, "changes"), placed, regressions, violations)
 
 
 def _counters(day: Day, repairs: DataFrame, snaps: DataFrame | None = None) -> DataFrame:
     """For each market and day: class_counters of what was read, and of what was rebuilt, put in order and sampled."""
-    same = integrity.time_regressions(day.events).groupBy(*DAY).agg(F.count_if("same_second").alias("same_second_regressions"))
+    same = day.regressions.groupBy(*DAY).agg(F.count_if("same_second").alias("same_second_regressions"))
     limit = (F.col("market") == "SZ") & (F.col("kind") == "A") & (F.col("ord_type") == "limit")
     direct = day.events.groupBy(*DAY).agg(F.count_if(limit).alias("direct_rest_limits"))
     by_symbol = integrity.late_events(day.events).groupBy(*DAY).agg(F.sum("late").alias("after_close_events"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("symbol", "late")))).alias("after_close_by_symbol"))

@@ -120,12 +120,15 @@ def run_counters(events: DataFrame, universe: str = "both", cutoff_ms: Column |
 
 def class_counters(events: DataFrame, by: list[str] | None = None) -> DataFrame:
     """run_counters of rows whose row_class is known, one row or one for each of `by`."""
-    c = F.col("row_class")
+    c, n = F.col("row_class"), F.col("__rows")
     chosen = c == "selected"
-    return events.groupBy(*(by or [])).agg(
-        F.count("*").alias("input_rows"), *(F.count_if(c == k).alias(k) for k in ("selected", "unsupported", "unselected", "after_cutoff")),
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).cast("bigint")
+    # rows of a book, channel and class are counted first, so that what is told apart is few
+    each = events.groupBy(*BOOK, "channel", "row_class", (F.col("kind") == "S").alias("__status")).agg(F.count("*").alias("__rows"))
+    return each.groupBy(*(by or [])).agg(
+        F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("input_rows"), *(total(c == k).alias(k) for k in ("selected", "unsupported", "unselected", "after_cutoff")),
         F.count_distinct(F.when(chosen, F.col("channel"))).alias("channels"), F.count_distinct(F.when(chosen, F.struct(*BOOK))).alias("symbols"),
-        F.count_if(chosen & (F.col("kind") != "S")).alias("applied"), F.count_if(chosen & (F.col("kind") == "S")).alias("status_rows"),
+        total(chosen & ~F.col("__status")).alias("applied"), total(chosen & F.col("__status")).alias("status_rows"),
     )
 
 

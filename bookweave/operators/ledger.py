@@ -11,12 +11,10 @@ from bookweave.schema import BOOK, ORDER
 
 def references(events: DataFrame) -> DataFrame:
     """One row per event and order it names: order_side, order_no, sub_seq (bid before ask). A number of 0 or null names none."""
-    sides = F.array(
-        F.struct(F.lit("B").alias("order_side"), F.col("bid_no").alias("order_no"), F.lit(0).alias("sub_seq")),
-        F.struct(F.lit("S").alias("order_side"), F.col("ask_no").alias("order_no"), F.lit(1).alias("sub_seq")),
-    )
-    named = F.filter(sides, lambda x: F.coalesce(x["order_no"], F.lit(0)) != 0)
-    return events.filter(F.col("kind") != "S").select(*BOOK, "channel", "seq", "kind", "ord_type", "side", "price", "qty", "quote_ms", F.explode(named).alias("o")).select("*", "o.*").drop("o")
+    bid = F.col("sub_seq") == 0
+    rows = events.filter(F.col("kind") != "S").select(*BOOK, "channel", "seq", "kind", "ord_type", "side", "price", "qty", "quote_ms", "bid_no", "ask_no", F.explode(F.array(F.lit(0), F.lit(1))).alias("sub_seq"))
+    named = rows.withColumns({"order_side": F.when(bid, "B").otherwise("S"), "order_no": F.when(bid, F.col("bid_no")).otherwise(F.col("ask_no"))})
+    return named.filter(F.coalesce("order_no", F.lit(0)) != 0).drop("bid_no", "ask_no")
 
 
 def ledger(events: DataFrame) -> DataFrame:
@@ -26,7 +24,7 @@ def ledger(events: DataFrame) -> DataFrame:
     `duplicate` (an add of a key already seen). A cancel removes the whole remainder. All windows are over
     one order, so one shuffle serves them, and a busy symbol is many tasks' work.
     """
-    seen = W.partitionBy(*ORDER).orderBy("seq", "sub_seq")
+    seen = W.partitionBy(*reversed(ORDER)).orderBy("seq", "sub_seq")  # the number first: it alone tells most rows apart when they are sorted
     earlier, upto = seen.rowsBetween(W.unboundedPreceding, -1), seen.rowsBetween(W.unboundedPreceding, 0)
     add = F.col("kind") == "A"
     of_add = lambda c: F.first(F.when(add, F.col(c)), ignorenulls=True).over(upto)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from bookweave.operators.book import deltas
 from bookweave.schema import BOOK
+from bookweave.shared import written
 
 POLICIES = ("rest_at_last_trade", "require_evidence", "assume_contiguous")
 GROUP_LIMIT = 65_536
@@ -179,7 +180,7 @@ def placements(events: DataFrame, policy: str = "rest_at_last_trade") -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     # books of limit orders alone need no fold
-    other = events.filter("kind = 'A' AND coalesce(ord_type, 'limit') <> 'limit'").select(*BOOK).distinct()
+    other = written(events.filter("kind = 'A' AND coalesce(ord_type, 'limit') <> 'limit'").select(*BOOK).distinct(), "folded")
     rows = events.filter("kind <> 'S'").select(*BOOK, *narrow).join(other, BOOK, "left_semi")
     return rows.repartition(*BOOK).sortWithinPartitions(*BOOK, "seq").mapInArrow(run, _OUT)
 
@@ -189,6 +190,9 @@ def placed_deltas(events: DataFrame, led: DataFrame, placed: DataFrame) -> DataF
     order = [*BOOK, "order_side", "order_no"]
     number = F.when(F.col("side") == "B", F.col("bid_no")).otherwise(F.col("ask_no"))
     other = events.filter("kind = 'A' AND coalesce(ord_type, 'limit') <> 'limit'").select(*BOOK, F.col("side").alias("order_side"), number.alias("order_no")).distinct()
+    other = written(other, "unpriced")  # where they are few, or none, the ledger is not shuffled for them
+    if other.isEmpty():
+        return deltas(led)
     at = placed.filter("what = 'placement' AND order_no <> 0").select(*order, "rest_seq", F.col("price").alias("rest_price"), "remaining", "sub_seq")
     shown = at.select(*BOOK, "order_side", F.col("rest_price").alias("price"), "order_no", F.col("rest_seq").alias("seq"), "sub_seq", F.lit(None).cast("bigint").alias("quote_ms"), F.col("remaining").alias("dqty"), F.lit(1).cast("bigint").alias("dcount"))
     later = led.filter("ref_status = 'active'").join(at.select(*order, "rest_seq", "rest_price"), order).filter("seq > rest_seq").select(

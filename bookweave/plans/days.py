@@ -7,6 +7,7 @@ no upper limit, and every ninth of their buy orders rests far outside the closin
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bookweave import market_day
@@ -15,9 +16,9 @@ from bookweave.operators import integrity, ledger, snapshots, validation
 from bookweave.operators.book import deltas
 from bookweave.plans import core
 from bookweave.plans.core import DAY, ORIGIN_MS
-from bookweave.plans.feed import FEED_CTE
+from bookweave.plans.feed import FEED_CTE, ms, pair_feed
 from bookweave.schema import BOOK
-from bookweave.shared import compilable, new_path, written
+from bookweave.shared import new_path, written
 from bookweave.sources import sinks, vendor
 
 TRADING_DAY = 20260828
@@ -49,11 +50,23 @@ def _vendor_sql(market: str, ms: str) -> str:
 
 
 def vendor_events(spark: SparkSession, sf_dir: str, market: str) -> DataFrame:
-    compilable(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type")
-    ms = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"
-    sql = f"WITH {FEED_CTE.replace('FROM events', 'FROM {events}')}{_vendor_sql(market, ms)} SELECT * FROM vendor"
-    return spark.sql(sql, events=events).withColumn("ord_type", F.when(F.col("kind") == "A", F.lit("limit")))
+    """The rows of `vendor`. An order's number is that of its add in Shenzhen, and of its own in Shanghai; both are among the events of its (sym, rn)."""
+    feed = pair_feed(spark, sf_dir)
+    seq, sym = F.col("seq") * 20 + F.col("sym") + 1, F.col("sym")
+    if market == "SZ":
+        add = lambda side: F.max(F.when((F.col("kind") == "A") & (F.col("side") == side), seq)).over(W.partitionBy("rn", "sym"))
+        feed = feed.withColumns({"b_add": add("B"), "s_add": add("S")})
+        number = {c: F.when(F.col(f"{c}_id").isNotNull() & sym.isNotNull(), F.col(a)) for c, a in (("bid", "b_add"), ("ask", "s_add"))}
+    else:
+        number = {c: F.when(sym.isNotNull(), F.col(f"{c}_id") + 1) for c in ("bid", "ask")}
+    last, since = HEADS[market][3], (ms("ts") - 1_704_067_200_000) * 23
+    head = F.when(sym % 4 == 0, HEADS[market][0]).when(sym % 4 == 1, HEADS[market][1]).when(sym % 4 == 2, HEADS[market][2]).otherwise(last)
+    far = (F.col("kind") == "A") & (F.col("head") == "300") & (F.col("bid_id") % 9 == 0)
+    return feed.withColumn("head", head).select(
+        F.lit(market).alias("market"), F.lit(TRADING_DAY).alias("trading_day"), F.concat("head", F.lpad(sym.cast("string"), 3, "0")).alias("symbol"), (F.lit(1) + sym % 4).cast("int").alias("channel"), seq.alias("seq"), "kind", "side",
+        number["bid"].alias("bid_no"), number["ask"].alias("ask_no"), F.when(far, F.col("price") - 50_000).otherwise(F.col("price")).alias("price"), "qty",
+        (F.lit(MIDNIGHT) + 33_300_000 + F.call_function("div", since, F.lit(2880))).alias("quote_ms"), F.when(F.col("kind") == "A", "limit").alias("ord_type"),
+    )
 
 
 def _clock(ms) -> F.Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bookweave import market_day
 from bookweave.functions import scalars as S
+from bookweave.operators import integrity, ledger, placement
 from bookweave.plans import days
 from bookweave.shared import LARGEST_METHOD, written
 
@@ -34,3 +35,31 @@ def test_days_agree_with_the_calendar(spark):
     for rows in (whole, odd):
         x = rows.select(day, S.valid_day(day).alias("valid"), S.day_epoch_ms(day).alias("ms"), good.alias("good"), F.when(good, F.unix_date(told).cast("bigint") * 86_400_000).alias("wanted"))
         assert x.filter("valid <> good OR NOT (ms <=> wanted)").limit(5).collect() == []
+
+
+def test_events_are_read_once_for_the_feed(spark):
+    """A feed's plan scans the events once and joins nothing."""
+    from bookweave.plans.feed import order_feed
+
+    for df in (order_feed(spark, SMALL), days.vendor_events(spark, SMALL, "SZ"), days.vendor_events(spark, SMALL, "SH")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("event_type#") and plan.count("Relation [") == 1 and "Join" not in plan
+
+
+def test_orders_with_prices_of_their_own_are_not_shuffled_again(spark):
+    """Where no order is placed, changes follow from the ledger alone; times that go back are looked for once."""
+    root, _ = days._files(spark, SMALL, "SZ")
+    day = market_day.rebuild(spark, root, "SZ")
+    led = written(ledger.ledger(day.events), "ledger")
+    plan = placement.placed_deltas(day.events, led, day.placed)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and day.changes.count() > 0
+    assert "Window" not in day.regressions._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_classes_are_counted_by_book_first(spark):
+    rows = spark.createDataFrame([("SZ", 1, "000001", 1, "A", "selected"), ("SZ", 1, "000001", 2, "S", "selected"), ("SZ", 1, None, None, None, "unselected"), ("SZ", 2, "000002", 1, "T", "after_cutoff")], "market string, trading_day int, symbol string, channel int, kind string, row_class string")
+    one = integrity.class_counters(rows).first().asDict()
+    assert one == {"input_rows": 4, "selected": 2, "unsupported": 0, "unselected": 1, "after_cutoff": 1, "channels": 2, "symbols": 1, "applied": 1, "status_rows": 1}
+    assert integrity.class_counters(rows.limit(0)).first().asDict() == dict.fromkeys(one, 0)
+    plan = integrity.class_counters(rows, ["market", "trading_day"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.rindex("Aggregate [market")
