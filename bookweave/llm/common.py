@@ -52,5 +52,22 @@ def small_batches(spark: SparkSession, mb: int = 8) -> None:
         spark.conf.set(key, str(mb << 20))
 
 
+#: What a worker process keeps between tasks, by name: one thing at a time.
+_KEPT: dict = {}
+
+
+def kept(name, make):
+    """What make() gives, made once in each worker and kept there until something else is, or until drop_kept."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def drop_kept() -> None:
+    """Frees what an earlier step kept in this worker, which lives on and would hold it through all that follows."""
+    _KEPT.clear()
+
+
 def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))

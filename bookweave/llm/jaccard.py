@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookweave.llm.common import small_batches, stored, table
+from bookweave.llm.common import drop_kept, small_batches, stored, table
 from bookweave.llm.components import components
 
 #: Coordinates of a point (a power of two), and rows of a leaf of the R-tree at most.
@@ -167,6 +167,7 @@ def _described(docs: DataFrame, width: int, groups: int) -> DataFrame:
     kinds = pa.schema([("doc", pa.int64()), ("t", pa.int64()), ("n", pa.int64()), ("c", pa.binary()), ("h", pa.int64()), ("point", pa.binary()), ("chunk", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         table = np.zeros(1 << groups, np.uint32)
         for batch in batches:
             seen, rows, at = set(), [], []

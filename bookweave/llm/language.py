@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bookweave.llm.common import small_batches, table
+from bookweave.llm.common import kept, small_batches, table
 
 #: Labelled documents per language that the model learns from at most; whole texts, if there are any of so many characters at most then those.
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 24, 2000
@@ -88,8 +88,6 @@ def suffix_automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
 class Model:
     """The automata of all languages, built once per worker from the sample."""
 
-    _built: dict[int, Model] = {}
-
     def __init__(self, sample: dict[str, str]):
         self.names = sorted(sample)
         texts = [_folded(sample[k]) for k in self.names]
@@ -120,10 +118,7 @@ class Model:
 
     @classmethod
     def of(cls, sample: dict[str, str]) -> Model:
-        key = hash(tuple(sorted(sample.items())))
-        if key not in cls._built:
-            cls._built = {key: cls(sample)}
-        return cls._built[key]
+        return kept(("language", hash(tuple(sorted(sample.items())))), lambda: cls(sample))
 
     def _step(self, k: int, state: np.ndarray, c: np.ndarray, wide: bool) -> np.ndarray:
         """States after one more symbol each; the root where the run is known no longer. wide: some symbols may be beyond the table."""
