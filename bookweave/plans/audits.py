@@ -28,17 +28,15 @@ DETAILS = 40
 
 def _three_days(spark: SparkSession, sf_dir: str) -> str:
     """Vendor files of three Shenzhen days."""
-    root = new_path(spark, "vendor")
-    all_ = written(one_day.vendor_events(spark, sf_dir, "SZ"), "events")
-    for i, day in enumerate(DAYS):
-        events = all_.filter(F.substring("symbol", 4, 3).cast("int") % 3 == i).withColumns({"trading_day": F.lit(day), "quote_ms": F.col("quote_ms") + i * DAY})
-        if i == 1:
-            more = events.groupBy(*BOOK, "channel").agg((F.max("seq") + 20).alias("seq"), F.lit(one_day.midnight(day) + 54_005_000).alias("quote_ms"))
-            more = more.withColumns({"kind": F.lit("A"), "ord_type": F.lit("limit"), "side": F.lit("B"), "bid_no": F.col("seq"), "price": F.lit(90_000).cast("bigint"), "qty": F.lit(100).cast("bigint")})
-            events = events.unionByName(more, allowMissingColumns=True)
-        events = written(events, "day")
-        one_day.write_ticks(events, root, "SZ", day)
-        one_day._publish(root, events, "SZ", day)
+    root, nth = new_path(spark, "vendor"), F.substring("symbol", 4, 3).cast("int") % 3
+    days = one_day.vendor_events(spark, sf_dir, "SZ").withColumns({"trading_day": F.lit(TRADING_DAY) + nth, "quote_ms": F.col("quote_ms") + nth * DAY})
+    events = written(days, "days")
+    more = events.filter(F.col("trading_day") == DAYS[1]).groupBy(*BOOK, "channel").agg((F.max("seq") + 20).alias("seq"), F.lit(one_day.midnight(DAYS[1]) + 54_005_000).alias("quote_ms"))
+    more = more.withColumns({"kind": F.lit("A"), "ord_type": F.lit("limit"), "side": F.lit("B"), "bid_no": F.col("seq"), "price": F.lit(90_000).cast("bigint"), "qty": F.lit(100).cast("bigint")})
+    events = events.unionByName(written(more, "late"), allowMissingColumns=True)
+    for day in DAYS:
+        one_day.write_ticks(events.filter(F.col("trading_day") == day), root, "SZ", day)
+    one_day._publish(root, events, "SZ", tuple(DAYS))
     return root
 
 

@@ -26,9 +26,9 @@ MIDNIGHT = 1_787_846_400_000  # of that day at UTC+8
 STEP = 300_000
 
 
-def midnight(day: int) -> int:
-    """Of a day of TRADING_DAY's month."""
-    return MIDNIGHT + (day - TRADING_DAY) * DAY
+def midnight(day):
+    """Of a day, or a column of days, of TRADING_DAY's month."""
+    return (day - TRADING_DAY) * DAY + MIDNIGHT
 
 
 HEADS = {"SZ": ["000", "159", "300", "002"], "SH": ["600", "510", "688", "601"]}
@@ -137,8 +137,9 @@ def _files(spark: SparkSession, sf_dir: str, market: str) -> tuple[str, DataFram
 _STATUS = {"SZ": ("O0", "B0", "T0", "C0", "E0"), "SH": ("OCALL", "TRADE", "TRADE", "CCALL", "CLOSE")}
 
 
-def _publish(root: str, events: DataFrame, market: str, day: int = TRADING_DAY) -> None:
-    """Frames every five minutes and at the close, as the exchange would publish them, some spoilt by their number."""
+def _publish(root: str, events: DataFrame, market: str, days: tuple[int, ...] = (TRADING_DAY,)) -> None:
+    """Frames every five minutes and at the close of each day, as the exchange would publish them, some spoilt by their number. All days are one job but for their files."""
+    at = midnight(F.col("trading_day").cast("bigint"))
     changes = written(deltas(ledger.ledger(events)), "changes")
     grid = snapshots.grid_snapshots(events, changes, STEP).withColumns({"source_row": F.col("k"), "quote_ms": F.col("boundary_ms")})
     n = sum(snapshots.boundary_count(STEP))
@@ -146,8 +147,8 @@ def _publish(root: str, events: DataFrame, market: str, day: int = TRADING_DAY)
     status = F.when(F.col("k") == 1, opening).when(F.col("k") == 2, first).when(F.col("k") == n, call).otherwise(running)
     # at the close, orders far from the last price don't count where there is no upper limit
     near = changes.filter("NOT (symbol LIKE '300%' AND price < 60000)")
-    cut = events.groupBy(*BOOK).agg(F.max("seq").alias("cut_seq"), F.lit(midnight(day) + 54_000_000).alias("boundary_ms"))
-    last = snapshots.close_snapshots(events, near, cut=cut).withColumns({"source_row": F.lit(n + 1), "quote_ms": F.lit(midnight(day) + (54_003_000 if market == "SH" else 54_000_000)), "status": F.lit(end)})
+    cut = events.groupBy(*BOOK).agg(F.max("seq").alias("cut_seq")).withColumn("boundary_ms", at + 54_000_000)
+    last = snapshots.close_snapshots(events, near, cut=cut).withColumns({"source_row": F.lit(n + 1), "quote_ms": at + (54_003_000 if market == "SH" else 54_000_000), "status": F.lit(end)})
     vwap = validation.closing_vwap(events, validation.price_quantum()).select(*BOOK, "close_price")
     fund = F.col("symbol").startswith("159")
     last = last.join(vwap, BOOK, "left").withColumn("last_price", F.when(fund, F.coalesce("close_price", "last_price")).otherwise(F.col("last_price"))).drop("close_price")
@@ -160,7 +161,9 @@ def _publish(root: str, events: DataFrame, market: str, day: int = TRADING_DAY)
         "bid_vwap": F.when(k % 3 == 0, F.col("bid_vwap") + 10).otherwise(F.col("bid_vwap")), "ask_vwap": F.when(k % 7 == 0, F.col("ask_vwap") + 20).otherwise(F.col("ask_vwap")),
         "bids": F.when(k % 11 == 0, F.slice("bids", 1, 0)).otherwise(F.col("bids")),
     })
-    write_frames(frames, root, market, day)
+    frames = written(frames, "frames")
+    for day in days:
+        write_frames(frames.filter(F.col("trading_day") == day), root, market, day)
 
 
 def _replayed(spark, sf_dir, market):

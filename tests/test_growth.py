@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from bookweave import market_day
 from bookweave.functions import scalars as S
 from bookweave.operators import integrity, ledger, placement
-from bookweave.plans import days
+from bookweave.plans import audits, days
 from bookweave.shared import LARGEST_METHOD, written
+from bookweave.sources import vendor
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -63,3 +64,14 @@ def test_classes_are_counted_by_book_first(spark):
     assert integrity.class_counters(rows.limit(0)).first().asDict() == dict.fromkeys(one, 0)
     plan = integrity.class_counters(rows, ["market", "trading_day"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Expand") < plan.rindex("Aggregate [market")
+
+
+def test_days_are_published_together(spark, monkeypatch):
+    """The ledger of three days' frames is one job, not one for each day."""
+    asked, real = [], ledger.ledger
+    monkeypatch.setattr(ledger, "ledger", lambda events: asked.append(1) or real(events))
+    root = audits._three_days(spark, SMALL)
+    assert len(asked) == 1
+    frames = vendor.read_reference(spark, root, "SZ").groupBy("trading_day").agg(F.count_distinct("symbol").alias("symbols"), F.min("quote_ms").alias("ms"), F.count("*").alias("frames")).orderBy("trading_day").collect()
+    assert [r.trading_day for r in frames] == audits.DAYS and sum(r.symbols for r in frames) == days.vendor_events(spark, SMALL, "SZ").select("symbol").distinct().count()
+    assert all(r.frames == 52 * r.symbols and r.ms == days.midnight(r.trading_day) + 33_300_000 + days.STEP for r in frames)
