@@ -13,15 +13,11 @@ from bookweave.operators.slices import Running, running
 from bookweave.schema import BOOK, LEVEL, ORDER
 from bookweave.shared import written
 
-#: Levels of the tree of a queue: more orders than two to this are not in one level of one day.
-DEEPEST = 40
 
-
-def _runs(place: Column, count: Column, wanted) -> Column:
-    """Array of (depth, run) for the depths that a queue of `count` orders has, where wanted(place, depth) names a run."""
-    deep = F.filter(F.sequence(F.lit(0), F.lit(DEEPEST)), lambda k: F.call_function("shiftright", count - 1, k) > 0)
-    named = F.transform(deep, lambda k: F.struct(k.cast("int").alias("depth"), wanted(place, k).alias("run")))
-    return F.filter(named, lambda x: x["run"].isNotNull())
+def _runs(rows: DataFrame, wanted: Column) -> DataFrame:
+    """rows (with place, and bits, those of the last place of their level) once for each depth of the tree at which wanted, over depth, names a run, and at depth -1 for their place itself."""
+    each = rows.withColumn("depth", F.explode(F.sequence(F.lit(-1), F.col("bits") - 1)))
+    return each.withColumn("run", F.when(F.col("depth") < 0, F.col("place")).otherwise(wanted)).filter("run IS NOT NULL")
 
 
 def queue_at(changes: DataFrame, asked: DataFrame) -> DataFrame:
@@ -29,33 +25,36 @@ def queue_at(changes: DataFrame, asked: DataFrame) -> DataFrame:
 
     changes: visible ones, as deltas or placed_deltas give them, written. Orders that do not stand in a level then are left out.
 
-    Orders of a level are numbered as they came. The orders before number n are one run for each bit of n, at most, of the
-    runs of two, four, eight and so on; each change counts in the runs its order is in, and a running sum of each run gives
-    what stood of it at any event. So work grows with the changes times the logarithm of the longest queue, and no task
-    has a whole level.
+    Orders of a level are numbered as they came, and those before number n had all come when n did: they came with one running
+    sum, and only what has gone of them by an event depends on it. They are one run for each bit of n, at most, of the runs of
+    two, four, eight and so on; what goes counts in the runs its order is in, and a running sum of each run gives what had
+    gone of it at any event. So work grows with what goes and what is asked times the logarithm of the longest queue, and no
+    task has a whole level.
     """
-    came = written(changes.filter("dcount = 1").select(*LEVEL, "order_no", "seq", "sub_seq"), "came")
-    numbered = running(came, LEVEL, "seq", {"nth": Running("count", F.lit(1))}, ["sub_seq", "order_no"])
-    count = came.groupBy(*LEVEL).agg(F.count("*").alias("orders"))
-    places = written(numbered.join(count, LEVEL).select(*LEVEL, "order_no", F.col("seq").alias("came_seq"), (F.col("nth") - 1).alias("place"), "orders"), "places")
-
-    right = lambda a, k: F.call_function("shiftright", a, k.cast("int"))
-    own = F.array(F.struct(F.lit(-1).alias("depth"), F.col("place").alias("run")))
+    came = written(changes.filter("dcount = 1").select(*LEVEL, "order_no", "seq", "sub_seq", "dqty"), "came")
+    # a level is a number from here on, by which runs are dealt and sorted
+    levels = came.groupBy(*LEVEL).agg(F.count("*").alias("orders")).select(F.monotonically_increasing_id().alias("level"), *LEVEL, F.when(F.col("orders") > 1, F.length(F.bin(F.col("orders") - 1))).otherwise(0).alias("bits"))
+    levels = written(levels, "levels")
+    numbered = running(came.join(levels, LEVEL), ["level"], "seq", {"nth": Running("count", F.lit(1)), "size_before": Running("sum", F.col("dqty"), before=True)}, ["sub_seq", "order_no"])
+    places = numbered.select("level", *ORDER, "bits", F.col("seq").alias("came_seq"), F.col("dqty").alias("size"), F.coalesce("size_before", F.lit(0)).alias("size_before"), (F.col("nth") - 1).alias("place"))
+    places = written(places, "places")
+
+    number = ["level", "place", "seq"]
+    moved = changes.filter("dcount <> 1").join(levels.drop("bits"), LEVEL).select("level", "order_no", "seq", "dqty", "dcount").join(places.select("level", "order_no", "place", "bits"), ["level", "order_no"])
+    wanted = asked.select(*ORDER, F.col("at_seq").alias("seq")).distinct().join(places, ORDER).filter("came_seq <= seq")
+    wanted = written(wanted.select(*number, "order_no", "size", "size_before", "bits"), "wanted")
     # a run is asked for only if it is the left one of two
-    counted = F.concat(own, _runs(F.col("place"), F.col("orders"), lambda p, k: F.when(right(p, k) % 2 == 0, right(p, k))))
-    before = F.concat(own, _runs(F.col("place"), F.col("orders"), lambda p, k: F.when(right(p, k) % 2 == 1, right(p, k) - 1)))
-    moved = changes.select(*LEVEL, "order_no", "seq", "dqty", "dcount").join(places, [*LEVEL, "order_no"])
-    moved = moved.select(*LEVEL, F.lit(None).cast("bigint").alias("order_no"), "seq", "dqty", "dcount", F.lit(0).alias("is_asked"), F.explode(counted).alias("x"))
-    wanted = asked.select(*ORDER, "at_seq").distinct().join(places, ORDER).filter("came_seq <= at_seq")
-    wanted = wanted.select(*LEVEL, "order_no", F.col("at_seq").alias("seq"), F.lit(0).cast("bigint").alias("dqty"), F.lit(0).cast("bigint").alias("dcount"), F.lit(1).alias("is_asked"), F.explode(before).alias("x"))
-    both = written(moved.unionByName(wanted).select("*", "x.depth", "x.run").drop("x"), "runs")
-    stood = running(both, [*LEVEL, "depth", "run"], "seq", {"quantity": Running("sum", F.col("dqty")), "count": Running("sum", F.col("dcount"))}, ["is_asked"])
+    run, zero = F.call_function("shiftright", F.col("place"), F.col("depth")), F.lit(0).cast("bigint")
+    counted = _runs(moved.select(*number, "bits", "dqty", "dcount"), F.when(run % 2 == 0, run)).withColumn("place", F.lit(None).cast("bigint"))
+    before = _runs(wanted.select(*number, "bits", zero.alias("dqty"), zero.alias("dcount")), F.when(run % 2 == 1, run - 1))
+    both = written(counted.unionByName(before).drop("bits"), "runs")
+    gone = running(both, ["level", "depth", "run"], "seq", {"quantity": Running("sum", F.col("dqty")), "count": Running("sum", F.col("dcount"))}, ["place"])
 
     mine = F.col("depth") < 0
-    out = stood.filter("is_asked = 1").groupBy(*LEVEL, "order_no", F.col("seq").alias("at_seq")).agg(
-        F.sum(F.when(mine, F.col("quantity"))).alias("remaining"), F.coalesce(F.sum(F.when(~mine, F.col("count"))), F.lit(0)).alias("ahead"), F.coalesce(F.sum(F.when(~mine, F.col("quantity"))), F.lit(0)).alias("quantity_ahead"),
-    )
-    return out.filter("remaining > 0").select(*ORDER, "price", "at_seq", "remaining", (F.col("ahead") + 1).alias("position"), "quantity_ahead")
+    of = lambda c, where: F.coalesce(F.sum(F.when(where, F.col(c))), F.lit(0))
+    left = gone.filter("place IS NOT NULL").groupBy(*number).agg(of("quantity", mine).alias("own"), of("quantity", ~mine).alias("quantity_gone"), of("count", ~mine).alias("orders_gone"))
+    out = wanted.join(left, number).withColumn("remaining", F.col("size") + F.col("own")).filter("remaining > 0").join(levels, "level")
+    return out.select(*ORDER, "price", F.col("seq").alias("at_seq"), "remaining", (F.col("place") + F.col("orders_gone") + 1).alias("position"), (F.col("size_before") + F.col("quantity_gone")).alias("quantity_ahead"))
 
 
 def _first(rows: DataFrame, keys: list[str], wrong: Column, rule: str) -> DataFrame:

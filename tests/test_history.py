@@ -95,3 +95,14 @@ def test_good_books_break_nothing_and_damage_is_found_at_once(spark):
     assert got == [("level", 40), ("side", 40)] and at is not None
     found = history.first_breaks(led, changes, hurt, hurt).filter("rule <> 'empty'").collect()
     assert [(r.rule, r.price, r.first_seq) for r in found] == [("level", at.price, 40)]
+
+
+def test_only_what_goes_and_what_is_asked_is_laid_out(spark, monkeypatch):
+    """Orders of a level that stand are counted by their place alone: the tree of runs has no row of them."""
+    seen, real = {}, history.written
+    monkeypatch.setattr(history, "written", lambda df, name: seen.setdefault(name, real(df, name)))
+    rows = [add(n, "B", n, 100, n) for n in range(1, 65)] + [trade(65, 3, None, 100, 2), cancel(66, "B", 5, 5)]
+    changes = written(book.deltas(ledger.ledger(make(spark, rows))), "changes")
+    asked = spark.createDataFrame([("SZ", 20260828, "000001", "B", 64, 66), ("SZ", 20260828, "000001", "B", 5, 66)], "market string, trading_day int, symbol string, order_side string, order_no long, at_seq long")
+    assert [tuple(r) for r in history.queue_at(changes, asked).collect()] == [("SZ", 20260828, "000001", "B", 64, 100, 66, 64, 63, sum(range(1, 64)) - 7)]
+    assert seen["runs"].count() <= 4 * 7
