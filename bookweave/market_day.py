@@ -224,7 +224,7 @@ def validate_day(
 
     points = written(validation.states(day.events, day.changes), "states")
     open_ = validation.with_window(selected.filter("anchor <> 'market_close'"), back_ms, ahead_ms)
-    seen = points if day.placed is None else points.join(_hidden_points(day.placed), [*BOOK, "seq"], "left_anti")
+    seen = points if day.placed is None else points.drop("prev_seq").join(_hidden_points(day.placed), [*BOOK, "seq"], "left_anti")  # of those seen, the one before is another
     best = validation.best_match(open_, validation.candidates(open_, seen), points, day.changes)
     columns = ["frame_id", "seq", "apply_seq", "at_ms", "matched", "fields", "tag", "error", "excluded_bid", "excluded_ask"]
     none = {"tag": "string", "error": "string", "excluded_bid": "bigint", "excluded_ask": "bigint"}

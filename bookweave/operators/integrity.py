@@ -48,8 +48,9 @@ def business(events: DataFrame) -> DataFrame:
 def _after(rows: DataFrame, key: list[str], order: str, seq: str) -> DataFrame:
     """key, seq, row, and the seq and row before it in source order. Slices alone are windows; what lies before a slice is one row."""
     narrow = rows.select(*key, F.col(seq).alias("seq"), F.col(order).cast("bigint").alias("row"))
-    out = running(narrow, key, "row", {"previous": Running("last", F.struct("seq", "row"), before=True)})
-    return out.select(*key, F.col("previous.seq").alias("previous_seq"), "seq", F.col("previous.row").alias("previous_row"), "row")
+    none = F.lit(-(1 << 63))  # a row without a sequence is one before, too
+    out = running(narrow, key, "row", {"previous_seq": Running("last", F.coalesce("seq", none), before=True), "previous_row": Running("last", F.col("row"), before=True)})
+    return out.select(*key, F.nullif("previous_seq", none).alias("previous_seq"), "seq", "previous_row", "row")
 
 
 def sequence_regressions(rows: DataFrame, key: list[str], order: str = "source_row", seq: str = "seq") -> DataFrame:

@@ -54,7 +54,7 @@ def running(rows: DataFrame, keys: list[str], order: str, columns: dict[str, Run
     cut = rows.withColumn("__slice", F.shiftright(order, NUMBERS if bits is None else bits))
     w = W.partitionBy(*each).orderBy(order, *(ties or []))
     here = cut.withColumns({f"__h_{n}": c.over(w) for n, c in columns.items()})
-    last = F.struct(order, *(ties or []))
+    last = F.struct(order, *ties) if ties else F.col(order)  # a bare number, where it tells rows apart, is aggregated by hash
     totals = cut.groupBy(*each).agg(*(c.total(last).alias(n) for n, c in columns.items()))
     by_slice = W.partitionBy(*keys).orderBy("__slice")
     earlier = totals.select(*each, *(c.scanned(n, by_slice).alias(f"__e_{n}") for n, c in columns.items()))

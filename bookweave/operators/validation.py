@@ -52,7 +52,7 @@ def price_quantum() -> Column:
 
 
 def states(events: DataFrame, changes: DataFrame) -> DataFrame:
-    """The ten scalar fields of a book after each of its events (seq), with quote_ms, the latest time before (high_ms) and apply_seq.
+    """The ten scalar fields of a book after each of its events (seq), with quote_ms, the latest time before (high_ms), the event before (prev_seq) and apply_seq.
 
     changes: visible ones, as deltas or placed_deltas give them. Sides' averages are rounded once, to the
     quantum at which the exchange publishes them.
@@ -62,7 +62,7 @@ def states(events: DataFrame, changes: DataFrame) -> DataFrame:
     moved = changes.groupBy(*BOOK, "seq").agg(side("B", F.col("dqty")).alias("bq"), side("S", F.col("dqty")).alias("sq"), side("B", money).alias("bm"), side("S", money).alias("sm"))
     rows = of_trades(events.filter("kind <> 'S'")).select(*BOOK, "seq", "quote_ms", "t_price", "t_qty").join(moved, [*BOOK, "seq"], "left")
     sums = {n: Running("sum", F.coalesce(F.col(c), F.lit(0))) for c, n in (("bq", "bid_total"), ("sq", "ask_total"), ("bm", "__bm"), ("sm", "__sm"))}
-    out = running(written(rows, "moved"), BOOK, "seq", {"high_ms": Running("max", F.col("quote_ms"), before=True), "apply_seq": Running("count", F.lit(1)), **trade_values(), **sums})
+    out = running(written(rows, "moved"), BOOK, "seq", {"high_ms": Running("max", F.col("quote_ms"), before=True), "prev_seq": Running("last", F.col("seq"), before=True), "apply_seq": Running("count", F.lit(1)), **trade_values(), **sums})
     out = zero_totals(out).withColumn("apply_seq", F.col("apply_seq").cast("int"))
     q = F.col("__q")
     out = out.withColumn("__q", price_quantum())
@@ -75,9 +75,11 @@ def candidates(frames: DataFrame, points: DataFrame, width_ms: int = 1000) -> Da
     frames: frame_id, book, win_from, win_to. points: states. A state counts if it is the one on entering
     the window or follows an event inside it, up to the first event at or after the window's end; then the
     state before that event is looked at once more, as of a millisecond before the end. Equal states keep
-    their earliest time. An equi-join on the book and cells of `width_ms`, then the exact range.
+    their earliest time. An equi-join on the book and cells of `width_ms`, then the exact range. Points that lack prev_seq are numbered here.
     """
-    p = running(points.select(*BOOK, "seq", "quote_ms", "high_ms"), BOOK, "seq", {"prev_seq": Running("last", F.col("seq"), before=True)})
+    p = points.select(*BOOK, "seq", "quote_ms", "high_ms", *(["prev_seq"] if "prev_seq" in points.columns else []))
+    if "prev_seq" not in points.columns:
+        p = running(p, BOOK, "seq", {"prev_seq": Running("last", F.col("seq"), before=True)})
     cell = lambda c: F.floor(c / width_ms)
     f = frames.select("frame_id", *BOOK, "win_from", "win_to", F.explode(F.sequence(cell(F.col("win_from")), cell(F.col("win_to") - 1))).alias("cell"))
     inside = f.join(p.withColumn("cell", cell(F.col("quote_ms"))), [*BOOK, "cell"]).filter(

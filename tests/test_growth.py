@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from bookweave import market_day
 from bookweave.functions import scalars as S
-from bookweave.operators import integrity, ledger, placement
-from bookweave.plans import audits, days
+from bookweave.operators import integrity, ledger, placement, validation
+from bookweave.operators.slices import Running, running
+from bookweave.plans import audits, core, days
 from bookweave.shared import LARGEST_METHOD, written
 from bookweave.sources import vendor
 
@@ -75,3 +76,34 @@ def test_days_are_published_together(spark, monkeypatch):
     frames = vendor.read_reference(spark, root, "SZ").groupBy("trading_day").agg(F.count_distinct("symbol").alias("symbols"), F.min("quote_ms").alias("ms"), F.count("*").alias("frames")).orderBy("trading_day").collect()
     assert [r.trading_day for r in frames] == audits.DAYS and sum(r.symbols for r in frames) == days.vendor_events(spark, SMALL, "SZ").select("symbol").distinct().count()
     assert all(r.frames == 52 * r.symbols and r.ms == days.midnight(r.trading_day) + 33_300_000 + days.STEP for r in frames)
+
+
+def test_last_values_of_slices_are_aggregated_by_hash(spark):
+    """A slice's last value is told by the number alone, so nothing is sorted for it."""
+    rows = spark.createDataFrame([(1, n, n % 7) for n in range(9)], "k int, n bigint, v bigint")
+    out = running(rows, ["k"], "n", {"last": Running("last", F.col("v"))})
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.n, r.last) for r in out.collect()) == [(n, n % 7) for n in range(9)]
+    faulty = spark.createDataFrame([(1, 1, 5), (1, 2, None), (1, 3, 4), (1, 4, 4)], "k int, source_row bigint, seq bigint")
+    found = integrity.sequence_regressions(faulty, ["k"])
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [(r.previous_seq, r.seq, r.previous_row, r.row, r.equal) for r in found.collect()] == [(4, 4, 3, 4, True)]
+
+
+def test_states_know_the_event_before(spark):
+    """Candidates take the event before from the states, and number points themselves only where some are hidden."""
+    feed, changes = core.rebuilt(spark, SMALL)
+    points = written(validation.states(feed, changes), "states")
+    frames = spark.createDataFrame([(i, "SZ", 20240101, f"{i % 20:06d}", core.ORIGIN_MS + i * 43_200_000) for i in range(1, 40)], "frame_id bigint, market string, trading_day int, symbol string, quote_ms bigint")
+    frames = validation.with_window(frames, 1000, 3000)
+    known, numbered = (validation.candidates(frames, p, 3000) for p in (points, points.drop("prev_seq")))
+    windows = [x._jdf.queryExecution().optimizedPlan().toString().count("Window [") for x in (known, numbered)]
+    assert windows[0] < windows[1] and sorted(known.collect()) == sorted(numbered.collect())
+
+
+def test_rules_are_gone_through_once(spark):
+    """What a day's rows break is written before the day is refused; to look again reads no rows."""
+    root, _ = days._files(spark, SMALL, "SH")
+    broken = market_day.replay_day(spark, root, "SH", step_ms=days.STEP, check_files=False).violations
+    plan = broken._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "Aggregate" not in plan and broken.count() == 0
