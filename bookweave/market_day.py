@@ -73,7 +73,7 @@ def _read(spark: SparkSession, root: str, market: str, days: list[int] | None) -
         raise ValueError(f"market {market}")
     rows = vendor.read_sh_ticks(spark, root, days) if market == "SH" else vendor.read_sz(spark, root, days)
     local = day_epoch_ms(F.col("trading_day")) - 28_800_000 + clock_ms(F.col("local_time"))
-    return rows.withColumn("local_ms", local)
+    return rows.withColumn("local_ms", local).drop("local_time")  # no later step asks for the text
 
 
 def _wanted(rows: DataFrame, universe: str, symbols: list[str] | None) -> Column:
@@ -170,11 +170,13 @@ def replay_day(
     """
     _checked(spark, root, market, days, on_fault, check_files)
     day = rebuild(spark, root, market, days, universe, symbols, policy)
-    events, changes, ends = day.events, day.changes, None
+    events, changes, violations, ends = day.events, day.changes, day.violations, None
+    if on_fault != "keep":
+        violations = written(violations, "violations")  # the rules are gone through once, and the caller may look again
     if on_fault == "raise":
-        faults.refuse(day.violations)
+        faults.refuse(violations)
     elif on_fault == "cut":
-        ends = written(faults.book_ends(written(day.violations, "violations"), events, day.rows.filter("row_class = 'selected'")), "ends")
+        ends = written(faults.book_ends(violations, events, day.rows.filter("row_class = 'selected'")), "ends")
         events, changes = (written(faults.before_end(x, ends), "before") for x in (events, changes))
     grid = snapshots.grid_snapshots(events, changes, step_ms, depth).drop("k").withColumn("kind", F.lit("scheduled"))
     close = snapshots.close_snapshots(events, changes, depth).withColumn("kind", F.lit("market_close"))
@@ -184,7 +186,7 @@ def replay_day(
     channel = written(events.groupBy(*BOOK).agg(F.min("channel").alias("channel")), "channels")
     snaps = written(grid.unionByName(close).join(channel, BOOK), "snapshots")
     repairs = written(_repairs(day), "repairs")
-    return Replay(snaps, _counters(day, repairs, snaps), repairs, day.violations)
+    return Replay(snaps, _counters(day, repairs, snaps), repairs, violations)
 
 
 def _hidden_points(placed: DataFrame) -> DataFrame:
@@ -216,6 +218,7 @@ def validate_day(
     positions = reference.position_faults(frames).select(*BOOK, F.lit(None).cast("int").alias("channel"), F.lit(None).cast("bigint").alias("seq"), F.lit("reference_position").alias("code"))
     violations = day.violations.unionByName(positions)
     if on_fault == "raise":
+        violations = written(violations, "violations")
         faults.refuse(violations)
 
     shared = reference.duplicate_times(picked).select("frame_id", F.lit(True).alias("twice"))

@@ -72,8 +72,9 @@ def vendor_events(spark: SparkSession, sf_dir: str, market: str) -> DataFrame:
 def _clock(ms) -> F.Column:
     """HH:MM:SS.mmm of an epoch millisecond at UTC+8."""
     t = F.pmod(ms + 28_800_000, F.lit(DAY))
-    two = lambda c, n=2: F.lpad(F.floor(c).cast("string"), n, "0")
-    return F.concat(two(t / 3_600_000), F.lit(":"), two(t / 60_000 % 60), F.lit(":"), two(t / 1000 % 60), F.lit("."), two(t % 1000, 3))
+    div = lambda a, b: F.call_function("div", a, F.lit(b))
+    two = lambda c, n=2: F.lpad(c.cast("string"), n, "0")
+    return F.concat(two(div(t, 3_600_000)), F.lit(":"), two(div(t, 60_000) % 60), F.lit(":"), two(div(t, 1000) % 60), F.lit("."), two(t % 1000, 3))
 
 
 def _put(rows: DataFrame, root: str, day: int, feed: str, contract: str) -> None:
@@ -82,7 +83,7 @@ def _put(rows: DataFrame, root: str, day: int, feed: str, contract: str) -> None
 
 
 def _money(c, scale: int):
-    return (c.cast("decimal(30,0)") / F.lit(10_000).cast("decimal(5,0)")).cast(f"decimal(38,{scale})")
+    return (c.cast("decimal(30,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast(f"decimal(38,{scale})")
 
 
 def write_ticks(events: DataFrame, root: str, market: str, day: int = TRADING_DAY) -> None:

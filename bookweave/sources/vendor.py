@@ -9,6 +9,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,7 +56,10 @@ def _number(c: str) -> Column:
 
 def _checked(df: DataFrame, faults: dict[str, Column]) -> DataFrame:
     """df with faults: the names of the rules a row breaks."""
-    return df.withColumn("faults", F.filter(F.array(*(F.when(F.coalesce(c, F.lit(True)), n) for n, c in faults.items())), lambda x: x.isNotNull()))
+    broken = {n: F.coalesce(c, F.lit(True)) for n, c in faults.items()}
+    named = F.filter(F.array(*(F.when(c, n) for n, c in broken.items())), lambda x: x.isNotNull())
+    # rows that break no rule, as most do, are spared the array
+    return df.withColumn("faults", F.when(reduce(or_, broken.values()), named).otherwise(F.array().cast("array<string>")))
 
 
 _COMMON = ["market", "trading_day", "symbol", "channel", "seq", "source_row", "stream", "kind", "ord_type", "side", "flag", "status", "bid_no", "ask_no", "price", "qty", "quote_ms", "local_time", "faults"]
