@@ -7,6 +7,7 @@ tables that several of them share, which are written to the shared folder.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +31,16 @@ class Day:
 
     rows: DataFrame
     events: DataFrame
-    changes: DataFrame
     placed: DataFrame | None
     regressions: DataFrame
     violations: DataFrame
+    ledger: DataFrame
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        """Written when first asked for; what asks for broken rules alone needs none."""
+        out = deltas(self.ledger) if self.placed is None else placement.placed_deltas(self.events, self.ledger, self.placed)
+        return written(out, "changes")
 
 
 @dataclass(frozen=True)
@@ -120,15 +127,13 @@ def rebuild(spark: SparkSession, root: str, market: str, days: list[int] | None
     if market == "SZ":
         placed = written(_placements(events, led, policy), "placements")
         wrong.append(placed.filter("what = 'violation'").select(*BOOK, F.lit(None).cast("int").alias("channel"), F.col("rest_seq").alias("seq"), "code"))
-        changes = placement.placed_deltas(events, led, placed)
     else:
-        changes = deltas(led)
         # native order is a channel's, over all its rows
         wrong.append(integrity.sequence_regressions(rows, ["market", "trading_day", "channel"]).select("market", "trading_day", F.lit(None).cast("string").alias("symbol"), "channel", "seq", F.lit("sequence_order").alias("code")))
     violations = wrong[0]
     for w in wrong[1:]:
         violations = violations.unionByName(w)
-    return Day(rows, events, written(changes, "changes"), placed, regressions, violations)
+    return Day(rows, events, placed, regressions, violations, led)
 
 
 def _counters(day: Day, repairs: DataFrame, snaps: DataFrame | None = None) -> DataFrame:

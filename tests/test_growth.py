@@ -107,3 +107,13 @@ def test_rules_are_gone_through_once(spark):
     broken = market_day.replay_day(spark, root, "SH", step_ms=days.STEP, check_files=False).violations
     plan = broken._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and "Aggregate" not in plan and broken.count() == 0
+
+
+def test_rules_need_no_changes(spark, monkeypatch):
+    """Broken rules alone are told without the books' changes, which are written once if asked for."""
+    seen, real = [], market_day.written
+    monkeypatch.setattr(market_day, "written", lambda df, name: seen.append(name) or real(df, name))
+    root, _ = days._files(spark, SMALL, "SH")
+    day = market_day.rebuild(spark, root, "SH")
+    assert day.violations.count() == 0 and "changes" not in seen
+    assert day.changes.count() == day.changes.count() > 0 and seen.count("changes") == 1
